@@ -1 +1,286 @@
-"""Placeholder."""
+"""Analyst queries over the raw document tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from erpweave.functions import SelectOption, in_ranges
+from erpweave.functions.numbers import signed_amount
+from erpweave.operators.maintenance import change_history
+from erpweave.plans import documented as D
+from erpweave.plans import purchasing_lakehouse as L
+from erpweave.queries.oracle import CTES, twin
+from erpweave.queries.registry import Tables, query
+
+# Derived inputs: accounting lines with their full key, incoming invoice items, journal,
+# planning data and message tables.
+CTES.update({
+    "bseg_full": "SELECT s.mandt, k.bukrs, s.belnr, k.gjahr, s.buzei, s.saknr, s.dmbtr, s.shkzg, s.koart, s.lifnr, s.augdt FROM bseg s JOIN bkpf k ON s.belnr = k.belnr",
+    "rseg": "SELECT i.mandt, i.ebeln, i.ebelp, concat('51', substr(i.ebeln, 3)) AS belnr, substr(h.bedat, 1, 4) AS gjahr FROM ekpo i JOIN ekko h ON i.ebeln = h.ebeln WHERE h.bsart = 'NB'",
+    "acdoca": "SELECT s.bukrs, s.belnr, s.gjahr, s.buzei, s.saknr, h.budat, h.blart, CAST(CASE WHEN s.shkzg = 'S' THEN s.dmbtr ELSE -s.dmbtr END AS DECIMAL(17,2)) AS amount FROM bseg_full s JOIN bkpf h ON s.belnr = h.belnr",
+    "ska1": "SELECT lpad(CAST(n_nationkey AS STRING), 10, '0') AS saknr, n_name AS txt50 FROM nation WHERE n_nationkey < 15",
+    "marc": "SELECT matnr, werks, CAST(count(*) * 25 - 25 AS DECIMAL(17,3)) AS minbe FROM mard GROUP BY 1, 2",
+    "edidc": "SELECT CASE WHEN event_id % 10 = 9 THEN '200' ELSE '100' END AS mandt, event_id AS docnum, event_type AS mestyp, CASE WHEN event_type = 'error' THEN '51' ELSE '53' END AS status, CAST(ts AS DATE) AS credat FROM events",
+    "edids": "SELECT CASE WHEN event_id % 10 = 9 THEN '200' ELSE '100' END AS mandt, event_id AS docnum, props AS statxt FROM events",
+})
+
+
+def _bseg(t: Tables):
+    keys = t.raw("bkpf").select("belnr", "bukrs", "gjahr")
+    return t.raw("bseg").join(keys, "belnr")
+
+
+def _rseg(t: Tables):
+    header = t.raw("ekko").filter(F.col("bsart") == "NB").select("ebeln", F.substring("bedat", 1, 4).alias("gjahr"))
+    number = F.concat(F.lit("51"), F.expr("substr(ebeln, 3)"))
+    return t.raw("ekpo").select("mandt", "ebeln", "ebelp").join(header, "ebeln").withColumn("belnr", number)
+
+
+def _journal(t: Tables):
+    header = t.raw("bkpf").select("belnr", "bukrs", "gjahr", "budat", "blart")
+    lines = t.raw("bseg").select(
+        "belnr", "buzei", "saknr", signed_amount("dmbtr", "shkzg").cast("decimal(17,2)").alias("amount")
+    )
+    return lines.join(header, "belnr")
+
+
+def _planning(t: Tables):
+    return t.raw("mard").groupBy("matnr", "werks").agg(
+        (F.count(F.lit(1)) * 25 - 25).cast("decimal(17,3)").alias("minbe")
+    )
+
+
+@query("q_po_header_item", twin("""SELECT a.ebeln, a.lifnr, b.matnr, b.menge, b.netpr FROM ekko a JOIN ekpo b
+    ON a.mandt = b.mandt AND a.ebeln = b.ebeln WHERE a.mandt = '100' AND a.aedat >= '20000101'"""))
+def q1(t: Tables):
+    return D.po_header_item(t.raw("ekko"), t.raw("ekpo"), "20000101")
+
+
+@query("q_open_purchase_orders", twin("""SELECT k.ebeln, k.lifnr, k.bedat, p.ebelp, p.matnr, p.menge, p.netpr, p.netwr
+    FROM ekko k JOIN ekpo p ON k.mandt = p.mandt AND k.ebeln = p.ebeln WHERE k.mandt = '100' AND k.bstyp = 'F'
+    AND coalesce(p.elikz, '') = '' AND k.bedat >= '19990101'"""))
+def q2(t: Tables):
+    return D.open_purchase_orders(t.raw("ekko"), t.raw("ekpo"), "19990101")
+
+
+@query("q_goods_receipts", twin("""WITH m AS (SELECT s.*, k.mjahr FROM mseg s JOIN mkpf k ON s.mblnr = k.mblnr)
+    SELECT m.mblnr, m.mjahr, h.budat, m.matnr, m.werks, m.lgort, m.menge, m.dmbtr, m.ebeln, m.ebelp FROM m JOIN mkpf h
+    ON m.mandt = h.mandt AND m.mblnr = h.mblnr AND m.mjahr = h.mjahr
+    WHERE m.mandt = '100' AND m.bwart = '101' AND h.budat BETWEEN '19980101' AND '19981231'"""))
+def q3(t: Tables):
+    return D.goods_receipts(_mseg(t), t.raw("mkpf"), "19980101", "19981231")
+
+
+def _mseg(t: Tables):
+    """Movement items with the year of their document."""
+    return t.raw("mseg").drop("budat").join(t.raw("mkpf").select("mblnr", "mjahr"), "mblnr")
+
+
+@query("q_procure_to_pay_trace", twin("""SELECT po.ebeln AS nr_po, po.lifnr AS fornecedor, pi.matnr AS material,
+    pi.menge AS qtd_pedida, gr.menge AS qtd_recebida, gr.dmbtr AS valor_recebido, inv.belnr AS nr_fatura, inv.rmwwr AS valor_fatura
+    FROM ekko po JOIN ekpo pi ON po.mandt = pi.mandt AND po.ebeln = pi.ebeln
+    LEFT JOIN mseg gr ON gr.mandt = pi.mandt AND gr.ebeln = pi.ebeln AND gr.ebelp = pi.ebelp AND gr.bwart = '101'
+    LEFT JOIN rseg ri ON ri.mandt = pi.mandt AND ri.ebeln = pi.ebeln AND ri.ebelp = pi.ebelp
+    LEFT JOIN rbkp inv ON inv.mandt = ri.mandt AND inv.belnr = ri.belnr AND inv.gjahr = ri.gjahr
+    WHERE po.mandt = '100' AND po.bedat >= '20000101'"""))
+def q4(t: Tables):
+    return D.procure_to_pay_trace(
+        t.raw("ekko"), t.raw("ekpo"), t.raw("mseg"), _rseg(t), t.raw("rbkp"), "20000101"
+    )
+
+
+@query("q_order_to_billing_trace", twin("""SELECT so.vbeln AS nr_so, so.kunnr AS cliente, si.matnr AS material,
+    si.kwmeng AS qtd_pedida, li.lfimg AS qtd_entregue, bi.vbeln AS nr_billing, bk.fkdat AS data_fatura, bk.netwr AS valor_faturado
+    FROM vbak so JOIN vbap si ON so.mandt = si.mandt AND so.vbeln = si.vbeln
+    JOIN lips li ON li.mandt = si.mandt AND li.vgbel = si.vbeln AND li.vgpos = si.posnr
+    JOIN likp lk ON lk.mandt = li.mandt AND lk.vbeln = li.vbeln JOIN vbrp bi ON bi.mandt = li.mandt AND bi.vgbel = li.vbeln
+    JOIN vbrk bk ON bk.mandt = bi.mandt AND bk.vbeln = bi.vbeln WHERE so.mandt = '100' AND so.audat >= '20010101'"""))
+def q5(t: Tables):
+    tables = {name: t.raw(name) for name in ("vbak", "vbap", "lips", "likp", "vbrp", "vbrk")}
+    return D.order_to_billing_trace(**tables, since="20010101")
+
+
+@query("q_open_payables", twin("""SELECT i.bukrs, i.belnr, i.gjahr, i.lifnr, h.bldat, i.dmbtr, i.shkzg FROM bseg_full i JOIN bkpf h
+    ON h.mandt = i.mandt AND h.bukrs = i.bukrs AND h.belnr = i.belnr AND h.gjahr = i.gjahr
+    WHERE i.mandt = '100' AND i.koart = 'K' AND i.augdt = '' AND i.bukrs = 'BR01' AND h.budat >= '19980101'"""))
+def q6(t: Tables):
+    return D.open_payables(_bseg(t), t.raw("bkpf"), "BR01", "19980101")
+
+
+@query("q_production_balance", twin("""SELECT a.aufnr, a.werks, a.erdat, a.gstrp, a.gltrp, p.matnr,
+    CAST(p.psmng AS DECIMAL(17,3)) AS qtd_planejada, CAST(p.wemng AS DECIMAL(17,3)) AS qtd_recebida,
+    CAST(CAST(p.psmng AS DECIMAL(17,3)) - CAST(p.wemng AS DECIMAL(17,3)) AS DECIMAL(17,3)) AS saldo_pendente
+    FROM aufk a JOIN afpo p ON a.mandt = p.mandt AND a.aufnr = p.aufnr
+    WHERE a.mandt = '100' AND a.werks = 'P001' AND a.erdat >= '19980101' AND a.auart IN ('PP01', 'PP02')"""))
+def q7(t: Tables):
+    return D.production_balance(t.raw("aufk"), t.raw("afpo"), "P001", "19980101")
+
+
+@query("change_history", twin("""SELECT h.changenr, h.objectid, h.udate, h.utime, h.username, p.tabname, p.fname, p.value_old, p.value_new
+    FROM cdhdr h JOIN cdpos p ON h.mandt = p.mandt AND h.changenr = p.changenr WHERE h.objectclas = 'EINKBELEG'
+    AND p.fname = 'NETPR' AND h.udate BETWEEN '20240105' AND '20240120'"""))
+def q8(t: Tables):
+    return change_history(t.raw("cdhdr"), t.raw("cdpos"), "EINKBELEG", "NETPR", "20240105", "20240120")
+
+
+@query("q_fi_document_lines", twin("""SELECT b.bukrs, b.belnr, b.gjahr, b.budat, s.saknr, s.dmbtr, s.shkzg FROM bkpf b JOIN bseg_full s
+    ON s.mandt = b.mandt AND s.bukrs = b.bukrs AND s.belnr = b.belnr AND s.gjahr = b.gjahr
+    WHERE b.mandt = '100' AND b.bukrs = 'BR02' AND b.gjahr = '1999'"""))
+def q9(t: Tables):
+    return D.fi_document_lines(t.raw("bkpf"), _bseg(t), "BR02", "1999")
+
+
+@query("q_production_cost", twin("""SELECT op.aufnr AS nr_ordem, op.matnr AS produto_acabado, op.werks AS planta, c.matnr AS componente,
+    c.menge AS qtd_consumida, c.dmbtr AS valor_consumo, fi.belnr AS doc_fi, fi.budat AS data_lancamento
+    FROM afpo op JOIN mseg c ON c.mandt = op.mandt AND c.aufnr = op.aufnr AND c.bwart = '261'
+    JOIN mkpf mh ON mh.mandt = c.mandt AND mh.mblnr = c.mblnr
+    JOIN bkpf fi ON fi.mandt = mh.mandt AND fi.awkey = concat(mh.mblnr, mh.mjahr) AND fi.awtyp = 'MKPF'
+    WHERE op.mandt = '100' AND op.werks = 'P003' AND mh.budat BETWEEN '19960101' AND '19981231'"""))
+def q10(t: Tables):
+    return D.production_cost(t.raw("afpo"), _mseg(t), t.raw("mkpf"), t.raw("bkpf"), "19960101", "19981231", "P003")
+
+
+@query("q_order_profitability", twin("""SELECT so.vbeln AS nr_so, so.kunnr AS cliente, si.matnr AS material, si.kwmeng AS qtd_pedida,
+    bk.netwr AS receita_bruta, bk.fkdat AS data_faturamento, abs(c.dmbtr) AS custo_mercadoria
+    FROM vbak so JOIN vbap si ON so.mandt = si.mandt AND so.vbeln = si.vbeln
+    JOIN vbrp bi ON bi.mandt = si.mandt AND bi.aubel = si.vbeln AND bi.aupos = si.posnr
+    JOIN vbrk bk ON bk.mandt = bi.mandt AND bk.vbeln = bi.vbeln
+    JOIN mseg c ON c.mandt = si.mandt AND c.vbeln = bk.vbeln AND c.bwart = '601'
+    WHERE so.mandt = '100' AND bk.fkdat >= '20000101'"""))
+def q11(t: Tables):
+    tables = {name: t.raw(name) for name in ("vbak", "vbap", "vbrp", "vbrk", "mseg")}
+    return D.order_profitability(**tables, since="20000101")
+
+
+@query("q_document_by_object_key", twin("""SELECT belnr, gjahr, budat, blart FROM bkpf WHERE mandt = '100' AND awtyp = 'VBRK'
+    AND awkey = '900000000022'"""))
+def q12(t: Tables):
+    return D.document_by_object_key(t.raw("bkpf"), "VBRK", "900000000022")
+
+
+@query("q_failed_messages", twin("""SELECT d.docnum, d.mestyp, d.status, d.credat, s.statxt FROM edidc d JOIN edids s
+    ON d.mandt = s.mandt AND d.docnum = s.docnum WHERE d.mandt = '100' AND d.status = '51' AND d.credat >= DATE '2024-01-10'"""))
+def q13(t: Tables):
+    client = F.when(F.col("event_id") % 10 == 9, "200").otherwise("100").alias("mandt")
+    events = t.source("events")
+    control = events.select(
+        client, F.col("event_id").alias("docnum"), F.col("event_type").alias("mestyp"),
+        F.when(F.col("event_type") == "error", "51").otherwise("53").alias("status"),
+        F.col("ts").cast("date").alias("credat"),
+    )
+    texts = events.select(client, F.col("event_id").alias("docnum"), F.col("props").alias("statxt"))
+    return D.failed_messages(control, texts, "51", "2024-01-10")
+
+
+@query("open_cleared_split", twin("""SELECT koart, CASE WHEN augdt = '' THEN 'open' ELSE 'cleared' END AS state, count(*) AS items
+    FROM bseg GROUP BY 1, 2"""))
+def q14(t: Tables):
+    parts = [
+        df.groupBy("koart").agg(F.count(F.lit(1)).alias("items")).withColumn("state", F.lit(state))
+        for (_, state), df in D.split_by_clearing(t.raw("bseg")).items()
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+@query("flat_po_extract", twin("""SELECT k.ebeln, k.lifnr, k.bedat, p.ebelp, p.matnr, p.menge, p.netpr, p.netwr, m.maktx, v.name1
+    FROM ekko k JOIN ekpo p ON k.mandt = p.mandt AND k.ebeln = p.ebeln
+    LEFT JOIN (SELECT matnr, maktx FROM makt WHERE spras = 'P') m ON p.matnr = m.matnr LEFT JOIN lfa1 v ON k.lifnr = v.lifnr
+    WHERE k.mandt = '100' AND k.bukrs = 'BR01' AND k.bstyp = 'F' AND k.bedat BETWEEN '19970101' AND '19991231'
+    AND p.werks IN ('P001', 'P004', 'P007') AND coalesce(p.loekz, '') = ''"""))
+def q15(t: Tables):
+    return D.flat_po_extract(
+        t.raw("ekko"), t.raw("ekpo"), t.raw("makt"), t.raw("lfa1"), "BR01",
+        in_ranges("bedat", [SelectOption("I", "BT", "19970101", "19991231")]),
+        in_ranges("werks", [SelectOption("I", "EQ", w) for w in ("P001", "P004", "P007")]),
+    )
+
+
+@query("q_journal_slice", twin("""SELECT bukrs, gjahr, belnr, budat, blart, buzei, saknr, amount FROM acdoca WHERE bukrs = 'BR01'
+    AND gjahr = '1998' AND budat BETWEEN '19980301' AND '19980930' AND blart IN ('RE', 'WE')"""))
+def q16(t: Tables):
+    return D.journal_slice(_journal(t), "BR01", "1998", "19980301", "19980930", ["RE", "WE"]).select(
+        "bukrs", "gjahr", "belnr", "budat", "blart", "buzei", "saknr", "amount"
+    )
+
+
+@query("q_journal_balance", twin("""SELECT CAST(sum(amount) AS DECIMAL(27,2)) AS balance FROM acdoca WHERE bukrs = 'BR01'
+    AND gjahr = '1998' AND saknr = '0000000007'"""))
+def q17(t: Tables):
+    return D.journal_balance(_journal(t), "BR01", "1998", "0000000007")
+
+
+@query("q_material_movements", twin("""SELECT mblnr, zeile, budat, bwart, matnr, werks, lgort, menge, meins, dmbtr FROM mseg
+    WHERE mandt = '100' AND werks = 'P010' AND bwart = '101' AND budat BETWEEN '19970101' AND '19971231'"""))
+def q18(t: Tables):
+    return D.material_movements(t.raw("mseg"), "P010", "101", "19970101", "19971231")
+
+
+@query("critical_stock", twin("""SELECT m.matnr, m.werks, m.lgort, m.labst AS estoque_disponivel, mc.minbe AS estoque_minimo,
+    CAST(round(m.labst / CAST(mc.minbe AS DOUBLE) * 100, 4) AS DECIMAL(17,4)) AS perc_do_minimo FROM mard m JOIN marc mc
+    ON m.matnr = mc.matnr AND m.werks = mc.werks WHERE m.werks = 'P001' AND mc.minbe > 0 AND m.labst / mc.minbe * 100 <= 60"""))
+def q19(t: Tables):
+    return D.critical_stock(t.raw("mard"), _planning(t), "P001", 60.0)
+
+
+@query("q_material_stock", twin("""SELECT m.matnr, m.matkl, t.maktx, p.werks, d.lgort, d.labst FROM mara m JOIN marc p ON m.matnr = p.matnr
+    JOIN makt t ON m.matnr = t.matnr AND t.spras = 'P' LEFT JOIN mard d ON p.matnr = d.matnr AND p.werks = d.werks
+    WHERE m.matkl = 'Brand#7'"""))
+def q20(t: Tables):
+    return D.material_stock(
+        t.raw("mara"), _planning(t), t.raw("makt"), t.raw("mard"), F.col("matkl") == "Brand#7"
+    )
+
+
+@query("q_material_valuation", twin("""SELECT m.matnr, v.verpr, v.stprs, v.vprsv FROM mara m JOIN mbew v ON m.matnr = v.matnr
+    AND v.bwkey = 'BR01'"""))
+def q21(t: Tables):
+    return D.material_valuation(t.raw("mara"), t.raw("mbew"), "BR01")
+
+
+@query("po_received_by_item", twin("""SELECT h.ebeln, h.lifnr, i.ebelp, i.matnr, i.menge AS qty_ordered,
+    CAST(sum(CASE WHEN e.vgabe = '1' THEN CAST(e.menge AS DECIMAL(17,3)) ELSE 0 END) AS DECIMAL(17,3)) AS qty_received,
+    CAST(sum(CASE WHEN e.vgabe = '2' THEN CAST(e.wrbtr AS DECIMAL(17,2)) ELSE 0 END) AS DECIMAL(17,2)) AS value_invoiced
+    FROM ekko h JOIN ekpo i ON h.ebeln = i.ebeln LEFT JOIN ekbe e ON i.ebeln = e.ebeln AND i.ebelp = e.ebelp
+    WHERE h.bsart = 'NB' AND (i.loekz IS NULL OR i.loekz = '') GROUP BY 1, 2, 3, 4, 5"""))
+def q22(t: Tables):
+    return D.po_received_by_item(t.raw("ekko"), t.raw("ekpo"), t.raw("ekbe"), "NB")
+
+
+@query("q_fi_with_account_text", twin("""SELECT h.belnr, h.budat, h.blart, i.buzei, i.saknr, i.dmbtr, i.shkzg, g.txt50 AS account_desc
+    FROM bkpf h JOIN bseg_full i ON h.bukrs = i.bukrs AND h.belnr = i.belnr AND h.gjahr = i.gjahr
+    LEFT JOIN ska1 g ON i.saknr = g.saknr WHERE h.bukrs = 'BR01' AND h.gjahr = '2000' AND i.koart = 'S'"""))
+def q23(t: Tables):
+    accounts = t.source("nation").filter(F.col("n_nationkey") < 15).select(
+        F.lpad(F.col("n_nationkey").cast("string"), 10, "0").alias("saknr"), F.col("n_name").alias("txt50")
+    )
+    return D.fi_with_account_text(t.raw("bkpf"), _bseg(t), accounts, "BR01", "2000", "S")
+
+
+@query("q_customer_sales_area", twin("""SELECT c.kunnr, c.name1, c.land1, s.vkorg, s.kdgrp, s.bzirk FROM kna1 c JOIN knvv s
+    ON c.kunnr = s.kunnr WHERE s.vkorg = 'BR01'"""))
+def q24(t: Tables):
+    return D.customer_sales_area(t.raw("kna1"), t.raw("knvv"), "BR01")
+
+
+@query("q_vendor_on_orders", twin("SELECT h.ebeln, h.bedat, v.lifnr, v.name1, v.land1 FROM ekko h JOIN lfa1 v ON h.lifnr = v.lifnr"))
+def q25(t: Tables):
+    return D.vendor_on_orders(t.raw("ekko"), t.raw("lfa1"))
+
+
+_PO_HEADER = "SELECT *, CAST(try_strptime(bedat, '%Y%m%d') AS DATE) AS po_date FROM ekko"
+
+
+@query("gold_po_fact", twin(f"""SELECT i.ebeln AS purchase_order, i.ebelp AS purchase_order_item, h.lifnr AS supplier_id,
+    s.name1 AS supplier_name, i.matnr AS material_id, m.maktx AS material_description, i.werks AS plant, h.ekorg AS purchasing_org,
+    h.po_date AS order_date, CAST(year(h.po_date) AS BIGINT) AS order_year, CAST(month(h.po_date) AS BIGINT) AS order_month,
+    CAST(i.menge AS DECIMAL(13,3)) AS quantity_ordered, i.meins AS unit_of_measure, CAST(i.netpr AS DECIMAL(11,2)) AS net_price,
+    CAST(i.netwr AS DECIMAL(13,2)) AS net_value, h.waers AS currency FROM ekpo i LEFT JOIN ({_PO_HEADER}) h ON i.ebeln = h.ebeln
+    LEFT JOIN lfa1 s ON h.lifnr = s.lifnr LEFT JOIN (SELECT * FROM makt WHERE spras = 'P') m ON i.matnr = m.matnr"""))
+def q26(t: Tables):
+    return L.gold_po_fact(
+        L.typed_item(t.raw("ekpo")), L.typed_header(t.raw("ekko")), t.raw("lfa1"),
+        t.raw("makt").filter(F.col("spras") == "P"),
+    )
