@@ -63,7 +63,7 @@ def latest_header(raw: DataFrame, version: str) -> DataFrame:
 def gold_po_fact(items: DataFrame, headers: DataFrame, suppliers: DataFrame, materials: DataFrame) -> DataFrame:
     """Item fact with header, supplier and material; items without partners stay."""
     return (
-        items.join(headers.select("ebeln", "lifnr", "ekorg", "bedat", "waers"), "ebeln", "left")
+        items.drop("waers").join(headers.select("ebeln", "lifnr", "ekorg", "bedat", "waers"), "ebeln", "left")
         .join(suppliers.select("lifnr", "name1"), "lifnr", "left")
         .join(materials.select("matnr", "maktx"), "matnr", "left")
         .select(

@@ -25,6 +25,11 @@ CTES.update({
 })
 
 
+def _own(table: str) -> str:
+    """Rows of the client: equal to joining on the client and filtering the first table."""
+    return f"(SELECT * FROM {table} WHERE mandt = '100')"
+
+
 def _bseg(t: Tables):
     keys = t.raw("bkpf").select("belnr", "bukrs", "gjahr")
     return t.raw("bseg").join(keys, "belnr")
@@ -76,25 +81,25 @@ def _mseg(t: Tables):
     return t.raw("mseg").drop("budat").join(t.raw("mkpf").select("mblnr", "mjahr"), "mblnr")
 
 
-@query("q_procure_to_pay_trace", twin("""SELECT po.ebeln AS nr_po, po.lifnr AS fornecedor, pi.matnr AS material,
+@query("q_procure_to_pay_trace", twin(f"""SELECT po.ebeln AS nr_po, po.lifnr AS fornecedor, pi.matnr AS material,
     pi.menge AS qtd_pedida, gr.menge AS qtd_recebida, gr.dmbtr AS valor_recebido, inv.belnr AS nr_fatura, inv.rmwwr AS valor_fatura
-    FROM ekko po JOIN ekpo pi ON po.mandt = pi.mandt AND po.ebeln = pi.ebeln
-    LEFT JOIN mseg gr ON gr.mandt = pi.mandt AND gr.ebeln = pi.ebeln AND gr.ebelp = pi.ebelp AND gr.bwart = '101'
-    LEFT JOIN rseg ri ON ri.mandt = pi.mandt AND ri.ebeln = pi.ebeln AND ri.ebelp = pi.ebelp
-    LEFT JOIN rbkp inv ON inv.mandt = ri.mandt AND inv.belnr = ri.belnr AND inv.gjahr = ri.gjahr
-    WHERE po.mandt = '100' AND po.bedat >= '20000101'"""))
+    FROM {_own("ekko")} po JOIN {_own("ekpo")} pi ON po.ebeln = pi.ebeln
+    LEFT JOIN {_own("mseg")} gr ON gr.ebeln = pi.ebeln AND gr.ebelp = pi.ebelp AND gr.bwart = '101'
+    LEFT JOIN {_own("rseg")} ri ON ri.ebeln = pi.ebeln AND ri.ebelp = pi.ebelp
+    LEFT JOIN {_own("rbkp")} inv ON inv.belnr = ri.belnr AND inv.gjahr = ri.gjahr
+    WHERE po.bedat >= '20000101'"""))
 def q4(t: Tables):
     return D.procure_to_pay_trace(
         t.raw("ekko"), t.raw("ekpo"), t.raw("mseg"), _rseg(t), t.raw("rbkp"), "20000101"
     )
 
 
-@query("q_order_to_billing_trace", twin("""SELECT so.vbeln AS nr_so, so.kunnr AS cliente, si.matnr AS material,
+@query("q_order_to_billing_trace", twin(f"""SELECT so.vbeln AS nr_so, so.kunnr AS cliente, si.matnr AS material,
     si.kwmeng AS qtd_pedida, li.lfimg AS qtd_entregue, bi.vbeln AS nr_billing, bk.fkdat AS data_fatura, bk.netwr AS valor_faturado
-    FROM vbak so JOIN vbap si ON so.mandt = si.mandt AND so.vbeln = si.vbeln
-    JOIN lips li ON li.mandt = si.mandt AND li.vgbel = si.vbeln AND li.vgpos = si.posnr
-    JOIN likp lk ON lk.mandt = li.mandt AND lk.vbeln = li.vbeln JOIN vbrp bi ON bi.mandt = li.mandt AND bi.vgbel = li.vbeln
-    JOIN vbrk bk ON bk.mandt = bi.mandt AND bk.vbeln = bi.vbeln WHERE so.mandt = '100' AND so.audat >= '20010101'"""))
+    FROM {_own("vbak")} so JOIN {_own("vbap")} si ON so.vbeln = si.vbeln
+    JOIN {_own("lips")} li ON li.vgbel = si.vbeln AND li.vgpos = si.posnr
+    JOIN {_own("likp")} lk ON lk.vbeln = li.vbeln JOIN {_own("vbrp")} bi ON bi.vgbel = li.vbeln
+    JOIN {_own("vbrk")} bk ON bk.vbeln = bi.vbeln WHERE so.audat >= '20010101'"""))
 def q5(t: Tables):
     tables = {name: t.raw(name) for name in ("vbak", "vbap", "lips", "likp", "vbrp", "vbrk")}
     return D.order_to_billing_trace(**tables, since="20010101")
@@ -130,23 +135,23 @@ def q9(t: Tables):
     return D.fi_document_lines(t.raw("bkpf"), _bseg(t), "BR02", "1999")
 
 
-@query("q_production_cost", twin("""SELECT op.aufnr AS nr_ordem, op.matnr AS produto_acabado, op.werks AS planta, c.matnr AS componente,
+@query("q_production_cost", twin(f"""SELECT op.aufnr AS nr_ordem, op.matnr AS produto_acabado, op.werks AS planta, c.matnr AS componente,
     c.menge AS qtd_consumida, c.dmbtr AS valor_consumo, fi.belnr AS doc_fi, fi.budat AS data_lancamento
-    FROM afpo op JOIN mseg c ON c.mandt = op.mandt AND c.aufnr = op.aufnr AND c.bwart = '261'
-    JOIN mkpf mh ON mh.mandt = c.mandt AND mh.mblnr = c.mblnr
-    JOIN bkpf fi ON fi.mandt = mh.mandt AND fi.awkey = concat(mh.mblnr, mh.mjahr) AND fi.awtyp = 'MKPF'
-    WHERE op.mandt = '100' AND op.werks = 'P003' AND mh.budat BETWEEN '19960101' AND '19981231'"""))
+    FROM {_own("afpo")} op JOIN {_own("mseg")} c ON c.aufnr = op.aufnr AND c.bwart = '261'
+    JOIN {_own("mkpf")} mh ON mh.mblnr = c.mblnr
+    JOIN {_own("bkpf")} fi ON fi.awkey = concat(mh.mblnr, mh.mjahr) AND fi.awtyp = 'MKPF'
+    WHERE op.werks = 'P003' AND mh.budat BETWEEN '19960101' AND '19981231'"""))
 def q10(t: Tables):
     return D.production_cost(t.raw("afpo"), _mseg(t), t.raw("mkpf"), t.raw("bkpf"), "19960101", "19981231", "P003")
 
 
-@query("q_order_profitability", twin("""SELECT so.vbeln AS nr_so, so.kunnr AS cliente, si.matnr AS material, si.kwmeng AS qtd_pedida,
+@query("q_order_profitability", twin(f"""SELECT so.vbeln AS nr_so, so.kunnr AS cliente, si.matnr AS material, si.kwmeng AS qtd_pedida,
     bk.netwr AS receita_bruta, bk.fkdat AS data_faturamento, abs(c.dmbtr) AS custo_mercadoria
-    FROM vbak so JOIN vbap si ON so.mandt = si.mandt AND so.vbeln = si.vbeln
-    JOIN vbrp bi ON bi.mandt = si.mandt AND bi.aubel = si.vbeln AND bi.aupos = si.posnr
-    JOIN vbrk bk ON bk.mandt = bi.mandt AND bk.vbeln = bi.vbeln
-    JOIN mseg c ON c.mandt = si.mandt AND c.vbeln = bk.vbeln AND c.bwart = '601'
-    WHERE so.mandt = '100' AND bk.fkdat >= '20000101'"""))
+    FROM {_own("vbak")} so JOIN {_own("vbap")} si ON so.vbeln = si.vbeln
+    JOIN {_own("vbrp")} bi ON bi.aubel = si.vbeln AND bi.aupos = si.posnr
+    JOIN {_own("vbrk")} bk ON bk.vbeln = bi.vbeln
+    JOIN {_own("mseg")} c ON c.vbeln = bk.vbeln AND c.bwart = '601'
+    WHERE bk.fkdat >= '20000101'"""))
 def q11(t: Tables):
     tables = {name: t.raw(name) for name in ("vbak", "vbap", "vbrp", "vbrk", "mseg")}
     return D.order_profitability(**tables, since="20000101")
