@@ -15,6 +15,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from erpweave.sources.tables import read_table
+
 # Client of a document row: every tenth document belongs to another client.
 _CLIENT = "CASE WHEN {k} % 10 = 9 THEN '200' ELSE '100' END AS mandt"
 _ORDER_CLIENT = _CLIENT.format(k="o_orderkey")
@@ -320,7 +322,11 @@ def select_list(table: str) -> list[str]:
     return [_EACH.sub(r"explode(array(\1))", text) for text in BRONZE[table][1]]
 
 
+def shape(source: DataFrame, table: str) -> DataFrame:
+    """The ERP-shaped bronze table over its source frame."""
+    return source.selectExpr(*select_list(table))
+
+
 def bronze(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One ERP-shaped bronze table over the given star-schema folder."""
-    source = BRONZE[table][0]
-    return spark.read.parquet(f"{sf_dir}/{source}.parquet").selectExpr(*select_list(table))
+    return shape(read_table(spark, f"{sf_dir}/{BRONZE[table][0]}.parquet"), table)

@@ -17,6 +17,19 @@ MANAGER, ASSISTANT, SHIP_TO = "ZG", "ZA", "WE"
 HEADER_ITEM = "000000"
 TRANSPORT_DOC = "J"
 
+# Columns of the report in order.
+REPORT_COLUMNS = (
+    "nr_ordem nr_linha_ordem emissor_ordem receb_mercadoria receb_nome_fantasia ot nome_destinatario "
+    "municipio_destinatario uf_destinatario centro_origem deposito_remessa deposito_venda itiner_ov transportadora "
+    "data_emissao_nf data_faturamento dt_desej_entrega gc assistente_vendas linha familia grade item "
+    "classificacao_produto quantidade_nf unidade_medida tp_carga_email obs_ov tipo_ordem condicao_entrega "
+    "condicao_expedicao primeira_data primeira_data_desejada dt_referencia_template"
+).split()
+# Columns whose sources exist in no table here.
+EMPTY_COLUMNS = {
+    "tp_carga_email": "string", "obs_ov": "string", "primeira_data_desejada": "date", "dt_referencia_template": "date",
+}
+
 
 def _report_date(column: str):
     return sap_date(column, open_end="null")
@@ -35,14 +48,19 @@ def open_orders_report(
     def raw(name: str) -> DataFrame:
         return tenant_filter(table(name), client)
 
-    header = raw("vbak").select("vbeln", "kunnr", "auart", "vsbed", F.col("vdatu").alias("h_vdatu"))
+    # Values are converted on their own table, before joins repeat its rows.
+    header = raw("vbak").select(
+        "vbeln", "kunnr", "vsbed", F.col("auart").alias("tipo_ordem"), _report_date("vdatu").alias("dt_desej_entrega")
+    )
     item = raw("vbap").filter(F.col("fkrel").isNull() | (F.col("fkrel") != " ")).select(
-        "vbeln", "posnr", "werks", "matnr", "vrkme", "matkl", F.col("lgort").alias("item_lgort"), "route"
+        "vbeln", "posnr", "matnr", F.col("werks").alias("centro_origem"), F.col("lgort").alias("deposito_venda"),
+        F.col("route").alias("itiner_ov"), strip_leading_zeros("matnr").alias("item"),
+        F.col("matkl").alias("classificacao_produto"), F.col("vrkme").alias("unidade_medida"),
     )
     base = item.join(header, "vbeln")
 
-    # ---- header-level extras -------------------------------------------------
-    terms = raw("vbkd").filter(F.col("posnr") == HEADER_ITEM).select("vbeln", "inco1")
+    # ---- order header and masters ---------------------------------------------
+    terms = raw("vbkd").filter(F.col("posnr") == HEADER_ITEM).select("vbeln", F.col("inco1").alias("condicao_entrega"))
     partners = raw("vbpa").select("vbeln", "parvw", "kunnr", "pernr")
     staff = raw("pa0001").filter(F.col("pernr") != "").select("pernr", "ename").distinct()
 
@@ -51,119 +69,98 @@ def open_orders_report(
         return named.join(staff, "pernr", "left").select("vbeln", F.col("ename").alias(name))
 
     customers = raw("kna1").select("kunnr", "name1", "ort01", "regio")
-    ship_to = partners.filter(F.col("parvw") == SHIP_TO).select("vbeln", F.col("kunnr").alias("we_kunnr"))
-    ship_to = ship_to.join(
-        customers.select(
-            F.col("kunnr").alias("we_kunnr"), F.col("name1").alias("we_name1"), F.col("ort01").alias("we_ort01"),
-            F.col("regio").alias("we_regio"),
-        ),
-        "we_kunnr", "left",
+    sold_to = customers.withColumnsRenamed({"name1": "ag_name1", "ort01": "ag_ort01", "regio": "ag_regio"})
+    ship_to = (
+        partners.filter(F.col("parvw") == SHIP_TO).select("vbeln", F.col("kunnr").alias("we_kunnr"))
+        .join(
+            customers.withColumnsRenamed(
+                {"kunnr": "we_kunnr", "name1": "we_name1", "ort01": "we_ort01", "regio": "we_regio"}
+            ),
+            "we_kunnr", "left",
+        )
     )
     conditions = raw("tvsbt").filter((F.col("spras") == language) & (F.col("vsbed") != "")).select(
-        "vsbed", "vtext"
+        "vsbed", F.col("vtext").alias("condicao_expedicao")
     )
-    sold_to = customers.select(
-        "kunnr", F.col("name1").alias("ag_name1"), F.col("ort01").alias("ag_ort01"), F.col("regio").alias("ag_regio")
+    material = raw("mara").select(
+        "matnr", F.col("bismt").alias("grade"), hierarchy_level("prdha", 1).alias("linha"),
+        hierarchy_level("prdha", 2).alias("familia"),
     )
-
-    # ---- item-level extras ---------------------------------------------------
-    schedule = first_per_key(raw("vbep").select("vbeln", "posnr", "etenr", "edatu"), ["vbeln", "posnr"], ["etenr"])
-    material = raw("mara").select("matnr", "bismt", "prdha")
+    schedule = first_per_key(
+        raw("vbep").select("vbeln", "posnr", "etenr", "edatu"), ["vbeln", "posnr"], ["etenr"]
+    ).select("vbeln", "posnr", _report_date("edatu").alias("primeira_data"))
 
     # ---- delivery, transport -------------------------------------------------
     delivery = raw("lips").select(
         F.col("vbeln").alias("d_vbeln"), F.col("posnr").alias("d_posnr"), F.col("vgbel").alias("vbeln"),
-        F.col("vgpos").alias("posnr"), F.col("lgort").alias("d_lgort"),
+        F.col("vgpos").alias("posnr"), F.col("lgort").alias("deposito_remessa"),
     )
     # A transport or shipment counts only for deliveries that have a header.
     shipped = raw("likp").select("vbeln")
     transport = (
         reduce_to_keys(raw("vttp").select("vbeln", "tknum"), shipped, {"vbeln": "vbeln"})
         .join(raw("vttk").select("tknum", F.col("tdlnr").alias("lifnr")), "tknum", "left")
-        .join(raw("lfa1").select("lifnr", F.col("name1").alias("carrier")), "lifnr", "left")
-        .select(F.col("vbeln").alias("d_vbeln"), "carrier")
+        .join(raw("lfa1").select("lifnr", F.col("name1").alias("transportadora")), "lifnr", "left")
+        .select(F.col("vbeln").alias("d_vbeln"), "transportadora")
     )
     shipment = (
         raw("oigsi").filter(F.col("doc_typ") == TRANSPORT_DOC)
-        .select(F.col("doc_number").alias("d_vbeln"), "shnumber")
+        .select(F.col("doc_number").alias("d_vbeln"), F.col("shnumber").alias("ot"))
     )
     # Header copies multiply the shipments, as the chain through the delivery header does.
-    header_rows = shipped.select(F.col("vbeln").alias("d_vbeln"))
-    shipment = header_rows.join(shipment, "d_vbeln", "left")
+    shipment = shipped.select(F.col("vbeln").alias("d_vbeln")).join(shipment, "d_vbeln", "left")
 
     # ---- billing, fiscal note ------------------------------------------------
-    invoice_item = reduce_to_keys(
+    billed = reduce_to_keys(
         raw("vbrp").select("vbeln", "vgbel", "vgpos", "aubel", "aupos"),
         base.select("vbeln", "posnr"),
         {"aubel": "vbeln", "aupos": "posnr"},
+    ).select(F.col("vgbel").alias("d_vbeln"), F.col("vgpos").alias("d_posnr"), F.col("vbeln").alias("i_vbeln"))
+    invoice = raw("vbrk").filter(is_blank("sfakn") & not_flag("fksto")).select(
+        "vbeln", _report_date("fkdat").alias("data_faturamento")
     )
-    invoice = raw("vbrk").filter(is_blank("sfakn") & not_flag("fksto")).select("vbeln", "fkdat")
-    note = raw("j_1bnfdoc").select("docnum", "docdat", F.col("refkey").alias("vbeln"))
-    line = raw("j_1bnflin").select("docnum", "nfqtd")
-    # The chain behind an invoice number is built once and joined to the items at the end.
-    billed = (
-        invoice_item.select(
-            F.col("vgbel").alias("d_vbeln"), F.col("vgpos").alias("d_posnr"), F.col("vbeln").alias("i_vbeln")
-        )
+    note = raw("j_1bnfdoc").select(
+        "docnum", F.col("refkey").alias("vbeln"), _report_date("docdat").alias("data_emissao_nf")
     )
+    line = raw("j_1bnflin").select("docnum", quantity("nfqtd").alias("quantidade_nf"))
+    # The chain behind an invoice number is built once and joined to the items at the end.
     noted = (
         invoice.join(note, "vbeln", "left").join(line, "docnum", "left")
-        .select(F.col("vbeln").alias("i_vbeln"), "fkdat", "docdat", "nfqtd")
+        .select(F.col("vbeln").alias("i_vbeln"), "data_faturamento", "data_emissao_nf", "quantidade_nf")
     )
 
-    joined = (
-        base.join(terms, "vbeln", "left")
+    # Masters first, while there is one row per item; what repeats rows comes last.
+    name = F.coalesce("we_name1", "ag_name1")
+    ordered = (
+        base.join(sold_to, "kunnr", "left")
+        .join(material, "matnr", "left")
+        .join(conditions, "vsbed", "left")
+        .join(terms, "vbeln", "left")
         .join(ship_to, "vbeln", "left")
         .join(employee(MANAGER, "gc"), "vbeln", "left")
         .join(employee(ASSISTANT, "assistente_vendas"), "vbeln", "left")
-        .join(schedule, ["vbeln", "posnr"], "left")
+        .withColumns(
+            {
+                "receb_mercadoria": F.coalesce("we_kunnr", "kunnr"),
+                "receb_nome_fantasia": name,
+                "nome_destinatario": name,
+                "municipio_destinatario": F.coalesce("we_ort01", "ag_ort01"),
+                "uf_destinatario": F.coalesce("we_regio", "ag_regio"),
+            }
+        )
+    )
+    followed = (
+        ordered.join(schedule, ["vbeln", "posnr"], "left")
         .join(delivery, ["vbeln", "posnr"], "left")
         .join(billed, ["d_vbeln", "d_posnr"], "left")
         .join(transport, "d_vbeln", "left")
         .join(shipment, "d_vbeln", "left")
         .join(noted, "i_vbeln", "left")
-        .join(sold_to, "kunnr", "left")
-        .join(material, "matnr", "left")
-        .join(conditions, "vsbed", "left")
-    )
-    name = F.coalesce("we_name1", "ag_name1")
-    nothing = F.lit(None)
-    report = joined.select(
-        F.col("vbeln").alias("nr_ordem"),
-        F.col("posnr").alias("nr_linha_ordem"),
-        F.col("kunnr").alias("emissor_ordem"),
-        F.coalesce("we_kunnr", "kunnr").alias("receb_mercadoria"),
-        name.alias("receb_nome_fantasia"),
-        F.col("shnumber").alias("ot"),
-        name.alias("nome_destinatario"),
-        F.coalesce("we_ort01", "ag_ort01").alias("municipio_destinatario"),
-        F.coalesce("we_regio", "ag_regio").alias("uf_destinatario"),
-        F.col("werks").alias("centro_origem"),
-        F.col("d_lgort").alias("deposito_remessa"),
-        F.col("item_lgort").alias("deposito_venda"),
-        F.col("route").alias("itiner_ov"),
-        F.col("carrier").alias("transportadora"),
-        _report_date("docdat").alias("data_emissao_nf"),
-        _report_date("fkdat").alias("data_faturamento"),
-        _report_date("h_vdatu").alias("dt_desej_entrega"),
-        "gc",
-        "assistente_vendas",
-        hierarchy_level("prdha", 1).alias("linha"),
-        hierarchy_level("prdha", 2).alias("familia"),
-        F.col("bismt").alias("grade"),
-        strip_leading_zeros("matnr").alias("item"),
-        F.col("matkl").alias("classificacao_produto"),
-        quantity("nfqtd").alias("quantidade_nf"),
-        F.col("vrkme").alias("unidade_medida"),
-        nothing.cast("string").alias("tp_carga_email"),
-        nothing.cast("string").alias("obs_ov"),
-        F.col("auart").alias("tipo_ordem"),
-        F.col("inco1").alias("condicao_entrega"),
-        F.col("vtext").alias("condicao_expedicao"),
-        _report_date("edatu").alias("primeira_data"),
-        nothing.cast("date").alias("primeira_data_desejada"),
-        nothing.cast("date").alias("dt_referencia_template"),
     )
+    renamed = {"vbeln": "nr_ordem", "posnr": "nr_linha_ordem", "kunnr": "emissor_ordem"}
+    report = followed.withColumnsRenamed(renamed).withColumns(
+        {column: F.lit(None).cast(kind) for column, kind in EMPTY_COLUMNS.items()}
+    ).select(*REPORT_COLUMNS)
     if one_row_per_item:
         return first_per_key(report, ["nr_ordem", "nr_linha_ordem"], [])
     return report

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import importlib
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from erpweave import crosswalk
 from erpweave.plans import domain
 from erpweave.plans.silver import silver_table
+from erpweave.sources.tables import read_table
 
 
 @dataclass(frozen=True)
@@ -19,12 +20,19 @@ class Tables:
 
     spark: SparkSession
     folder: str
+    # Frames by name: a table is listed and its schema read once per query.
+    _frames: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = read_table(self.spark, f"{self.folder}/{name}.parquet")
+        return self._frames[name]
 
     def raw(self, name: str) -> DataFrame:
-        return crosswalk.bronze(self.spark, self.folder, name)
+        key = f"raw.{name}"
+        if key not in self._frames:
+            self._frames[key] = crosswalk.shape(self.source(crosswalk.BRONZE[name][0]), name)
+        return self._frames[key]
 
     def silver(self, name: str) -> DataFrame:
         return silver_table(self.raw(name), name)

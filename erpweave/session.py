@@ -28,8 +28,14 @@ def build_session(app: str = "erpweave", cpus: int | None = None, **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Parquet expands several times in memory: estimate by that, or sides that are small
+        # on disk only get broadcast.
+        .config("spark.sql.sources.fileCompressionFactor", "3.0")
+        # Hash instead of sort a join whose measured partitions all fit this size.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

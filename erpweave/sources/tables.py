@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from erpweave.session import plan_bytes
+
 
 @dataclass(frozen=True)
 class Namespace:
@@ -26,6 +28,22 @@ class Namespace:
         return cls(**settings[target])
 
 
+# A table between these sizes is usually one or two row groups, which is one or two tasks.
+SPREAD_FROM_BYTES, SPREAD_TO_BYTES = 4 * 1024 * 1024, 128 * 1024 * 1024
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet table; a small one that would load in one task is spread over the cores.
+
+    Filters and column selection still reach the scan. Above the upper size (one scan split)
+    tables bring enough splits of their own and are never shuffled here.
+    """
+    df = spark.read.parquet(path)
+    if SPREAD_FROM_BYTES <= plan_bytes(df) < SPREAD_TO_BYTES:
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
+
+
 def bronze_append(df: DataFrame, path: str, table: str, partition_date: str, source_system: str) -> None:
     """Append with lineage columns, one partition per load date."""
     (
