@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from erpweave.operators.dedupe import first_per_key, latest_per_key
+from erpweave.session import materialize
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
@@ -138,6 +139,14 @@ class VersionedTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/v={self.current()}")
 
+    def vacuum(self, keep: int = 2) -> None:
+        """Drop all but the newest committed versions; readers of older ones must be done."""
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
+        versions = sorted((int(n[2:]) for n in names if n.startswith("v=")), reverse=True)
+        committed = [v for v in versions if self._fs.exists(self._path(f"{self.path}/v={v}/_SUCCESS"))]
+        for v in committed[max(keep, 1):]:
+            self._fs.delete(self._path(f"{self.path}/v={v}"), True)
+
     def write(self, df: DataFrame, version: int | None = None, partition_by: Sequence[str] = ()) -> int:
         if version is None:
             current = self.current()
@@ -196,10 +205,15 @@ class BucketedTable:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path)
 
-    def merge(self, source: DataFrame, order: str | None = None) -> None:
-        from erpweave.session import materialize
+    def _exists(self) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_SUCCESS")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
+    def merge(self, source: DataFrame, order: str | None = None) -> None:
         changes = latest_per_key(source, self.keys, order) if order else first_per_key(source, self.keys, [])
+        if not self._exists():
+            self.create(changes)
+            return
         # Written once: it selects the buckets, removes old rows and supplies new ones.
         changes = materialize(self._with_bucket(changes), "merge-changes")
         touched = changes.select(self.BUCKET).distinct()

@@ -370,23 +370,15 @@ BRONZE_NAMES = tuple(n for n in (
     f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in BRONZE_NAMES)))
 def bronze_all(t: Tables):
     base = work_folder(t.spark, "bronze-all")
-    running, opened = [], {}
+    known = {}
     for name in BRONZE_NAMES:
         raw = t.raw(name)
         _land_json(raw, f"{base}/landing/{name}")
-        opened[name] = ingest.json_stream(t.spark, f"{base}/landing/{name}", raw.schema)
-    # One query per table, running side by side.
-    for name, stream in opened.items():
-        running.append(
-            stream.writeStream.format("parquet").option("checkpointLocation", f"{base}/cp/{name}")
-            .trigger(availableNow=True).start(f"{base}/bronze/{name}")
-        )
-    for one in running:
-        one.awaitTermination()
+        known[name] = raw.schema
+    bronze = ingest.ingest_tables(t.spark, f"{base}/landing", f"{base}/bronze", f"{base}/cp", known)
     counts = [
-        t.spark.read.schema(opened[n].schema).parquet(f"{base}/bronze/{n}")
-        .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
-        for n in BRONZE_NAMES
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        for name, df in bronze.items()
     ]
     result = counts[0]
     for one in counts[1:]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -64,3 +66,34 @@ def ingest_table(
     stream = json_stream(spark, f"{landing}/{table}", schema)
     run_available(stream, f"{bronze}/{table}", f"{checkpoints}/{table}")
     return spark.read.schema(stream.schema).parquet(f"{bronze}/{table}")
+
+
+def append_tables(
+    streams: Mapping[str, DataFrame], target: str, checkpoints: str, at_once: int = 8
+) -> dict[str, DataFrame]:
+    """Append what is available of many streams, ``at_once`` of them side by side.
+
+    Returns the accumulated tables. Each table has its own checkpoint, so one that fails
+    raises here and is resumed by the next run without touching the others.
+    """
+    names = list(streams)
+    for start in range(0, len(names), at_once):
+        running = [
+            streams[name].writeStream.format("parquet").option("checkpointLocation", f"{checkpoints}/{name}")
+            .trigger(availableNow=True).start(f"{target}/{name}")
+            for name in names[start:start + at_once]
+        ]
+        for query in running:
+            query.awaitTermination()
+    return {
+        name: stream.sparkSession.read.schema(stream.schema).parquet(f"{target}/{name}")
+        for name, stream in streams.items()
+    }
+
+
+def ingest_tables(
+    spark: SparkSession, landing: str, bronze: str, checkpoints: str, schemas: Mapping[str, StructType]
+) -> dict[str, DataFrame]:
+    """One bronze refresh of every table that has a schema, rescued data included."""
+    streams = {name: json_stream_with_rescue(spark, f"{landing}/{name}", schema) for name, schema in schemas.items()}
+    return append_tables(streams, bronze, checkpoints)

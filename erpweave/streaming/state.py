@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from erpweave.operators.maintenance import VersionedTable
+from erpweave.operators.maintenance import BucketedTable, VersionedTable
 
 
 def dedupe_stream(
@@ -23,12 +23,19 @@ def dedupe_stream(
 
 
 def upsert_stream(
-    stream: DataFrame, table: VersionedTable, keys: Sequence[str], order: str, checkpoint: str
+    stream: DataFrame, table: VersionedTable | BucketedTable, keys: Sequence[str], order: str, checkpoint: str
 ) -> None:
-    """Merge every micro-batch into the table; a retried batch rebuilds the same version."""
+    """Merge every micro-batch into the table.
+
+    A versioned table writes one version per batch number, a bucketed one rewrites the
+    buckets the batch touches. Either way a retried batch ends in the same rows.
+    """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table.merge(batch, keys, order, version=batch_id)
+        if isinstance(table, BucketedTable):
+            table.merge(batch, order)
+        else:
+            table.merge(batch, keys, order, version=batch_id)
 
     query = (
         stream.writeStream.foreachBatch(merge)
