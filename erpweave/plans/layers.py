@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from erpweave.operators.maintenance import VersionedTable
 from erpweave.plans import domain, gold
 from erpweave.plans.report import open_orders_report
 from erpweave.plans.silver import SILVER, silver_table
@@ -66,8 +67,9 @@ def refresh(
 ) -> dict[str, DataFrame]:
     """Bring every layer up to date with the landed files.
 
-    Raw and typed tables read only new files; facts and key figures are rebuilt and
-    written, each layer from the stored one below it. Returns the key figures.
+    Raw and typed tables read only new files; facts and key figures are rebuilt, each layer
+    from the stored one below it, as a new version beside the one readers may have open.
+    Returns the key figures.
     """
     bronze = ingest_tables(spark, landing, f"{store}/bronze", f"{store}/checkpoints/bronze", schemas)
     silver = silver_layer(spark, bronze, store, client)
@@ -75,8 +77,10 @@ def refresh(
     def stored(layer: str, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         written = {}
         for name, df in frames.items():
-            df.write.mode("overwrite").parquet(f"{store}/{layer}/{name}")
-            written[name] = spark.read.schema(df.schema).parquet(f"{store}/{layer}/{name}")
+            table = VersionedTable(spark, f"{store}/{layer}/{name}")
+            version = table.write(df)
+            table.vacuum(keep=2)
+            written[name] = spark.read.schema(df.schema).parquet(f"{table.path}/v={version}")
         return written
 
     facts = stored("domain", domain_layer(silver))
