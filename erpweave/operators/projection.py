@@ -69,3 +69,8 @@ def domain_texts(sources: Iterable[tuple[DataFrame, Mapping[str, str], str | Non
     for frame in frames[1:]:
         result = result.unionByName(frame)
     return result
+
+
+def with_processing_time(df: DataFrame) -> DataFrame:
+    """Add the time a table was computed."""
+    return df.withColumn("_processed_time", F.current_timestamp())

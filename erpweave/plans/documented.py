@@ -264,6 +264,21 @@ def critical_stock(stock: DataFrame, planning: DataFrame, plant: str, percent: f
     )
 
 
+def register_critical_stock(stock: DataFrame, planning: DataFrame, name: str = "critical_stock") -> str:
+    """Publish ``name(plant, percent)`` as a SQL table function over two frames."""
+    spark = stock.sparkSession
+    stock.createOrReplaceTempView(f"{name}_stock")
+    planning.createOrReplaceTempView(f"{name}_planning")
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(plant STRING, percent DOUBLE)
+        RETURNS TABLE (matnr STRING, lgort STRING, estoque_disponivel DOUBLE, estoque_minimo DECIMAL(17,3))
+        RETURN SELECT s.matnr, s.lgort, s.labst, p.minbe
+               FROM {name}_stock s JOIN {name}_planning p ON s.matnr = p.matnr AND s.werks = p.werks
+               WHERE s.werks = {name}.plant AND p.minbe > 0 AND s.labst * 100 <= p.minbe * {name}.percent
+    """)
+    return name
+
+
 def material_stock(
     mara: DataFrame, marc: DataFrame, makt: DataFrame, mard: DataFrame, material_type: Column, language: str = "P"
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from erpweave.operators.maintenance import VersionedTable
+from erpweave.operators.projection import with_processing_time
 from erpweave.plans import domain, gold
 from erpweave.plans.report import open_orders_report
 from erpweave.plans.silver import SILVER, silver_table
@@ -84,4 +85,5 @@ def refresh(
         return written
 
     facts = stored("domain", domain_layer(silver))
-    return stored("gold", gold_layer(facts, bronze.__getitem__, client))
+    figures = gold_layer(facts, bronze.__getitem__, client)
+    return stored("gold", {name: with_processing_time(df) for name, df in figures.items()})

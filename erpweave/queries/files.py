@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from erpweave import crosswalk
+from erpweave.operators.dedupe import first_per_key
 from erpweave.operators.maintenance import VersionedTable
 from erpweave.operators.quality import Rule, expect
 from erpweave.plans import purchasing_lakehouse as L
@@ -318,18 +319,22 @@ def stream_upsert(t: Tables):
     return table.read()
 
 
-@query("procure_to_pay_layers", twin("""WITH h AS (SELECT DISTINCT ebeln, lifnr, ekorg, bukrs, CAST(try_strptime(bedat, '%Y%m%d') AS DATE) AS bedat, waers FROM ekko
+@query("procure_to_pay_layers", twin("""WITH i AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ebeln, ebelp ORDER BY menge, netpr, netwr, elikz NULLS FIRST) AS rn
+    FROM ekpo) WHERE rn = 1), h AS (SELECT DISTINCT ebeln, lifnr, ekorg, bukrs, CAST(try_strptime(bedat, '%Y%m%d') AS DATE) AS bedat, waers FROM ekko
     WHERE ebeln IS NOT NULL AND bedat >= '20000101')
     SELECT i.ebeln AS purchase_order, i.ebelp AS line_item, h.lifnr AS supplier_id, h.ekorg AS purchasing_org, h.bukrs AS company_code,
     i.matnr AS material_id, i.werks AS plant, h.bedat AS order_date, CAST(year(h.bedat) AS BIGINT) AS order_year,
     CAST(month(h.bedat) AS BIGINT) AS order_month, CAST(i.menge AS DECIMAL(13,3)) AS quantity, i.meins AS uom,
     CAST(i.netpr AS DECIMAL(11,2)) AS unit_price, CAST(i.netwr AS DECIMAL(13,2)) AS net_value, h.waers AS currency
-    FROM ekpo i LEFT JOIN h ON i.ebeln = h.ebeln"""))
+    FROM i LEFT JOIN h ON i.ebeln = h.ebeln"""))
 def p2p(t: Tables):
     base = work_folder(t.spark, "p2p")
 
     def layer(name: str, silver, keys: list[str]) -> DataFrame:
-        t.raw(name).write.parquet(f"{base}/landing/{name}")
+        # Every row lands twice: the stream must keep one of each key.
+        once = first_per_key(t.raw(name), keys, [])
+        for _ in range(2):
+            once.write.mode("append").parquet(f"{base}/landing/{name}")
         landed = t.spark.read.parquet(f"{base}/landing/{name}").schema
         stream = ingest.parquet_stream(t.spark, f"{base}/landing/{name}", landed, "ERP").drop("_ingestion_ts", "_source")
         typed = state.dedupe_stream(silver(stream), keys)

@@ -16,10 +16,10 @@ def _orders(t: Tables):
 
 
 @query("join_header_item", """SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, o_custkey, o_orderstatus
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'P'""")
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def header_item(t: Tables):
     items = t.source("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    headers = _orders(t).filter(F.col("o_orderstatus") == "P").select("l_orderkey", "o_custkey", "o_orderstatus")
+    headers = _orders(t).select("l_orderkey", "o_custkey", "o_orderstatus")
     return J.header_items(items, headers, ["l_orderkey"])
 
 

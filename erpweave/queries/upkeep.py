@@ -99,18 +99,22 @@ def additive(t: Tables):
     )
 
 
-_OLD = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 10 <> 3"
-_NEW = """SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 1 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
-    CASE WHEN o_orderkey % 5 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 10 <> 8"""
+# Two states of the order table: urgent orders are new, low ones are gone, processing ones
+# were finished and high ones repriced.
+_OLD = "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority <> '1-URGENT'"
+_NEW = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+    CASE WHEN o_orderpriority = '2-HIGH' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+    FROM orders WHERE o_orderpriority <> '5-LOW'"""
 
 
 def _snapshots(t: Tables):
-    rows = t.source("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    new = rows.filter(F.col("o_orderkey") % 10 != 8).withColumns({
-        "o_orderstatus": F.when(F.col("o_orderkey") % 7 == 1, "X").otherwise(F.col("o_orderstatus")),
-        "o_totalprice": F.when(F.col("o_orderkey") % 5 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
+    priority = F.col("o_orderpriority")
+    rows = t.source("orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    new = rows.filter(priority != "5-LOW").withColumns({
+        "o_orderstatus": F.when(F.col("o_orderstatus") == "P", "F").otherwise(F.col("o_orderstatus")),
+        "o_totalprice": F.when(priority == "2-HIGH", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")),
     })
-    return rows.filter(F.col("o_orderkey") % 10 != 3), new
+    return rows.filter(priority != "1-URGENT").drop("o_orderpriority"), new.drop("o_orderpriority")
 
 
 @query("snapshot_change_feed", f"""WITH o AS ({_OLD}), n AS ({_NEW}),
