@@ -101,14 +101,9 @@ def skew_safe_join(
         raise ValueError("skew_safe_join supports inner and left joins")
     keys = list(keys)
     counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.agg(F.count(F.lit(1)).alias("_total"))
-    # The one-row total joins on a constant column, which keeps this an equi-join.
-    hot = (
-        counts.withColumn("_one", F.lit(1))
-        .join(F.broadcast(total.withColumn("_one", F.lit(1))), "_one")
-        .filter(F.col("_n") > F.col("_total") * share)
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+    # The threshold is a scalar subquery: one value, no join.
+    threshold = left.agg(F.count(F.lit(1)) * share).scalar()
+    hot = counts.filter(F.col("_n") > threshold).select(*keys, F.lit(True).alias("_hot"))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     spread = (
         left.join(F.broadcast(hot), keys, "left")

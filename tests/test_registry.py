@@ -45,6 +45,7 @@ def test_semi_and_anti_joins(spark, folder):
 
 
 def test_filters_and_columns_reach_the_scan(spark, folder):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     plan = _plan(spark, folder, "predicate_range_list")
     assert "GreaterThanOrEqual(o_totalprice,100000.0)" in plan
     assert "GreaterThanOrEqual(o_orderdate" in plan
