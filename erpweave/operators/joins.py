@@ -213,6 +213,9 @@ def expand_items(
     # An item count above one page is rare; the page count joins on the document key, which
     # adaptive execution splits when one document is hot on the item side.
     paged = items.join(pages, keys).select(*keys, F.pmod(spread, F.col("_pages")).alias("page"), item.alias("_item"))
+    # Shuffle by page, not by document: grouped where the join left them, all pages of a
+    # hot document would be built in one task.
+    paged = paged.repartition(*keys, "page")
     nested = paged.groupBy(*keys, "page").agg(F.sort_array(F.collect_list("_item")).alias("items"))
     empty = F.array().cast(nested.schema["items"].dataType)
     return headers.join(nested, keys, "left").withColumns(

@@ -49,6 +49,17 @@ def fact_sales_order(vbap: DataFrame, vbak: DataFrame) -> DataFrame:
     return header_items(item, header, ["vbeln"])
 
 
+def order_values(vbap: DataFrame, vbak: DataFrame) -> DataFrame:
+    """Order value per order and currency, with the header attributes of the sales fact.
+
+    The items are summed before they meet the header: one row per order and currency is
+    shuffled, however many items an order has.
+    """
+    value = vbap.groupBy("vbeln", "currency").agg(F.sum("net_value").alias("item_net_value"))
+    header = vbak.select("vbeln", "kunnr", "order_date", "order_type", "sales_org", "overall_status")
+    return header_items(value, header, ["vbeln"])
+
+
 def fact_billing(vbrp: DataFrame, vbrk: DataFrame) -> DataFrame:
     """Items of invoices that are not cancelled."""
     header = vbrk.filter(~F.col("cancelled_flag")).select(

@@ -33,7 +33,10 @@ def revenue_by_customer_month(billing: DataFrame, customer: DataFrame) -> DataFr
 
 
 def order_to_cash(sales: DataFrame, delivery: DataFrame, billing: DataFrame) -> DataFrame:
-    """Per order: value, first goods issue, first billing and the days to each."""
+    """Per order: value, first goods issue, first billing and the days to each.
+
+    ``sales`` is the stored sales fact or, straight from typed tables, ``order_values``.
+    """
     orders = sales.groupBy("vbeln", "kunnr", "order_date", "order_type", "sales_org", "currency").agg(
         F.sum("item_net_value").cast("decimal(17,2)").alias("order_net_value"),
         # A header attribute: every row of an order has the same one, min makes it repeatable.

@@ -28,6 +28,8 @@ def build_session(app: str = "erpweave", cpus: int | None = None, **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split a hot join key even where that costs the following aggregation a shuffle.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         # Parquet expands several times in memory: estimate by that, or sides that are small
         # on disk only get broadcast.
         .config("spark.sql.sources.fileCompressionFactor", "3.0")

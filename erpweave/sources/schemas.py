@@ -67,7 +67,11 @@ class SchemaLog:
         return merged
 
 
-def read_evolving_json(spark: SparkSession, path: str, log: SchemaLog) -> DataFrame:
-    """Read all drops of a folder with the merged schema of every drop so far."""
-    schema = log.evolve(infer_json_schema(spark, path))
+def read_evolving_json(spark: SparkSession, path: str, log: SchemaLog, drop: str | None = None) -> DataFrame:
+    """Read all drops of a folder with the merged schema of every drop so far.
+
+    Only ``drop`` (a file or folder below ``path``) is scanned for new fields when given:
+    the log already knows the earlier ones.
+    """
+    schema = log.evolve(infer_json_schema(spark, drop or path))
     return spark.read.schema(schema).json(path)

@@ -47,11 +47,12 @@ def test_dedupe_across_runs_and_within_a_watermark(spark):
     for part, values in enumerate(([("a", "2024-01-01 00:00:00"), ("a", "2024-01-01 00:01:00")], [("a", "2024-01-01 00:02:00"), ("b", "2024-01-01 00:03:00")])):
         df = spark.createDataFrame(values, "k string, t string").select("k", F.to_timestamp("t").alias("ts"))
         df.write.mode("append").parquet(f"{base}/in")
-        for name, args in (("exact", ()), ("window", ("ts", "1 hour"))):
+        for name, args in (("exact", ()), ("window", ("ts", "1 hour")), ("pieces", (None, None, 4))):
             stream = spark.readStream.schema(schema).parquet(f"{base}/in")
             ingest.run_available(state.dedupe_stream(stream, ["k"], *args), f"{base}/{name}", f"{base}/cp-{name}")
     assert rows(spark.read.parquet(f"{base}/exact"), "k") == [("a",), ("b",)]
     assert rows(spark.read.parquet(f"{base}/window"), "k") == [("a",), ("b",)]
+    assert rows(spark.read.parquet(f"{base}/pieces"), "k") == [("a",), ("b",)]
 
 
 def test_upserts_into_both_table_kinds(spark):
