@@ -29,7 +29,7 @@ class Namespace:
 
 
 # A table between these sizes is usually one or two row groups, which is one or two tasks.
-SPREAD_FROM_BYTES, SPREAD_TO_BYTES = 4 * 1024 * 1024, 128 * 1024 * 1024
+SPREAD_FROM_BYTES, SPREAD_TO_BYTES = 10 * 1024 * 1024, 128 * 1024 * 1024
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
