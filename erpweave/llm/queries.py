@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erpweave.llm import fingerprints, mixing, quality_rules, url_rules
+from erpweave.llm import fingerprints, mixing, pii, quality_classifier, quality_rules, toxicity, url_rules
 from erpweave.session import materialize
 
 URL_RULES = (
@@ -21,6 +21,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_pii_skip_chain(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_pii(_table(spark, folder, "documents"))
+
+
 def op2_weighted_fair_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "source", "text")
     return mixing.schedule(docs, carry=["doc_id"]).select("_row.doc_id", "size", "source_size", "target", "taken")
@@ -33,6 +37,10 @@ def op3_weak_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_weak_label_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.classified(_table(spark, folder, "documents"))
+
+
 def op7_url_range_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return url_rules.judge(_table(spark, folder, "pages"), rules)
@@ -54,9 +62,16 @@ def op8_simhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_weighted_fair_mix, op3_weak_quality_rules, op7_url_range_rules, op8_simhash_fingerprints)
+    for f in (
+        op1_pii_skip_chain, op2_weighted_fair_mix, op3_weak_quality_rules, op5_weak_label_classifier, op7_url_range_rules,
+        op8_simhash_fingerprints, op9_toxicity_chain,
+    )
 }
 
 SQL = {}
