@@ -6,7 +6,8 @@ are out-of-fold predictions, so later models see them as they will be for new do
 
 Word features are the word and its stems of 5 to 7 letters, so inflected forms count, and the marks
 around it. The fit uses a bounded sample of labelled rows: class counts per feature choose the
-features whose presence speaks for a category, then the chain is trained on their presence.
+features whose presence speaks for a category; the chain is then trained on how many different
+words of the document have each.
 Scoring is one pass over whole texts, without a shuffle; the model is at most ``FEATURES`` weights
 per category.
 
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,8 @@ from erpweave.llm.worker import Cache, bounded_sample, bucket
 
 SAMPLE_ROWS = 20_000  # bound of the labelled fitting sample
 SPACE = 1 << 20
-FEATURES = 20_000
+FEATURES = 3_000
+SUPPORT = 0.01  # share of a category's documents that a feature must be in
 FOLDS = 5
 MARKS = b".,;:!?#*$%&|<>\"'()[]"
 
@@ -57,6 +60,13 @@ def _present(text: bytes | None) -> set[int]:
     return set().union(*map(_FEATURES.__getitem__, set(text.lower().split()))) if text else set()
 
 
+def _graded(look, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the chosen features in a text, and log2(1 + different words with the feature)."""
+    hits = list(chain.from_iterable(filter(None, map(look, set(text.lower().split()))))) if text else []
+    places, counts = np.unique(np.array(hits, np.int64), return_counts=True)
+    return places, np.log2(1.0 + counts)
+
+
 def _class_counts(n_classes: int):
     """(feature, class, documents) of a partition, one row per feature and class."""
 
@@ -78,10 +88,12 @@ def _class_counts(n_classes: int):
 def _chosen_rows(index: dict[int, int]):
     def rows(batches):
         for batch in batches:
-            places = [sorted(index[f] for f in _present(t) if f in index) for t in batch.column("text").to_pylist()]
+            look = lambda token: [index[f] for f in _FEATURES[token] if f in index]
+            found = [_graded(look, t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(places, pa.list_(pa.int32())), batch.column("kind"), batch.column("fold")],
-                ["places", "kind", "fold"])
+                [pa.array([p for p, _ in found], pa.list_(pa.int32())),
+                 pa.array([v for _, v in found], pa.list_(pa.float64())), batch.column("kind"), batch.column("fold")],
+                ["places", "values", "kind", "fold"])
 
     return rows
 
@@ -104,12 +116,11 @@ class Chain:
         if self.key not in _HITS:
             _HITS.clear()
             _HITS[self.key] = Cache(self.hits)
-        look = _HITS[self.key].__getitem__
-        places = list(set().union(*filter(None, map(look, set(text.lower().split()))))) if text else []
+        places, values = _graded(_HITS[self.key].__getitem__, text)
         known: list[float] = []
         for w, b in self.models:
             own = len(w) - len(known)
-            z = b + w[places].sum() + float(np.dot(w[own:], known))
+            z = b + float(w[places] @ values) + float(np.dot(w[own:], known))
             known.append(float(1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))))
         return known
 
@@ -144,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CA
     classes = 1 << len(names)
     counted = (
         fitted.mapInArrow(_class_counts(classes), "feature int, kind int, n long")
-        .groupBy("feature", "kind").agg(F.sum("n").alias("n")).where("n >= 2").toPandas()
+        .groupBy("feature", "kind").agg(F.sum("n").alias("n")).where(F.col("n") >= 3).toPandas()
     )
     totals = {r["kind"]: r["n"] for r in sample.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     chosen: set[int] = set()
@@ -155,17 +166,17 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CA
         rest = counted[counted["kind"].to_numpy() >> i & 1 == 0].groupby("feature")["n"].sum()
         other = rest.reindex(of.index, fill_value=0)
         odds = np.log((of + 0.5) / (yes + 1.0)) - np.log((other + 0.5) / (no + 1.0))
-        strong = odds[(odds > 2.0) & (of >= 4)] * np.sqrt(of)
+        strong = (odds * np.sqrt(of))[(odds > 2.0) & (of >= max(6.0, SUPPORT * yes))]
         chosen |= set(strong.nlargest(FEATURES // max(len(names), 1)).index.tolist())
     index = {int(f): j for j, f in enumerate(sorted(chosen))}
-    got = fitted.mapInArrow(_chosen_rows(index), "places array<int>, kind int, fold int").toArrow()
+    got = fitted.mapInArrow(_chosen_rows(index), "places array<int>, values array<double>, kind int, fold int").toArrow()
     kinds, folds = got["kind"].to_numpy(), got["fold"].to_numpy()
     if not got.num_rows or not index:
         return Chain(names, {}, [(np.zeros(i), -30.0) for i in range(len(names))])
     lists = got["places"].combine_chunks()
     lengths = np.diff(lists.offsets.to_numpy())
     place, row = lists.flatten().to_numpy().astype(np.int64), np.repeat(np.arange(len(lengths)), lengths)
-    value, n = np.ones(len(place)), len(kinds)
+    value, n = got["values"].combine_chunks().flatten().to_numpy(), len(kinds)
     models, known_p = [], []
     for i in range(len(names)):
         y = (kinds >> i & 1).astype(float)
@@ -176,9 +187,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CA
             inside = folds != fold
             number = np.cumsum(inside) - 1
             use = inside[r]
-            model = logistic(p[use], v[use], number[r[use]], y[inside], width, rounds=150)
+            model = logistic(p[use], v[use], number[r[use]], y[inside], width, rate=1.0, decay=1e-5)
             held[~inside] = _predict(model, p, v, r, n)[~inside]
-        models.append(logistic(p, v, r, y, width, rounds=150))
+        models.append(logistic(p, v, r, y, width, rate=1.0, decay=1e-5))
         known_p.append(held)
     return Chain(names, index, models)
 
@@ -197,11 +208,11 @@ def scorer(chain: Chain):
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, toxic and the probability of every category for each row of ``docs``."""
-    chain = train(docs, labels, rows=rows)
-    scores: Column = scorer(chain)(F.col("text").cast("binary"))
+    model = train(docs, labels, rows=rows)
+    scores: Column = scorer(model)(F.col("text").cast("binary"))
     scored = docs.select("doc_id", scores.alias("p"))
-    first = chain.names[0]
+    first = model.names[0]
     return scored.select(
         "doc_id", (F.col(f"p.{first}") >= threshold).alias("toxic"),
-        *[F.col(f"p.{name}").alias(f"p_{name}") for name in chain.names],
+        *[F.col(f"p.{name}").alias(f"p_{name}") for name in model.names],
     )
