@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erpweave.llm import fingerprints, mixing, pii, quality_classifier, quality_rules, toxicity, url_rules
+from erpweave.llm import fingerprints, mixing, packing, pii, quality_classifier, quality_rules, toxicity, url_rules
 from erpweave.session import materialize
 
 URL_RULES = (
@@ -37,6 +37,10 @@ def op3_weak_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_swap_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"))
+
+
 def op5_weak_label_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.classified(_table(spark, folder, "documents"))
 
@@ -69,7 +73,7 @@ def op9_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pii_skip_chain, op2_weighted_fair_mix, op3_weak_quality_rules, op5_weak_label_classifier, op7_url_range_rules,
+        op1_pii_skip_chain, op2_weighted_fair_mix, op3_weak_quality_rules, op4_swap_packing, op5_weak_label_classifier, op7_url_range_rules,
         op8_simhash_fingerprints, op9_toxicity_chain,
     )
 }
