@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erpweave.llm import fingerprints, mixing, packing, pii, quality_classifier, quality_rules, toxicity, url_rules
+from erpweave.llm import fingerprints, mixing, packing, pii, quality_classifier, quality_rules, suffix_tree, toxicity, url_rules
 from erpweave.session import materialize
 
 URL_RULES = (
@@ -45,6 +45,10 @@ def op5_weak_label_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.classified(_table(spark, folder, "documents"))
 
 
+def op6_suffix_tree_score(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.scored(_table(spark, folder, "documents"))
+
+
 def op7_url_range_rules(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return url_rules.judge(_table(spark, folder, "pages"), rules)
@@ -73,7 +77,7 @@ def op9_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_pii_skip_chain, op2_weighted_fair_mix, op3_weak_quality_rules, op4_swap_packing, op5_weak_label_classifier, op7_url_range_rules,
+        op1_pii_skip_chain, op2_weighted_fair_mix, op3_weak_quality_rules, op4_swap_packing, op5_weak_label_classifier, op6_suffix_tree_score, op7_url_range_rules,
         op8_simhash_fingerprints, op9_toxicity_chain,
     )
 }
