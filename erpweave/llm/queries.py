@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erpweave.llm import fingerprints, mixing, packing, pii, quality_classifier, quality_rules, suffix_tree, toxicity, url_rules
+from erpweave.llm import fingerprints, jaccard_join, mixing, packing, pii, quality_classifier, quality_rules, suffix_tree, toxicity, url_rules
 from erpweave.session import materialize
 
 URL_RULES = (
@@ -74,11 +74,15 @@ def op9_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.joined(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pii_skip_chain, op2_weighted_fair_mix, op3_weak_quality_rules, op4_swap_packing, op5_weak_label_classifier, op6_suffix_tree_score, op7_url_range_rules,
-        op8_simhash_fingerprints, op9_toxicity_chain,
+        op8_simhash_fingerprints, op9_toxicity_chain, op10_ngram_jaccard_join,
     )
 }
 
