@@ -311,7 +311,7 @@ def masked_text(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def mask_pii(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with every span masked and ``n_chars`` counted again; columns unchanged."""
+    """``docs`` with every span masked and ``n_chars``, where there is one, counted again; columns unchanged."""
     field = train(docs, rows)
 
     @F.arrow_udf("string")
@@ -319,4 +319,6 @@ def mask_pii(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
         return pa.array([t if t is None else masked_text(t, field.spans(t)[1]) for t in texts.to_pylist()], pa.string())
 
     masked = docs.withColumn("text", mask(F.col("text")))
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    if "n_chars" in docs.columns:
+        masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked

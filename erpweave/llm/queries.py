@@ -86,4 +86,53 @@ QUERIES = {
     )
 }
 
-SQL = {}
+SQL = {
+    "op2_weighted_fair_mix": """
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+                   md5(concat(coalesce(doc_id::VARCHAR, ''), ':mix')) AS place
+            FROM documents
+        ), s AS (
+            SELECT source, sum(size)::BIGINT AS total FROM d GROUP BY source
+        ), w AS (
+            SELECT *, [3.0, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight,
+                   2 * total::DOUBLE AS most FROM s
+        ), f AS (
+            SELECT *, most / weight AS fill FROM w
+        ), l AS (
+            SELECT *, (1.5 * sum(total::DOUBLE) OVER ()
+                       - coalesce(sum(most) OVER (ORDER BY fill, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / sum(weight) OVER (ORDER BY fill, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+            FROM f
+        ), t AS (
+            SELECT source, total,
+                   CASE WHEN fill < (SELECT min(fill) FROM l WHERE level <= fill) THEN most
+                        ELSE (SELECT arg_min(level, fill) FROM l WHERE level <= fill) * weight END AS target
+            FROM l
+        ), q AS (
+            SELECT d.*, t.total, t.target, floor(t.target)::BIGINT AS whole,
+                   (sum(size) OVER (PARTITION BY d.source ORDER BY place ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, size, total AS source_size, target,
+               (greatest(0, least(whole - start, size)) + greatest(0, least(whole - total - start, size)))::BIGINT AS taken
+        FROM q""",
+    "op7_url_range_rules": """
+        WITH cut AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ), p AS (
+            SELECT page_id, row_number() OVER () AS line,
+                   translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM cut
+        ), r(rule_host, rule_path, verdict) AS (
+            VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                   ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+        ), m AS (
+            SELECT p.*, rule_host || rule_path AS rule, verdict,
+                   row_number() OVER (PARTITION BY line ORDER BY length(rule_host || rule_path) DESC) AS place
+            FROM p LEFT JOIN r ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE place = 1""",
+}
