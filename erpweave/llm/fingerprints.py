@@ -36,7 +36,8 @@ def term_weight(word: Column) -> Column:
 def simhash(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Fingerprint (long) per row of ``keys``, which must identify the rows."""
     terms = texts.select(*keys, F.explode_outer(words(lower_ascii(F.col(text)))).alias("term")).select(
-        *keys, F.xxhash64("term").alias("h"), F.coalesce(term_weight(F.col("term")), F.lit(0)).alias("w")
+        *keys, F.xxhash64("term").alias("h"),
+        F.when(F.col("term").isNull(), F.lit(0).cast("long")).otherwise(term_weight(F.col("term"))).alias("w"),
     )
     votes = terms.groupBy(*keys).agg(
         F.sum("w").alias("all"),
