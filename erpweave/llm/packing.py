@@ -194,32 +194,36 @@ class Bins:
         self.fill[giver] -= moved
         self.fill[taker] += moved
 
-    def search(self) -> None:
-        """Empty bins from the emptiest on, while the gaps of the others could hold one."""
+    def search(self, passes: int = 30, window: int = 256) -> None:
+        """Empty bins from the emptiest on, until their number is least or no step is left.
+
+        A pass lets each of the emptiest underfull bins give to the fuller ones among them. Later steps can
+        open new ones for bins that were stuck, so passes repeat while anything moves.
+        """
         least = math.ceil(int(self.lengths.sum()) / self.capacity)
-        alive = {b for b in range(len(self.items))}
-        failed: set[int] = set()
-        while len(alive) > least:
-            under = sorted((b for b in alive if self.fill[b] < self.capacity), key=self.fill.__getitem__)
-            giver = next((b for b in under if b not in failed), None)
-            if giver is None:
-                break
-            others = [b for b in under if b != giver and self.fill[b] >= self.fill[giver]]
-            stuck = not others or sum(self.capacity - self.fill[b] for b in others) < self.fill[giver]
-            while not stuck and self.items[giver]:
-                ordered = sorted(self.items[giver], key=lambda i: -int(self.lengths[i]))
-                # Bins that became emptier than the giver no longer take from it.
-                stuck = not any(self._give(giver, x, others) for x in ordered)
-                others = [b for b in others if self.capacity > self.fill[b] >= self.fill[giver]]
-                stuck = stuck or (bool(self.items[giver]) and not others)
-            if not self.items[giver]:
-                alive.discard(giver)
-            else:
-                failed.add(giver)
+        alive = sum(map(bool, self.items))
+        moved = True
+        while moved and alive > least and passes:
+            passes -= 1
+            moved = False
+            under = (b for b in range(len(self.items)) if 0 < self.fill[b] < self.capacity)
+            emptiest = sorted(under, key=self.fill.__getitem__)[:window]
+            for giver in emptiest:
+                stuck = False
+                while self.items[giver] and not stuck:
+                    # Bins that are emptier than the giver take nothing from it.
+                    others = [b for b in emptiest if b != giver and self.fill[giver] <= self.fill[b] < self.capacity]
+                    ordered = sorted(self.items[giver], key=lambda i: -int(self.lengths[i]))
+                    stuck = not others or not any(self._give(giver, x, others) for x in ordered)
+                    moved = moved or not stuck
+                if not self.items[giver]:
+                    alive -= 1
+                    if alive <= least:
+                        break
 
 
 def _pack_shard(capacity: int, repack: int):
-    def run(key, table: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
         order = table.sort_values(["length", "doc_id", "piece", "start", "ids_crc32"], ascending=False, kind="stable")
         order = order.reset_index(drop=True)
         lengths = order["length"].to_numpy()
