@@ -97,12 +97,16 @@ class Tree:
         self.total: list[np.ndarray] = []
         self.parent: list[np.ndarray] = []
 
-    def encode(self, batch: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Word numbers of texts behind one another (-1: not in the dictionary) and where each ends."""
-        lists = [tokens(t) for t in batch]
-        flat = [w for x in lists for w in x]
-        numbers = np.fromiter(map(self.numbers.get, flat, repeat(-1)), np.int64, len(flat))
-        return numbers, np.cumsum([len(x) for x in lists]), lists
+    def encode(self, batch: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+        """Word numbers of texts behind one another (-1: not in the dictionary), where each ends, and the words."""
+        flat: list[bytes] = []
+        ends = []
+        for text in batch:
+            if text:
+                flat += text.lower().split()
+            flat.append(END)
+            ends.append(len(flat))
+        return np.fromiter(map(self.numbers.get, flat, repeat(-1)), np.int64, len(flat)), np.array(ends), flat
 
     def sequences(self, numbers: np.ndarray, levels: int):
         """Per level: number of the context before each token (-1: none) and of context plus token in ``keys``.
@@ -210,18 +214,20 @@ class Tree:
             for batch in batches:
                 at = 0
                 for texts in _slices([batch]):
-                    numbers, ends, lists = self.encode(texts)
+                    numbers, ends, words = self.encode(texts)
                     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                     hot = numbers >= 0
                     base = np.where(hot, np.log10(self.root[np.maximum(numbers, 0)]) if len(self.root) else 0.0, 0.0)
-                    rare = [[w for w, h in zip(x, hot[a:b].tolist(), strict=True) if not h]
-                            for x, a, b in zip(lists, starts, ends, strict=True)]
+                    cold = np.flatnonzero(~hot)
+                    rare = pa.ListArray.from_arrays(
+                        pa.array(np.searchsorted(cold, [*starts, len(hot)]), pa.int32()),
+                        pa.array([words[i] for i in cold.tolist()], pa.binary()))
                     n = len(texts)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.arange(part, part + n)), batch.column("doc_id").slice(at, n),
                          batch.column("held_out").slice(at, n), pa.array(ends - starts, pa.int64()),
                          pa.array(np.add.reduceat(hot.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
-                         pa.array(np.add.reduceat(self.score(numbers), starts)), pa.array(rare, pa.list_(pa.binary()))],
+                         pa.array(np.add.reduceat(self.score(numbers), starts)), rare],
                         ["row", "doc_id", "held_out", "n_tokens", "n_hot", "base", "score", "rare"])
                     part += n
                     at += n
