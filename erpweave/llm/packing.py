@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from erpweave.llm.worker import Cache
 from erpweave.session import materialize
 
 CAPACITY = 4096
@@ -45,33 +44,93 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 class WordIds:
-    """Token ids of words, as little-endian unsigned 32-bit bytes."""
+    """Token ids of words, as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
+    Two generations of words are kept, so memory is bounded and frequent words stay. Words of letters only
+    are new tokens' bulk: they are encoded many at a time, and the ids cut at the tokens that end a word.
+    """
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.words = Cache(self._word, 600_000)
+    def __init__(self, path: str, limit: int = 450_000):
+        from tokenizers import Tokenizer
 
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _take(self, words: list[bytes]) -> None:
+        """Encode words of letters together."""
+        ids = self._encode(" ".join(w.decode() for w in words))
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) == len(words):
+            data = ids.tobytes()
+            bounds = [0, *(4 * cuts).tolist()]
+            self.words.update((w, data[a:b]) for w, a, b in zip(words, bounds, bounds[1:], strict=False))
+        else:  # some word falls into parts
+            self.words.update((w, self._encode(w.decode()).tobytes()) for w in words)
+
+    def learn(self, words: set[bytes]) -> None:
+        """Make the ids of all ``words`` known."""
+        if len(self.words) > self.limit:
+            self.words, self.older = {}, self.words
+        letters, joined = set(), []
+        for word in words.difference(self.words):
+            if word in self.older:
+                self.words[word] = self.older[word]
+                continue
+            stem = word.rstrip(STOPS)
+            text = stem.decode()
+            if len(stem) < len(word) and text and text[-1].isalpha():
+                joined.append((word, stem, word[len(stem):]))  # stops behind a letter are tokens of their own
+                word, parts = stem, (stem, word[len(stem):])
+            else:
+                text, parts = word.decode(), (word,)
+            for part in parts:
+                if part in self.words:
+                    continue
+                if part in self.older:
+                    self.words[part] = self.older[part]
+                elif part is word and text.isalpha():
+                    letters.add(part)
+                else:
+                    self.words[part] = self._encode(part.decode()).tobytes()
+        ordered = list(letters)
+        for at in range(0, len(ordered), 1000):
+            self._take(ordered[at:at + 1000])
+        for word, stem, tail in joined:
+            self.words[word] = self.words[stem] + self.words[tail]
+
+    def ids(self, texts: list[bytes | None]) -> list[bytes]:
+        split = [t.lower().split() if t and b"<|" not in t else [] for t in texts]
+        found = [list(map(self.words.get, words)) for words in split]
+        missed = [i for i, ids in enumerate(found) if None in ids]
+        if missed:
+            self.learn({w for i in missed for w, ids in zip(split[i], found[i], strict=True) if ids is None})
+            for i in missed:
+                found[i] = [self.words[w] if ids is None else ids for w, ids in zip(split[i], found[i], strict=True)]
+        return [self._encode(t.decode()).tobytes() if t and b"<|" in t else b"".join(ids)
+                for t, ids in zip(texts, found, strict=True)]
 
-    def _word(self, word: bytes) -> bytes:
-        stem = word.rstrip(STOPS)
-        # Stops behind a letter are tokens of their own.
-        if stem and len(stem) < len(word) and stem.decode("utf-8", "replace")[-1].isalpha():
-            return self.words[stem] + self.words[word[len(stem):]]
-        return self._encode(word.decode())
 
-    def ids(self, text: bytes | None) -> bytes:
-        if not text:
-            return b""
-        if b"<|" in text:
-            return self._encode(text.decode())
-        return b"".join(map(self.words.__getitem__, text.lower().split()))
+_WORD_IDS: dict[str, WordIds] = {}
 
 
-_WORD_IDS: dict[str, WordIds] = {}
+def _encoded(encoder: WordIds, texts: pa.Array):
+    """Ids of every text, for a few megabytes of text at a time."""
+    held: list[bytes | None] = []
+    size = 0
+    for value in texts:
+        held.append(value.as_py())
+        size += len(held[-1] or b"")
+        if size > 4_000_000:
+            yield from encoder.ids(held)
+            held, size = [], 0
+    yield from encoder.ids(held)
 
 
 def _cut(path: str, capacity: int, end_id: int, with_ids: bool, id_type: pa.DataType):
@@ -83,9 +142,9 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool, id_type: pa.Data
         encoder = _WORD_IDS[path]
         for batch in batches:
             doc_ids, pieces, starts, lengths, sums, bodies, rows = [], [], [], [], [], [], []
-            texts, keys = batch.column("text"), batch.column("doc_id")
-            for row in range(len(texts)):
-                data = encoder.ids(texts[row].as_py()) + end
+            keys = batch.column("doc_id")
+            for row, ids in enumerate(_encoded(encoder, batch.column("text"))):
+                data = ids + end
                 for piece, at in enumerate(range(0, len(data), size)):
                     body = data[at:at + size]
                     rows.append(row)
