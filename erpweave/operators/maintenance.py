@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from erpweave.operators.dedupe import first_per_key, latest_per_key
-from erpweave.session import materialize
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
@@ -63,22 +65,31 @@ def change_history(
     )
 
 
-def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
-    """Change feed between two snapshots: insert, delete, update_pre and update_post rows.
+def _paired(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key and occurrence the old and the new row (``_old``, ``_new``), where they differ.
 
-    Both sides are aggregated together by key, which combines before the shuffle and
-    never multiplies rows even where a snapshot repeats a key (its largest row counts).
+    Equal rows of a key on both sides cancel out. What is left is paired in row order, so a key that a
+    snapshot repeats loses no row; with unique keys that is the one old and the one new row.
     """
     values = [c for c in new.columns if c not in keys]
     row = F.struct(*[F.col(c) for c in values])
-    sides = old.select(*keys, F.lit("old").alias("_side"), row.alias("_row")).unionByName(
-        new.select(*keys, F.lit("new").alias("_side"), row.alias("_row"))
+    sides = old.select(*keys, F.lit(-1).alias("_n"), row.alias("_row")).unionByName(
+        new.select(*keys, F.lit(1).alias("_n"), row.alias("_row"))
     )
-    pairs = sides.groupBy(*keys).agg(
-        F.max(F.when(F.col("_side") == "old", F.col("_row"))).alias("_old"),
-        F.max(F.when(F.col("_side") == "new", F.col("_row"))).alias("_new"),
+    # Copies of a row are one entry with a count, combined before the shuffle.
+    left = sides.groupBy(*keys, "_row").agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
+    single = left.select(
+        *keys, "_row", (F.col("_n") > 0).alias("_is_new"), F.explode(F.sequence(F.lit(1), F.abs("_n"))).alias("_copy")
     )
-    changed = pairs.filter(~F.col("_old").eqNullSafe(F.col("_new")))
+    place = F.row_number().over(Window.partitionBy(*keys, "_is_new").orderBy("_row", "_copy"))
+    return single.withColumn("_place", place).groupBy(*keys, "_place").agg(
+        F.max(F.when(~F.col("_is_new"), F.col("_row"))).alias("_old"),
+        F.max(F.when(F.col("_is_new"), F.col("_row"))).alias("_new"),
+    )
+
+
+def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Change feed between two snapshots: insert, delete, update_pre and update_post rows."""
 
     def entry(kind: str, side: str):
         return F.struct(F.lit(kind).alias("change_type"), F.col(side).alias("_image"))
@@ -86,140 +97,227 @@ def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], versio
     images = F.when(F.col("_old").isNull(), F.array(entry("insert", "_new"))).when(
         F.col("_new").isNull(), F.array(entry("delete", "_old"))
     ).otherwise(F.array(entry("update_pre", "_old"), entry("update_post", "_new")))
-    return changed.select(*keys, F.inline(images)).select(*keys, "change_type", "_image.*")
+    return _paired(old, new, keys).select(*keys, F.inline(images)).select(*keys, "change_type", "_image.*")
 
 
 def field_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """Field-level log of updated keys: (keys, field, value_old, value_new) as text."""
-    feed = snapshot_changes(old.select(*keys, *fields), new.select(*keys, *fields), keys)
-    pre = feed.filter(F.col("change_type") == "update_pre")
-    post = feed.filter(F.col("change_type") == "update_post")
-    sides = pre.withColumn("_post", F.lit(False)).unionByName(post.withColumn("_post", F.lit(True)))
-    long = sides.select(
-        *keys, "_post",
-        F.inline(F.array(*[
-            F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields
-        ])),
-    )
+    pairs = _paired(old.select(*keys, *fields), new.select(*keys, *fields), keys)
+    entries = [
+        F.struct(F.lit(f).alias("field"), F.col(f"_old.{f}").cast("string").alias("value_old"),
+                 F.col(f"_new.{f}").cast("string").alias("value_new"))
+        for f in fields
+    ]
     return (
-        long.groupBy(*keys, "field")
-        .agg(
-            F.max(F.when(~F.col("_post"), F.col("value"))).alias("value_old"),
-            F.max(F.when(F.col("_post"), F.col("value"))).alias("value_new"),
-        )
+        pairs.filter(F.col("_old").isNotNull() & F.col("_new").isNotNull())
+        .select(*keys, F.inline(F.array(*entries)))
         .filter(~F.col("value_old").eqNullSafe(F.col("value_new")))
     )
 
 
+class _Commits:
+    """Commit log of a table: ``<path>/_commits/<number>.json``, the highest number is the table.
+
+    A commit names the folders that make up the table and the last batch of every stream that is
+    in it. Data folders get fresh names and are complete before the commit is renamed into place,
+    so a crash at any point leaves the table as it was, and nothing that is read is ever overwritten.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        self._fs = self._hadoop.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self._hadoop.Path(f"{self.path}/{name}")
+
+    def _names(self, folder: str) -> list[str]:
+        at = self._at(folder)
+        return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def numbers(self) -> list[int]:
+        """Commit numbers, newest first."""
+        return sorted((int(n[:-5]) for n in self._names("_commits") if n.endswith(".json")), reverse=True)
+
+    def load(self, number: int) -> dict:
+        at = self._at(f"_commits/{number}.json")
+        # Looked at first: a base that was removed must not be mistaken for an empty table.
+        if not self._fs.exists(at):
+            raise FileNotFoundError(f"{self.path} has no version {number}")
+        stream = self._fs.open(at)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def fresh(self) -> str:
+        """Name of a data folder that was never used."""
+        return f"data/{uuid.uuid4().hex}"
+
+    def commit(self, number: int, content: dict) -> None:
+        """Publish a version; fails when another writer has published the number."""
+        draft = self._at(f"_drafts/{uuid.uuid4().hex}.json")
+        stream = self._fs.create(draft, False)
+        try:
+            stream.write(bytearray(json.dumps(content).encode()))
+        finally:
+            stream.close()
+        self._fs.mkdirs(self._at("_commits"))
+        target = self._at(f"_commits/{number}.json")
+        if self._fs.exists(target) or not self._fs.rename(draft, target):
+            raise RuntimeError(f"version {number} of {self.path} was written by someone else")
+
+    def vacuum(self, keep: int, folders) -> None:
+        """Drop all but the newest versions and every data folder that none of the rest names."""
+        numbers = self.numbers()
+        kept = [self.load(n) for n in numbers[:max(keep, 1)]]
+        for n in numbers[max(keep, 1):]:
+            self._fs.delete(self._at(f"_commits/{n}.json"), False)
+        used = {f.split("/")[1] for content in kept for f in folders(content)}
+        for name in self._names("data"):
+            if name not in used:
+                self._fs.delete(self._at(f"data/{name}"), True)
+
+
+def _applied(batches: Mapping[str, int], stream: str, batch: int | None) -> bool:
+    return batch is not None and batches.get(stream, -1) >= batch
+
+
+def _noted(batches: Mapping[str, int], stream: str, batch: int | None) -> dict[str, int]:
+    return dict(batches) if batch is None else {**batches, stream: batch}
+
+
 class VersionedTable:
-    """Parquet table of complete versions: ``<path>/v=<n>``.
+    """Parquet table of complete versions, for small tables and whole-table refreshes.
 
-    A version counts once its write has committed (``_SUCCESS`` exists), so a failed or
-    half-written version is never read, and the folder being read is never overwritten.
+    Every write makes a new version beside the one readers may have open; see ``BucketedTable`` for
+    upserts into large tables.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._log = _Commits(spark, path)
 
     def current(self) -> int | None:
-        """Number of the newest committed version."""
-        root = self._path(self.path)
-        if not self._fs.exists(root):
-            return None
-        names = [status.getPath().getName() for status in self._fs.listStatus(root)]
-        versions = sorted((int(n[2:]) for n in names if n.startswith("v=")), reverse=True)
-        for v in versions:
-            if self._fs.exists(self._path(f"{self.path}/v={v}/_SUCCESS")):
-                return v
-        return None
+        """Number of the newest version."""
+        return next(iter(self._log.numbers()), None)
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v={self.current()}")
+    def folder(self, version: int | None = None) -> str:
+        version = self.current() if version is None else version
+        if version is None:
+            raise FileNotFoundError(f"{self.path} has no version")
+        return f"{self.path}/{self._log.load(version)['folder']}"
+
+    def read(self, version: int | None = None) -> DataFrame:
+        return self.spark.read.parquet(self.folder(version))
 
     def vacuum(self, keep: int = 2) -> None:
-        """Drop all but the newest committed versions; readers of older ones must be done."""
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self.path))]
-        versions = sorted((int(n[2:]) for n in names if n.startswith("v=")), reverse=True)
-        committed = [v for v in versions if self._fs.exists(self._path(f"{self.path}/v={v}/_SUCCESS"))]
-        for v in committed[max(keep, 1):]:
-            self._fs.delete(self._path(f"{self.path}/v={v}"), True)
-
-    def write(self, df: DataFrame, version: int | None = None, partition_by: Sequence[str] = ()) -> int:
-        if version is None:
-            current = self.current()
-            version = 0 if current is None else current + 1
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/v={version}")
+        """Drop all but the newest versions; readers of older ones must be done."""
+        self._log.vacuum(keep, lambda content: [content["folder"]])
+
+    def write(
+        self, df: DataFrame, partition_by: Sequence[str] = (), batches: Mapping[str, int] | None = None
+    ) -> int:
+        current = self.current()
+        folder = self._log.fresh()
+        df.write.partitionBy(*partition_by).parquet(f"{self.path}/{folder}")
+        known = self._log.load(current)["batches"] if batches is None and current is not None else batches or {}
+        version = 0 if current is None else current + 1
+        self._log.commit(version, {"folder": folder, "batches": dict(known)})
         return version
 
     def merge(
-        self,
-        source: DataFrame,
-        keys: Sequence[str],
-        order: str | None = None,
-        version: int | None = None,
-        partition_by: Sequence[str] = (),
+        self, source: DataFrame, keys: Sequence[str], order: str | None = None, partition_by: Sequence[str] = (),
+        stream: str = "", batch: int | None = None,
     ) -> int:
         """Upsert into a new version; the first call creates the table.
 
-        With an explicit ``version`` (a micro-batch number) a repeated call rebuilds that
-        version from the one before it, so retries change nothing.
+        A batch of a stream that the table already holds is not applied again.
         """
         current = self.current()
-        if version is not None and current is not None and current >= version:
-            earlier = [v for v in range(version - 1, -1, -1) if self._fs.exists(
-                self._path(f"{self.path}/v={v}/_SUCCESS"))]
-            current = earlier[0] if earlier else None
+        batches = {} if current is None else self._log.load(current)["batches"]
+        if _applied(batches, stream, batch):
+            return current
         if current is None:
             rows = latest_per_key(source, keys, order) if order else first_per_key(source, keys, [])
-            return self.write(rows, version if version is not None else 0, partition_by)
-        target = self.spark.read.parquet(f"{self.path}/v={current}")
-        merged = merge_upsert(target, source, keys, order)
-        return self.write(merged, version if version is not None else current + 1, partition_by)
+        else:
+            rows = merge_upsert(self.read(current), source, keys, order)
+        return self.write(rows, partition_by, _noted(batches, stream, batch))
 
 
 class BucketedTable:
-    """Parquet table laid out by a hash bucket of its key.
+    """Parquet table laid out by a hash bucket of its key, for upserts into large tables.
 
-    A merge rewrites only the buckets that the source touches: the bucket is a partition
-    column, so the scan of the target prunes to them and the write replaces just them.
+    A merge reads and rewrites only the buckets that its source touches; all others stay where they
+    are. A commit lists the folder of every bucket, so a version is complete or absent.
     """
 
     BUCKET = "key_bucket"
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int):
-        self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
+        self._log = _Commits(spark, path)
 
-    def _with_bucket(self, df: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-        return df.withColumn(self.BUCKET, bucket)
+    def current(self) -> int | None:
+        return next(iter(self._log.numbers()), None)
 
-    def create(self, df: DataFrame) -> None:
-        rows = self._with_bucket(df)
-        rows.repartition(self.BUCKET, F.xxhash64(*self.keys) % 8).write.mode("overwrite").partitionBy(
-            self.BUCKET
-        ).parquet(self.path)
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+    def _content(self) -> dict:
+        current = self.current()
+        return {"buckets": {}, "batches": {}, "schema": None} if current is None else self._log.load(current)
+
+    def _rows(self, content: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+        chosen = [f for b, f in content["buckets"].items() if buckets is None or int(b) in buckets]
+        schema = StructType.fromJson(content["schema"])
+        if not chosen:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in chosen])
 
-    def _exists(self) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_SUCCESS")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+    def read(self) -> DataFrame:
+        content = self._content()
+        if content["schema"] is None:
+            raise FileNotFoundError(f"{self.path} has no version")
+        return self._rows(content)
+
+    def _write(self, df: DataFrame, content: dict, touched: Sequence[int] | None, batches: Mapping[str, int]) -> None:
+        folder = self._log.fresh()
+        # Rebalanced by bucket: small ones are one file, a large one is split by its size.
+        df.withColumn(self.BUCKET, self.bucket()).hint("rebalance", F.col(self.BUCKET)).write.partitionBy(
+            self.BUCKET).parquet(f"{self.path}/{folder}")
+        places = {} if touched is None else {b: f for b, f in content["buckets"].items() if int(b) not in set(touched)}
+        for name in self._log._names(folder):
+            if name.startswith(f"{self.BUCKET}="):
+                places[name.split("=")[1]] = f"{folder}/{name}"
+        number = self.current()
+        self._log.commit(0 if number is None else number + 1, {
+            "buckets": places, "batches": dict(batches), "schema": json.loads(df.schema.json())})
 
-    def merge(self, source: DataFrame, order: str | None = None) -> None:
+    def create(self, df: DataFrame) -> None:
+        """Replace the whole table."""
+        content = self._content()
+        self._write(df, content, None, content["batches"])
+
+    def merge(self, source: DataFrame, order: str | None = None, stream: str = "", batch: int | None = None) -> None:
+        """Upsert; a batch of a stream that the table already holds is not applied again."""
+        content = self._content()
+        if _applied(content["batches"], stream, batch):
+            return
+        batches = _noted(content["batches"], stream, batch)
         changes = latest_per_key(source, self.keys, order) if order else first_per_key(source, self.keys, [])
-        if not self._exists():
-            self.create(changes)
+        if content["schema"] is None:
+            self._write(changes, content, None, batches)
             return
-        # Written once: it selects the buckets, removes old rows and supplies new ones.
-        changes = materialize(self._with_bucket(changes), "merge-changes")
-        touched = changes.select(self.BUCKET).distinct()
-        target = self.read().join(touched, self.BUCKET, "left_semi")
-        kept = target.join(changes.select(*self.keys), self.keys, "left_anti")
-        merged = kept.unionByName(changes.select(*kept.columns))
-        merged.repartition(self.BUCKET, F.xxhash64(*self.keys) % 8).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(self.BUCKET).parquet(self.path)
+        # Written once: it names the buckets, removes old rows and supplies new ones.
+        draft = f"{self.path}/{self._log.fresh()}"
+        changes.write.parquet(draft)
+        changes = self.spark.read.schema(changes.schema).parquet(draft)
+        touched = [r[0] for r in changes.select(self.bucket()).distinct().collect()]  # at most ``buckets`` numbers
+        target = self._rows(content, touched)
+        kept = target.join(changes.select(*self.keys), self.keys, "left_anti").select(*target.columns)
+        self._write(kept.unionByName(changes.select(*target.columns)), content, touched, batches)
+        self._log._fs.delete(self._log._hadoop.Path(draft), True)
+
+    def vacuum(self, keep: int = 2) -> None:
+        self._log.vacuum(keep, lambda content: list(content["buckets"].values()))

@@ -23,16 +23,21 @@ def language_filter(df: DataFrame, language: str = "P", column: str = "spras") -
 
 
 def by_role(df: DataFrame, roles: Mapping[str, tuple[str, str]], keys: Sequence[str], role_col: str) -> DataFrame:
-    """One row per key with a column per role, in a single pass.
+    """A column per role, in a single pass over the partners.
 
-    ``roles`` maps an output name to (role code, value column). A key with several
-    partners of a role keeps the smallest value.
+    ``roles`` maps an output name to (role code, value column). A key with several partners of a
+    role has a row for each of them (every combination, if that is so for several roles); a role
+    without partner is NULL. The partners of one key and role are held as one array.
     """
-    aggregates = [
-        F.min(F.when(F.col(role_col) == code, F.col(value))).alias(name) for name, (code, value) in roles.items()
+    partners = [
+        F.sort_array(F.collect_set(F.when(F.col(role_col) == code, F.col(value)))).alias(name)
+        for name, (code, value) in roles.items()
     ]
     codes = [code for code, _ in roles.values()]
-    return df.filter(F.col(role_col).isin(codes)).groupBy(*keys).agg(*aggregates)
+    rows = df.filter(F.col(role_col).isin(codes)).groupBy(*keys).agg(*partners)
+    for name in roles:
+        rows = rows.withColumn(name, F.explode_outer(name))
+    return rows
 
 
 def corresponding(df: DataFrame, target: StructType, mapping: Mapping[str, str] | None = None) -> DataFrame:

@@ -160,11 +160,11 @@ def row_status(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def first_error_message(messages: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """From a message log: per key, the earliest message of type E or A."""
+    """From a message log: per key, the earliest message of type E or A; of several with one number the least."""
     return (
         messages.filter(F.col("type").isin("E", "A"))
         .groupBy(*keys)
-        .agg(F.min_by("message", seq).alias("message"))
+        .agg(F.min(F.struct(seq, "message")).getField("message").alias("message"))
     )
 
 

@@ -201,14 +201,12 @@ def failed_messages(control: DataFrame, status: DataFrame, code: str, since: str
     )
 
 
-def split_by_clearing(items: DataFrame) -> dict[tuple[str, str], DataFrame]:
-    """Open and cleared items per account type; together they are all items."""
-    states = {"open": is_blank("augdt"), "cleared": ~is_blank("augdt")}
-    return {
-        (kind, state): items.filter((F.col("koart") == kind) & test)
-        for kind in ("D", "K", "S")
-        for state, test in states.items()
-    }
+def split_by_clearing(items: DataFrame) -> DataFrame:
+    """All items with ``state``, open or cleared, whatever their account type.
+
+    Written partitioned by (koart, state) this is the split into one set per type and state.
+    """
+    return items.withColumn("state", F.when(is_blank("augdt"), "open").otherwise("cleared"))
 
 
 def flat_po_extract(
@@ -249,10 +247,11 @@ def material_movements(
     ).select("mblnr", "zeile", "budat", "bwart", "matnr", "werks", "lgort", "menge", "meins", "dmbtr")
 
 
-def critical_stock(stock: DataFrame, planning: DataFrame, plant: str, percent: float) -> DataFrame:
-    """Stock lines of a plant at or below a percentage of the reorder point, worst first."""
-    minimum = planning.filter((F.col("werks") == plant) & (F.col("minbe") > 0)).select("matnr", "werks", "minbe")
-    lines = stock.filter(F.col("werks") == plant).join(minimum, ["matnr", "werks"])
+def critical_stock(stock: DataFrame, planning: DataFrame, client: str, plant: str, percent: float) -> DataFrame:
+    """Stock lines of a client's plant at or below a percentage of the reorder point, worst first."""
+    here = (F.col("mandt") == client) & (F.col("werks") == plant)
+    minimum = planning.filter(here & (F.col("minbe") > 0)).select("mandt", "matnr", "werks", "minbe")
+    lines = stock.filter(here).join(minimum, ["mandt", "matnr", "werks"])
     share = guarded_ratio(F.col("labst").cast("decimal(17,3)"), "minbe").cast("decimal(17,4)")
     return (
         lines.select(
@@ -265,16 +264,19 @@ def critical_stock(stock: DataFrame, planning: DataFrame, plant: str, percent: f
 
 
 def register_critical_stock(stock: DataFrame, planning: DataFrame, name: str = "critical_stock") -> str:
-    """Publish ``name(plant, percent)`` as a SQL table function over two frames."""
+    """Publish ``name(client, plant, percent)`` as a SQL table function over two frames."""
     spark = stock.sparkSession
     stock.createOrReplaceTempView(f"{name}_stock")
     planning.createOrReplaceTempView(f"{name}_planning")
     spark.sql(f"""
-        CREATE OR REPLACE TEMPORARY FUNCTION {name}(plant STRING, percent DOUBLE)
-        RETURNS TABLE (matnr STRING, lgort STRING, estoque_disponivel DOUBLE, estoque_minimo DECIMAL(17,3))
-        RETURN SELECT s.matnr, s.lgort, s.labst, p.minbe
-               FROM {name}_stock s JOIN {name}_planning p ON s.matnr = p.matnr AND s.werks = p.werks
-               WHERE s.werks = {name}.plant AND p.minbe > 0 AND s.labst * 100 <= p.minbe * {name}.percent
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(client STRING, plant STRING, percent DOUBLE)
+        RETURNS TABLE (matnr STRING, werks STRING, lgort STRING, estoque_disponivel DOUBLE, estoque_minimo DECIMAL(17,3),
+                       perc_do_minimo DECIMAL(17,4))
+        RETURN SELECT matnr, werks, lgort, labst, minbe, share
+               FROM (SELECT *, CAST(round(labst / CAST(minbe AS DOUBLE) * 100, 4) AS DECIMAL(17,4)) AS share
+                     FROM {name}_stock JOIN {name}_planning USING (mandt, matnr, werks)
+                     WHERE mandt = {name}.client AND werks = {name}.plant AND minbe > 0)
+               WHERE share <= {name}.percent ORDER BY share, matnr, lgort
     """)
     return name
 

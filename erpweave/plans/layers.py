@@ -81,7 +81,7 @@ def refresh(
             table = VersionedTable(spark, f"{store}/{layer}/{name}")
             version = table.write(df)
             table.vacuum(keep=2)
-            written[name] = spark.read.schema(df.schema).parquet(f"{table.path}/v={version}")
+            written[name] = spark.read.schema(df.schema).parquet(table.folder(version))
         return written
 
     facts = stored("domain", domain_layer(silver))

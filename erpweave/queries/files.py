@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from erpweave import crosswalk
 from erpweave.operators.dedupe import first_per_key
-from erpweave.operators.maintenance import VersionedTable
+from erpweave.operators.maintenance import BucketedTable
 from erpweave.operators.quality import Rule, expect
 from erpweave.plans import purchasing_lakehouse as L
 from erpweave.plans.domain import dim_customer
@@ -95,18 +95,27 @@ def evolution(t: Tables):
     return schemas.read_evolving_json(t.spark, f"{base}/landing", log).select("kunnr", "name1", "ort01")
 
 
-@query("rescued_data", """SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 1 THEN NULL ELSE o_custkey END AS o_custkey, o_orderstatus,
-    (o_orderkey % 3 = 0 OR o_orderkey % 4 = 1) AS rescued FROM orders""")
+@query("rescued_data", """SELECT CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
+    CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 4 = 1 THEN NULL ELSE o_custkey END AS o_custkey,
+    CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS value,
+    CASE WHEN o_orderkey % 5 = 0 THEN concat('{broken ', o_orderkey)
+         WHEN o_orderkey % 3 = 0 AND o_orderkey % 4 = 1 THEN '{"o_custkey":"n/a","zz_new_field":"new"}'
+         WHEN o_orderkey % 4 = 1 THEN '{"o_custkey":"n/a"}' WHEN o_orderkey % 3 = 0 THEN '{"zz_new_field":"new"}' END AS rescued
+    FROM orders""")
 def rescued(t: Tables):
+    """Unknown and mistyped fields, broken lines, and a field that is named like the text column."""
     path = work_folder(t.spark, "rescue")
-    t.source("orders").select(
-        "o_orderkey", "o_orderstatus",
-        F.when(F.col("o_orderkey") % 4 == 1, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
-        F.when(F.col("o_orderkey") % 3 == 0, "new").alias("zz_new_field"),
-    ).write.json(path)
-    schema = StructType.fromDDL("o_orderkey bigint, o_custkey bigint, o_orderstatus string")
+    key = F.col("o_orderkey")
+    fields = F.to_json(F.struct(
+        key,
+        F.when(key % 4 == 1, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        F.col("o_orderstatus").alias("value"), F.when(key % 3 == 0, "new").alias("zz_new_field"),
+    ))
+    broken = F.concat(F.lit("{broken "), key.cast("string"))
+    t.source("orders").select(F.when(key % 5 == 0, broken).otherwise(fields)).write.text(path)
+    schema = StructType.fromDDL("o_orderkey bigint, o_custkey bigint, value string")
     parsed = files.parse_with_rescue(t.spark.read.text(path), schema)
-    return parsed.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("_rescued_data").isNotNull().alias("rescued"))
+    return parsed.select("o_orderkey", "o_custkey", "value", F.col("_rescued_data").alias("rescued"))
 
 
 @query("ingest_metadata", twin("SELECT lifnr, TRUE AS has_time, TRUE AS has_file FROM lfa1"))
@@ -206,27 +215,31 @@ def _queue(t: Tables):
     base = work_folder(t.spark, "queue")
     queue = extraction.DeltaQueue(t.spark, base, "lake")
     log = t.source("events").select("event_id", "user_id", F.day("ts").cast("bigint").alias("batch"))
-    queue.extract(log.filter(F.col("batch") <= 10), "batch", "delta")
-    queue.extract(log.filter(F.col("batch") <= 20), "batch", "delta")
+    for day in (10, 20):
+        part = queue.extract(log.filter(F.col("batch") <= day), "batch", "delta")
+        part.rows.write.parquet(f"{base}-{day}")
+        part.confirm()
+    # Extracted but never stored: it must come again.
+    queue.extract(log, "batch", "delta")
     return queue, log
 
 
 @query("delta_mode_full", "SELECT event_id, user_id, CAST(day(ts) AS BIGINT) AS batch FROM events")
 def mode_full(t: Tables):
     queue, log = _queue(t)
-    return queue.extract(log, "batch", "full")
+    return queue.extract(log, "batch", "full").rows
 
 
 @query("delta_mode_delta", "SELECT event_id, user_id, CAST(day(ts) AS BIGINT) AS batch FROM events WHERE day(ts) > 20")
 def mode_delta(t: Tables):
     queue, log = _queue(t)
-    return queue.extract(log, "batch", "delta")
+    return queue.extract(log, "batch", "delta").rows
 
 
 @query("delta_mode_recovery", "SELECT event_id, user_id, CAST(day(ts) AS BIGINT) AS batch FROM events WHERE day(ts) > 10 AND day(ts) <= 20")
 def mode_recovery(t: Tables):
     queue, log = _queue(t)
-    return queue.extract(log, "batch", "recovery")
+    return queue.extract(log, "batch", "recovery").rows
 
 
 @query("event_stream_parse", twin("SELECT bwart, matnr, werks, menge FROM mseg"))
@@ -310,7 +323,7 @@ def stream_upsert(t: Tables):
     rows = t.source("events").select("user_id", "event_id", "event_type")
     half = F.lit("2024-01-16").cast("timestamp_ntz")
     events = t.source("events")
-    table = VersionedTable(t.spark, f"{base}/table")
+    table = BucketedTable(t.spark, f"{base}/table", ["user_id"], 8)
     # Two loads in event order, one checkpoint: the later load updates the earlier one.
     for part in (events.filter(F.col("ts") < half), events.filter(F.col("ts") >= half)):
         _land_json(part.select(rows.columns), f"{base}/landing")

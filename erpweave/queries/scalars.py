@@ -34,13 +34,20 @@ def language(t: Tables):
     return P.language_filter(t.raw("makt")).select("matnr", "maktx")
 
 
-@query("partner_roles", twin("""SELECT vbeln,
-    min(CASE WHEN parvw = 'ZG' THEN pernr END) AS manager, min(CASE WHEN parvw = 'ZA' THEN pernr END) AS assistant,
-    min(CASE WHEN parvw = 'WE' THEN kunnr END) AS ship_to
-    FROM vbpa WHERE parvw IN ('ZG', 'ZA', 'WE') GROUP BY vbeln"""))
+@query("partner_roles", twin("""WITH p AS (SELECT vbeln, parvw, pernr, kunnr FROM vbpa
+        UNION SELECT vbeln, 'ZG', 'second', NULL FROM vbpa WHERE vbeln LIKE '%7'),
+    keys AS (SELECT DISTINCT vbeln FROM p WHERE parvw IN ('ZG', 'ZA', 'WE')),
+    g AS (SELECT DISTINCT vbeln, pernr AS manager FROM p WHERE parvw = 'ZG' AND pernr IS NOT NULL),
+    a AS (SELECT DISTINCT vbeln, pernr AS assistant FROM p WHERE parvw = 'ZA' AND pernr IS NOT NULL),
+    w AS (SELECT DISTINCT vbeln, kunnr AS ship_to FROM p WHERE parvw = 'WE' AND kunnr IS NOT NULL)
+    SELECT vbeln, manager, assistant, ship_to FROM keys LEFT JOIN g USING (vbeln) LEFT JOIN a USING (vbeln) LEFT JOIN w USING (vbeln)"""))
 def roles(t: Tables):
+    """Every seventh order has a second manager."""
+    partners = t.raw("vbpa").select("vbeln", "parvw", "pernr", "kunnr")
+    second = partners.filter(F.col("vbeln").endswith("7")).select(
+        "vbeln", F.lit("ZG").alias("parvw"), F.lit("second").alias("pernr"), F.lit(None).cast("string").alias("kunnr"))
     return P.by_role(
-        t.raw("vbpa"), {"manager": ("ZG", "pernr"), "assistant": ("ZA", "pernr"), "ship_to": ("WE", "kunnr")},
+        partners.unionByName(second), {"manager": ("ZG", "pernr"), "assistant": ("ZA", "pernr"), "ship_to": ("WE", "kunnr")},
         ["vbeln"], "parvw",
     )
 

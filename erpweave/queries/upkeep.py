@@ -54,7 +54,9 @@ def merge_buckets(t: Tables):
     table = M.BucketedTable(t.spark, work_folder(t.spark, "merge-buckets"), ["user_id"], buckets=16)
     table.create(_before(t))
     table.merge(_after(t), "event_id")
-    return table.read().drop(M.BucketedTable.BUCKET)
+    table.merge(_after(t), "event_id")
+    table.vacuum(keep=1)
+    return table.read()
 
 
 @query("silver_refresh_slice", twin("""WITH c AS (SELECT ebeln, bukrs, lifnr, CAST(try_strptime(bedat, '%Y%m%d') AS DATE) AS bedat,
@@ -68,11 +70,11 @@ def refresh_slice(t: Tables):
     bronze_append(orders.filter(F.col("bedat") < "19990101"), bronze, "ekko", "20240101", "ERP")
     late = orders.filter(F.col("bedat") >= "19980101").withColumn("netwr", F.col("netwr") + 10)
     bronze_append(late, bronze, "ekko", "20240102", "ERP")
-    silver = M.VersionedTable(t.spark, work_folder(t.spark, "slice-silver"))
+    silver = M.BucketedTable(t.spark, work_folder(t.spark, "slice-silver"), ["ebeln"], buckets=8)
     partitioned = StructType([*orders.schema.fields, StructField("_partition_date", StringType())])
     landed = t.spark.read.schema(partitioned).parquet(bronze)
     for day in ("20240101", "20240102"):
-        silver.merge(L.silver_slice(landed, day).select(orders.columns), ["ebeln"], partition_by=["waers"])
+        silver.merge(L.silver_slice(landed, day).select(orders.columns))
     return silver.read().select(orders.columns)
 
 

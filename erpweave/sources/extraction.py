@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,11 +49,20 @@ def extract_and_advance(df: DataFrame, source: str, column: str, store: Watermar
     return copied
 
 
+@dataclass(frozen=True)
+class Slice:
+    """Extracted rows; ``confirm`` moves the pointer and is called when they are stored."""
+
+    rows: DataFrame
+    confirm: Callable[[], None]
+
+
 class DeltaQueue:
     """Extraction pointer over a change log with an increasing batch number.
 
-    full ignores the pointer, delta reads what came after it and moves it, recovery
-    repeats the last delta and leaves it alone.
+    full ignores the pointer, delta reads what came after it, recovery repeats the last
+    confirmed delta. Only a confirmed delta moves the pointer, so a caller that fails before it
+    has stored the rows gets them again.
     """
 
     SCHEMA = "subscriber string, low bigint, high bigint"
@@ -65,16 +77,20 @@ class DeltaQueue:
         row = self.store.read().filter(F.col("subscriber") == self.subscriber).first()
         return (row["low"], row["high"]) if row else (-1, -1)
 
-    def extract(self, log: DataFrame, batch: str, mode: str) -> DataFrame:
+    def extract(self, log: DataFrame, batch: str, mode: str) -> Slice:
         low, high = self.pointer()
         if mode == "full":
-            return log
+            return Slice(log, lambda: None)
         if mode == "recovery":
-            return log.filter((F.col(batch) > low) & (F.col(batch) <= high))
+            return Slice(log.filter((F.col(batch) > low) & (F.col(batch) <= high)), lambda: None)
         if mode != "delta":
             raise ValueError(f"unknown mode {mode!r}")
         newest = log.agg(F.max(batch)).first()[0]
         newest = high if newest is None else max(high, newest)
-        entry = self.spark.createDataFrame([(self.subscriber, high, newest)], self.SCHEMA)
-        self.store.merge(entry, ["subscriber"])
-        return log.filter((F.col(batch) > high) & (F.col(batch) <= newest))
+
+        def confirm() -> None:
+            entry = self.spark.createDataFrame([(self.subscriber, high, newest)], self.SCHEMA)
+            self.store.merge(entry, ["subscriber"])
+            self.store.vacuum(keep=2)
+
+        return Slice(log.filter((F.col(batch) > high) & (F.col(batch) <= newest)), confirm)

@@ -17,27 +17,34 @@ def with_ingestion_metadata(df: DataFrame) -> DataFrame:
 
 
 def parse_with_rescue(df: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """Parse JSON text by schema; what does not fit stays as JSON in ``_rescued_data``.
+    """Parse JSON text by schema; what does not fit stays in ``_rescued_data``.
 
-    Fields the schema does not know are rescued, and so are known fields whose text does
-    not convert to the declared type (their typed column is NULL).
+    Fields the schema does not know are rescued as JSON, and so are known fields whose text does not
+    convert to the declared type (their typed column is NULL). A line that is no JSON object is
+    rescued as it stands, with all typed columns NULL. Blank lines are no rows. Any field name is allowed,
+    that of the text column included; other columns of ``df`` of a declared name give way to the field.
     """
-    text = F.from_json(F.col(column), "map<string,string>")
     names = [f.name for f in schema.fields]
-    typed = {
-        f.name: F.try_element_at(F.col("_fields"), F.lit(f.name)).try_cast(f.dataType) for f in schema.fields
-    }
+    others = [c for c in df.columns if c != column and c not in names]
+    text, fields = F.col("_line.text"), F.col("_line.fields")
+    lines = df.filter(F.length(F.trim(F.col(column))) > 0).select(
+        *[F.col(f"`{c}`") for c in others],
+        F.struct(F.col(column).alias("text"), F.from_json(F.col(column), "map<string,string>").alias("fields")).alias("_line"),
+    )
+    typed = {f.name: F.try_element_at(fields, F.lit(f.name)).try_cast(f.dataType) for f in schema.fields}
     checked = [f.name for f in schema.fields if not isinstance(f.dataType, StringType)]
 
-    def rescued(key: Column, value: Column) -> Column:
-        unknown = ~key.isin(names)
+    def misfit(key: Column, value: Column) -> Column:
+        wrong = ~key.isin(names)
         for name in checked:
-            unknown = unknown | ((key == name) & value.isNotNull() & F.col(name).isNull())
-        return unknown
+            wrong = wrong | ((key == name) & value.isNotNull() & typed[name].isNull())
+        return wrong
 
-    parsed = df.withColumn("_fields", text).withColumns(typed)
-    rest = F.map_filter("_fields", rescued)
-    return parsed.withColumn("_rescued_data", F.when(F.size(rest) > 0, F.to_json(rest))).drop("_fields", column)
+    rest = F.map_filter(fields, misfit)
+    rescued = F.when(fields.isNull(), text).when(F.size(rest) > 0, F.to_json(rest))
+    return lines.select(
+        *[F.col(f"`{c}`") for c in others], *[c.alias(n) for n, c in typed.items()], rescued.alias("_rescued_data")
+    )
 
 
 def write_delimited(df: DataFrame, path: str, separator: str = ";") -> None:

@@ -8,8 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erpweave.session import plan_bytes
-
 
 @dataclass(frozen=True)
 class Namespace:
@@ -28,20 +26,9 @@ class Namespace:
         return cls(**settings[target])
 
 
-# A table between these sizes is usually one or two row groups, which is one or two tasks.
-SPREAD_FROM_BYTES, SPREAD_TO_BYTES = 10 * 1024 * 1024, 128 * 1024 * 1024
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Parquet table; a small one that would load in one task is spread over the cores.
-
-    Filters and column selection still reach the scan. Above the upper size (one scan split)
-    tables bring enough splits of their own and are never shuffled here.
-    """
-    df = spark.read.parquet(path)
-    if SPREAD_FROM_BYTES <= plan_bytes(df) < SPREAD_TO_BYTES:
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+    """Read a Parquet table; splits follow the session (``spark.sql.files.maxPartitionBytes``, ``minPartitionNum``)."""
+    return spark.read.parquet(path)
 
 
 def bronze_append(df: DataFrame, path: str, table: str, partition_date: str, source_system: str) -> None:
@@ -69,12 +56,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], only_touched: bool = False) -> None:
     """Overwrite a partitioned table, or just the partitions present in ``df``.
 
-    Rows are gathered by partition first so that a partition is a few large files; a hash
-    of the row splits a partition that holds much of the data.
+    Rows are rebalanced by partition first: a small partition is one file, and one that holds much of
+    the data is split by its measured size.
     """
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(8))
     (
-        df.repartition(*[F.col(c) for c in partition_by], spread)
+        df.hint("rebalance", *[F.col(c) for c in partition_by])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if only_touched else "static")
         .partitionBy(*partition_by)

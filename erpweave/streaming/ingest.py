@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -62,8 +63,8 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, partition_by: l
 def ingest_table(
     spark: SparkSession, landing: str, bronze: str, checkpoints: str, table: str, schema: StructType
 ) -> DataFrame:
-    """One bronze refresh: new files of ``<landing>/<table>`` appended to the bronze table."""
-    stream = json_stream(spark, f"{landing}/{table}", schema)
+    """One bronze refresh: new files of ``<landing>/<table>`` appended to the bronze table, nothing lost."""
+    stream = json_stream_with_rescue(spark, f"{landing}/{table}", schema)
     run_available(stream, f"{bronze}/{table}", f"{checkpoints}/{table}")
     return spark.read.schema(stream.schema).parquet(f"{bronze}/{table}")
 
@@ -73,8 +74,8 @@ def append_tables(
 ) -> dict[str, DataFrame]:
     """Append what is available of many streams, ``at_once`` of them side by side.
 
-    Returns the accumulated tables. Each table has its own checkpoint, so one that fails
-    raises here and is resumed by the next run without touching the others.
+    Returns the accumulated tables. Each table has its own checkpoint. When one fails, those beside it
+    are awaited before the failure is raised, so the next run finds no query on their checkpoints.
     """
     names = list(streams)
     for start in range(0, len(names), at_once):
@@ -83,8 +84,14 @@ def append_tables(
             .trigger(availableNow=True).start(f"{target}/{name}")
             for name in names[start:start + at_once]
         ]
+        failures = []
         for query in running:
-            query.awaitTermination()
+            try:
+                query.awaitTermination()
+            except StreamingQueryException as failure:
+                failures.append(failure)
+        if failures:
+            raise failures[0]
     return {
         name: stream.sparkSession.read.schema(stream.schema).parquet(f"{target}/{name}")
         for name, stream in streams.items()

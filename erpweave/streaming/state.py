@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -35,17 +36,20 @@ def dedupe_stream(
 def upsert_stream(
     stream: DataFrame, table: VersionedTable | BucketedTable, keys: Sequence[str], order: str, checkpoint: str
 ) -> None:
-    """Merge every micro-batch into the table.
+    """Merge every micro-batch into the table, each exactly once.
 
-    A versioned table writes one version per batch number, a bucketed one rewrites the
-    buckets the batch touches. Either way a retried batch ends in the same rows.
+    The table remembers the last batch per stream, known by the id in the checkpoint. A retried batch is
+    skipped; a new checkpoint is a new stream, whose batches are merged whatever their numbers.
+    Large tables want a ``BucketedTable``, which rewrites only what a batch touches.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        name = json.loads(session.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         if isinstance(table, BucketedTable):
-            table.merge(batch, order)
+            table.merge(batch, order, stream=name, batch=batch_id)
         else:
-            table.merge(batch, keys, order, version=batch_id)
+            table.merge(batch, keys, order, stream=name, batch=batch_id)
 
     query = (
         stream.writeStream.foreachBatch(merge)

@@ -169,3 +169,6 @@ def test_projection_helpers(spark):
     partners = spark.createDataFrame([("o", "ZG", "p1", None), ("o", "WE", None, "k1"), ("o", "RE", "x", "x")], "d string, parvw string, pernr string, kunnr string")
     out = projection.by_role(partners, {"gc": ("ZG", "pernr"), "we": ("WE", "kunnr")}, ["d"], "parvw")
     assert rows(out) == [("o", "p1", "k1")]
+    two = partners.unionByName(partners.withColumn("pernr", F.lit("p2")))
+    out = projection.by_role(two, {"gc": ("ZG", "pernr"), "we": ("WE", "kunnr"), "re": ("XX", "kunnr")}, ["d"], "parvw")
+    assert rows(out) == [("o", "p1", "k1", None), ("o", "p2", "k1", None)]
