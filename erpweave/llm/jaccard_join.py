@@ -25,18 +25,20 @@ words than a shingle have one shingle; repeated rows are rows of one node; an em
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import Counter, deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from erpweave.llm.components import components
-from erpweave.llm.worker import Cache
 from erpweave.session import materialize
 
 SHINGLE = 5
@@ -48,8 +50,6 @@ RANGES = 16
 MEETINGS = 5  # rounds of meetings at most
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
-_WORDS = Cache(xxhash.xxh64_intdigest, 500_000)
-
 
 def _mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes (shift-multiply), so that any bits of them are uniform."""
@@ -58,18 +58,43 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: bytes | None) -> np.ndarray:
-    """Sorted distinct hashes of the text's shingles."""
-    words = text.lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(words) < SHINGLE:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), seed=1)], np.uint64)
-    w = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    h = np.zeros(len(w) - SHINGLE + 1, np.uint64)
-    for k in range(SHINGLE):
-        h = _mix(h * MIX[0] + w[k:len(w) - SHINGLE + 1 + k])
-    return np.unique(h)
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Hash of every word (A-Z lower-cased, between ASCII blanks) of all texts behind one another.
+
+    Words are split and numbered by Arrow; only distinct ones are hashed. Returns the hashes, the ends of
+    the texts, the distinct words and the word numbers.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten().dictionary_encode()
+    distinct = words.dictionary.cast(pa.binary()).to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct))
+    numbers = words.indices.to_numpy()
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    if b"" in distinct:  # blanks at the ends of a text
+        real = numbers != distinct.index(b"")
+        ends = np.concatenate([[0], np.cumsum(real)])[ends]
+        numbers = numbers[real]
+    return hashes[numbers], ends, distinct, numbers
+
+
+def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
+    """Sorted distinct hashes of every text's shingles; all texts are hashed as one array."""
+    w, ends, distinct, numbers = word_hashes(texts)
+    h = np.zeros(max(len(w) - SHINGLE + 1, 0), np.uint64)
+    for k in range(SHINGLE if len(h) else 0):
+        h = h * MIX[0] + w[k:len(w) - SHINGLE + 1 + k]
+    h = _mix(h)
+    out = []
+    for a, b in itertools.pairwise(ends.tolist()):
+        if b - a >= SHINGLE:
+            s = np.sort(h[a:b - SHINGLE + 1])
+            out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
+        elif b > a:
+            whole = b" ".join(distinct[i] for i in numbers[a:b].tolist())
+            out.append(np.array([xxhash.xxh64_intdigest(whole, seed=1)], np.uint64))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
 
 
 def node(hashes: np.ndarray) -> int:
@@ -77,39 +102,33 @@ def node(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).astype(np.int64))
 
 
-def _texts(batches) -> Iterator[tuple[int, list, pa.RecordBatch]]:
+def _slices(batches, size: int = 16_000_000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Parts of the batches with some megabytes of text, and their shingle sets."""
     for batch in batches:
-        yield batch, [shingles(t.as_py()) for t in batch.column("text")]
+        lengths = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
+        start = 0
+        while start < batch.num_rows:
+            before = lengths[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(lengths, before + size, side="right")))
+            part = batch.slice(start, stop - start)
+            yield part, shingle_sets(part.column("text"))
+            start = stop
 
 
-def _sets(batches):
-    """doc_id, node, size and range counts of every document."""
-    for batch, sets in _texts(batches):
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([node(s) if len(s) else None for s in sets], pa.int64()),
-             pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES) for s in sets],
-                      pa.list_(pa.int32()))], ["doc_id", "node", "n", "ranges"])
+class Buckets:
+    """Counts per hash bucket, in compressed blocks: of one task while it reads, and added up over tasks."""
 
+    def __init__(self, bits: int):
+        self.shift, self.table = np.uint64(64 - bits), np.zeros(1 << bits, np.uint32)
 
-def _blocks(bits: int, values):
-    """Counts of values per hash bucket, as compressed blocks of a table of 2 ** bits."""
+    def add(self, hashes: np.ndarray) -> None:
+        np.add.at(self.table, (hashes >> self.shift).astype(np.int64), np.uint32(1))
 
-    def run(batches):
-        table = np.zeros(1 << bits, np.uint32)
-        shift = np.uint64(64 - bits)
-        for found in values(batches):
-            if len(found):
-                at, n = np.unique((found >> shift).astype(np.int64), return_counts=True)
-                table[at] += n.astype(np.uint32)
-        for block in range(len(table) // BLOCK):
-            part = table[block * BLOCK:(block + 1) * BLOCK]
+    def blocks(self) -> Iterator[tuple[int, bytes]]:
+        for block in range(len(self.table) // BLOCK):
+            part = self.table[block * BLOCK:(block + 1) * BLOCK]
             if part.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())],
-                    ["block", "data"])
-
-    return run
+                yield block, zlib.compress(part.tobytes(), 1)
 
 
 def _add_blocks(batches):
@@ -119,29 +138,77 @@ def _add_blocks(batches):
             part = np.frombuffer(zlib.decompress(data.as_py()), np.uint32)
             sums[block] = sums.get(block, 0) + part.astype(np.uint64)
     for block, part in sums.items():
+        total = np.minimum(part, 0xFFFFFFFF).astype(np.uint32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int32()), pa.array([np.minimum(part, 0xFFFFFFFF).astype(np.uint32).tobytes()], pa.binary())],
-            ["block", "data"])
+            [pa.array([block], pa.int32()), pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["block", "data"])
 
 
-def bucket_table(df: DataFrame, bits: int, values) -> np.ndarray:
-    """The summed table on the driver: 2 ** bits counts, whatever the data."""
-    blocks = df.mapInArrow(_blocks(bits, values), "block int, data binary").repartition("block").mapInArrow(
-        _add_blocks, "block int, data binary").toArrow()
+def bucket_table(blocks: DataFrame, bits: int) -> np.ndarray:
+    """The sum of ``blocks(block, data)`` on the driver: 2 ** bits counts, whatever the data."""
+    total = blocks.repartition("block").mapInArrow(_add_blocks, "block int, data binary").toArrow()
     table = np.zeros(1 << bits, np.uint32)
-    for block, data in zip(blocks["block"].to_pylist(), blocks["data"].to_pylist(), strict=True):
-        table[block * BLOCK:(block + 1) * BLOCK] = np.frombuffer(data, np.uint32)
+    for block, data in zip(total["block"].to_pylist(), total["data"], strict=True):
+        table[block * BLOCK:(block + 1) * BLOCK] = np.frombuffer(zlib.decompress(data.as_py()), np.uint32)
     return table
 
 
-def _of_texts(batches):
-    for _, sets in _texts(batches):
-        yield np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+def _sets(id_type: pa.DataType):
+    """One reading of the texts: (doc_id, node, n, ranges) of every document, then the task's shingle counts."""
+    names = ["doc_id", "node", "n", "ranges", "block", "data"]
+
+    def run(batches):
+        counts = Buckets(RANK_BITS)
+        for part, sets in _slices(batches):
+            none = pa.nulls(len(sets))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([node(s) if len(s) else None for s in sets], pa.int64()),
+                 pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES) for s in sets],
+                          pa.list_(pa.int32())), none.cast(pa.int32()), none.cast(pa.binary())], names)
+            counts.add(np.concatenate(sets))
+        for block, data in counts.blocks():
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32())),
+                 pa.array([block], pa.int32()), pa.array([data], pa.binary())], names)
+
+    return run
 
 
-def _of_nodes(batches):
+def _node_bits(batches):
+    """Which buckets of node hashes a task has seen, as compressed blocks of bits."""
+    seen = np.zeros(1 << NEED_BITS, bool)
     for batch in batches:
-        yield _mix(batch.column("node").to_numpy().astype(np.uint64))
+        seen[_need_bucket(batch.column("node").to_numpy())] = True
+    bits = np.packbits(seen)
+    for block in range(len(bits) // BLOCK):
+        part = bits[block * BLOCK:(block + 1) * BLOCK]
+        if part.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["block", "data"])
+
+
+def _or_blocks(batches):
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, data in zip(batch.column("block").to_pylist(), batch.column("data"), strict=True):
+            sums[block] = sums.get(block, 0) | np.frombuffer(zlib.decompress(data.as_py()), np.uint8)
+    for block, part in sums.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["block", "data"])
+
+
+def _need_bucket(nodes: np.ndarray) -> np.ndarray:
+    return (_mix(nodes.astype(np.uint64)) >> np.uint64(64 - NEED_BITS)).astype(np.int64)
+
+
+def need_bits(nodes: DataFrame) -> np.ndarray:
+    """Bits of the buckets that ``nodes`` fall into: 2 ** NEED_BITS / 8 bytes, whatever the data."""
+    found = nodes.mapInArrow(_node_bits, "block int, data binary").repartition("block").mapInArrow(
+        _or_blocks, "block int, data binary").toArrow()
+    bits = np.zeros((1 << NEED_BITS) // 8, np.uint8)
+    for block, data in zip(found["block"].to_pylist(), found["data"], strict=True):
+        bits[block * BLOCK:(block + 1) * BLOCK] = np.frombuffer(zlib.decompress(data.as_py()), np.uint8)
+    return bits
 
 
 def prefix_length(n: int) -> int:
@@ -149,12 +216,16 @@ def prefix_length(n: int) -> int:
 
 
 def _prefixes(ranks: np.ndarray):
-    """(h, n, node, at): the rarest shingles of every set, with their places in its order."""
+    """(h, n, node, at): the rarest shingles of every set, with their places in its order.
+
+    ``h`` has the rank in its high bits, so the order of the numbers is the order of rarity.
+    """
 
     def run(batches):
         seen: set[int] = set()  # copies met again in this task; bounded, only saves rows
         shift = np.uint64(64 - RANK_BITS)
-        for _, sets in _texts(batches):
+        high = ranks.astype(np.uint64) << np.uint64(56)
+        for _, sets in _slices(batches):
             hs, ns, nodes, places = [], [], [], []
             for s in sets:
                 if not len(s):
@@ -165,9 +236,7 @@ def _prefixes(ranks: np.ndarray):
                 if len(seen) < 500_000:
                     seen.add(name)
                 p = prefix_length(len(s))
-                rank = ranks[(s >> shift).astype(np.int64)]
-                order = np.lexsort((s, rank))[:p]
-                hs.append(s[order])
+                hs.append(np.sort(high[(s >> shift).astype(np.int64)] | (s >> np.uint64(8)))[:p])
                 ns.append(np.full(p, len(s)))
                 nodes.append(np.full(p, name))
                 places.append(np.arange(p))
@@ -271,18 +340,17 @@ def _pair_rest(batches):
 
 def _wanted_sets(need: np.ndarray):
     """(node, data) of sets that verification may ask for: five bytes per shingle, ascending."""
-    need = np.packbits(need > 0)
 
     def run(batches):
         seen: set[int] = set()
-        for _, sets in _texts(batches):
+        for _, sets in _slices(batches):
+            sets = [s for s in sets if len(s)]
+            names = [node(s) for s in sets]
+            at = _need_bucket(np.array(names, np.int64))
+            wanted = (need[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
             nodes, data = [], []
-            for s in sets:
-                if not len(s):
-                    continue
-                name = node(s)
-                at = int(_mix(np.array([name]).astype(np.uint64))[0] >> np.uint64(64 - NEED_BITS))
-                if name in seen or not need[at >> 3] >> (7 - (at & 7)) & 1:
+            for s, name, yes in zip(sets, names, wanted.tolist(), strict=True):
+                if not yes or name in seen:
                     continue
                 if len(seen) < 500_000:
                     seen.add(name)
@@ -335,10 +403,14 @@ def _ordered(a: str, b: str) -> list:
 
 def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node, n) of every row, and (node, root) of the nodes that links join to a smaller one."""
-    read = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = materialize(read.mapInArrow(_sets, f"doc_id {kind}, node long, n long, ranges array<int>"), "shingle-sets")
-    frequency = bucket_table(read.select("text"), RANK_BITS, _of_texts)
+    read = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    kind = docs.schema["doc_id"].dataType
+    counted = materialize(
+        read.mapInArrow(_sets(to_arrow_type(kind)),
+                        f"doc_id {kind.simpleString()}, node long, n long, ranges array<int>, block int, data binary"),
+        "shingle-sets")
+    sets = counted.where("block is null").select("doc_id", "node", "n", "ranges")
+    frequency = bucket_table(counted.where("block is not null").select("block", "data"), RANK_BITS)
     ranks = np.floor(np.log2(frequency.astype(float) + 1.0)).astype(np.uint8)
     schema = "h long, n int, node long, at int, root long, before long, head long"
     lists = materialize(
@@ -347,7 +419,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .mapInArrow(_meet(True), schema), "lists")
     rows = lists.count()
     sizes = sets.where("node is not null").dropDuplicates(["node"]).select("node", "n", "ranges")
-    need = bucket_table(lists.select("node").distinct(), NEED_BITS, _of_nodes)
+    need = need_bits(lists.select("node"))
     bodies = materialize(
         read.select("text").mapInArrow(_wanted_sets(need), "node long, data binary").dropDuplicates(["node"]), "sets")
 
