@@ -368,6 +368,18 @@ def _unpack(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def _among(bits: np.ndarray):
+    """Stored sets whose node falls into a bucket of ``bits``."""
+
+    def run(batches):
+        for batch in batches:
+            at = _need_bucket(batch.column("node").to_numpy())
+            found = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            yield batch.filter(pa.array(found.astype(bool)))
+
+    return run
+
+
 def _verify(batches):
     """Pairs whose whole sets are alike."""
     for batch in batches:
@@ -388,11 +400,14 @@ def verified(pairs: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
     apart = F.aggregate(F.zip_with("r_a", "r_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, d: acc + d)
     total = F.col("n_a") + F.col("n_b")
     # Overlap is at most (total - apart) / 2, and at least PERCENT / (100 + PERCENT) of the total is needed.
-    close = pairs.join(side("a"), "a").join(side("b"), "b").where(
-        (100 + PERCENT) * (total - apart) >= 2 * PERCENT * total).select("a", "b")
+    close = materialize(pairs.join(side("a"), "a").join(side("b"), "b").where(
+        (100 + PERCENT) * (total - apart) >= 2 * PERCENT * total).select("a", "b"), "close-pairs")
+    # Only the sets of these pairs are shuffled.
+    asked = need_bits(close.select(F.explode(F.array("a", "b")).alias("node")))
+    bodies = sets.mapInArrow(_among(asked), "node long, data binary").dropDuplicates(["node"])
     return (
-        close.join(sets.select(F.col("node").alias("a"), F.col("data").alias("x")), "a")
-        .join(sets.select(F.col("node").alias("b"), F.col("data").alias("y")), "b")
+        close.join(bodies.select(F.col("node").alias("a"), F.col("data").alias("x")), "a")
+        .join(bodies.select(F.col("node").alias("b"), F.col("data").alias("y")), "b")
         .select("a", "b", "x", "y").mapInArrow(_verify, "u long, v long")
     )
 
@@ -420,8 +435,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = lists.count()
     sizes = sets.where("node is not null").dropDuplicates(["node"]).select("node", "n", "ranges")
     need = need_bits(lists.select("node"))
-    bodies = materialize(
-        read.select("text").mapInArrow(_wanted_sets(need), "node long, data binary").dropDuplicates(["node"]), "sets")
+    bodies = materialize(read.select("text").mapInArrow(_wanted_sets(need), "node long, data binary"), "sets")
 
     met = lists
     pairs = links = None
