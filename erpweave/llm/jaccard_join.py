@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from erpweave.llm.components import components
+from erpweave.llm.worker import focus
 from erpweave.session import materialize
 
 SHINGLE = 5
@@ -102,8 +103,9 @@ def node(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).astype(np.int64))
 
 
-def _slices(batches, size: int = 16_000_000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _slices(batches, size: int = 8_000_000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Parts of the batches with some megabytes of text, and their shingle sets."""
+    focus()
     for batch in batches:
         lengths = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy())
         start = 0
@@ -233,7 +235,7 @@ def _prefixes(ranks: np.ndarray):
                 name = node(s)
                 if name in seen:
                     continue
-                if len(seen) < 500_000:
+                if len(seen) < 200_000:
                     seen.add(name)
                 p = prefix_length(len(s))
                 hs.append(np.sort(high[(s >> shift).astype(np.int64)] | (s >> np.uint64(8)))[:p])
@@ -328,7 +330,7 @@ def _pair_rest(batches):
                     if other[4] != root and _may_link(n, at, other[1], other[3]):
                         pair = (name, other[2]) if name > other[2] else (other[2], name)
                         if pair not in said:
-                            if len(said) > 500_000:
+                            if len(said) > 100_000:
                                 said.clear()
                             said.add(pair)
                             out.append(pair)
@@ -352,7 +354,7 @@ def _wanted_sets(need: np.ndarray):
             for s, name, yes in zip(sets, names, wanted.tolist(), strict=True):
                 if not yes or name in seen:
                     continue
-                if len(seen) < 500_000:
+                if len(seen) < 200_000:
                     seen.add(name)
                 nodes.append(name)
                 data.append((s >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes())

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from erpweave.llm.worker import focus
 from erpweave.session import materialize
 
 CAPACITY = 4096
@@ -50,7 +51,7 @@ class WordIds:
     are new tokens' bulk: they are encoded many at a time, and the ids cut at the tokens that end a word.
     """
 
-    def __init__(self, path: str, limit: int = 450_000):
+    def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -140,6 +141,7 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool, id_type: pa.Data
         if path not in _WORD_IDS:
             _WORD_IDS[path] = WordIds(path)
         encoder = _WORD_IDS[path]
+        focus()
         for batch in batches:
             doc_ids, pieces, starts, lengths, sums, bodies, rows = [], [], [], [], [], [], []
             keys = batch.column("doc_id")

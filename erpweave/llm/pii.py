@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from erpweave.llm.worker import bounded_sample, bucket
+from erpweave.llm.worker import bounded_sample, bucket, focus
 
 # Kinds in the order they are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -279,6 +279,7 @@ def finder(field: Field):
     def find(texts: pa.Array) -> pa.Array:
         counts: list[list[int]] = [[] for _ in KINDS]
         hashes, spans = [], []
+        focus()
         for text in texts.to_pylist():
             base, every = field.spans(text)
             for k, column in enumerate(counts):
@@ -316,6 +317,7 @@ def mask_pii(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
 
     @F.arrow_udf("string")
     def mask(texts: pa.Array) -> pa.Array:
+        focus()
         return pa.array([t if t is None else masked_text(t, field.spans(t)[1]) for t in texts.to_pylist()], pa.string())
 
     masked = docs.withColumn("text", mask(F.col("text")))

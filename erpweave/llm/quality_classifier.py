@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from erpweave.llm.quality_rules import fit
-from erpweave.llm.worker import Cache, bounded_sample, bucket, spread
+from erpweave.llm.worker import Cache, bounded_sample, bucket, focus
 
 SAMPLE_ROWS = 20_000  # bound of the fitting sample
 BUCKETS = 4096
@@ -51,7 +51,7 @@ def _shape(token: bytes) -> int:
     return bucket(text.encode(), BUCKETS) << 4 | flags
 
 
-_SHAPES = Cache(_shape)
+_SHAPES = Cache(_shape, 150_000)
 
 
 def _read(text: bytes) -> tuple[np.ndarray, np.ndarray, list[float]] | None:
@@ -141,6 +141,7 @@ def scorer(weights: np.ndarray, bias: float):
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
+        focus(_SHAPES)
         out = []
         for text in texts.to_pylist():
             got = _read(text) if text else None

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from erpweave.llm.quality_classifier import logistic
-from erpweave.llm.worker import Cache, bounded_sample, bucket
+from erpweave.llm.worker import Cache, bounded_sample, bucket, focus
 
 SAMPLE_ROWS = 20_000  # bound of the labelled fitting sample
 SPACE = 1 << 20
@@ -53,7 +53,7 @@ def _features(token: bytes) -> tuple[int, ...]:
     return tuple(found)
 
 
-_FEATURES = Cache(_features)
+_FEATURES = Cache(_features, 100_000)
 
 
 def _present(text: bytes | None) -> set[int]:
@@ -115,7 +115,7 @@ class Chain:
     def probabilities(self, text: bytes | None) -> list[float]:
         if self.key not in _HITS:
             _HITS.clear()
-            _HITS[self.key] = Cache(self.hits)
+            _HITS[self.key] = Cache(self.hits, 300_000)
         places, values = _graded(_HITS[self.key].__getitem__, text)
         known: list[float] = []
         for w, b in self.models:
@@ -199,6 +199,7 @@ def scorer(chain: Chain):
 
     @F.arrow_udf(", ".join(f"{name} double" for name in chain.names))
     def score(texts: pa.Array) -> pa.Array:
+        focus(*_HITS.values())
         rows = [chain.probabilities(t) for t in texts.to_pylist()]
         columns = [pa.array([r[i] for r in rows], pa.float64()) for i in range(len(chain.names))]
         return pa.StructArray.from_arrays(columns, list(chain.names))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 import zlib
 from collections.abc import Callable
 
@@ -9,6 +10,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_CACHES: list[weakref.ref] = []
+
+
+def focus(*kept: Cache) -> None:
+    """Empty every other cache: a worker that goes on to another operator starts with free memory."""
+    for held in [ref() for ref in _CACHES]:
+        if held is not None and not any(held is k for k in kept):
+            held.clear()
+
+
 class Cache(dict):
     """``make(key)`` remembered; emptied when it holds ``limit`` entries, so memory stays bounded.
 
@@ -18,6 +29,10 @@ class Cache(dict):
     def __init__(self, make: Callable, limit: int = 400_000):
         super().__init__()
         self.make, self.limit = make, limit
+        _CACHES.append(weakref.ref(self, _CACHES.remove))
+
+    def __hash__(self):
+        return id(self)
 
     def __missing__(self, key):
         if len(self) >= self.limit:
@@ -42,7 +57,3 @@ def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     cut = int((1 << 31) * rows / n)
     return df.where(F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit("sample")), F.lit(1 << 31)) < cut)
 
-
-def spread(df: DataFrame, size_hint: int = 0) -> DataFrame:
-    """Bounded tables deal over all cores before Python work on them."""
-    return df.repartition(max(size_hint, df.sparkSession.sparkContext.defaultParallelism))
