@@ -312,6 +312,46 @@ BRONZE: dict[str, tuple[str, list[str]]] = {
         "CAST(CAST(value AS DECIMAL(17,2)) AS STRING) AS value_old",
         "CAST(CAST(value * 2 AS DECIMAL(17,2)) AS STRING) AS value_new",
     ]),
+    # ---- texts, conditions, statuses and schedules of the remaining raw tables -------
+    "t173t": ("nation", ["'100' AS mandt", "EACH('P', 'E') AS spras", f"{_digits('n_nationkey', 2)} AS vsart", "n_name AS bezei"]),
+    "tvrot": ("nation", ["'100' AS mandt", "EACH('P', 'E') AS spras", f"{_digits('n_nationkey', 6)} AS route", "n_name AS bezei"]),
+    "tvstt": ("region", ["'100' AS mandt", "EACH('P', 'E') AS spras", f"{_digits('r_regionkey', 4)} AS vstel", "r_name AS vtext"]),
+    "tvaut": ("region", ["'100' AS mandt", "EACH('P', 'E') AS spras", f"{_digits('r_regionkey', 3)} AS augru", "r_name AS bezei"]),
+    "tvagt": ("region", ["'100' AS mandt", "EACH('P', 'E') AS spras", f"{_digits('r_regionkey', 2)} AS abgru", "r_name AS bezei"]),
+    "tvkggt": ("nation", ["'100' AS mandt", "EACH('P', 'E') AS spras", f"{_digits('n_nationkey', 3)} AS kdkgr", "n_name AS vtext"]),
+    "dd07t": ("region", [
+        "'100' AS mandt", "EACH('CMGST', 'OIG_SSTSF', 'ZZ_ST_DEAL') AS domname", "'P' AS ddlanguage",
+        f"{_digits('r_regionkey', 1)} AS domvalue_l", "r_name AS ddtext",
+    ]),
+    "dd07v": ("region", [
+        "'100' AS mandt", "EACH('CMGST', 'OIG_SSTSF', 'LFART') AS domname", "'P' AS ddlanguage",
+        f"{_digits('r_regionkey', 1)} AS domvalue_l", "lower(r_name) AS ddtext",
+    ]),
+    "knmt": ("customer", [
+        _CLIENT.format(k="c_custkey"), "EACH('BR01', 'BR02') AS vkorg", "'10' AS vtweg", f"{_digits('c_custkey', 10)} AS kunnr",
+        f"{_digits('c_custkey % 200 + 1', 18)} AS matnr", f"{_digits('c_custkey * 3', 35)} AS kdmat", "upper(c_name) AS sortl",
+    ]),
+    "vbuk": ("orders", [
+        _ORDER_CLIENT, f"{_doc('o_orderkey')} AS vbeln", "CASE WHEN o_orderkey % 4 = 0 THEN 'B' ELSE NULL END AS cmgst",
+        "o_orderstatus AS lfstk", "o_orderstatus AS fkstk", "o_orderstatus AS gbstk",
+    ]),
+    "konv": ("lineitem", [
+        _ITEM_CLIENT, f"{_doc('l_orderkey', '6')} AS knumv", f"{_ITEM} AS kposn", "l_linenumber AS stunr", "1 AS zaehk",
+        "CASE WHEN l_discount > 0.05 THEN 'K004' ELSE 'PR00' END AS kschl", "l_discount AS kbetr", f"{_MONEY} AS kwert",
+        "'BRL' AS kwaeh", "'UN' AS kmein", "1 AS kpein",
+    ]),
+    "vbup": ("lineitem", [
+        _ITEM_CLIENT, f"{_doc('l_orderkey', '8')} AS vbeln", f"{_ITEM} AS posnr", "l_linestatus AS lfsta",
+        "l_returnflag AS fksta", "l_linestatus AS kosta",
+    ]),
+    "oigs": ("orders", [
+        _ORDER_CLIENT, f"{_doc('o_orderkey', '4')} AS shnumber", f"{_doc('o_orderkey', '8')} AS doc_number", "'J' AS doc_typ",
+        "o_orderstatus AS status", f"{_dats('o_orderdate')} AS erdat",
+    ]),
+    "eket": ("lineitem", [
+        _ITEM_CLIENT, f"{_doc('l_orderkey', '45')} AS ebeln", f"{_item(10, 5)} AS ebelp", "EACH('0001', '0002') AS etenr",
+        f"{_dats('l_shipdate')} AS eindt", "l_quantity AS menge", "l_quantity AS wemng",
+    ]),
 }
 
 _EACH = re.compile(r"EACH\(([^)]*)\)")

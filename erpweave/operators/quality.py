@@ -132,15 +132,21 @@ def grain_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def schema_conformance(df: DataFrame, expected: StructType) -> DataFrame:
-    """One row per column: expected type, actual type, verdict. Compares metadata only."""
+    """One row per column: expected type, actual type, verdict, and how many values do not fit the expected type."""
     want = {f.name: f.dataType.simpleString() for f in expected.fields}
     have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    rows = []
+    # One pass counts for all columns; the report is its single row turned into one row per column.
+    entries = []
     for name in dict.fromkeys([*want, *have]):
         w, h = want.get(name), have.get(name)
         verdict = "ok" if w == h else "missing" if h is None else "unexpected" if w is None else "type"
-        rows.append((name, w, h, verdict))
-    return df.sparkSession.createDataFrame(rows, "column string, expected string, actual string, verdict string")
+        column = F.col(f"`{name}`")
+        bad = F.count_if(column.isNotNull() & column.cast("string").try_cast(w).isNull()) if w and h else F.lit(None)
+        entries.append(F.struct(
+            F.lit(name).alias("column"), F.lit(w).cast("string").alias("expected"), F.lit(h).cast("string").alias("actual"),
+            F.lit(verdict).alias("verdict"), bad.cast("bigint").alias("bad_values"),
+        ))
+    return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
 def row_status(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from erpweave import crosswalk
+from erpweave.datagen.specs import erp_tables
 from erpweave.operators.dedupe import first_per_key
 from erpweave.operators.maintenance import BucketedTable
 from erpweave.operators.quality import Rule, expect
@@ -377,15 +378,35 @@ def fiscal_layers(t: Tables):
     return tax_summary(fact_fiscal_note(silver("j_1bnfdoc"), silver("j_1bnflin"), silver("j_1bnfstx")))
 
 
-# Raw tables of the bronze layer that the given tables can feed.
-BRONZE_NAMES = tuple(n for n in (
-    "kna1 lfa1 mara makt pa0001 t001w tvsbt vbak vbap vbep vbkd vbpa vbfa vbrk vbrp likp lips vttp vttk oigsi ekko ekpo "
-    "ekbe j_1bnfdoc j_1bnflin j_1bnfstx bkpf"
-).split() if n in crosswalk.BRONZE)
+# All raw tables of the bronze layer.
+BRONZE_NAMES = tuple(erp_tables())
 
 
-@query("bronze_all_tables", twin(" UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS rows FROM {n}" for n in BRONZE_NAMES)))
+def _checksum_sql(name: str) -> str:
+    """Rows of a raw table and the content of all its columns: text lengths, numbers in hundredths."""
+    parts = [
+        f"CASE WHEN try_cast({c} AS DOUBLE) IS NULL OR typeof({c}) = 'VARCHAR' THEN coalesce(length(CAST({c} AS VARCHAR)), 0) "
+        f"ELSE CAST(round(try_cast({c} AS DOUBLE) * 100) AS BIGINT) END" for c in _columns(name)
+    ]
+    return f"SELECT '{name}' AS table_name, count(*) AS rows, CAST(sum({' + '.join(parts)}) AS DECIMAL(38,0)) AS checksum FROM {name}"
+
+
+def _columns(name: str) -> list[str]:
+    return [text.rpartition(" AS ")[2].strip() for text in crosswalk.BRONZE[name][1]]
+
+
+def _checksum(df: DataFrame, name: str) -> DataFrame:
+    text = {f.name: f.dataType.simpleString() == "string" for f in df.schema.fields}
+    parts = [
+        F.coalesce(F.length(c), F.lit(0)) if text[c] else
+        F.coalesce(F.round(F.col(c).cast("double") * 100).cast("bigint"), F.lit(0)) for c in _columns(name)
+    ]
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(sum(parts[1:], parts[0])).cast("decimal(38,0)").alias("checksum")
+    ).select(F.lit(name).alias("table_name"), "rows", "checksum")
+
+
+@query("bronze_all_tables", twin(" UNION ALL ".join(map(_checksum_sql, BRONZE_NAMES))))
 def bronze_all(t: Tables):
     base = work_folder(t.spark, "bronze-all")
     known = {}
@@ -394,10 +415,7 @@ def bronze_all(t: Tables):
         _land_json(raw, f"{base}/landing/{name}")
         known[name] = raw.schema
     bronze = ingest.ingest_tables(t.spark, f"{base}/landing", f"{base}/bronze", f"{base}/cp", known)
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
-        for name, df in bronze.items()
-    ]
+    counts = [_checksum(df, name) for name, df in bronze.items()]
     result = counts[0]
     for one in counts[1:]:
         result = result.unionByName(one)

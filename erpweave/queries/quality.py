@@ -76,10 +76,16 @@ def grain(t: Tables):
     return Q.grain_violations(t.source("lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query("schema_conformance")
+@query("schema_conformance", """SELECT 'o_orderkey' AS "column", 'bigint' AS expected, 'bigint' AS actual, 'ok' AS verdict,
+        count(*) FILTER (o_orderkey IS NOT NULL AND try_cast(o_orderkey AS BIGINT) IS NULL) AS bad_values FROM orders
+    UNION ALL SELECT 'o_orderstatus', 'int', 'string', 'type', count(*) FILTER (o_orderstatus IS NOT NULL AND try_cast(o_orderstatus AS INTEGER) IS NULL) FROM orders
+    UNION ALL SELECT 'clerk', 'int', 'string', 'type', count(*) FILTER (o_custkey % 3 <> 0) FROM orders
+    UNION ALL SELECT 'o_currency', 'string', NULL, 'missing', NULL
+    UNION ALL SELECT 'o_custkey', NULL, 'bigint', 'unexpected', NULL""")
 def conformance(t: Tables):
-    expected = StructType.fromDDL("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice decimal(17,2), o_currency string")
-    return Q.schema_conformance(t.source("orders"), expected)
+    expected = StructType.fromDDL("o_orderkey bigint, o_orderstatus int, clerk int, o_currency string")
+    code = F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey").cast("string")).otherwise("none").alias("clerk")
+    return Q.schema_conformance(t.source("orders").select("o_orderkey", "o_custkey", "o_orderstatus", code), expected)
 
 
 _STATUS = """CASE WHEN lifnr IS NULL OR NOT coalesce(bedat >= '19960101', FALSE) THEN 'E' WHEN NOT netwr >= 1000 THEN 'W' ELSE 'S' END"""
