@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,19 +97,27 @@ def skew_safe_join(
     Keys holding more than ``share`` of the rows of ``left`` are hot, so there are fewer
     than ``1 / share`` of them: that list is what gets broadcast. Rows of a hot key get a
     piece number from a hash of the row, and the matching rows of ``right`` are repeated
-    once per piece. All other keys join as usual.
+    once per piece. Rows of ``left`` with a NULL key match nothing; an inner join drops them first, a left
+    join deals them out by their hash. All other keys join as usual.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_safe_join supports inner and left joins")
     keys = list(keys)
-    counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    no_key = reduce(or_, [F.col(k).isNull() for k in keys])
+    if how == "inner":
+        left = left.filter(~no_key)
+    counts = left.filter(~no_key).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     # The threshold is a scalar subquery: one value, no join.
     threshold = left.agg(F.count(F.lit(1)) * share).scalar()
     hot = counts.filter(F.col("_n") > threshold).select(*keys, F.lit(True).alias("_hot"))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     spread = (
         left.join(F.broadcast(hot), keys, "left")
-        .withColumn("_piece", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(pieces))).otherwise(F.lit(0)).cast("int"))
+        .withColumn(
+            "_piece",
+            F.when(no_key, F.pmod(row_hash, F.lit(1 << 16))).when(F.col("_hot"), F.pmod(row_hash, F.lit(pieces)))
+            .otherwise(F.lit(0)).cast("int"),
+        )
         .drop("_hot")
     )
     repeated = (

@@ -51,6 +51,26 @@ def test_skew_safe_join_spreads_the_hot_key(spark):
     assert joined.count() == 20000 and spread.count() == 16
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_skew_safe_join_deals_out_null_keys(spark, how):
+    # Nine of ten keys are NULL, most others are one key.
+    left = spark.range(20000).select(F.when(F.col("id") % 10 != 0, None).when(F.col("id") % 100 != 0, 5).otherwise(6).alias("k"), "id")
+    right = spark.createDataFrame([(5, "x"), (5, "y"), (None, "z")], "k int, r string")
+    joined = joins.skew_safe_join(left, right, ["k"], how)
+    want = Counter(tuple(r) for r in left.join(right, ["k"], how).select("k", "id", "r").collect())
+    assert Counter(tuple(r) for r in joined.select("k", "id", "r").collect()) == want
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sizes = [r["count"] for r in joins.skew_safe_join(left, right, ["k"], how).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(sizes) < 2 * sum(sizes) / len(sizes)
+
+
 def test_expand_items_pages_a_hot_header(spark):
     headers = spark.createDataFrame([("h1",), ("h2",), ("h3",)], "h string")
     items = spark.range(1000).select(F.when(F.col("id") < 990, "h1").otherwise("h2").alias("h"), F.col("id").alias("n"))
