@@ -29,11 +29,11 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, root) for every node of ``links(u, v)`` but the roots; the root is the least node."""
     links = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    state = None
     for _ in range(most_rounds):
         links = materialize(_star(_star(links, True), False), "star")
-        seen = links.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")).first()
-        if state == tuple(seen):
+        # Done when every node has one link, to a node that has none.
+        seen = links.agg(F.count("*").alias("n"), F.count_distinct("u").alias("nodes")).first()
+        if seen["n"] == seen["nodes"] and links.select(F.col("v").alias("u")).join(
+                links.select("u"), "u", "left_semi").isEmpty():
             break
-        state = tuple(seen)
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))

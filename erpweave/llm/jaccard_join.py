@@ -13,7 +13,8 @@ right results; shared buckets only make a rare shingle look less rare.
 Equal sets are one node from the start, so groups of copies cost one row. Inside a list not all pairs
 are formed: first every entry meets only the entry before it and the head of its size range; verified
 pairs are contracted to components; then only pairs of different components are left. If lists still
-hold many of these, the meeting is repeated in other orders before the rest is paired exhaustively.
+hold many of these, the meeting is repeated in other orders, as long as it contracts, before the rest is
+paired exhaustively.
 So no link between components is lost, and a large group of near copies costs a few rows per member.
 
 Verified are sets of 40-bit hashes of the shingles (two different shingles of a pair of 600 coincide with
@@ -440,7 +441,8 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bodies = materialize(read.select("text").mapInArrow(_wanted_sets(need), "node long, data binary"), "sets")
 
     met = lists
-    pairs = links = None
+    pairs = roots = None
+    before = float("inf")
     for meeting in range(MEETINGS + 1):
         fresh = met.select(F.explode(F.array("before", "head")).alias("other"), "node").where("other is not null") \
             .select(*_ordered("node", "other")).distinct()
@@ -449,8 +451,10 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         fresh = materialize(fresh, "pairs")
         pairs = fresh if pairs is None else pairs.unionByName(fresh)
         found = materialize(verified(fresh, sizes, bodies), "links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
+        # Earlier links are in the roots: stars, to which only the new links are added.
+        if roots is not None:
+            found = found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        roots = components(found)
         rooted = lists.select("h", "n", "node", "at").join(roots, "node", "left").select(
             "h", "n", "node", "at", F.coalesce("root", "node").alias("root"))
         # Lists of one component are done.
@@ -458,8 +462,12 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("cross")).where("cross > 0")
         rooted = materialize(rooted.join(open_lists, "h").drop("cross"), "open-lists")
         cross = open_lists.agg(F.sum("cross").alias("all")).first()["all"] or 0.0
-        if cross <= 2.0 * rows + 100_000 or meeting == MEETINGS:
+        if not cross:
+            return sets.select("doc_id", "node", "n"), roots
+        # Another meeting pays while it contracts: near copies of one text do, texts that share a passage do not.
+        if cross <= 20.0 * rows + 100_000 or cross > 0.7 * before or meeting == MEETINGS:
             break
+        before = cross
         met = rooted.repartition("h").sortWithinPartitions("h", F.xxhash64("node", F.lit(meeting))) \
             .mapInArrow(_meet(False), schema)
     rest = rooted.repartition("h").sortWithinPartitions("h", "n", "node").mapInArrow(_pair_rest, "a long, b long") \
