@@ -442,7 +442,9 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     met = lists
     pairs = roots = None
-    before = float("inf")
+    # Pairs of different components inside lists, at first of different nodes.
+    k = F.count("*").cast("double")
+    before = lists.groupBy("h").agg((k * (k - 1) / 2).alias("k")).agg(F.sum("k")).first()[0] or 0.0
     for meeting in range(MEETINGS + 1):
         fresh = met.select(F.explode(F.array("before", "head")).alias("other"), "node").where("other is not null") \
             .select(*_ordered("node", "other")).distinct()
@@ -465,7 +467,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if not cross:
             return sets.select("doc_id", "node", "n"), roots
         # Another meeting pays while it contracts: near copies of one text do, texts that share a passage do not.
-        if cross <= 20.0 * rows + 100_000 or cross > 0.7 * before or meeting == MEETINGS:
+        if cross <= 5.0 * rows + 100_000 or cross > 0.7 * before or meeting == MEETINGS:
             break
         before = cross
         met = rooted.repartition("h").sortWithinPartitions("h", F.xxhash64("node", F.lit(meeting))) \
