@@ -6,14 +6,19 @@ divergence above a bound); the next-word distribution of a kept context is smoot
 longest kept suffix, down to the add-one distribution of single words at the root. A text is scored
 word by word from the state of the longest kept suffix.
 
-Counting covers the whole training part. Word counts are one map-side combined aggregate, stored as
-a table that grows with the vocabulary. Contexts grow level by level: a sequence can only be frequent
-if its start is, so level d counts next words only after sequences that level d - 1 found frequent. Frequent means
-a fixed share of all tokens, hence at most 1 / share entries per level: that bounds what reaches the
-driver and every worker.
+Counting covers the whole training part. Every sequence seen ``LEAST`` times can be a context or a remembered
+next word, at any corpus size; words, sequences and states are stored tables that grow with the corpus. A level is
+counted by one groupBy, and its contexts are tested by a join of the level with the level below, which holds
+their suffixes. Sequences whose start or end is too rare are left out before the groupBy by a bit table of
+hashes, which passes some too many and none too few.
 
-Words above ``WORD_SHARE`` are scored where the text is read. All rarer words get their exact counts from
-the table by a join; no frequent word takes part in it, so it has no hot key.
+The log probability of a word is a sum: root, plus for every kept suffix of its history the log share that the suffix
+leaves to shorter ones, plus a correction where the word was seen after it. Both are values of a key, so scoring is
+a join of keys with one table. Keys of more than ``STATE_SHARE`` of all tokens are looked up where the text is read, and so are
+words above ``WORD_SHARE``; only the others take part in joins, which so have no hot key. Both shares change
+where a value is looked up and no result.
+
+Sequences are told apart by 64-bit hashes of their words.
 
 Defined results: NULL and blank texts consist of the end token; a NULL doc_id belongs to the training part;
 repeated rows count and score each; without training rows all words are unknown; an empty table gives no rows.
@@ -22,6 +27,7 @@ repeated rows count and score each; without training rows all words are unknown;
 from __future__ import annotations
 
 from collections import Counter
+from hashlib import blake2b
 from itertools import repeat
 
 import numpy as np
@@ -34,12 +40,14 @@ from erpweave.session import materialize
 
 END = b""  # the end token; no word is empty
 WORD_SHARE = 5e-7  # words above it are in the workers' dictionary (at most 2 million)
-STATE_SHARE = 2e-6  # sequences above it can be contexts and next words (at most 500,000 a level)
-LEAST = 4  # and in no case rarer than this
+STATE_SHARE = 2e-6  # keys above it are too (at most 500,000 a level and kind)
+LEAST = 4  # sequences seen as often can be contexts and next words
 DEPTH = 3
 KAPPA = 2.0  # weight of the shorter state besides its unseen share
 GAIN = 10.0  # divergence in nats that a context must bring, besides one per next word
-SHIFT = 21  # bits of a word or context number
+TURN = 21  # bits by which a sequence's hash is turned before the next word is added
+AS_CONTEXT = 0x5DEECE66D1234567  # tells the key of a context from that of the sequence
+BITS = 27  # log of the size of a bit table
 TOKENS = 250_000  # tokens held as arrays at a time
 
 
@@ -79,23 +87,87 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
+def word_id(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+
+
+class _WordIds(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 400_000:
+            self.clear()
+        self[word] = found = word_id(word)
+        return found
+
+
+_WORD_IDS = _WordIds()
+END_ID = word_id(END)
+
+
+def longer(sequence: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a sequence with one more word; ``_longer`` is the same on columns."""
+    turned = sequence.view(np.uint64)
+    return ((turned << np.uint64(TURN)) | (turned >> np.uint64(64 - TURN))).view(np.int64) ^ word
+
+
+def _longer(sequence: str, word: str) -> Column:
+    return F.expr(f"(shiftleft({sequence}, {TURN}) | shiftrightunsigned({sequence}, {64 - TURN})) ^ {word}")
+
+
+def bit_table(keys: DataFrame) -> np.ndarray:
+    """Bits set at the low ends of ``keys(key)``; at most 2^(BITS - 6) rows reach the driver."""
+    slot = f"(key & {(1 << BITS) - 1}L)"
+    rows = (
+        keys.select(F.expr(f"shiftright({slot}, 6)").alias("at"), F.expr(f"shiftleft(1L, cast({slot} & 63 as int))").alias("bit"))
+        .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    )
+    table = np.zeros(1 << (BITS - 6), np.int64)
+    table[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+    return table
+
+
+def may_hold(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys & ((1 << BITS) - 1)
+    return (table[slot >> 6] >> (slot & 63)) & 1 == 1
+
+
+def sequences(ids: np.ndarray, levels: int):
+    """Per level: places of tokens with a whole context in their text, hash of the context and of both together."""
+    inner = ids != END_ID
+    place = np.arange(1, len(ids))[inner[:-1]]
+    every = ids
+    for level in range(levels):
+        context = every[place - 1]
+        both = longer(context, ids[place])
+        yield place, context, both
+        every = np.zeros(len(ids), np.int64)
+        every[place] = both
+        whole = np.zeros(len(ids), bool)
+        whole[place] = inner[place]
+        place = np.arange(1, len(ids))[whole[:-1]]
+
+
 class Tree:
-    """Words by falling count, and per level the frequent sequences with their counts.
+    """The workers' part of the tree: frequent words by falling count, and the values of frequent keys.
 
-    ``keys[d]`` are the sorted numbers of sequences of d + 2 words: number of the first d + 1 words, then
-    the last word. The place in the array is the number of the sequence as a context of the next level.
+    ``contexts[d]`` are the hashes of frequent contexts of d + 1 words (at level 0, of the words in their order) and
+    ``suffixes[d]`` those of their suffixes. ``values`` is the stored table of all keys, ``bits`` its bit table.
     """
 
-    def __init__(self, words: list[bytes], counts: np.ndarray, n: int, v: int, n_symbols: int):
+    def __init__(self, words: list[bytes], counts: np.ndarray, n: int, v: int):
         self.numbers = dict(zip(words, range(len(words)), strict=True))
-        self.counts, self.n, self.v, self.n_symbols = counts, n, v, n_symbols
+        self.counts, self.n, self.v = counts, n, v
+        self.ids = np.array([word_id(w) for w in words], np.int64)
         self.root = (counts + 1.0) / (n + v + 1.0)
-        self.keys: list[np.ndarray] = []
-        self.sizes: list[np.ndarray] = []  # counts of the sequences of a level
+        self.levels = 0
+        self.keys, self.worth = np.zeros(0, np.int64), np.zeros(0)
+        self.bits = np.zeros(1 << (BITS - 6), np.int64)
+        self.contexts: list[np.ndarray] = []
+        self.suffixes: list[np.ndarray] = []
         self.kept: list[np.ndarray] = []
-        self.back: list[np.ndarray] = []  # share of a context left to its suffix
-        self.total: list[np.ndarray] = []
-        self.parent: list[np.ndarray] = []
+        self.values: DataFrame | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "values": None}
 
     def encode(self, batch: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Word numbers of texts behind one another (-1: not in the dictionary), where each ends, and the words."""
@@ -108,45 +180,41 @@ class Tree:
             ends.append(len(flat))
         return np.fromiter(map(self.numbers.get, flat, repeat(-1)), np.int64, len(flat)), np.array(ends), flat
 
-    def sequences(self, numbers: np.ndarray, levels: int):
-        """Per level: number of the context before each token (-1: none) and of context plus token in ``keys``.
-
-        Contexts do not cross texts: the end token is no context.
-        """
-        end = self.numbers.get(END, -2)
-        symbols = np.where(numbers < self.n_symbols, numbers, -1)
-        context = np.full(len(numbers), -1, np.int64)
-        context[1:] = np.where(symbols[:-1] == end, -1, symbols[:-1])
-        for level in range(levels):
-            both = (context >= 0) & (symbols >= 0)
-            key = np.where(both, (context << SHIFT) | np.maximum(symbols, 0), -1)
-            if level == len(self.keys):
-                yield context, key
-                return
-            place = np.where(both, find(self.keys[level], key), -1)
-            yield context, place
-            context = np.full(len(numbers), -1, np.int64)
-            context[1:] = np.where(symbols[:-1] == end, -1, place[:-1])
-
-    def pair_counter(self):
-        """Counts (context, next word) of the level after the last known one."""
+    def hashed(self, numbers: np.ndarray, words: list[bytes]) -> np.ndarray:
+        """Hashes of all words, in the dictionary or not."""
+        ids = self.ids[np.maximum(numbers, 0)] if len(self.ids) else np.zeros(len(numbers), np.int64)
+        cold = np.flatnonzero(numbers < 0)
+        ids[cold] = np.fromiter((_WORD_IDS[words[i]] for i in cold.tolist()), np.int64, len(cold))
+        return ids
+
+    def pair_counter(self, level: int, bits: np.ndarray):
+        """Counts (context, word) of a level, where ``bits`` has the start and the end of the sequence."""
 
         def run(batches):
-            held: list[np.ndarray] = []
+            held: list[tuple[np.ndarray, ...]] = []
             waiting = 0
 
             def out():
-                keys, counts = np.unique(np.concatenate(held), return_counts=True)
-                for at in range(0, len(keys), 500_000):
+                key, context, word = (np.concatenate(part) for part in zip(*held, strict=True))
+                _, first, counts = np.unique(key, return_index=True, return_counts=True)
+                for at in range(0, len(first), 500_000):
+                    rows = first[at:at + 500_000]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[at:at + 500_000], pa.int64()), pa.array(counts[at:at + 500_000], pa.int64())],
-                        ["key", "n"])
+                        [pa.array(context[rows]), pa.array(word[rows]), pa.array(counts[at:at + 500_000], pa.int64())],
+                        ["context", "word", "n"])
 
             for texts in _slices(batches):
-                numbers, _, _ = self.encode(texts)
-                *_, (_, key) = self.sequences(numbers, len(self.keys) + 1)
-                held.append(key[key >= 0])
-                waiting += len(held[-1])
+                numbers, _, words = self.encode(texts)
+                ids = self.hashed(numbers, words)
+                end = ids
+                for at, (place, context, both) in enumerate(sequences(ids, level + 1)):
+                    if at < level:  # the sequence one word shorter is the end of the one wanted
+                        end = np.zeros(len(ids), np.int64)
+                        end[place] = both
+                fine = may_hold(bits, context)
+                fine[fine] = may_hold(bits, end[place[fine]])
+                held.append((both[fine], context[fine], ids[place[fine]]))
+                waiting += len(held[-1][0])
                 if waiting > 4_000_000:
                     yield from out()
                     held, waiting = [], 0
@@ -155,58 +223,38 @@ class Tree:
 
         return run
 
-    def probability(self, level: int, context: np.ndarray, word: np.ndarray, parent_only: bool = False) -> np.ndarray:
-        """Probability of words after contexts of a level (-1: the root), by the kept states."""
-        if level < 0:
-            return self.root[word]
-        p = self.probability(level - 1, self.parent[level][context], word)
-        if parent_only:
-            return p
-        place = find(self.keys[level], (context << SHIFT) | word)
-        seen = np.where(place >= 0, self.sizes[level][place] if len(self.sizes[level]) else 0, 0)
-        own = (seen + self.back[level][context] * p) / (self.total[level][context] + KAPPA)
-        return np.where(self.kept[level][context], own, p)
-
-    def add_level(self, keys: np.ndarray, sizes: np.ndarray) -> None:
-        """Take the frequent sequences of a level and test its contexts against their suffixes."""
-        level = len(self.keys)
-        order = np.argsort(keys)
-        self.keys.append(keys[order])
-        self.sizes.append(sizes[order])
-        keys, sizes = self.keys[level], self.sizes[level]
-        if level == 0:
-            total = self.counts[:self.n_symbols].astype(float)
-            parent = np.full(self.n_symbols, -1, np.int64)
-        else:
-            total = self.sizes[level - 1].astype(float)
-            last = self.keys[level - 1] & ((1 << SHIFT) - 1)
-            first = self.keys[level - 1] >> SHIFT
-            parent = last if level == 1 else find(self.keys[level - 2], (self.parent[level - 1][first] << SHIFT) | last)
-        self.parent.append(parent)
-        self.total.append(total)
-        context, word = keys >> SHIFT, keys & ((1 << SHIFT) - 1)
-        known = np.bincount(context, sizes, len(total))
-        self.back.append(total - known + KAPPA)
-        self.kept.append(np.zeros(len(total), bool))
-        before = self.probability(level, context, word, parent_only=True)
-        now = sizes / total[context]
-        gain = np.bincount(context, now * np.log(now / before), len(total))
-        rest_now = np.clip(1.0 - known / total, 1e-12, None)
-        rest_before = np.clip(1.0 - np.bincount(context, before, len(total)), 1e-12, None)
-        gain += rest_now * np.log(rest_now / rest_before)
-        self.kept[level] = total * gain > GAIN + np.bincount(context, minlength=len(total))
+    def worths(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of keys, 0 where the dictionary has none, and whether it has one."""
+        at = find(self.keys, keys)
+        return np.where(at >= 0, self.worth[at] if len(self.keys) else 0.0, 0.0), at >= 0
+
+    def probability(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Probability of dictionary words after frequent contexts of a level, by the keys in the dictionary."""
+        p = np.log10(self.root[word])
+        known = self.contexts[level][context]
+        for at in range(level, -1, -1):
+            for key in (known ^ AS_CONTEXT, longer(known, self.ids[word])):
+                p = p + self.worths(key)[0]
+            if at:
+                order = np.argsort(self.contexts[at])
+                known = self.suffixes[at][order[find(self.contexts[at][order], known)]]
+        return 10.0 ** p
+
+    def states(self, ids: np.ndarray):
+        """Places of tokens and keys that may have a value."""
+        for place, context, both in sequences(ids, self.levels):
+            key = context ^ AS_CONTEXT
+            fine = np.flatnonzero(may_hold(self.bits, key))
+            yield place[fine], key[fine]
+            fine = fine[may_hold(self.bits, both[fine])]  # a word is remembered after kept contexts only
+            yield place[fine], both[fine]
 
     def score(self, numbers: np.ndarray) -> np.ndarray:
-        """log10 probability of every token; for words outside the dictionary without their root probability."""
-        p = np.where(numbers >= 0, self.root[np.maximum(numbers, 0)] if len(self.root) else 1.0, 1.0)
-        for level, (context, place) in enumerate(self.sequences(numbers, len(self.keys))):
-            at = np.flatnonzero(context >= 0)
-            at = at[self.kept[level][context[at]]]
-            if len(at):
-                c = context[at]
-                seen = np.where(place[at] >= 0, self.sizes[level][place[at]] if len(self.sizes[level]) else 0, 0)
-                p[at] = (seen + self.back[level][c] * p[at]) / (self.total[level][c] + KAPPA)
-        return np.log10(p)
+        """log10 probability of every dictionary word in a text of them, by the keys in the dictionary."""
+        p = np.log10(self.root[numbers])
+        for place, key in self.states(self.ids[numbers]):
+            p[place] += self.worths(key)[0]
+        return p
 
     def scorer(self):
         def run(batches):
@@ -218,17 +266,29 @@ class Tree:
                     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
                     hot = numbers >= 0
                     base = np.where(hot, np.log10(self.root[np.maximum(numbers, 0)]) if len(self.root) else 0.0, 0.0)
+                    state = np.zeros(len(hot))
+                    asked, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                    for place, key in self.states(self.hashed(numbers, words)):
+                        worth, known = self.worths(key)
+                        state[place] += worth
+                        asked.append(place[~known])
+                        keys.append(key[~known])
+                    asked, keys = np.concatenate(asked), np.concatenate(keys)
+                    order = np.argsort(asked, kind="stable")
+                    bounds = [*starts, len(hot)]
                     cold = np.flatnonzero(~hot)
                     rare = pa.ListArray.from_arrays(
-                        pa.array(np.searchsorted(cold, [*starts, len(hot)]), pa.int32()),
+                        pa.array(np.searchsorted(cold, bounds), pa.int32()),
                         pa.array([words[i] for i in cold.tolist()], pa.binary()))
+                    rest = pa.ListArray.from_arrays(
+                        pa.array(np.searchsorted(asked[order], bounds), pa.int32()), pa.array(keys[order], pa.int64()))
                     n = len(texts)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.arange(part, part + n)), batch.column("doc_id").slice(at, n),
                          batch.column("held_out").slice(at, n), pa.array(ends - starts, pa.int64()),
                          pa.array(np.add.reduceat(hot.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
-                         pa.array(np.add.reduceat(self.score(numbers), starts)), rare],
-                        ["row", "doc_id", "held_out", "n_tokens", "n_hot", "base", "score", "rare"])
+                         pa.array(np.add.reduceat(base + state, starts)), rare, rest],
+                        ["row", "doc_id", "held_out", "n_tokens", "n_hot", "base", "score", "rare", "keys"])
                     part += n
                     at += n
 
@@ -251,6 +311,41 @@ def _slices(batches):
             yield texts
 
 
+def _symbols(batches):
+    for batch in batches:
+        ids = [word_id(w) for w in batch.column("word").to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), batch.column("n")], ["key", "n"])
+
+
+def _level(counted: DataFrame, below: DataFrame) -> DataFrame:
+    """Test the contexts of ``counted(context, word, n)`` against their suffixes, and smooth the kept ones.
+
+    ``below(key, n, suffix, p)`` is the level of the contexts and of the suffixes. The result is such a table, with
+    the context, its count and values; ``left`` and ``more`` are NULL for contexts that are not kept.
+    """
+    rows = (
+        counted.join(below.select(F.col("key").alias("context"), F.col("n").alias("total"), F.col("suffix").alias("parent")), "context")
+        .select("context", "n", "total", "parent", _longer("context", "word").alias("key"), _longer("parent", "word").alias("suffix"))
+        .join(below.select(F.col("key").alias("suffix"), F.col("p").alias("before")), "suffix")
+    )
+    rows = materialize(rows, "sequences")
+    now = F.col("n") / F.col("total")
+    tested = rows.groupBy("context").agg(
+        F.first("total").alias("total"), F.sum("n").alias("known"), F.count("*").alias("words"),
+        F.sum(now * F.ln(now / F.col("before"))).alias("gain"), F.sum("before").alias("before"))
+    rest_now = F.greatest(F.lit(1e-12), 1.0 - F.col("known") / F.col("total"))
+    rest_before = F.greatest(F.lit(1e-12), 1.0 - F.col("before"))
+    gain = F.col("total") * (F.col("gain") + rest_now * F.ln(rest_now / rest_before))
+    kept = tested.where(gain > GAIN + F.col("words")).select("context", (F.col("total") - F.col("known") + KAPPA).alias("back"))
+    left = F.col("back") / (F.col("total") + KAPPA)
+    p = F.coalesce((F.col("n") + F.col("back") * F.col("before")) / (F.col("total") + KAPPA), "before")
+    return materialize(
+        rows.join(kept, "context", "left").select(
+            "key", "n", "suffix", "context", "total", "parent", p.alias("p"), F.log10(left).alias("left"),
+            (F.log10(p) - F.log10(left * F.col("before"))).alias("more")),
+        "level")
+
+
 def grow(training: DataFrame, vocabulary: DataFrame, depth: int = DEPTH) -> Tree:
     """Fit the tree to ``training(text)`` with its stored ``vocabulary(word, n)``."""
     totals = vocabulary.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
@@ -259,16 +354,46 @@ def grow(training: DataFrame, vocabulary: DataFrame, depth: int = DEPTH) -> Tree
     words, counts = frequent["word"].to_pylist(), frequent["n"].to_numpy().astype(np.int64)
     order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
     counts = counts[order] if len(order) else counts
-    least = max(LEAST, STATE_SHARE * n)
-    tree = Tree([words[i] for i in order], counts, n, v, int((counts >= least).sum()))
-    for _ in range(depth if tree.n_symbols else 0):
-        pairs = (
-            training.select("text").mapInArrow(tree.pair_counter(), "key long, n long")
-            .groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
-        )
-        tree.add_level(pairs["key"].to_numpy(), pairs["n"].to_numpy())
-        if not len(tree.keys[-1]):
+    tree = Tree([words[i] for i in order], counts, n, v)
+    below = materialize(
+        vocabulary.where(F.col("n") >= LEAST).select("word", "n").mapInArrow(_symbols, "key long, n long")
+        .select("key", "n", F.lit(0).cast("long").alias("suffix"), ((F.col("n") + 1.0) / (n + v + 1.0)).alias("p")),
+        "symbols")
+    hot = max(LEAST, STATE_SHARE * n)
+    values: list[DataFrame] = []
+    for level in range(depth):
+        bits = bit_table(below)
+        if not bits.any():
             break
+        counted = (
+            training.select("text").mapInArrow(tree.pair_counter(level, bits), "context long, word long, n long")
+            .groupBy("context", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
+        )
+        below = _level(counted, below)
+        kept = below.where("left IS NOT NULL")
+        states = kept.groupBy("context").agg(F.first("total").alias("n"), F.first("left").alias("value"), F.first("parent").alias("parent"))
+        values.append(states.select(F.expr(f"context ^ {AS_CONTEXT}L").alias("key"), "n", "value"))
+        values.append(kept.select("key", "n", F.col("more").alias("value")))
+        known = states.where(F.col("n") >= hot).select("context", "parent").toArrow()
+        found = known["context"].to_numpy()
+        if level:
+            tree.contexts.append(found)
+            tree.suffixes.append(known["parent"].to_numpy())
+            tree.kept.append(np.ones(len(found), bool))
+        else:
+            tree.contexts.append(tree.ids)
+            tree.suffixes.append(np.zeros(len(tree.ids), np.int64))
+            tree.kept.append(np.isin(tree.ids, found))
+        tree.levels += 1
+    if values:
+        table = values[0]
+        for more in values[1:]:
+            table = table.unionByName(more)
+        tree.values = materialize(table, "values")
+        tree.bits = bit_table(tree.values)
+        known = tree.values.where(F.col("n") >= hot).select("key", "value").toArrow()
+        order = np.argsort(known["key"].to_numpy())
+        tree.keys, tree.worth = known["key"].to_numpy()[order], known["value"].to_numpy()[order]
     return tree
 
 
@@ -284,7 +409,7 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     known = materialize(
         read.mapInArrow(
             tree.scorer(), f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_hot long, base double, "
-            "score double, rare array<binary>"),
+            "score double, rare array<binary>, keys array<long>"),
         "scores")
     of_rare = F.log10((F.coalesce("n", F.lit(0)) + 1.0) / (tree.n + tree.v + 1.0))
     rare = (
@@ -292,9 +417,19 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
         .join(vocabulary, "word", "left")
         .groupBy("row").agg(F.sum(of_rare).alias("rest"), F.count("n").alias("n_rare"))
     )
+    known_words = known.join(rare, "row", "left")
     rest = F.coalesce("rest", F.lit(0.0))
-    return known.drop("rare").join(rare, "row", "left").select(
+    state = F.lit(0.0)
+    if tree.values is not None:
+        states = (
+            known.select("row", F.explode("keys").alias("key"))
+            .join(tree.values.select("key", "value"), "key")
+            .groupBy("row").agg(F.sum("value").alias("state"))
+        )
+        known_words = known_words.join(states, "row", "left")
+        state = F.coalesce("state", F.lit(0.0))
+    return known_words.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_hot") + F.coalesce("n_rare", F.lit(0))).alias("n_known"),
         F.lit(tree.n).cast("long").alias("train_tokens"), (F.col("base") + rest).alias("base_score"),
-        (F.col("score") + rest).alias("score"),
+        (F.col("score") + rest + state).alias("score"),
     )

@@ -182,6 +182,52 @@ def test_base_scores_equal_brute_force(spark, folder, texts):
     assert sum(r.score for r in test) > sum(r.base_score for r in test)
 
 
+def plain_scores(texts: dict, held: set) -> dict:
+    """Scores by a suffix tree in plain dictionaries."""
+    words = {d: [*(t or "").encode().lower().split(), b""] for d, t in texts.items()}
+    c = Counter(w for d, ws in words.items() if d not in held for w in ws)
+    n, v = sum(c.values()), len(c)
+    grams = [Counter() for _ in range(3)]
+    for d, ws in words.items():
+        if d not in held:
+            for k in range(3):
+                grams[k].update(tuple(ws[i:i + k + 2]) for i in range(len(ws) - k - 1))
+    after = defaultdict(dict)
+    for g in grams:
+        for seq, m in g.items():
+            if m >= 4:
+                after[seq[:-1]][seq[-1]] = m
+    total = {**{(w,): m for w, m in c.items()}, **grams[0], **grams[1]}
+    kept = {}
+
+    def p(context, w):
+        if not context:
+            return (c[w] + 1) / (n + v + 1)
+        q = p(context[1:], w)
+        if context not in kept:
+            return q
+        return (after[context].get(w, 0) + kept[context] * q) / (total[context] + 2.0)
+
+    for context in sorted(after, key=len):
+        t, known = total[context], after[context]
+        before = {w: p(context[1:], w) for w in known}
+        rest, rest_before = (max(1e-12, 1 - x) for x in (sum(known.values()) / t, sum(before.values())))
+        gain = sum(m / t * math.log(m / t / before[w]) for w, m in known.items()) + rest * math.log(rest / rest_before)
+        if t * gain > 10.0 + len(known):
+            kept[context] = t - sum(known.values()) + 2.0
+    return {d: sum(math.log10(p(tuple(ws[max(0, i - 3):i]), w)) for i, w in enumerate(ws)) for d, ws in words.items()}
+
+
+def test_rare_sequences_are_states_at_any_corpus_size(spark, folder, texts, monkeypatch):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    held = {r.doc_id for r in docs.where(suffix_tree.held_out(F.col("doc_id"))).collect()}
+    want = plain_scores(texts, held)
+    for share in (2e-6, 1e-3, 1.0):  # as if the corpus were larger: the bounds of the workers' dictionaries only
+        monkeypatch.setattr(suffix_tree, "STATE_SHARE", share)
+        monkeypatch.setattr(suffix_tree, "WORD_SHARE", share / 4)
+        assert {r.doc_id: r.score for r in suffix_tree.scored(docs).collect()} == pytest.approx(want)
+
+
 def test_states_are_distributions(spark):
     rng = np.random.default_rng(8)
     lines = []
