@@ -3,12 +3,13 @@
 ``pieces`` turns whole documents into token pieces of at most ``capacity``: only longer documents are
 cut, into full pieces and a rest. ``pack`` puts pieces into as few sequences as it can.
 
-Packing works on shards of about ``SHARD`` pieces, dealt by hash, so no task holds more and the loss is
-less than one sequence per shard. A second round takes the emptiest sequences of all shards
-and packs their pieces again together. Inside a shard best-fit decreasing makes the start;
-then the emptiest bin gives its pieces away, by a move into a gap, by exchange for one smaller piece
-or for two that are smaller together. Every step moves tokens from an emptier to a fuller bin, so
-the sum of squared fills grows and the search ends; a bin that has nothing left is gone.
+Packing works on shards of about ``SHARD`` pieces, dealt by hash. Further rounds deal all underfull
+sequences anew, whole, and go on with the search over them (or start again, where that needs fewer), until one
+shard holds them all or a round saves no sequence. Inside a shard best-fit decreasing makes the start;
+then every underfull bin, from the emptiest on, gives its pieces to any fuller one, by a move into a gap, by
+exchange for one smaller piece or for two that are smaller together, until no step is left. Every step moves
+tokens from an emptier to a fuller bin, so the sum of squared fills grows and the search ends; a bin that has
+nothing left is gone.
 
 Token ids are looked up per word between ASCII blanks, which no token of this tokenizer family
 spans, so the pieces equal those of encoding the whole text; texts with special-token strings are encoded
@@ -29,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import public_tokenizers
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +40,6 @@ from erpweave.session import materialize
 CAPACITY = 4096
 END_ID = 1
 SHARD = 20_000
-REPACK = 64  # emptiest sequences per shard that the second round packs again
 STOPS = b".,;:!?#$%&*|"
 TOKENIZER = "word_bpe_49k.json"
 
@@ -184,13 +184,23 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
 
 
 class Bins:
-    """Bins of one shard: their items (numbers of pieces) and fills."""
+    """Bins of one shard: their items (numbers of pieces) and fills.
 
-    def __init__(self, lengths: np.ndarray, capacity: int):
+    ``start`` names the bin of every piece; without it best-fit decreasing makes the bins.
+    """
+
+    def __init__(self, lengths: np.ndarray, capacity: int, start: np.ndarray | None = None):
         self.lengths, self.capacity = lengths, capacity
         self.items: list[list[int]] = []
         self.fill: list[int] = []
-        self._best_fit_decreasing()
+        if start is None:
+            self._best_fit_decreasing()
+        else:
+            _, number = np.unique(start, return_inverse=True)
+            self.items = [[] for _ in range(int(number.max()) + 1)]
+            for i, k in enumerate(number.tolist()):
+                self.items[k].append(i)
+            self.fill = [int(lengths[items].sum()) for items in self.items]
 
     def _best_fit_decreasing(self) -> None:
         gaps: list[int] = []  # gap sizes with an open bin, ascending
@@ -215,67 +225,116 @@ class Bins:
                     bisect.insort(gaps, left)
                 open_bins[left].append(number)
 
-    def _give(self, giver: int, x: int, others: list[int]) -> bool:
-        """One step that takes piece ``x`` out of ``giver``; false if none exists."""
+    def _index(self) -> None:
+        """Arrays over all bins and pieces by which ``_give`` finds partners."""
+        self.order = np.argsort(self.lengths, kind="stable")
+        self.sorted = self.lengths[self.order].astype(np.int64)
+        self.owner = np.zeros(len(self.lengths), np.int64)  # by place in ``sorted``
+        self.place = np.empty(len(self.lengths), np.int64)
+        self.place[self.order] = np.arange(len(self.lengths))
+        for b, items in enumerate(self.items):
+            self.owner[self.place[items]] = b
+        self.gap = self.capacity - np.array(self.fill, np.int64)
+        self.gap[[not items for items in self.items]] = 0  # an empty bin is gone and takes nothing
+        # Bit k of byte j of a row: a piece of the row's size may be exchanged for two of bin 8 j + 7 - k.
+        self.pairs = np.zeros((self.capacity + 1, len(self.items) // 8 + 1), np.uint8)
+        for b in range(len(self.items)):
+            self._index_pairs(b)
+
+    def _index_pairs(self, b: int) -> None:
+        """Sizes that bin ``b`` may take for two pieces (a piece may count twice here; ``_two`` is exact)."""
+        gap, sizes, both = int(self.gap[b]), 0, 0
+        if gap:
+            own = {int(self.lengths[y]) for y in self.items[b]}
+            for size in own:
+                sizes |= 1 << size
+            for size in own:
+                both |= sizes << size
+            both <<= 1  # one more than the two, up to ``gap`` more
+            width = 1
+            while width < gap:
+                step = min(width, gap - width)
+                both |= both << step
+                width += step
+            both &= (1 << (self.capacity + 1)) - 1
+        data = np.frombuffer(both.to_bytes(self.capacity // 8 + 1, "little"), np.uint8)
+        bits = np.unpackbits(data, bitorder="little")[:self.capacity + 1]
+        column = self.pairs[:, b >> 3]
+        column &= np.uint8(255 ^ (128 >> (b & 7)))
+        column |= bits << np.uint8(7 - (b & 7))
+
+    def _two(self, b: int, size: int) -> list[int]:
+        """Two pieces of bin ``b`` that together leave just enough room for ``size``."""
+        gap = int(self.gap[b])
+        sizes = sorted((int(self.lengths[y]), y) for y in self.items[b])
+        low, high = 0, len(sizes) - 1
+        while low < high:
+            both = sizes[low][0] + sizes[high][0]
+            if both >= size:
+                high -= 1
+            elif both < size - gap:
+                low += 1
+            else:
+                return [sizes[low][1], sizes[high][1]]
+        return []
+
+    def _give(self, giver: int, x: int) -> bool:
+        """One step that takes piece ``x`` out of ``giver`` into a bin that is as full or fuller; false if none exists."""
         size = int(self.lengths[x])
-        gaps = np.array([self.capacity - self.fill[b] for b in others])
-        fits = np.flatnonzero(gaps >= size)
+        takes = (self.gap > 0) & (self.gap <= self.gap[giver])
+        takes[giver] = False
+        fits = np.flatnonzero(takes & (self.gap >= size))
         if len(fits):
-            self._swap(giver, x, others[int(fits[gaps[fits].argmin()])], [])
+            self._swap(giver, x, int(fits[self.gap[fits].argmin()]), [])
             return True
-        owner = np.concatenate([np.full(len(self.items[b]), k) for k, b in enumerate(others)])
-        item = np.concatenate([np.array(self.items[b], np.int64) for b in others])
-        length = self.lengths[item]
-        good = np.flatnonzero((length < size) & (length >= size - gaps[owner]))
-        if len(good):
-            best = int(good[length[good].argmin()])
-            self._swap(giver, x, others[int(owner[best])], [int(item[best])])
+        low, high = np.searchsorted(self.sorted, [size - int(self.gap[giver]), size])
+        owner = self.owner[low:high]
+        good = takes[owner] & (self.gap[owner] >= size - self.sorted[low:high])
+        if good.any():
+            at = int(low + good.argmax())
+            self._swap(giver, x, int(self.owner[at]), [int(self.order[at])])
             return True
-        for k, b in enumerate(others):
-            sizes = sorted((int(self.lengths[y]), y) for y in self.items[b])
-            low, high = 0, len(sizes) - 1
-            while low < high:  # two pieces that together leave just enough room
-                both = sizes[low][0] + sizes[high][0]
-                if both >= size:
-                    high -= 1
-                elif both < size - gaps[k]:
-                    low += 1
-                else:
-                    self._swap(giver, x, b, [sizes[low][1], sizes[high][1]])
-                    return True
+        for b in np.flatnonzero(takes & np.unpackbits(self.pairs[size])[:len(takes)].astype(bool)).tolist():
+            back = self._two(b, size)
+            if back:
+                self._swap(giver, x, b, back)
+                return True
         return False
 
     def _swap(self, giver: int, x: int, taker: int, back: list[int]) -> None:
         moved = int(self.lengths[x]) - sum(int(self.lengths[y]) for y in back)
         self.items[giver].remove(x)
         self.items[taker].append(x)
+        self.owner[self.place[x]] = taker
         for y in back:
             self.items[taker].remove(y)
             self.items[giver].append(y)
+            self.owner[self.place[y]] = giver
         self.fill[giver] -= moved
         self.fill[taker] += moved
+        for b in (giver, taker):
+            self.gap[b] = self.capacity - self.fill[b] if self.items[b] else 0
+            self._index_pairs(b)
 
-    def search(self, passes: int = 30, window: int = 256) -> None:
+    def search(self) -> None:
         """Empty bins from the emptiest on, until their number is least or no step is left.
 
-        A pass lets each of the emptiest underfull bins give to the fuller ones among them. Later steps can
-        open new ones for bins that were stuck, so passes repeat while anything moves.
+        A pass lets every underfull bin give to all that are fuller. Later steps can open new ones for bins that were
+        stuck, so passes repeat while anything moves.
         """
         least = math.ceil(int(self.lengths.sum()) / self.capacity)
         alive = sum(map(bool, self.items))
-        moved = True
-        while moved and alive > least and passes:
-            passes -= 1
+        moved = alive > least
+        if moved:
+            self._index()
+        while moved and alive > least:
             moved = False
             under = (b for b in range(len(self.items)) if 0 < self.fill[b] < self.capacity)
-            emptiest = sorted(under, key=self.fill.__getitem__)[:window]
-            for giver in emptiest:
-                stuck = False
+            for giver in sorted(under, key=self.fill.__getitem__):
+                stuck = self.fill[giver] == self.capacity  # filled since
                 while self.items[giver] and not stuck:
-                    # Bins that are emptier than the giver take nothing from it.
-                    others = [b for b in emptiest if b != giver and self.fill[giver] <= self.fill[b] < self.capacity]
                     ordered = sorted(self.items[giver], key=lambda i: -int(self.lengths[i]))
-                    stuck = not others or not any(self._give(giver, x, others) for x in ordered)
+                    stuck = not any(self._give(giver, x) for x in ordered)
                     moved = moved or not stuck
                 if not self.items[giver]:
                     alive -= 1
@@ -283,21 +342,23 @@ class Bins:
                         break
 
 
-def _pack_shard(capacity: int, repack: int):
+def _pack_shard(capacity: int):
     def run(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
         order = table.sort_values(["length", "doc_id", "piece", "start", "ids_crc32"], ascending=False, kind="stable")
         order = order.reset_index(drop=True)
         lengths = order["length"].to_numpy()
         bins = Bins(lengths, capacity)
         bins.search()
+        if "sequence_id" in order:
+            further = Bins(lengths, capacity, order["sequence_id"].to_numpy())
+            further.search()
+            bins = min(further, bins, key=lambda found: sum(map(bool, found.items)))
         number, offset = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
         again = np.zeros(len(order), bool)
-        used = [b for b in range(len(bins.items)) if bins.items[b]]
-        emptiest = set(sorted((b for b in used if bins.fill[b] < capacity), key=bins.fill.__getitem__)[:repack])
-        for b in used:
+        for b, items in enumerate(bins.items):
             at = 0
-            for i in bins.items[b]:
-                number[i], offset[i], again[i] = b, at, b in emptiest
+            for i in items:
+                number[i], offset[i], again[i] = b, at, bins.fill[b] < capacity
                 at += int(lengths[i])
         # 31 bits of shard above 32 bits of bin: no two shards share a number.
         order["sequence_id"] = (int(key[0]) << 32) + number
@@ -314,17 +375,28 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD) ->
     schema = T.StructType([*(parts.schema[c] for c in columns), T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType()), T.StructField("again", T.BooleanType())])
 
-    def once(df: DataFrame, first_shard: int, repack: int) -> tuple[DataFrame, int]:
-        shards = max(1, math.ceil(df.count() / shard_rows))
-        key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "length"), F.lit(shards)) + first_shard
-        return df.select(*columns).groupBy(key.alias("shard")).applyInPandas(_pack_shard(capacity, repack), schema), shards
+    def once(df: DataFrame, key: Column, shards: int, first_shard: int) -> DataFrame:
+        shard = F.pmod(key, F.lit(shards)) + first_shard
+        return df.groupBy(shard.alias("shard")).applyInPandas(_pack_shard(capacity), schema)
+
+    def used(df: DataFrame) -> int:
+        return df.where("offset = 0").count()  # pieces hold one token at least
 
-    packed, shards = once(parts, 0, REPACK)
+    shards = max(1, math.ceil(parts.count() / shard_rows))
+    packed = once(parts.select(*columns), F.xxhash64("doc_id", "piece", "ids_crc32", "length"), shards, 0)
     if shards == 1:
         return packed.drop("again")
     packed = materialize(packed, "packed")
-    second, _ = once(packed.where("again"), shards, 0)
-    return packed.where("not again").drop("again").unionByName(second.drop("again"))
+    full, first_shard = packed.where("not again"), 0
+    while True:
+        first_shard += shards
+        under = packed.where("again")
+        shards = max(1, math.ceil(under.count() / shard_rows))
+        dealt = once(under.select(*columns, "sequence_id"), F.xxhash64("sequence_id", F.lit(first_shard)), shards, first_shard)
+        dealt = materialize(dealt, "packed")
+        if shards == 1 or used(dealt) == used(under):
+            return full.unionByName(dealt).drop("again")
+        full, packed = full.unionByName(dealt.where("not again")), dealt
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:

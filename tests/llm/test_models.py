@@ -128,6 +128,26 @@ def test_swaps_empty_bins_that_best_fit_leaves():
     assert better
 
 
+def test_search_leaves_no_step_among_all_underfull_bins():
+    rng = np.random.default_rng(11)
+    lengths = rng.integers(260, 480, 1500)
+    bins = packing.Bins(lengths, 1000)
+    bins.search()
+    used = [b for b in range(len(bins.items)) if bins.items[b]]
+    assert len(used) > 300 and len(used) > -(-lengths.sum() // 1000)
+    assert sorted(i for b in used for i in bins.items[b]) == list(range(len(lengths)))
+    for giver in used:
+        if bins.fill[giver] == 1000:
+            continue
+        for taker in used:
+            gap = 1000 - bins.fill[taker]
+            if taker == giver or not gap or bins.fill[taker] < bins.fill[giver]:
+                continue
+            own = [int(lengths[y]) for y in bins.items[taker]]
+            back = {0, *own, *(a + b for i, a in enumerate(own) for b in own[:i])}
+            assert not any(w < lengths[x] <= w + gap for x in bins.items[giver] for w in back)
+
+
 def test_second_round_over_shards(spark):
     rng = np.random.default_rng(7)
     rows = [(i, 0, 0, int(n), i) for i, n in enumerate(rng.integers(1, 2000, 3000))]
