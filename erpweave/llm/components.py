@@ -27,7 +27,10 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 
 
 def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """(node, root) for every node of ``links(u, v)`` but the roots; the root is the least node."""
+    """(node, root) for every node of ``links(u, v)`` but the roots; the root is the least node.
+
+    Fails when the links are not stars after ``most_rounds``, rather than give wrong roots.
+    """
     links = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     for _ in range(most_rounds):
         links = materialize(_star(_star(links, True), False), "star")
@@ -35,5 +38,5 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
         seen = links.agg(F.count("*").alias("n"), F.count_distinct("u").alias("nodes")).first()
         if seen["n"] == seen["nodes"] and links.select(F.col("v").alias("u")).join(
                 links.select("u"), "u", "left_semi").isEmpty():
-            break
-    return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+            return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    raise RuntimeError(f"links are no stars after {most_rounds} rounds")

@@ -336,6 +336,13 @@ def test_components_of_paths_and_stars(spark):
 # ---- edge rows, empty tables, pipeline -----------------------------------------------------------------------
 
 
+def test_components_fail_rather_than_stop_early(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(60)], "u long, v long")
+    with pytest.raises(RuntimeError):
+        components.components(path, most_rounds=1)
+    assert {r.root for r in components.components(path).collect()} == {0}
+
+
 def test_edge_rows(spark, edges, nothing):
     n = edges.count()
     labels = spark.createDataFrame([(1, 1, 0), (5, 0, 1), (99, 1, 1), (None, None, None)], "doc_id long, quality int, toxic int")
