@@ -213,8 +213,8 @@ class Field:
             return [], []
         graph = Graph(text)
         base = graph.spans
-        # Without a tie to an observed mention no open one can reach the threshold's condition.
-        if not base or not any(graph.nodes[i][2] < 0 for i in graph.tied):
+        # Open mentions are judged where they are tied, to observed ones or to each other.
+        if not any(graph.nodes[i][2] < 0 for i in graph.tied):
             return base, base
         p = self.marginals(graph)
         added = [(int(p[i, :NONE].argmax()), a, b) for i, (a, b, kind) in enumerate(graph.nodes)

@@ -61,6 +61,14 @@ def test_field_adds_repeats_in_other_notation_only(spark, folder):
     assert pii.masked_text(text, every).startswith("Call [phone] now. Later he wrote [phone] again")
 
 
+def test_tied_open_mentions_are_judged_without_base_spans(spark, folder, monkeypatch):
+    field = pii.train(spark.read.parquet(f"{folder}/documents.parquet"))
+    text = "Order 555 123 4567 and again 555 123 4567."
+    monkeypatch.setattr(pii, "THRESHOLD", 0.0)  # judged: any share is enough
+    base, every = field.spans(text)
+    assert base == [] and [text[a:b] for _, a, b in every] == ["555 123 4567"] * 2
+
+
 def test_messages_are_exact_on_a_chain(spark, folder):
     """Without loops, sum-product marginals equal those of full enumeration."""
     field = pii.train(spark.read.parquet(f"{folder}/documents.parquet"))
