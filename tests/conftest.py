@@ -27,9 +27,3 @@ def folder():
     if not Path(SMALL).exists():
         pytest.skip("no test tables")
     return SMALL
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)

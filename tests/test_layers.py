@@ -5,7 +5,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from conftest import rows
+from frames import rows
 from erpweave.datagen import build as B
 from erpweave.datagen.specs import erp_tables
 from erpweave.plans import layers

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from erpweave.operators import maintenance as M
 from erpweave.session import work_folder
 

@@ -7,7 +7,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from conftest import rows
+from frames import rows
 from erpweave.operators import aggregates, dedupe, joins, paging, projection, quality
 from erpweave.operators import rows as row_ops
 

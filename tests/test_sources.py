@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from conftest import rows
+from frames import rows
 from erpweave.operators.quality import Rule
 from erpweave.session import work_folder
 from erpweave.sources import extraction, files, schemas, tables

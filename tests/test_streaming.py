@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from erpweave import crosswalk
 from erpweave.operators.maintenance import BucketedTable, VersionedTable
 from erpweave.plans.silver import silver_table
