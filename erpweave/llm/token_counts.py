@@ -3,10 +3,10 @@
 Byte-level BPE splits a text into pre-tokens and merges the bytes of each one on its own, so a pre-token's
 count does not depend on its neighbours. ``prove`` runs the merges over every string of the vocabulary once, on
 the driver: a string that ends as the single token it names counts 1 wherever it stands as a pre-token. Counting then
-looks every pre-token up among the proven strings and merges only the others, remembered in a bounded cache.
+looks every pre-token up among the proven strings and merges only the others, whose counts a bounded cache holds.
 
 The proven strings are the only thing sent to the workers; there are at most as many as vocabulary entries.
-Pre-tokens are found with the tokenizer's pattern. Where this Python and the tokenizer know different
+Pre-tokens are found with the tokenizer's pattern (its Latin classes written out where a text has no others). Where this Python and the tokenizer know different
 versions of Unicode they can disagree on what a letter is: code points beyond Latin are probed when first seen, and a
 text with one that is judged differently is counted by the tokenizer itself.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -36,7 +37,8 @@ from erpweave.llm.worker import Cache, focus
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
 SPAN = 1_000_000
-HEAP_FROM = 64  # symbols of a pre-token from which on the next merge is taken from a heap
+BEYOND = 0x250  # code points from here on are probed
+HEAP_FROM = 256  # symbols of a pre-token from which on the next merge is taken from a heap
 
 
 def byte_letters() -> dict[int, str]:
@@ -73,14 +75,19 @@ def merge(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     """The symbols after all merges: always the best-ranked neighbours, the leftmost of equal ones."""
     if len(symbols) >= HEAP_FROM:
         return _merge_long(symbols, ranks)
-    worst = len(ranks)
-    while len(symbols) > 1:
-        found = [ranks.get(pair, worst) for pair in zip(symbols, symbols[1:], strict=False)]
+    worst, rank = len(ranks), ranks.get
+    found = [rank(pair, worst) for pair in zip(symbols, symbols[1:], strict=False)]
+    while found:
         best = min(found)
         if best == worst:
             break
         at = found.index(best)
         symbols[at:at + 2] = [symbols[at] + symbols[at + 1]]
+        del found[at]
+        if at < len(found):
+            found[at] = rank((symbols[at], symbols[at + 1]), worst)
+        if at:
+            found[at - 1] = rank((symbols[at - 1], symbols[at]), worst)
     return symbols
 
 
@@ -126,6 +133,30 @@ def prove(path: str) -> frozenset[str]:
     return frozenset(proven)
 
 
+def latin_pattern() -> re.Pattern:
+    """The tokenizer's pattern for texts below ``BEYOND``, with classes written out (alternatives that start unlike may swap)."""
+    def members(kind: str) -> str:
+        found = regex.compile(kind)
+        return re.escape("".join(chr(c) for c in range(BEYOND) if found.match(chr(c))))
+
+    letter, digit, blank = members(r"\p{L}"), members(r"\p{N}"), members(r"\s")
+    return re.compile(f" ?[{letter}]+| ?[{digit}]+|'(?:[stmd]|re|ve|ll)| ?[^{blank}{letter}{digit}]+"
+                      f"|[{blank}]+(?![^{blank}])|[{blank}]+")
+
+
+class Counts(Cache):
+    """Tokens by pre-token: the proven ones always at hand, merged ones remembered within a bound."""
+
+    def __init__(self, make, proven: dict[str, int], limit: int = 400_000):
+        super().__init__(make, limit + len(proven))
+        self.proven = proven
+        self.update(proven)
+
+    def clear(self) -> None:
+        super().clear()
+        self.update(self.proven)
+
+
 class Counter:
     """Counts tokens of texts; lives as long as the Python worker."""
 
@@ -133,11 +164,10 @@ class Counter:
         self.path, self.proven = path, proven
         self.ranks, self.added = rules(path).ranks, rules(path).added
         self.letters = byte_letters()
-        self.whole = dict.fromkeys(proven, 1)
-        self.merged = Cache(self._merge)
-        self.pre_tokens = regex.compile(public_tokenizers.PATTERN)
+        self.counts = Counts(self._merge, dict.fromkeys(proven, 1))
+        self.latin, self.pre_tokens = latin_pattern(), regex.compile(public_tokenizers.PATTERN)
         self.specials = regex.compile("|".join(map(regex.escape, self.added))) if self.added else None
-        self.beyond = regex.compile(r"[^\x00-ɏ]+")
+        self.beyond = regex.compile(f"[^\\x00-{chr(BEYOND - 1)}]+")
         self.agreed = Cache(self._agrees)
         self.tokenizer = None
 
@@ -170,28 +200,20 @@ class Counter:
             start = cut
         yield text[start:]
 
-    def _ordinary(self, text: str) -> int:
-        total = 0
-        for span in self._spans(text):
-            found = self.pre_tokens.findall(span)
-            ones = list(map(self.whole.get, found))
-            rest = ones.count(None)
-            total += len(ones) - rest
-            if rest:
-                merged = self.merged
-                total += sum(merged[p] for p, one in zip(found, ones, strict=True) if one is None)
-        return total
+    def _ordinary(self, text: str, pre_tokens) -> int:
+        count = self.counts.__getitem__
+        return sum(sum(map(count, pre_tokens.findall(span))) for span in self._spans(text))
 
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        odd = {c for part in self.beyond.findall(text) for c in part}
-        if not all(self.agreed[c] for c in odd):
-            return len(self._library().encode(text, add_special_tokens=False).ids)
-        if not self.specials:
-            return self._ordinary(text)
-        parts = self.specials.split(text)
-        return len(parts) - 1 + sum(map(self._ordinary, parts))
+        pre_tokens = self.latin
+        if self.beyond.search(text):
+            pre_tokens = self.pre_tokens
+            if not all(self.agreed[c] for c in {c for part in self.beyond.findall(text) for c in part}):
+                return len(self._library().encode(text, add_special_tokens=False).ids)
+        parts = self.specials.split(text) if self.specials else [text]
+        return len(parts) - 1 + sum(self._ordinary(p, pre_tokens) for p in parts)
 
 
 _COUNTERS: dict[str, Counter] = {}
@@ -207,7 +229,7 @@ def n_tokens(text: Column, spark, tokenizer: str = TOKENIZER) -> Column:
         if path not in _COUNTERS:
             _COUNTERS[path] = Counter(path, proven.value)
         counter = _COUNTERS[path]
-        focus(counter.merged, counter.agreed)
+        focus(counter.counts, counter.agreed)
         return pa.array([counter.count(t.as_py()) for t in texts], pa.int64())
 
     return counted(F.coalesce(text, F.lit("")))

@@ -48,6 +48,18 @@ def test_counts_equal_the_library_on_tricky_texts(counter, library):
         assert counter.count(text) == len(library.encode(text, add_special_tokens=False).ids), repr(text)
 
 
+def test_latin_classes_are_the_tokenizers(counter, library):
+    for c in map(chr, range(tc.BEYOND)):
+        probe = f"a{c}a1{c}1 {c}{c} "
+        assert [len(p) for p in counter.latin.findall(probe)] == [
+            b - a for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(probe)], hex(ord(c))
+
+
+def test_cache_keeps_the_proven_strings():
+    counts = tc.Counts(len, {"the": 1}, limit=2)
+    assert [counts[w] for w in ("ab", "abc", "abcd", "abcde", "the")] == [2, 3, 4, 5, 1] and len(counts) <= 3
+
+
 def test_long_texts_are_cut_where_pre_tokens_start(counter, library, monkeypatch):
     monkeypatch.setattr(tc, "SPAN", 7)
     rng = np.random.default_rng(4)
