@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erpweave.llm import fingerprints, jaccard_join, mixing, packing, pii, quality_classifier, quality_rules, suffix_tree, token_counts, toxicity, url_rules
+from erpweave.llm import fingerprints, jaccard_join, mixing, packing, pii, quality_classifier, quality_rules, spelling, suffix_tree, token_counts, toxicity, url_rules
 from erpweave.session import materialize
 
 URL_RULES = (
@@ -82,11 +82,15 @@ def op11_whole_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pii_skip_chain, op2_weighted_fair_mix, op3_weak_quality_rules, op4_swap_packing, op5_weak_label_classifier, op6_suffix_tree_score, op7_url_range_rules,
-        op8_simhash_fingerprints, op9_toxicity_chain, op10_ngram_jaccard_join, op11_whole_token_counts,
+        op8_simhash_fingerprints, op9_toxicity_chain, op10_ngram_jaccard_join, op11_whole_token_counts, op12_spelling_variants,
     )
 }
 
