@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from erpweave.llm import fingerprints, jaccard_join, mixing, packing, pii, quality_classifier, quality_rules, spelling, suffix_tree, token_counts, toxicity, url_rules
+from erpweave.llm import collocations, fingerprints, jaccard_join, mixing, packing, pii, quality_classifier, quality_rules, spelling, suffix_tree, token_counts, toxicity, url_rules
 from erpweave.session import materialize
 
 URL_RULES = (
@@ -86,11 +86,15 @@ def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(_table(spark, folder, "documents"))
 
 
+def op13_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_pii_skip_chain, op2_weighted_fair_mix, op3_weak_quality_rules, op4_swap_packing, op5_weak_label_classifier, op6_suffix_tree_score, op7_url_range_rules,
-        op8_simhash_fingerprints, op9_toxicity_chain, op10_ngram_jaccard_join, op11_whole_token_counts, op12_spelling_variants,
+        op8_simhash_fingerprints, op9_toxicity_chain, op10_ngram_jaccard_join, op11_whole_token_counts, op12_spelling_variants, op13_phrase_collocations,
     )
 }
 
@@ -143,4 +147,38 @@ SQL = {
             FROM p LEFT JOIN r ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
         )
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE place = 1""",
+    "op13_phrase_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), w AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+        ), g AS (
+            SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, ws, k, unnest(generate_series(1, len(ws) - k + 1)) AS i FROM w, generate_series(1, 5) s(k))
+        ), c AS (
+            SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING k = 1 OR count(*) >= 100
+        ), total AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM c WHERE k = 1 GROUP BY lang
+        ), cand AS (
+            SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM c WHERE k >= 2
+        ), cuts AS (
+            SELECT lang, phrase, a, ws, unnest(generate_series(1, k - 1)) AS cut FROM cand
+        ), scored AS (
+            SELECT u.lang, u.phrase, u.a, lp.f AS l, rp.f AS r, n, cut, ((1000::HUGEINT * u.a * n) // (lp.f::HUGEINT * rp.f))::BIGINT AS score
+            FROM cuts u JOIN total t ON t.lang = u.lang
+            JOIN c lp ON lp.lang = u.lang AND lp.phrase = array_to_string(ws[1:cut], ' ')
+            JOIN c rp ON rp.lang = u.lang AND rp.phrase = array_to_string(ws[cut + 1:], ' ')
+        ), lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), inside AS (
+            SELECT lang, array_to_string(ws[i:j], ' ') AS phrase, max(a) AS longer
+            FROM (SELECT *, unnest(generate_series(i + 1, k)) AS j FROM (SELECT *, unnest(generate_series(1, k - 1)) AS i FROM cand WHERE k > 2))
+            WHERE j - i + 1 < k GROUP BY ALL
+        )
+        SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+        FROM lowest s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+        WHERE longer IS NULL OR 100 * longer < 100 * a
+        QUALIFY rank <= 2000""",
 }
