@@ -7,9 +7,11 @@ equal state. The phrase space is cut into prefix ranges (ranges of the hash of t
 language and range, and one group unites all of a range: states reached by the same words become one and weights
 add up. What stays below ``LEAST`` is cut from the union.
 
-That is done three times, and each time loses nothing: a phrase cannot be more frequent than its parts, so pairs are counted between
-frequent words and longer phrases along frequent pairs only. Shards ask a bit table whether a part is frequent. Its size follows
-the number of frequent parts up to ``MOST_BITS`` bits; beyond, or by chance, it lets more through, which the union cuts again.
+Words are counted first, then phrases of two to five words, and shards leave out what cannot be frequent: a phrase is no more
+frequent than its parts, and a pair no more than all pairs whose hash falls into its bucket together. So pairs of frequent words are
+added up by bucket between the two, as plain numbers, and phrases are followed along pairs of frequent buckets only. Shards read
+both from bit tables sized by what is frequent, up to ``MOST_BITS`` bits; beyond, or by chance, a table lets more
+through and never less, and the union cuts it again.
 
 Scores need the counts of a phrase's parts. Asked parts are sent to their ranges, where an acceptor of all
 asked parts is composed with the transducer, both walked in step. A range with more than ``ASKERS`` asked parts is copied to
@@ -35,7 +37,7 @@ from erpweave.session import materialize
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 MOST_BITS = 1 << 27
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 16_000_000
 ASKERS = 50_000  # that one task looks up in a range
 DOCS_PER_RANGE, FEWEST_RANGES = 2_000, 16
 
@@ -185,17 +187,15 @@ def ranges_of(hashes: np.ndarray, n_ranges: int) -> np.ndarray:
     return ((hashes >> np.uint64(33)) * np.uint64(n_ranges) >> np.uint64(31)).astype(np.int64)
 
 
-def bits_of(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes % np.uint64(bits)).astype(np.int64)
+def buckets_of(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(33)).astype(np.int64)
 
 
-def phrase_hashes(lang: str, phrases: list[tuple[str, ...]], words: int = 2) -> np.ndarray:
-    """Hash of language and the first ``words`` words of every phrase."""
-    known = {w: i for i, w in enumerate({w for p in phrases for w in p[:words]})}
+def phrase_hashes(lang: str, phrases: list[tuple[str, ...]]) -> np.ndarray:
+    """Hash of language and the first two words of every phrase, or its only one."""
+    known = {w: i for i, w in enumerate({w for p in phrases for w in p[:2]})}
     table = np.append(word_hashes(list(known)), np.uint64(0))
     h = mixed(np.repeat(word_hashes([lang]), len(phrases)), table[[known[p[0]] for p in phrases]])
-    if words < 2:
-        return h
     second = table[[known[p[1]] if len(p) > 1 else -1 for p in phrases]]
     return np.where([len(p) > 1 for p in phrases], mixed(h, second), h)
 
@@ -210,26 +210,26 @@ class BitTable:
         self.bits, self.table = bits, table[:max(bits // 8, 1)]
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        at = bits_of(hashes, self.bits)
+        at = buckets_of(hashes) % self.bits
         return (self.table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def bit_table(found: DataFrame, n: int) -> BitTable:
-    """Bit table of the phrases of the stored transducers ``found``, ``n`` in all."""
-    bits = 1 << 15
+def bit_table(buckets: DataFrame) -> BitTable:
+    """Bit table of the stored hash buckets ``bucket``."""
+    n, bits = buckets.count(), 1 << 15
     while bits < min(16 * n, MOST_BITS):
         bits *= 2
+    at = F.col("bucket") % bits + 1  # the bitmap functions count from 1
+    chunks = buckets.groupBy(F.bitmap_bucket_number(at).alias("number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("data"))
+    return BitTable(bits, [tuple(r) for r in chunks.collect()])  # MOST_BITS / 8 bytes at most
 
-    def positions(batches):  # the bitmap functions count from 1
-        for batch in batches:
-            for lang, level, made in _stored(batch):
-                phrases = [p for p, _ in made.phrases()]
-                if phrases:
-                    yield pa.RecordBatch.from_arrays([pa.array(1 + bits_of(phrase_hashes(lang, phrases, level), bits), pa.int64())], ["at"])
 
-    at = found.mapInArrow(positions, "at bigint")
-    chunks = at.groupBy(F.bitmap_bucket_number("at").alias("number")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("data"))
-    return BitTable(bits, [tuple(r) for r in chunks.collect()])  # MOST_BITS / 8 bytes at most
+def _word_buckets(batches):
+    for batch in batches:
+        for lang, _, made in _stored(batch):
+            phrases = [p for p, _ in made.phrases()]
+            if phrases:
+                yield pa.RecordBatch.from_arrays([pa.array(buckets_of(phrase_hashes(lang, phrases)), pa.int64())], ["bucket"])
 
 
 # ---- shards ---------------------------------------------------------------------------------------------------
@@ -264,28 +264,43 @@ class Shard:
         self.langs = known
         self.hash, self.lang_hash = word_hashes(self.words), word_hashes(known)
 
-    def grams(self, frequent_words: BitTable | None, frequent_pairs: BitTable | None):
-        """Yield (level, language codes, hashes of the prefix, word codes by column, weights), all distinct and sorted."""
+    def _singles(self):
+        """Distinct words of each language: language, word, hash, number, and for every word its place among them."""
         n = max(len(self.words), 1)
         single, at, count = np.unique(self.lang * n + self.code, return_inverse=True, return_counts=True)
         lang, word = np.divmod(single, n)
-        one = mixed(self.lang_hash[lang], self.hash[word])
-        if frequent_words is None:
-            yield lang, one, [word], count
-            return
-        good = frequent_words(one)[at]
+        return lang, word, mixed(self.lang_hash[lang], self.hash[word]), count, at
+
+    def _pairs(self, words: BitTable):
+        """Where pairs of frequent words start, and for every one its language, words, hash and number."""
+        n = max(len(self.words), 1)
+        lang, word, one, _, at = self._singles()
+        good = words(one)[at]
         pair = np.flatnonzero(self.joined[:-1] & good[:-1] & good[1:])
-        key, at2, count = np.unique(at[pair] * n + self.code[pair + 1], return_inverse=True, return_counts=True)
+        key, back, count = np.unique(at[pair] * n + self.code[pair + 1], return_inverse=True, return_counts=True)
         begin, second = np.divmod(key, n)
-        two = mixed(one[begin], self.hash[second])
-        if frequent_pairs is None:
-            yield lang[begin], two, [word[begin], second], count
+        return pair, back, lang[begin], [word[begin], second], mixed(one[begin], self.hash[second]), count
+
+    def buckets(self, words: BitTable) -> tuple[np.ndarray, np.ndarray]:
+        """Hash buckets of pairs of frequent words, and how many pairs fall into each."""
+        *_, hashes, count = self._pairs(words)
+        found, at = np.unique(buckets_of(hashes), return_inverse=True)
+        return found, np.bincount(at, count, len(found)).astype(np.int64)
+
+    def grams(self, words: BitTable | None, pairs: BitTable | None):
+        """Yield (language codes, hashes of the prefix, word codes by column, numbers) of distinct phrases, in order within a length."""
+        if words is None:
+            lang, word, one, count, _ = self._singles()
+            yield lang, one, [word], count
             return
-        along = np.zeros(len(self.code) + 1, bool)  # a frequent pair starts here
-        along[pair] = frequent_pairs(two)[at2]
+        n = max(len(self.words), 1)
+        pair, back, langs, columns, hashes, count = self._pairs(words)
+        good = pairs(hashes)
+        along = np.zeros(len(self.code) + 1, bool)  # a pair of a frequent bucket starts here
+        along[pair] = good[back]
         where = np.zeros(len(self.code), np.int64)  # number of the phrase that starts at a word
-        where[pair] = at2
-        columns, langs, hashes = [word[begin], second], lang[begin], two
+        where[pair] = back
+        yield langs[good], hashes[good], [c[good] for c in columns], count[good]
         live = np.flatnonzero(along[:-1])
         for length in range(3, LONGEST + 1):
             live = live[along[live + length - 2]]
@@ -293,21 +308,20 @@ class Shard:
             begin, last = np.divmod(key, n)
             columns, langs, hashes = [*(c[begin] for c in columns), last], langs[begin], hashes[begin]
             where[live] = back
-            if len(key):
-                yield langs, hashes, columns, count
+            yield langs, hashes, columns, count
 
-    def transducers(self, level: int, n_ranges: int, frequent_words: BitTable | None, frequent_pairs: BitTable | None):
+    def transducers(self, level: int, n_ranges: int, words: BitTable | None, pairs: BitTable | None):
         """One row (language, level, range, total, transducer) for every language and range with phrases."""
         text = [w.decode() for w in self.words]
         phrases: dict[tuple[int, int], list] = defaultdict(list)
-        for langs, hashes, columns, counts in self.grams(frequent_words, frequent_pairs):
+        for langs, hashes, columns, counts in self.grams(words, pairs):
             spans = ranges_of(hashes, n_ranges)
             for lang, span, weight, *codes in zip(
                     langs.tolist(), spans.tolist(), counts.tolist(), *(c.tolist() for c in columns), strict=True):
                 phrases[lang, span].append((codes, weight))
         for (lang, span), found in phrases.items():
-            if level == 3:
-                found.sort()  # phrases of three lengths; the others come in order
+            if level == 2:
+                found.sort()  # every length came in order by itself
             made = Transducer()
             for codes, weight in found:
                 made.add(tuple([text[c] for c in codes]), weight)
@@ -328,33 +342,45 @@ def _stored(batch):
         yield lang, level, Transducer.unpacked(*parts)
 
 
+def _slices(batches):
+    """Shards of a few megabytes of text each."""
+    texts: list[bytes] = []
+    langs: list[str] = []
+    size = 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+            texts.append(text.as_py())
+            langs.append(lang)
+            size += len(texts[-1])
+            if size > SHARD_BYTES:
+                yield Shard(texts, langs)
+                texts, langs, size = [], [], 0
+    if texts:
+        yield Shard(texts, langs)
+
+
 def _shards(level: int, n_ranges: int, words, pairs):
     def run(batches):
         focus()
         tables = [t.value if t else None for t in (words, pairs)]
-        texts: list[bytes] = []
-        langs: list[str] = []
-        size = 0
-
-        def send():
+        for shard in _slices(batches):
             rows = []
-            for row in Shard(texts, langs).transducers(level, n_ranges, *tables):
+            for row in shard.transducers(level, n_ranges, *tables):
                 rows.append(row)
                 if len(rows) == 200:
                     yield _sent(rows)
                     rows = []
             yield _sent(rows)
 
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                texts.append(text.as_py())
-                langs.append(lang)
-                size += len(texts[-1])
-                if size > SHARD_BYTES:
-                    yield from send()
-                    texts, langs, size = [], [], 0
-        if texts:
-            yield from send()
+    return run
+
+
+def _pair_buckets(words):
+    def run(batches):
+        focus()
+        for shard in _slices(batches):
+            found, count = shard.buckets(words.value)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(count)], ["bucket", "n"])
 
     return run
 
@@ -370,7 +396,7 @@ def _unite(least: int):
 
 
 def counted(texts: DataFrame, level: int, n_ranges: int, least: int, words=None, pairs=None) -> DataFrame:
-    """United transducers of one level: words (1), pairs (2) or longer phrases (3), stored."""
+    """United transducers of one level, stored: words (1) or phrases of two and more (2)."""
     sent = texts.mapInArrow(_shards(level, n_ranges, words, pairs), _SENT)
     return materialize(sent.groupBy("lang", "level", "range").applyInArrow(_unite(least), _SENT), f"phrases-{level}")
 
@@ -379,7 +405,7 @@ def counted(texts: DataFrame, level: int, n_ranges: int, least: int, words=None,
 
 
 def _level(words: int) -> int:
-    return min(words, 3)
+    return min(words, 2)
 
 
 def _asked_parts(n_ranges: int):
@@ -436,18 +462,14 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     n_ranges = max(FEWEST_RANGES, -(-texts.count() // DOCS_PER_RANGE))
-
-    def table(found: DataFrame):
-        arcs = found.agg(F.coalesce(F.sum(F.size("label")), F.lit(0))).first()[0]  # no fewer than phrases
-        return spark.sparkContext.broadcast(bit_table(found, arcs))
-
+    share = spark.sparkContext.broadcast
     one = counted(texts, 1, n_ranges, least)
-    words = table(one)
-    two = counted(texts, 2, n_ranges, least, words)
-    pairs = table(two)
-    three = counted(texts, 3, n_ranges, least, words, pairs)
+    words = share(bit_table(materialize(one.mapInArrow(_word_buckets, "bucket bigint"), "phrases-words")))
+    buckets = texts.mapInArrow(_pair_buckets(words), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    pairs = share(bit_table(materialize(buckets.where(F.col("n") >= least).select("bucket"), "phrases-pairs")))
+    more = counted(texts, 2, n_ranges, least, words, pairs)
     totals = one.groupBy("lang").agg(F.sum("total").alias("n"))
-    transducers = one.unionByName(two).unionByName(three)
+    transducers = one.unionByName(more)
     answers = part_counts(transducers, n_ranges)
 
     def part(k: int, left: bool):

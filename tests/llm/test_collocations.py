@@ -84,9 +84,9 @@ def test_bit_table_knows_every_frequent_phrase(spark):
     texts = spark.createDataFrame(rows, "lang string, text string").select("lang", "text").withColumn("text", co.F.col("text").cast("binary"))
     one = co.counted(texts, 1, 4, 5)
     kept = {p for r in one.collect() for p, _ in co.Transducer.unpacked(*[r[c] for c in ("words", "weight", "first", "label", "target")]).phrases()}
-    table = co.bit_table(one, 100)
-    assert table(co.phrase_hashes("en", sorted(kept), 1)).all()
-    others = co.phrase_hashes("en", [(f"other{i}",) for i in range(1000)], 1)
+    table = co.bit_table(one.mapInArrow(co._word_buckets, "bucket bigint"))
+    assert len(kept) == 48 and table(co.phrase_hashes("en", sorted(kept))).all()
+    others = co.phrase_hashes("en", [(f"other{i}",) for i in range(1000)])
     assert table(others).mean() < 0.1
 
 
@@ -98,6 +98,7 @@ TEXTS = [
 
 @pytest.mark.parametrize("shard", [1, 10_000])
 def test_small_texts(spark, monkeypatch, shard):
+    monkeypatch.setattr(co, "MOST_BITS", 1 << 15 if shard > 1 else 1 << 27)
     monkeypatch.setattr(co, "SHARD_BYTES", shard)
     monkeypatch.setattr(co, "ASKERS", 1 if shard > 1 else 50_000)
     rows = TEXTS * 3
@@ -106,6 +107,12 @@ def test_small_texts(spark, monkeypatch, shard):
         assert found(co.collocations(df, least, top)) == plain(rows, least, top)
 
 
+def test_a_bit_table_that_lets_everything_through_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(co.BitTable, "__call__", lambda self, hashes: np.ones(len(hashes), bool))
+    df = spark.createDataFrame(TEXTS * 3, "lang string, text string")
+    assert found(co.collocations(df, 3)) == plain(TEXTS * 3, 3)
+
+
 def test_whole_table_with_a_lower_bound(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = [(r.lang, r.text) for r in docs.select("lang", "text").collect()]
