@@ -27,10 +27,11 @@ class Rule:
         return F.coalesce(F.expr(self.expr), F.lit(False))
 
 
-def expect(df: DataFrame, rules: Sequence[Rule], observation: Observation | None = None) -> DataFrame:
+def expect(df: DataFrame, rules: Sequence[Rule], observation: Observation | str | None = None) -> DataFrame:
     """Apply the drop rules; with an observation, count violations on the way through.
 
-    The counters ride on the same pass as the filter and work on streams too.
+    The counters ride on the same pass as the filter. A stream takes a name instead of an ``Observation``; its
+    counters come with the progress of every batch (see ``erpweave.streaming.metrics``).
     """
     if observation is not None and rules:
         counters = [F.count_if(~r.holds()).alias(r.name) for r in rules]

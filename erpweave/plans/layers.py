@@ -18,14 +18,17 @@ from erpweave.streaming.ingest import append_tables, ingest_tables
 def silver_layer(
     spark: SparkSession, bronze: Mapping[str, DataFrame], store: str, client: str = "100"
 ) -> dict[str, DataFrame]:
-    """Typed tables, fed incrementally from the raw tables below ``<store>/bronze``."""
+    """Typed tables, fed incrementally from the raw tables below ``<store>/bronze``.
+
+    What each rule let pass and dropped is appended to ``<store>/metrics/silver``, batch by batch.
+    """
     streams = {
         name: silver_table(
-            spark.readStream.schema(bronze[name].schema).parquet(f"{store}/bronze/{name}"), name, client
+            spark.readStream.schema(bronze[name].schema).parquet(f"{store}/bronze/{name}"), name, client, name
         )
         for name in SILVER
     }
-    return append_tables(streams, f"{store}/silver", f"{store}/checkpoints/silver")
+    return append_tables(streams, f"{store}/silver", f"{store}/checkpoints/silver", metrics=f"{store}/metrics/silver")
 
 
 def domain_layer(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -1,17 +1,19 @@
 """Purchase-to-pay in layers: landed files, typed streams, a dated fact.
 
-``silver_*`` work on batch and streaming frames; the deduplication of a stream is added by
-``erpweave.streaming.state.dedupe_stream``.
+``silver_*`` work on batch and streaming frames; ``erpweave.streaming.state.append_first`` keeps one row per key of what
+a stream brings.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from erpweave.functions import month_of, sap_date, year_of
 from erpweave.operators.dedupe import first_per_key, latest_per_key
 from erpweave.operators.quality import Rule, expect
+from erpweave.sources.tables import overwrite_partitions
 
 # Quality rules of the layer.
 HEADER_RULES = [
@@ -42,12 +44,12 @@ def typed_item(raw: DataFrame) -> DataFrame:
     )
 
 
-def silver_header(raw: DataFrame) -> DataFrame:
-    return expect(typed_header(raw), HEADER_RULES)
+def silver_header(raw: DataFrame, observation: Observation | str | None = None) -> DataFrame:
+    return expect(typed_header(raw), HEADER_RULES, observation)
 
 
-def silver_item(raw: DataFrame) -> DataFrame:
-    return expect(typed_item(raw), ITEM_RULES)
+def silver_item(raw: DataFrame, observation: Observation | str | None = None) -> DataFrame:
+    return expect(typed_item(raw), ITEM_RULES, observation)
 
 
 def silver_slice(raw: DataFrame, partition_date: str) -> DataFrame:
@@ -79,6 +81,22 @@ def gold_po_fact(items: DataFrame, headers: DataFrame, suppliers: DataFrame, mat
     )
 
 
+_FACT_PARTITIONS = ["order_year", "order_month"]
+
+
+def write_po_fact(fact: DataFrame, path: str) -> None:
+    """Write the fact by order year and month; only the months that ``fact`` holds are replaced.
+
+    ``_updated_at`` says when a month was last written. Items without an order date have a partition of their own.
+    """
+    overwrite_partitions(fact.withColumn("_updated_at", F.current_timestamp()), path, _FACT_PARTITIONS, only_touched=True)
+
+
+def read_po_fact(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The stored fact with ``_updated_at``; a filter on year or month prunes partitions."""
+    return spark.read.schema(StructType([*schema.fields, StructField("_updated_at", TimestampType())])).parquet(path)
+
+
 def gold_p2p_fact(items: DataFrame, headers: DataFrame) -> DataFrame:
     """Item fact of the declarative flow: header attributes and calendar parts."""
     header = headers.select("ebeln", "lifnr", "ekorg", "bukrs", "bedat", F.col("waers").alias("h_waers"))

@@ -11,6 +11,8 @@ from erpweave.plans import documented as D
 from erpweave.plans import purchasing_lakehouse as L
 from erpweave.queries.oracle import CTES, twin
 from erpweave.queries.registry import Tables, query
+from erpweave.session import work_folder
+from erpweave.sources.layout import curve_layout
 
 # Derived inputs: accounting lines with their full key, incoming invoice items, journal,
 # planning data and message tables.
@@ -299,14 +301,38 @@ def q25(t: Tables):
 _PO_HEADER = "SELECT *, CAST(try_strptime(bedat, '%Y%m%d') AS DATE) AS po_date FROM ekko"
 
 
-@query("gold_po_fact", twin(f"""SELECT i.ebeln AS purchase_order, i.ebelp AS purchase_order_item, h.lifnr AS supplier_id,
+_GOLD_PO_FACT = f"""SELECT i.ebeln AS purchase_order, i.ebelp AS purchase_order_item, h.lifnr AS supplier_id,
     s.name1 AS supplier_name, i.matnr AS material_id, m.maktx AS material_description, i.werks AS plant, h.ekorg AS purchasing_org,
     h.po_date AS order_date, CAST(year(h.po_date) AS BIGINT) AS order_year, CAST(month(h.po_date) AS BIGINT) AS order_month,
     CAST(i.menge AS DECIMAL(13,3)) AS quantity_ordered, i.meins AS unit_of_measure, CAST(i.netpr AS DECIMAL(11,2)) AS net_price,
     CAST(i.netwr AS DECIMAL(13,2)) AS net_value, h.waers AS currency FROM ekpo i LEFT JOIN ({_PO_HEADER}) h ON i.ebeln = h.ebeln
-    LEFT JOIN lfa1 s ON h.lifnr = s.lifnr LEFT JOIN (SELECT * FROM makt WHERE spras = 'P') m ON i.matnr = m.matnr"""))
+    LEFT JOIN lfa1 s ON h.lifnr = s.lifnr LEFT JOIN (SELECT * FROM makt WHERE spras = 'P') m ON i.matnr = m.matnr"""
+
+
+@query("gold_po_fact", twin(_GOLD_PO_FACT))
 def q26(t: Tables):
     return L.gold_po_fact(
         L.typed_item(t.raw("ekpo")), L.typed_header(t.raw("ekko")), t.raw("lfa1"),
         t.raw("makt").filter(F.col("spras") == "P"),
     )
+
+
+@query("gold_po_fact_partitions", twin(f"SELECT *, TRUE AS has_update_time FROM ({_GOLD_PO_FACT})"))
+def q26_table(t: Tables):
+    """The fact as a table by order year and month: written with wrong prices in one year, which is then written again."""
+    path = work_folder(t.spark, "po-fact")
+    fact = q26(t)
+    year = F.col("order_year") == 1997
+    L.write_po_fact(fact.withColumn("net_price", F.when(year, -1).otherwise(F.col("net_price")).cast("decimal(11,2)")), path)
+    L.write_po_fact(fact.filter(year), path)
+    stored = L.read_po_fact(t.spark, path, fact.schema)
+    return stored.withColumn("has_update_time", F.col("_updated_at").isNotNull()).drop("_updated_at")
+
+
+@query("layout_space_filling", twin(_GOLD_PO_FACT))
+def q26_layout(t: Tables):
+    """The fact clustered by order date and plant: a filter on either one skips most files."""
+    path = work_folder(t.spark, "po-fact-curve")
+    fact = q26(t)
+    curve_layout(fact, ["order_date", "plant"], 32).write.parquet(path)
+    return t.spark.read.schema(fact.schema).parquet(path)

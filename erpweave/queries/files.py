@@ -8,18 +8,19 @@ from pyspark.sql.types import StructType
 
 from erpweave import crosswalk
 from erpweave.datagen.specs import erp_tables
-from erpweave.operators.dedupe import first_per_key
 from erpweave.operators.maintenance import BucketedTable
 from erpweave.operators.quality import Rule, expect
 from erpweave.plans import purchasing_lakehouse as L
 from erpweave.plans.domain import dim_customer
 from erpweave.plans.gold import tax_summary
+from erpweave.plans.layers import silver_layer
 from erpweave.plans.silver import silver_table
 from erpweave.queries.oracle import twin
 from erpweave.queries.registry import Tables, query
 from erpweave.session import work_folder
 from erpweave.sources import extraction, files, schemas, tables
 from erpweave.streaming import ingest, state
+from erpweave.streaming.metrics import rule_totals
 
 
 def _land_json(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -302,11 +303,16 @@ def stream_expect(t: Tables):
 
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(t: Tables):
+    """Two loads; most keys of the second are stored since the first."""
     base = work_folder(t.spark, "stream-dedup")
-    rows = t.source("events").select("user_id", "event_type")
-    stream = _stream_of(t, rows, base).select("user_id", "event_type")
-    ingest.run_available(state.dedupe_stream(stream, ["user_id", "event_type"]), f"{base}/out", f"{base}/cp")
-    return t.spark.read.schema(rows.schema).parquet(f"{base}/out")
+    events = t.source("events")
+    half = F.lit("2024-01-16").cast("timestamp_ntz")
+    result = None
+    for part in (events.filter(F.col("ts") < half), events.filter(~(F.col("ts") < half) | F.col("ts").isNull())):
+        rows = part.select("user_id", "event_type")
+        stream = _stream_of(t, rows, base).select("user_id", "event_type")
+        result = state.append_first(stream, f"{base}/out", ["user_id", "event_type"], f"{base}/cp", buckets=8)
+    return result
 
 
 @query("stream_to_mv", twin("SELECT * FROM dim_customer"))
@@ -342,22 +348,72 @@ def stream_upsert(t: Tables):
     CAST(i.netpr AS DECIMAL(11,2)) AS unit_price, CAST(i.netwr AS DECIMAL(13,2)) AS net_value, h.waers AS currency
     FROM i LEFT JOIN h ON i.ebeln = h.ebeln"""))
 def p2p(t: Tables):
-    base = work_folder(t.spark, "p2p")
+    fact, _ = _p2p_layers(t)
+    return fact
+
 
-    def layer(name: str, silver, keys: list[str]) -> DataFrame:
-        # Every row lands twice: the stream must keep one of each key.
-        once = first_per_key(t.raw(name), keys, [])
-        for _ in range(2):
-            once.write.mode("append").parquet(f"{base}/landing/{name}")
-        landed = t.spark.read.parquet(f"{base}/landing/{name}").schema
-        stream = ingest.parquet_stream(t.spark, f"{base}/landing/{name}", landed, "ERP").drop("_ingestion_ts", "_source")
-        typed = state.dedupe_stream(silver(stream), keys)
-        ingest.run_available(typed, f"{base}/silver/{name}", f"{base}/cp/{name}")
-        return t.spark.read.schema(typed.schema).parquet(f"{base}/silver/{name}")
-
-    headers = layer("ekko", L.silver_header, ["ebeln"])
-    items = layer("ekpo", L.silver_item, ["ebeln", "ebelp"])
-    return L.gold_p2p_fact(items, headers)
+def _p2p_layers(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Landed files, checked streams, one row per key, the fact; and what the rules counted on the way."""
+    base = work_folder(t.spark, "p2p")
+    silver = {"ekko": (L.silver_header, ["ebeln"]), "ekpo": (L.silver_item, ["ebeln", "ebelp"])}
+    stored: dict[str, DataFrame] = {}
+    # Every row lands twice, in two runs: the second brings no new key.
+    for _ in range(2):
+        streams = {}
+        for name, (checked, _) in silver.items():
+            t.raw(name).write.mode("append").parquet(f"{base}/landing/{name}")
+            landed = t.spark.read.parquet(f"{base}/landing/{name}").schema
+            stream = ingest.parquet_stream(t.spark, f"{base}/landing/{name}", landed, "ERP").drop("_ingestion_ts", "_source")
+            streams[name] = checked(stream, name)
+        checked = ingest.append_tables(streams, f"{base}/checked", f"{base}/cp", metrics=f"{base}/metrics")
+        for name, (_, keys) in silver.items():
+            stream = t.spark.readStream.schema(checked[name].schema).parquet(f"{base}/checked/{name}")
+            stored[name] = state.append_first(stream, f"{base}/silver/{name}", keys, f"{base}/cp-first/{name}", buckets=8)
+    return L.gold_p2p_fact(stored["ekpo"], stored["ekko"]), rule_totals(t.spark, f"{base}/metrics")
+
+
+_P2P_RULES = {
+    "ekko": {"ebeln_not_null": "ebeln IS NOT NULL", "valid_date": "try_strptime(bedat, '%Y%m%d') >= DATE '2000-01-01'",
+             "valid_amount": "try_cast(netwr AS DECIMAL(15,2)) >= 0"},
+    "ekpo": {"ebeln_not_null": "ebeln IS NOT NULL", "ebelp_not_null": "ebelp IS NOT NULL",
+             "valid_quantity": "try_cast(menge AS DECIMAL(13,3)) >= 0"},
+}
+
+
+def _rule_sql(table: str, rule: str, test: str, source: str, times: int = 1) -> str:
+    return (f"SELECT '{table}' AS table_name, '{rule}' AS rule, CAST({times} * count(*) FILTER ({test}) AS BIGINT) AS passed, "
+            f"CAST({times} * count(*) FILTER (({test}) IS NOT TRUE) AS BIGINT) AS failed FROM {source}")
+
+
+@query("procure_to_pay_rule_metrics", twin(" UNION ALL ".join(
+    _rule_sql(table, rule, test, table, 2) for table, rules in _P2P_RULES.items() for rule, test in rules.items())))
+def p2p_metrics(t: Tables):
+    """Counters of both runs, dropping and warning rules."""
+    _, totals = _p2p_layers(t)
+    return totals
+
+
+# The key field that each typed table requires.
+_REQUIRED = {
+    "kna1": ["kunnr"], "lfa1": ["lifnr"], "mara": ["matnr"], "makt": ["matnr"], "pa0001": ["pernr"], "vbak": ["vbeln"],
+    "vbap": ["vbeln", "posnr"], "vbrk": ["vbeln"], "vbrp": ["vbeln"], "likp": ["vbeln"], "lips": ["vbeln"], "ekko": ["ebeln"],
+    "ekpo": ["ebeln"], "ekbe": ["ebeln"], "j_1bnfdoc": ["docnum"], "j_1bnflin": ["docnum"], "j_1bnfstx": ["docnum"],
+    "bkpf": ["belnr"],
+}
+
+
+@query("silver_rule_metrics", twin(" UNION ALL ".join(
+    _rule_sql(table, f"valid_{key}", f"{key} IS NOT NULL", f"{table} WHERE mandt = '100'" + (" AND spras = 'P'" if table == "makt" else ""))
+    for table, keys in _REQUIRED.items() for key in keys)))
+def silver_metrics(t: Tables):
+    """What every rule of the 18 typed tables let pass and dropped, as recorded by the layer's streams."""
+    base = work_folder(t.spark, "silver-metrics")
+    bronze = {}
+    for name in _REQUIRED:
+        t.raw(name).write.parquet(f"{base}/bronze/{name}")
+        bronze[name] = t.spark.read.parquet(f"{base}/bronze/{name}")
+    silver_layer(t.spark, bronze, base)
+    return rule_totals(t.spark, f"{base}/metrics/silver")
 
 
 @query("stream_fiscal_layers", twin("""SELECT company_code, CAST(date_trunc('month', doc_date) AS DATE) AS tax_month, tax_type,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from erpweave.sources.files import parse_with_rescue, with_ingestion_metadata
+from erpweave.streaming.metrics import recorded_rules
 
 
 def json_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
@@ -70,26 +71,29 @@ def ingest_table(
 
 
 def append_tables(
-    streams: Mapping[str, DataFrame], target: str, checkpoints: str, at_once: int = 8
+    streams: Mapping[str, DataFrame], target: str, checkpoints: str, at_once: int = 8, metrics: str | None = None
 ) -> dict[str, DataFrame]:
     """Append what is available of many streams, ``at_once`` of them side by side.
 
     Returns the accumulated tables. Each table has its own checkpoint. When one fails, those beside it
-    are awaited before the failure is raised, so the next run finds no query on their checkpoints.
+    are awaited before the failure is raised, so the next run finds no query on their checkpoints. With
+    ``metrics``, a table path, the rule counters that streams carry are appended there, those of finished
+    batches of a failed run too.
     """
     names = list(streams)
     for start in range(0, len(names), at_once):
-        running = [
-            streams[name].writeStream.format("parquet").option("checkpointLocation", f"{checkpoints}/{name}")
-            .trigger(availableNow=True).start(f"{target}/{name}")
-            for name in names[start:start + at_once]
-        ]
-        failures = []
-        for query in running:
-            try:
-                query.awaitTermination()
-            except StreamingQueryException as failure:
-                failures.append(failure)
+        together = {name: streams[name] for name in names[start:start + at_once]}
+        session = next(iter(together.values())).sparkSession
+        with recorded_rules(session, metrics) as runs:
+            failures = []
+            for name, stream in together.items():
+                writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{checkpoints}/{name}")
+                runs.append(writer.trigger(availableNow=True).start(f"{target}/{name}"))
+            for query in runs:
+                try:
+                    query.awaitTermination()
+                except StreamingQueryException as failure:
+                    failures.append(failure)
         if failures:
             raise failures[0]
     return {

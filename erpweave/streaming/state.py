@@ -5,32 +5,78 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from erpweave.operators.dedupe import first_per_key
 from erpweave.operators.maintenance import BucketedTable, VersionedTable
+from erpweave.sources.tables import overwrite_partitions
 
 
-def dedupe_stream(
-    stream: DataFrame, keys: Sequence[str], event_time: str | None = None, delay: str | None = None,
-    pieces: int = 1,
+def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
+    """First row per key among those at most ``delay`` apart in event time; older state expires.
+
+    For continuous streams whose duplicates come close together. Rows later than the watermark are dropped, and a key
+    comes again after its state has expired: ``append_first`` is exact over any distance.
+    """
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def _stored(session: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    try:
+        return session.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def append_first(
+    stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, buckets: int = 64
 ) -> DataFrame:
-    """First row per key over the life of the stream.
+    """Append the rows whose key the table at ``path`` does not hold yet; returns the table.
 
-    Without a watermark the state keeps every key ever seen, which is exact and grows;
-    with one, duplicates within ``delay`` are found and older state is dropped.
+    One row per key over the life of the table, whatever lies between two copies: the first to arrive stays,
+    and of one batch the least by its other columns. The stored table takes the place of stream state, so nothing is kept in
+    memory and nothing expires. It is laid out by key hash; a batch reads the key columns of the buckets it touches
+    only. A hot key is reduced to one row in every task before anything is shuffled.
 
-    ``pieces`` above one first removes duplicates inside that many hash pieces of a key,
-    so a key with very many copies reaches its final task as a few rows; rare keys pay
-    with a second state entry.
+    Each batch has a partition of its own, named after stream and batch: a repeated batch does not see its
+    first try and replaces it. NULL keys are equal to each other.
     """
-    if event_time and delay:
-        return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
-    if pieces > 1:
-        rest = [F.col(c) for c in stream.columns]
-        piece = F.pmod(F.xxhash64(*rest), F.lit(pieces))
-        stream = stream.withColumn("_piece", piece).dropDuplicates([*keys, "_piece"]).drop("_piece")
-    return stream.dropDuplicates(list(keys))
+    if {"_bucket", "_load"} & set(stream.columns):
+        raise ValueError("_bucket and _load are names of the table's own columns")
+    columns = [F.col(f"`{c}`") for c in stream.columns]
+    stored_schema = StructType([*stream.schema.fields, StructField("_bucket", IntegerType()), StructField("_load", StringType())])
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        load = json.loads(session.read.text(f"{checkpoint}/metadata").first()[0])["id"] + f"-{batch_id}"
+        bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
+        # Without other columns there is nothing to choose by.
+        firsts = first_per_key(batch, keys, []) if set(batch.columns) - set(keys) else batch.dropDuplicates(list(keys))
+        fresh = firsts.select(*columns, bucket.alias("_bucket")).persist()
+        touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]
+        known = _stored(session, path, stored_schema)
+        if known is not None:
+            known = known.where(F.col("_bucket").isin(touched) & (F.col("_load") != load)).select(
+                F.col("_bucket").alias("_kb"), *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
+            same = F.col("_bucket") == F.col("_kb")
+            for i, k in enumerate(keys):
+                same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}"))
+            new = fresh.join(known, same, "left_anti")
+        else:
+            new = fresh
+        overwrite_partitions(new.withColumn("_load", F.lit(load)), path, ["_bucket", "_load"], only_touched=True)
+        fresh.unpersist()
+
+    stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).start().awaitTermination()
+    session = stream.sparkSession
+    table = _stored(session, path, stored_schema)
+    return session.createDataFrame([], stream.schema) if table is None else table.select(*columns)
 
 
 def upsert_stream(
