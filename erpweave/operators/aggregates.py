@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from erpweave.functions.numbers import signed_amount
@@ -20,6 +20,36 @@ def distinct_counts(df: DataFrame, keys: Sequence[Column | str], counts: Mapping
     return df.groupBy(*keys).agg(*[F.count_distinct(column).alias(name) for name, column in counts.items()])
 
 
+def sums_and_distincts(
+    df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], document: tuple[str, str], other: tuple[str, str]
+) -> DataFrame:
+    """Group sums (name -> column) and the distinct counts (name, column) of a document key and of another column.
+
+    Two distinct counts in one aggregation repeat every row per count. Here one row per group and document is marked
+    first, which needs no shuffle where a join has dealt the rows by document. The rest is added up by other value and then
+    by group, both combined before their shuffle. NULLs are not counted, as in any distinct count.
+    """
+    group = [f"k{i}" for i in range(len(keys))]
+    parts = [f"s{i}" for i in range(len(sums))]
+    narrow = df.select(
+        *[F.col(f"`{k}`").alias(g) for k, g in zip(keys, group, strict=True)],
+        *[F.col(f"`{c}`").alias(s) for c, s in zip(sums.values(), parts, strict=True)],
+        F.col(f"`{document[1]}`").alias("document"), F.col(f"`{other[1]}`").alias("other"),
+    )
+    added = [F.sum(s).alias(s) for s in parts]
+    place = F.row_number().over(Window.partitionBy(*group, "document").orderBy("other"))
+    marked = narrow.select(
+        *group, "other", *parts, F.when((place == 1) & F.col("document").isNotNull(), 1).otherwise(0).alias("first"))
+    by_other = marked.groupBy(*group, "other").agg(*added, F.sum("first").alias("first"))
+    totals = by_other.groupBy(*group).agg(
+        *added, F.sum("first").alias("documents"), F.count("other").alias("others"))
+    return totals.select(
+        *[F.col(g).alias(k) for g, k in zip(group, keys, strict=True)],
+        *[F.col(s).alias(name) for s, name in zip(parts, sums, strict=True)],
+        F.col("documents").alias(document[0]), F.col("others").alias(other[0]),
+    )
+
+
 def event_totals(
     history: DataFrame, keys: Sequence[str], event: str, totals: Mapping[str, tuple[str, str, str]]
 ) -> DataFrame:

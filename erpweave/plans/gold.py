@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from erpweave.functions import days_between, month_start
-from erpweave.operators.aggregates import first_milestone
+from erpweave.operators.aggregates import first_milestone, sums_and_distincts
 
 
 def revenue_by_customer_month(billing: DataFrame, customer: DataFrame) -> DataFrame:
@@ -16,12 +16,9 @@ def revenue_by_customer_month(billing: DataFrame, customer: DataFrame) -> DataFr
     customer and month instead of one per invoice item. A customer that the dimension
     lists several times under one name multiplies the sums, as joining first would.
     """
-    monthly = billing.groupBy("kunnr", month_start("billing_date").alias("billing_month"), "currency").agg(
-        F.sum("item_net_value").alias("_revenue"),
-        F.sum("item_tax").alias("_tax"),
-        F.count_distinct("vbeln").alias("invoice_count"),
-        F.count_distinct("matnr").alias("distinct_materials"),
-    )
+    monthly = sums_and_distincts(
+        billing.withColumn("billing_month", month_start("billing_date")), ["kunnr", "billing_month", "currency"],
+        {"_revenue": "item_net_value", "_tax": "item_tax"}, ("invoice_count", "vbeln"), ("distinct_materials", "matnr"))
     names = customer.groupBy("kunnr", "customer_name", "state").agg(F.count(F.lit(1)).alias("_copies"))
     copies = F.coalesce("_copies", F.lit(1))
     return monthly.join(names, "kunnr", "left").select(
@@ -67,12 +64,10 @@ def purchase_spend_by_vendor(orders: DataFrame, vendor: DataFrame, by_currency:
         "total_qty_ordered": ("qty_ordered", "decimal(17,3)"),
         "total_qty_received": ("qty_received", "decimal(17,3)"),
     }
-    keys = ["lifnr", month_start("po_date").alias("po_month"), "company_code"]
-    monthly = orders.groupBy(*keys, *(["currency"] if by_currency else [])).agg(
-        *[F.sum(column).alias(name) for name, (column, _) in sums.items()],
-        F.count_distinct("ebeln").alias("po_count"),
-        F.count_distinct("matnr").alias("distinct_materials"),
-    )
+    monthly = sums_and_distincts(
+        orders.withColumn("po_month", month_start("po_date")),
+        ["lifnr", "po_month", "company_code", *(["currency"] if by_currency else [])],
+        {name: column for name, (column, _) in sums.items()}, ("po_count", "ebeln"), ("distinct_materials", "matnr"))
     names = vendor.groupBy("lifnr", "vendor_name", "country").agg(F.count(F.lit(1)).alias("_copies"))
     copies = F.coalesce("_copies", F.lit(1))
     return (

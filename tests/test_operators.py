@@ -192,3 +192,23 @@ def test_projection_helpers(spark):
     two = partners.unionByName(partners.withColumn("pernr", F.lit("p2")))
     out = projection.by_role(two, {"gc": ("ZG", "pernr"), "we": ("WE", "kunnr"), "re": ("XX", "kunnr")}, ["d"], "parvw")
     assert rows(out) == [("o", "p1", "k1", None), ("o", "p2", "k1", None)]
+
+
+def test_sums_and_two_distinct_counts_without_expand(spark):
+    from erpweave.operators.aggregates import sums_and_distincts
+
+    values = [("a", 1, "x", 2), ("a", 1, "y", 3), ("a", 1, "x", 5), ("a", 2, "x", None), ("a", None, "z", 1), (None, 3, None, 4), (None, None, None, 1)]
+    df = spark.createDataFrame(values, "s0 string, document int, other string, k0 int")  # named like its working columns
+    got = sums_and_distincts(df, ["s0"], {"total": "k0"}, ("documents", "document"), ("others", "other"))
+    want = df.groupBy("s0").agg(F.sum("k0").alias("total"), F.count_distinct("document").alias("documents"), F.count_distinct("other").alias("others"))
+    assert got.columns == want.columns and rows(got) == rows(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "Expand" in want._jdf.queryExecution().executedPlan().toString()
+    assert sums_and_distincts(df.limit(0), ["s0"], {"total": "k0"}, ("documents", "document"), ("others", "other")).count() == 0
+
+
+def test_key_figures_repeat_no_row_per_distinct_count(spark, folder):
+    import __spark_entry__ as entry
+
+    for name in ("kpi_revenue_by_customer_month", "kpi_purchase_spend_by_vendor", "kpi_purchase_spend_by_currency"):
+        assert "Expand" not in entry.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString(), name
