@@ -69,6 +69,7 @@ BRONZE: dict[str, tuple[str, list[str]]] = {
         "'100' AS mandt", f"{_digits('p_partkey', 18)} AS matnr",
         "CASE WHEN p_size % 5 = 0 THEN NULL ELSE concat('OLD', CAST(p_partkey AS STRING)) END AS bismt",
         "concat(rpad(p_type, 5, ' '), rpad(p_brand, 5, ' ')) AS prdha", "p_brand AS matkl",
+        "CASE WHEN p_size % 4 = 1 THEN 'FERT' WHEN p_size % 4 = 2 THEN 'ROH' ELSE 'HAWA' END AS mtart",
         "CASE WHEN p_size % 2 = 0 THEN 'KG' ELSE 'UN' END AS meins", "'KG' AS gewei",
         "CAST(p_size AS DOUBLE) AS ntgew", "p_retailprice AS brgew",
     ]),
@@ -187,7 +188,7 @@ BRONZE: dict[str, tuple[str, list[str]]] = {
         "o_totalprice AS netwr", "'BRL' AS waerk", "CAST(o_custkey % 1000 AS DOUBLE) * 0.25 AS mwsbk",
         "CASE WHEN o_orderkey % 7 = 1 THEN 'X' WHEN o_orderkey % 3 = 0 THEN '' ELSE NULL END AS fksto",
         f"CASE WHEN o_orderkey % 12 = 5 THEN {_doc('o_orderkey', '3')} WHEN o_orderkey % 2 = 0 THEN '' ELSE NULL END AS sfakn",
-        "'T' AS zlsch",
+        "'T' AS zlsch", "CASE WHEN o_orderkey % 9 = 4 THEN 'A' ELSE 'C' END AS rfbsk",
     ]),
     "vbrp": ("lineitem", [
         _ITEM_CLIENT, f"{_doc('l_orderkey', '9')} AS vbeln", f"{_ITEM} AS posnr",

@@ -160,15 +160,18 @@ def production_cost(
 
 def order_profitability(
     vbak: DataFrame, vbap: DataFrame, vbrp: DataFrame, vbrk: DataFrame, mseg: DataFrame, since: str,
-    client: str = "100",
+    client: str = "100", posted: str = "C",
 ) -> DataFrame:
-    """Revenue of an order item against the cost of the goods issued for its invoice."""
+    """Revenue of an order item against the cost of the goods issued for its invoice.
+
+    Only invoices in posting status ``posted`` count: those accounting has taken over.
+    """
     order = _of_client(vbak, client).select("mandt", "vbeln", "kunnr")
     item = vbap.select("mandt", "vbeln", "posnr", "matnr", F.col("kwmeng").alias("qtd_pedida"))
     bill_item = vbrp.select(
         "mandt", F.col("vbeln").alias("b_vbeln"), F.col("aubel").alias("vbeln"), F.col("aupos").alias("posnr")
     )
-    bill = vbrk.filter(F.col("fkdat") >= since).select(
+    bill = vbrk.filter((F.col("fkdat") >= since) & (F.col("rfbsk") == posted)).select(
         "mandt", F.col("vbeln").alias("b_vbeln"), F.col("netwr").alias("receita_bruta"),
         F.col("fkdat").alias("data_faturamento"),
     )
@@ -191,13 +194,13 @@ def document_by_object_key(bkpf: DataFrame, origin: str, key: str, client: str =
 
 
 def failed_messages(control: DataFrame, status: DataFrame, code: str, since: str, client: str = "100") -> DataFrame:
-    """Inbound documents in an error status with the text of that status, newest first."""
+    """Documents in an error status, with their direction, the text of that status and its message qualifier, newest first."""
     failed = _of_client(control, client).filter((F.col("status") == code) & (F.col("credat") >= since))
     return (
-        failed.select("mandt", "docnum", "mestyp", "status", "credat")
-        .join(status.select("mandt", "docnum", "statxt"), ["mandt", "docnum"])
+        failed.select("mandt", "docnum", "mestyp", "direct", "status", "credat")
+        .join(status.select("mandt", "docnum", "statxt", "stamqu"), ["mandt", "docnum"])
         .drop("mandt")
-        .orderBy(F.desc("credat"), "docnum", "statxt")
+        .orderBy(F.desc("credat"), "docnum", "statxt", "stamqu")
     )
 
 
@@ -226,16 +229,19 @@ def flat_po_extract(
 
 
 def journal_slice(
-    journal: DataFrame, company: str, year: str, low: str, high: str, kinds: list[str]
+    journal: DataFrame, company: str, year: str, low: str, high: str, kinds: list[str], ledger: str = "0L"
 ) -> DataFrame:
+    """Postings of one ledger, company and year by date and kind, with cost and profit centre, group amount and quantity."""
     return journal.filter(
-        (F.col("bukrs") == company) & (F.col("gjahr") == year) & F.col("budat").between(low, high)
+        (F.col("rldnr") == ledger) & (F.col("bukrs") == company) & (F.col("gjahr") == year) & F.col("budat").between(low, high)
         & F.col("blart").isin(kinds)
+    ).select(
+        "rldnr", "bukrs", "gjahr", "belnr", "budat", "blart", "buzei", "saknr", "rcostcenter", "rprctr", "amount", "group_amount", "menge"
     )
 
 
-def journal_balance(journal: DataFrame, company: str, year: str, account: str) -> DataFrame:
-    rows = journal.filter((F.col("bukrs") == company) & (F.col("gjahr") == year) & (F.col("saknr") == account))
+def journal_balance(journal: DataFrame, company: str, year: str, account: str, ledger: str = "0L") -> DataFrame:
+    rows = journal.filter((F.col("rldnr") == ledger) & (F.col("bukrs") == company) & (F.col("gjahr") == year) & (F.col("saknr") == account))
     return rows.agg(F.sum("amount").cast("decimal(27,2)").alias("balance"))
 
 
@@ -244,7 +250,7 @@ def material_movements(
 ) -> DataFrame:
     return _of_client(mseg, client).filter(
         (F.col("werks") == plant) & (F.col("bwart") == movement) & F.col("budat").between(low, high)
-    ).select("mblnr", "zeile", "budat", "bwart", "matnr", "werks", "lgort", "menge", "meins", "dmbtr")
+    ).select("mblnr", "mjahr", "zeile", "budat", "bwart", "matnr", "werks", "lgort", "menge", "meins", "dmbtr")
 
 
 def critical_stock(stock: DataFrame, planning: DataFrame, client: str, plant: str, percent: float) -> DataFrame:
@@ -282,13 +288,13 @@ def register_critical_stock(stock: DataFrame, planning: DataFrame, name: str = "
 
 
 def material_stock(
-    mara: DataFrame, marc: DataFrame, makt: DataFrame, mard: DataFrame, material_type: Column, language: str = "P"
+    mara: DataFrame, marc: DataFrame, makt: DataFrame, mard: DataFrame, material_type: str, language: str = "P"
 ) -> DataFrame:
-    """Materials with their plants and text, and the stock where there is any."""
+    """Materials of a type with their plants and text, and the stock where there is any."""
     texts = makt.filter(F.col("spras") == language).select("matnr", "maktx")
     return (
         marc.select("matnr", "werks")
-        .join(mara.filter(material_type).select("matnr", "matkl"), "matnr")
+        .join(mara.filter(F.col("mtart") == material_type).select("matnr", "mtart", "matkl"), "matnr")
         .join(texts, "matnr")
         .join(mard.select("matnr", "werks", "lgort", "labst"), ["matnr", "werks"], "left")
     )

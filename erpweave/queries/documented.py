@@ -19,11 +19,15 @@ from erpweave.sources.layout import curve_layout
 CTES.update({
     "bseg_full": "SELECT s.mandt, k.bukrs, s.belnr, k.gjahr, s.buzei, s.saknr, s.dmbtr, s.shkzg, s.koart, s.lifnr, s.augdt FROM bseg s JOIN bkpf k ON s.belnr = k.belnr",
     "rseg": "SELECT i.mandt, i.ebeln, i.ebelp, concat('51', substr(i.ebeln, 3)) AS belnr, substr(h.bedat, 1, 4) AS gjahr FROM ekpo i JOIN ekko h ON i.ebeln = h.ebeln WHERE h.bsart = 'NB'",
-    "acdoca": "SELECT s.bukrs, s.belnr, s.gjahr, s.buzei, s.saknr, h.budat, h.blart, CAST(CASE WHEN s.shkzg = 'S' THEN s.dmbtr ELSE -s.dmbtr END AS DECIMAL(17,2)) AS amount FROM bseg_full s JOIN bkpf h ON s.belnr = h.belnr",
+    "acdoca": """SELECT if(right(s.belnr, 1) IN ('3', '7'), '2L', '0L') AS rldnr, s.bukrs, s.belnr, s.gjahr, s.buzei, s.saknr, h.budat, h.blart,
+        CAST(if(s.shkzg = 'S', 1, -1) * CAST(s.dmbtr AS DECIMAL(17,2)) AS DECIMAL(17,2)) AS amount,
+        CAST(if(s.shkzg = 'S', 1, -1) * CAST(s.dmbtr AS DECIMAL(17,2)) / 4 AS DECIMAL(17,2)) AS group_amount,
+        concat('CC', right(s.saknr, 2)) AS rcostcenter, CASE WHEN s.koart = 'S' THEN concat('PC', right(s.lifnr, 1)) END AS rprctr,
+        CAST(right(s.saknr, 2) AS DECIMAL(13,3)) AS menge FROM bseg_full s JOIN bkpf h ON s.belnr = h.belnr""",
     "ska1": "SELECT lpad(CAST(n_nationkey AS STRING), 10, '0') AS saknr, n_name AS txt50 FROM nation WHERE n_nationkey < 15",
     "marc": "SELECT matnr, werks, CAST(count(*) * 25 - 25 AS DECIMAL(17,3)) AS minbe FROM mard GROUP BY 1, 2",
-    "edidc": "SELECT CASE WHEN event_id % 10 = 9 THEN '200' ELSE '100' END AS mandt, event_id AS docnum, event_type AS mestyp, CASE WHEN event_type = 'error' THEN '51' ELSE '53' END AS status, CAST(ts AS DATE) AS credat FROM events",
-    "edids": "SELECT CASE WHEN event_id % 10 = 9 THEN '200' ELSE '100' END AS mandt, event_id AS docnum, props AS statxt FROM events",
+    "edidc": "SELECT CASE WHEN event_id % 10 = 9 THEN '200' ELSE '100' END AS mandt, event_id AS docnum, event_type AS mestyp, CASE WHEN event_type = 'error' THEN '51' ELSE '53' END AS status, CAST(ts AS DATE) AS credat, CASE user_id % 3 WHEN 0 THEN '1' ELSE '2' END AS direct FROM events",
+    "edids": "SELECT CASE WHEN event_id % 10 = 9 THEN '200' ELSE '100' END AS mandt, event_id AS docnum, props AS statxt, CASE WHEN user_id % 5 > 0 THEN 'SAP' END AS stamqu FROM events",
 })
 
 
@@ -44,9 +48,15 @@ def _rseg(t: Tables):
 
 
 def _journal(t: Tables):
+    """Some documents belong to a further ledger; the group currency is worth four of the company's."""
     header = t.raw("bkpf").select("belnr", "bukrs", "gjahr", "budat", "blart")
+    amount = signed_amount("dmbtr", "shkzg").cast("decimal(17,2)")
     lines = t.raw("bseg").select(
-        "belnr", "buzei", "saknr", signed_amount("dmbtr", "shkzg").cast("decimal(17,2)").alias("amount")
+        "belnr", "buzei", "saknr", amount.alias("amount"), (amount / 4).cast("decimal(17,2)").alias("group_amount"),
+        F.when(F.right("belnr", F.lit(1)).isin("3", "7"), "2L").otherwise("0L").alias("rldnr"),
+        F.concat(F.lit("CC"), F.right("saknr", F.lit(2))).alias("rcostcenter"),
+        F.when(F.col("koart") == "S", F.concat(F.lit("PC"), F.right("lifnr", F.lit(1)))).alias("rprctr"),
+        F.right("saknr", F.lit(2)).cast("decimal(13,3)").alias("menge"),
     )
     return lines.join(header, "belnr")
 
@@ -157,7 +167,7 @@ def q10(t: Tables):
 
 
 @query("q_order_profitability", twin(f"""WITH cost AS (SELECT vbeln AS invoice, abs(dmbtr) AS custo_mercadoria FROM {_own("mseg")} WHERE bwart = '601'),
-    revenue AS (SELECT vbeln AS invoice, netwr AS receita_bruta, fkdat AS data_faturamento FROM {_own("vbrk")} WHERE fkdat >= '20000101'),
+    revenue AS (SELECT vbeln AS invoice, netwr AS receita_bruta, fkdat AS data_faturamento FROM {_own("vbrk")} WHERE rfbsk = 'C' AND fkdat >= '20000101'),
     link AS (SELECT vbeln AS invoice, aubel AS vbeln, aupos AS posnr FROM {_own("vbrp")})
     SELECT vbeln AS nr_so, cliente, material, qtd_pedida, receita_bruta, data_faturamento, custo_mercadoria
     FROM cost INNER JOIN revenue USING (invoice) INNER JOIN link USING (invoice)
@@ -174,17 +184,22 @@ def q12(t: Tables):
     return D.document_by_object_key(t.raw("bkpf"), "VBRK", "900000000022")
 
 
-@query("q_failed_messages", twin("""SELECT d.docnum, d.mestyp, d.status, d.credat, s.statxt FROM edidc d JOIN edids s
-    ON d.mandt = s.mandt AND d.docnum = s.docnum WHERE d.mandt = '100' AND d.status = '51' AND d.credat >= DATE '2024-01-10'"""))
+@query("q_failed_messages", twin("""WITH bad AS (SELECT docnum, mestyp, direct, status, credat FROM edidc
+        WHERE status = '51' AND credat >= DATE '2024-01-10' AND mandt = '100'),
+    reason AS (SELECT docnum, statxt, stamqu FROM edids WHERE mandt = '100')
+    SELECT * FROM bad INNER JOIN reason USING (docnum)"""))
 def q13(t: Tables):
     client = F.when(F.col("event_id") % 10 == 9, "200").otherwise("100").alias("mandt")
     events = t.source("events")
     control = events.select(
         client, F.col("event_id").alias("docnum"), F.col("event_type").alias("mestyp"),
         F.when(F.col("event_type") == "error", "51").otherwise("53").alias("status"),
-        F.col("ts").cast("date").alias("credat"),
+        F.col("ts").cast("date").alias("credat"), F.when(F.col("user_id") % 3 == 0, "1").otherwise("2").alias("direct"),
+    )
+    texts = events.select(
+        client, F.col("event_id").alias("docnum"), F.col("props").alias("statxt"),
+        F.when(F.col("user_id") % 5 > 0, "SAP").alias("stamqu"),
     )
-    texts = events.select(client, F.col("event_id").alias("docnum"), F.col("props").alias("statxt"))
     return D.failed_messages(control, texts, "51", "2024-01-10")
 
 
@@ -212,24 +227,23 @@ def q15(t: Tables):
     )
 
 
-@query("q_journal_slice", twin("""SELECT bukrs, gjahr, belnr, budat, blart, buzei, saknr, amount FROM acdoca WHERE bukrs = 'BR01'
-    AND gjahr = '1998' AND budat BETWEEN '19980301' AND '19980930' AND blart IN ('RE', 'WE')"""))
+@query("q_journal_slice", twin("""SELECT rldnr, bukrs, gjahr, belnr, budat, blart, buzei, saknr, rcostcenter, rprctr, amount, group_amount, menge
+    FROM acdoca WHERE rldnr = '0L' AND bukrs = 'BR01' AND gjahr = '1998' AND budat BETWEEN '19980301' AND '19980930' AND blart IN ('RE', 'WE')"""))
 def q16(t: Tables):
-    return D.journal_slice(_journal(t), "BR01", "1998", "19980301", "19980930", ["RE", "WE"]).select(
-        "bukrs", "gjahr", "belnr", "budat", "blart", "buzei", "saknr", "amount"
-    )
+    return D.journal_slice(_journal(t), "BR01", "1998", "19980301", "19980930", ["RE", "WE"])
 
 
-@query("q_journal_balance", twin("""SELECT CAST(sum(amount) AS DECIMAL(27,2)) AS balance FROM acdoca WHERE bukrs = 'BR01'
+@query("q_journal_balance", twin("""SELECT CAST(sum(amount) AS DECIMAL(27,2)) AS balance FROM acdoca WHERE rldnr = '0L' AND bukrs = 'BR01'
     AND gjahr = '1998' AND saknr = '0000000007'"""))
 def q17(t: Tables):
     return D.journal_balance(_journal(t), "BR01", "1998", "0000000007")
 
 
-@query("q_material_movements", twin("""SELECT mblnr, zeile, budat, bwart, matnr, werks, lgort, menge, meins, dmbtr FROM mseg
-    WHERE mandt = '100' AND werks = 'P010' AND bwart = '101' AND budat BETWEEN '19970101' AND '19971231'"""))
+@query("q_material_movements", twin("""SELECT mblnr, mjahr, zeile, budat, bwart, matnr, werks, lgort, menge, meins, dmbtr
+    FROM mseg INNER JOIN (SELECT mblnr, mjahr FROM mkpf) USING (mblnr) WHERE mandt = '100' AND werks = 'P010' AND bwart = '101' AND budat BETWEEN '19970101' AND '19971231'"""))
 def q18(t: Tables):
-    return D.material_movements(t.raw("mseg"), "P010", "101", "19970101", "19971231")
+    items = t.raw("mseg").join(t.raw("mkpf").select("mblnr", "mjahr"), "mblnr")
+    return D.material_movements(items, "P010", "101", "19970101", "19971231")
 
 
 # Reorder points exist for client 100 only; stock is there for two clients.
@@ -251,13 +265,13 @@ def stock_function(t: Tables):
 
 
 @query("q_material_stock", twin("""WITH label AS (SELECT matnr, maktx FROM makt WHERE spras = 'P'),
-    chosen AS (SELECT matnr, matkl FROM mara WHERE matkl = 'Brand#7')
-    SELECT matnr, matkl, maktx, werks, lgort, labst
+    chosen AS (SELECT matnr, mtart, matkl FROM mara WHERE mtart = 'FERT')
+    SELECT matnr, mtart, matkl, maktx, werks, lgort, labst
     FROM (SELECT matnr, werks FROM marc) INNER JOIN chosen USING (matnr) INNER JOIN label USING (matnr)
     LEFT JOIN (SELECT matnr, werks, lgort, labst FROM mard) USING (matnr, werks)"""))
 def q20(t: Tables):
     return D.material_stock(
-        t.raw("mara"), _planning(t), t.raw("makt"), t.raw("mard"), F.col("matkl") == "Brand#7"
+        t.raw("mara"), _planning(t), t.raw("makt"), t.raw("mard"), "FERT"
     )
 
 
