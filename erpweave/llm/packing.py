@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import bisect
 import math
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -44,6 +45,17 @@ STOPS = b".,;:!?#$%&*|"
 TOKENIZER = "word_bpe_49k.json"
 
 
+def ends_in_letter(text: str) -> bool:
+    """Whether a text still ends in a letter once it is composed and lower-cased, as the tokenizer reads it.
+
+    Some letters end in a combining mark then (a capital I with a dot does), and a mark joins the stops behind it.
+    """
+    last = text[-1]
+    if last.isascii():
+        return last.isalpha()
+    return unicodedata.normalize("NFC", text).lower()[-1].isalpha()
+
+
 class WordIds:
     """Token ids of words, as little-endian unsigned 32-bit bytes.
 
@@ -86,7 +98,7 @@ class WordIds:
                 continue
             stem = word.rstrip(STOPS)
             text = stem.decode()
-            if len(stem) < len(word) and text and text[-1].isalpha():
+            if len(stem) < len(word) and text and ends_in_letter(text):
                 joined.append((word, stem, word[len(stem):]))  # stops behind a letter are tokens of their own
                 word, parts = stem, (stem, word[len(stem):])
             else:
