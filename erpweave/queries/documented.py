@@ -21,7 +21,7 @@ CTES.update({
     "rseg": "SELECT i.mandt, i.ebeln, i.ebelp, concat('51', substr(i.ebeln, 3)) AS belnr, substr(h.bedat, 1, 4) AS gjahr FROM ekpo i JOIN ekko h ON i.ebeln = h.ebeln WHERE h.bsart = 'NB'",
     "acdoca": """SELECT if(right(s.belnr, 1) IN ('3', '7'), '2L', '0L') AS rldnr, s.bukrs, s.belnr, s.gjahr, s.buzei, s.saknr, h.budat, h.blart,
         CAST(if(s.shkzg = 'S', 1, -1) * CAST(s.dmbtr AS DECIMAL(17,2)) AS DECIMAL(17,2)) AS amount,
-        CAST(if(s.shkzg = 'S', 1, -1) * CAST(s.dmbtr AS DECIMAL(17,2)) / 4 AS DECIMAL(17,2)) AS group_amount,
+        CAST(if(s.shkzg = 'S', 4, -4) * CAST(s.dmbtr AS DECIMAL(17,2)) AS DECIMAL(17,2)) AS group_amount,
         concat('CC', right(s.saknr, 2)) AS rcostcenter, CASE WHEN s.koart = 'S' THEN concat('PC', right(s.lifnr, 1)) END AS rprctr,
         CAST(right(s.saknr, 2) AS DECIMAL(13,3)) AS menge FROM bseg_full s JOIN bkpf h ON s.belnr = h.belnr""",
     "ska1": "SELECT lpad(CAST(n_nationkey AS STRING), 10, '0') AS saknr, n_name AS txt50 FROM nation WHERE n_nationkey < 15",
@@ -48,11 +48,11 @@ def _rseg(t: Tables):
 
 
 def _journal(t: Tables):
-    """Some documents belong to a further ledger; the group currency is worth four of the company's."""
+    """Some documents belong to a further ledger; one of the company's currency is worth four of the group's."""
     header = t.raw("bkpf").select("belnr", "bukrs", "gjahr", "budat", "blart")
     amount = signed_amount("dmbtr", "shkzg").cast("decimal(17,2)")
     lines = t.raw("bseg").select(
-        "belnr", "buzei", "saknr", amount.alias("amount"), (amount / 4).cast("decimal(17,2)").alias("group_amount"),
+        "belnr", "buzei", "saknr", amount.alias("amount"), (amount * 4).cast("decimal(17,2)").alias("group_amount"),
         F.when(F.right("belnr", F.lit(1)).isin("3", "7"), "2L").otherwise("0L").alias("rldnr"),
         F.concat(F.lit("CC"), F.right("saknr", F.lit(2))).alias("rcostcenter"),
         F.when(F.col("koart") == "S", F.concat(F.lit("PC"), F.right("lifnr", F.lit(1)))).alias("rprctr"),
