@@ -15,6 +15,7 @@ from erpweave.plans.domain import dim_customer
 from erpweave.plans.gold import tax_summary
 from erpweave.plans.layers import silver_layer
 from erpweave.plans.silver import silver_table
+from erpweave.queries.models import TAX_SUMMARY
 from erpweave.queries.oracle import twin
 from erpweave.queries.registry import Tables, query
 from erpweave.session import work_folder
@@ -416,11 +417,7 @@ def silver_metrics(t: Tables):
     return rule_totals(t.spark, f"{base}/metrics/silver")
 
 
-@query("stream_fiscal_layers", twin("""SELECT company_code, CAST(date_trunc('month', doc_date) AS DATE) AS tax_month, tax_type,
-    CAST(sum(tax_value) AS DECIMAL(17,2)) AS total_tax_value,
-    CAST(round(CAST(sum(tax_rate) AS DECIMAL(38,10)) / count(tax_rate), 4) AS DECIMAL(7,4)) AS avg_tax_rate,
-    count(DISTINCT docnum) AS nf_document_count, CAST(sum(nf_value) AS DECIMAL(17,2)) AS total_nf_value
-    FROM fact_fiscal_note WHERE direct = 'O' GROUP BY company_code, date_trunc('month', doc_date), tax_type"""))
+@query("stream_fiscal_layers", twin(TAX_SUMMARY))
 def fiscal_layers(t: Tables):
     from erpweave.plans.domain import fact_fiscal_note
 
