@@ -265,13 +265,15 @@ def layout(t: Tables):
 @query("table_properties", """SELECT * FROM (VALUES ('quality', 'bronze'), ('sap.mandt', '100'), ('sap.table', 'EKKO')) v(key, value)
     WHERE (SELECT count(*) FROM orders) > 0""")
 def properties(t: Tables):
-    name = "erpweave_bronze_ekko"
-    t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    path = work_folder(t.spark, "table")
+    # A name of its own: a table the session already has stays as it is.
+    name = "erpweave_ekko_" + path.rpartition("-")[2]
     tables.register_table(
-        t.raw("ekko"), name, "Purchase order headers", {"quality": "bronze", "sap.table": "EKKO", "sap.mandt": "100"},
-        work_folder(t.spark, "table"),
-    )
-    shown = t.spark.sql(f"SHOW TBLPROPERTIES {name}")
+        t.raw("ekko"), name, "Purchase order headers", {"quality": "bronze", "sap.table": "EKKO", "sap.mandt": "100"}, path)
+    try:
+        shown = t.spark.sql(f"SHOW TBLPROPERTIES {name}")  # read at once
+    finally:
+        t.spark.sql(f"DROP TABLE {name}")
     return shown.filter(F.col("key").isin("quality", "sap.table", "sap.mandt"))
 
 
