@@ -73,23 +73,23 @@ def _two_clients(t: Tables):
     return own.unionByName(own.withColumns({"mandt": F.lit("200"), "labst": F.col("labst") - 5}))
 
 
-@query("q_po_header_item", twin("""SELECT a.ebeln, a.lifnr, b.matnr, b.menge, b.netpr FROM ekko a JOIN ekpo b
-    ON a.mandt = b.mandt AND a.ebeln = b.ebeln WHERE a.mandt = '100' AND a.aedat >= '20000101'"""))
+@query("q_po_header_item", twin("""WITH changed AS (SELECT ebeln, lifnr FROM ekko WHERE mandt = '100' AND aedat >= '20000101')
+    SELECT ebeln, lifnr, matnr, menge, netpr FROM (SELECT ebeln, matnr, menge, netpr FROM ekpo WHERE mandt = '100') INNER JOIN changed USING (ebeln)"""))
 def q1(t: Tables):
     return D.po_header_item(t.raw("ekko"), t.raw("ekpo"), "20000101")
 
 
-@query("q_open_purchase_orders", twin("""SELECT k.ebeln, k.lifnr, k.bedat, p.ebelp, p.matnr, p.menge, p.netpr, p.netwr
-    FROM ekko k JOIN ekpo p ON k.mandt = p.mandt AND k.ebeln = p.ebeln WHERE k.mandt = '100' AND k.bstyp = 'F'
-    AND coalesce(p.elikz, '') = '' AND k.bedat >= '19990101'"""))
+@query("q_open_purchase_orders", twin("""WITH ordered AS (SELECT ebeln, lifnr, bedat FROM ekko WHERE bstyp = 'F' AND bedat >= '19990101' AND mandt = '100'),
+    pending AS (SELECT ebeln, ebelp, matnr, menge, netpr, netwr FROM ekpo WHERE mandt = '100' AND (elikz IS NULL OR elikz = ''))
+    SELECT ebeln, lifnr, bedat, ebelp, matnr, menge, netpr, netwr FROM pending INNER JOIN ordered USING (ebeln)"""))
 def q2(t: Tables):
     return D.open_purchase_orders(t.raw("ekko"), t.raw("ekpo"), "19990101")
 
 
-@query("q_goods_receipts", twin("""WITH m AS (SELECT s.*, k.mjahr FROM mseg s JOIN mkpf k ON s.mblnr = k.mblnr)
-    SELECT m.mblnr, m.mjahr, h.budat, m.matnr, m.werks, m.lgort, m.menge, m.dmbtr, m.ebeln, m.ebelp FROM m JOIN mkpf h
-    ON m.mandt = h.mandt AND m.mblnr = h.mblnr AND m.mjahr = h.mjahr
-    WHERE m.mandt = '100' AND m.bwart = '101' AND h.budat BETWEEN '19980101' AND '19981231'"""))
+@query("q_goods_receipts", twin("""WITH head AS (SELECT mblnr, mjahr, budat FROM mkpf WHERE mandt = '100'),
+    arrived AS (SELECT mblnr, matnr, werks, lgort, menge, dmbtr, ebeln, ebelp FROM mseg WHERE bwart = '101' AND mandt = '100')
+    SELECT mblnr, mjahr, budat, matnr, werks, lgort, menge, dmbtr, ebeln, ebelp FROM arrived INNER JOIN head USING (mblnr)
+    WHERE budat >= '19980101' AND budat <= '19981231'"""))
 def q3(t: Tables):
     return D.goods_receipts(_mseg(t), t.raw("mkpf"), "19980101", "19981231")
 
@@ -126,9 +126,9 @@ def q5(t: Tables):
     return D.order_to_billing_trace(**tables, since="20010101")
 
 
-@query("q_open_payables", twin("""SELECT i.bukrs, i.belnr, i.gjahr, i.lifnr, h.bldat, i.dmbtr, i.shkzg FROM bseg_full i JOIN bkpf h
-    ON h.mandt = i.mandt AND h.bukrs = i.bukrs AND h.belnr = i.belnr AND h.gjahr = i.gjahr
-    WHERE i.mandt = '100' AND i.koart = 'K' AND i.augdt = '' AND i.bukrs = 'BR01' AND h.budat >= '19980101'"""))
+@query("q_open_payables", twin("""WITH booked AS (SELECT mandt, bukrs, belnr, gjahr, bldat FROM bkpf WHERE budat >= '19980101')
+    SELECT bukrs, belnr, gjahr, lifnr, bldat, dmbtr, shkzg
+    FROM (SELECT * FROM bseg_full WHERE mandt = '100' AND bukrs = 'BR01' AND koart = 'K' AND augdt = '') INNER JOIN booked USING (mandt, bukrs, belnr, gjahr)"""))
 def q6(t: Tables):
     return D.open_payables(_bseg(t), t.raw("bkpf"), "BR01", "19980101")
 
@@ -156,12 +156,12 @@ def q9(t: Tables):
     return D.fi_document_lines(t.raw("bkpf"), _bseg(t), "BR02", "1999")
 
 
-@query("q_production_cost", twin(f"""SELECT op.aufnr AS nr_ordem, op.matnr AS produto_acabado, op.werks AS planta, c.matnr AS componente,
-    c.menge AS qtd_consumida, c.dmbtr AS valor_consumo, fi.belnr AS doc_fi, fi.budat AS data_lancamento
-    FROM {_own("afpo")} op JOIN {_own("mseg")} c ON c.aufnr = op.aufnr AND c.bwart = '261'
-    JOIN {_own("mkpf")} mh ON mh.mblnr = c.mblnr
-    JOIN {_own("bkpf")} fi ON fi.awkey = concat(mh.mblnr, mh.mjahr) AND fi.awtyp = 'MKPF'
-    WHERE op.werks = 'P003' AND mh.budat BETWEEN '19960101' AND '19981231'"""))
+@query("q_production_cost", twin(f"""WITH used AS (SELECT aufnr, mblnr, matnr AS componente, menge AS qtd_consumida, dmbtr AS valor_consumo FROM {_own("mseg")} WHERE bwart = '261'),
+    moved AS (SELECT mblnr, concat(mblnr, mjahr) AS origin FROM {_own("mkpf")} WHERE budat >= '19960101' AND budat <= '19981231'),
+    booked AS (SELECT awkey AS origin, belnr AS doc_fi, budat AS data_lancamento FROM {_own("bkpf")} WHERE awtyp = 'MKPF')
+    SELECT aufnr AS nr_ordem, matnr AS produto_acabado, werks AS planta, componente, qtd_consumida, valor_consumo, doc_fi, data_lancamento
+    FROM booked INNER JOIN moved USING (origin) INNER JOIN used USING (mblnr)
+    INNER JOIN (SELECT aufnr, matnr, werks FROM {_own("afpo")} WHERE werks = 'P003') USING (aufnr)"""))
 def q10(t: Tables):
     return D.production_cost(t.raw("afpo"), _mseg(t), t.raw("mkpf"), t.raw("bkpf"), "19960101", "19981231", "P003")
 
