@@ -122,13 +122,21 @@ SQL = {
                         ELSE (SELECT arg_min(level, fill) FROM l WHERE level <= fill) * weight END AS target
             FROM l
         ), q AS (
-            SELECT d.*, t.total, t.target, floor(t.target)::BIGINT AS whole,
-                   (sum(size) OVER (PARTITION BY d.source ORDER BY place ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+            SELECT d.*, t.total, t.target,
+                   (sum(size) OVER (PARTITION BY d.source ORDER BY place ROWS UNBOUNDED PRECEDING))::BIGINT AS stop
             FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+        ), copies AS (
+            SELECT doc_id, source, size, round * total + stop AS clock, (round * total + stop)::DOUBLE / target AS finish
+            FROM q, (VALUES (0), (1)) r(round) WHERE size > 0
+        ), summed AS (
+            SELECT doc_id, size, (sum(size) OVER (ORDER BY finish, source NULLS LAST, clock ROWS UNBOUNDED PRECEDING))::BIGINT AS upto
+            FROM copies
+        ), given AS (
+            SELECT doc_id, sum(greatest(0, least(size, (SELECT floor(1.5 * sum(size))::BIGINT FROM d) - upto + size)))::BIGINT AS taken
+            FROM summed GROUP BY doc_id
         )
-        SELECT doc_id, size, total AS source_size, target,
-               (greatest(0, least(whole - start, size)) + greatest(0, least(whole - total - start, size)))::BIGINT AS taken
-        FROM q""",
+        SELECT q.doc_id, size, total AS source_size, target, coalesce(taken, 0)::BIGINT AS taken
+        FROM q LEFT JOIN given ON given.doc_id = q.doc_id""",
     "op7_url_range_rules": """
         WITH cut AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -65,13 +66,39 @@ def test_mix_reaches_targets_and_repeats(spark, folder):
     rows = queries.op2_weighted_fair_mix(spark, folder).toPandas()
     assert a == set(rows.itertuples(index=False, name=None))
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "source").toPandas()
-    by = rows.merge(docs, on="doc_id").groupby("source").agg({"taken": "sum", "target": "first", "source_size": "first"})
-    assert (by.taken - by.target).abs().max() <= 1
+    by = rows.merge(docs, on="doc_id").groupby("source").agg({"taken": "sum", "target": "first", "source_size": "first", "size": "max"})
+    # The cut is at the total budget: a source is off its target by less than the document that it is amid.
+    assert rows.taken.sum() == int(1.5 * by.source_size.sum())
+    assert ((by.taken - by.target).abs() <= by["size"]).all()
     assert (by.target <= 2 * by.source_size + 1e-6).all()
     assert abs(by.target.sum() - 1.5 * by.source_size.sum()) < 1
     assert (rows.taken <= 2 * rows["size"]).all()
 
 
+@pytest.mark.parametrize("share, repeats", [(1.5, 2), (0.4, 1), (2.0, 2), (0.001, 3)])
+def test_mix_equals_one_sorted_queue(spark, share, repeats):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), [None, "a", "b", "c", "d"][min(int(rng.exponential(1.2)), 4)], " ".join(["w"] * int(rng.choice([0, 1, 1, 3, 40, 900]))))
+            for i in range(300)] + [(300, "only blanks", " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.schedule(docs, ["doc_id"], share=share, repeats=repeats).collect()
+    target = {r._row.doc_id: r.target for r in got}
+    queue, ends = [], Counter()
+    place = lambda r: hashlib.md5(f"{r[0]}:mix".encode()).hexdigest()
+    sizes = {r[0]: len(r[2].split()) for r in rows}
+    for round_ in range(repeats):
+        for r in sorted(rows, key=place):
+            ends[r[1]] += sizes[r[0]]
+            if sizes[r[0]]:
+                queue.append((ends[r[1]] / target[r[0]], r[1] is None, r[1] or "", ends[r[1]], r[0]))
+    left, want = math.floor(sum(sizes.values()) * share), Counter()
+    for *_, doc_id in sorted(queue):
+        words = min(left, sizes[doc_id])
+        left -= words
+        want[doc_id] += words
+    assert left == 0 and {r._row.doc_id: r.taken for r in got} == {i: want[i] for i in sizes}
+
+
 def test_mix_emits_what_the_schedule_takes(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     out = mixing.mix(docs)
