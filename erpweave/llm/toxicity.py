@@ -37,11 +37,12 @@ SUPPORT = 0.01  # share of a category's documents that a feature must be in
 FOLDS = 5
 MARKS = b".,;:!?#*$%&|<>\"'()[]"
 
-# Categories in chain order, over the two label columns.
+# Categories in chain order, over the two label columns. The last one is the verdict: it reads a document's own words
+# and what the links before it found, which look for abuse in one kind of text each.
 CATEGORIES: Mapping[str, str] = {
-    "abuse": "toxic = 1",
     "abuse_in_prose": "toxic = 1 AND quality = 1",
     "abuse_in_junk": "toxic = 1 AND quality = 0",
+    "abuse": "toxic = 1",
 }
 
 
@@ -208,12 +209,14 @@ def scorer(chain: Chain):
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, toxic and the probability of every category for each row of ``docs``."""
+    """doc_id, toxic and the probability of every category for each row of ``docs``.
+
+    ``toxic`` is the verdict of the chain's last link, which reads the probabilities of all links before it.
+    """
     model = train(docs, labels, rows=rows)
     scores: Column = scorer(model)(F.col("text").cast("binary"))
     scored = docs.select("doc_id", scores.alias("p"))
-    first = model.names[0]
     return scored.select(
-        "doc_id", (F.col(f"p.{first}") >= threshold).alias("toxic"),
+        "doc_id", (F.col(f"p.{model.names[-1]}") >= threshold).alias("toxic"),
         *[F.col(f"p.{name}").alias(f"p_{name}") for name in model.names],
     )

@@ -183,12 +183,34 @@ def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     test = labels.where("pmod(xxhash64(doc_id), 2) = 0")
     got = toxicity.toxicity(docs.join(test.select("doc_id"), "doc_id"), labels, 0.5).columns
-    assert got == ["doc_id", "toxic", "p_abuse", "p_abuse_in_prose", "p_abuse_in_junk"]
-    chain = toxicity.train(docs, labels.where("pmod(xxhash64(doc_id), 2) = 1"))
+    assert got == ["doc_id", "toxic", "p_abuse_in_prose", "p_abuse_in_junk", "p_abuse"]
+    known = labels.where("pmod(xxhash64(doc_id), 2) = 1")
+    chain = toxicity.train(docs, known)
+    plain = toxicity.train(docs, known, {"abuse": toxicity.CATEGORIES["abuse"]})
     rows = docs.join(test, "doc_id").select("text", "toxic").collect()
-    p = np.array([chain.probabilities(r.text.encode())[0] for r in rows])
     y = np.array([r.toxic for r in rows], bool)
-    assert (p[y] >= 0.5).mean() > 0.8 and (p[~y] >= 0.5).mean() < 0.01
+    linked, alone = (np.array([m.probabilities(r.text.encode())[-1] for r in rows]) >= 0.5 for m in (chain, plain))
+    assert linked[y].mean() > 0.8 and linked[~y].mean() < 0.01
+    # The earlier links change verdicts, and cost no recall.
+    assert (linked != alone).any() and linked[y].mean() >= alone[y].mean()
+
+
+def test_toxicity_verdict_is_the_last_link(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    chain = toxicity.train(docs, labels)
+    assert chain.index
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    got = toxicity.toxicity(docs, labels).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        known: list[float] = []
+        places, values = toxicity._graded(chain.hits, texts[r.doc_id])
+        for w, b in chain.models:
+            z = b + sum(w[p] * v for p, v in zip(places, values, strict=True)) + sum(a * k for a, k in zip(w[len(w) - len(known):], known, strict=True))
+            known.append(1 / (1 + math.exp(-max(-30, min(30, z)))))
+        assert [r.p_abuse_in_prose, r.p_abuse_in_junk, r.p_abuse] == pytest.approx(known)
+        assert r.toxic == (r.p_abuse >= 0.5)
 
 
 # ---- language model ------------------------------------------------------------------------------------------
