@@ -218,7 +218,13 @@ class VersionedTable:
     def write(
         self, df: DataFrame, partition_by: Sequence[str] = (), batches: Mapping[str, int] | None = None
     ) -> int:
-        current = self.current()
+        """Publish the rows as the version after the one that is current now."""
+        return self._write(df, self.current(), partition_by, batches)
+
+    def _write(
+        self, df: DataFrame, current: int | None, partition_by: Sequence[str], batches: Mapping[str, int] | None
+    ) -> int:
+        # ``current`` is the version that ``df`` was made from: any commit since then is a conflict.
         folder = self._log.fresh()
         df.write.partitionBy(*partition_by).parquet(f"{self.path}/{folder}")
         known = self._log.load(current)["batches"] if batches is None and current is not None else batches or {}
@@ -242,7 +248,7 @@ class VersionedTable:
             rows = latest_per_key(source, keys, order) if order else first_per_key(source, keys, [])
         else:
             rows = merge_upsert(self.read(current), source, keys, order)
-        return self.write(rows, partition_by, _noted(batches, stream, batch))
+        return self._write(rows, current, partition_by, _noted(batches, stream, batch))
 
 
 class BucketedTable:
@@ -266,7 +272,8 @@ class BucketedTable:
 
     def _content(self) -> dict:
         current = self.current()
-        return {"buckets": {}, "batches": {}, "schema": None} if current is None else self._log.load(current)
+        empty = {"buckets": {}, "batches": {}, "schema": None}
+        return {**(empty if current is None else self._log.load(current)), "number": current}
 
     def _rows(self, content: dict, buckets: Sequence[int] | None = None) -> DataFrame:
         chosen = [f for b, f in content["buckets"].items() if buckets is None or int(b) in buckets]
@@ -290,7 +297,8 @@ class BucketedTable:
         for name in self._log._names(folder):
             if name.startswith(f"{self.BUCKET}="):
                 places[name.split("=")[1]] = f"{folder}/{name}"
-        number = self.current()
+        # The number after the version that was read: any commit since then is a conflict, not overwritten.
+        number = content["number"]
         self._log.commit(0 if number is None else number + 1, {
             "buckets": places, "batches": dict(batches), "schema": json.loads(df.schema.json())})
 

@@ -124,6 +124,27 @@ def test_two_writers_of_one_version(spark, target):
         table._log.commit(0, {"folder": "data/x", "batches": {}})
 
 
+def test_a_writer_in_between_is_a_conflict(spark, target, source, monkeypatch):
+    more = spark.createDataFrame([(100 + i, "m", 1) for i in range(20)], target.schema)
+    for table, merge in _tables(spark):
+        merge(table, target)
+        fresh = table._log.fresh
+
+        def other_writer_first():
+            patch.setattr(table._log, "fresh", fresh)
+            merge(table, more)
+            return fresh()
+
+        with monkeypatch.context() as patch:
+            patch.setattr(table._log, "fresh", other_writer_first)
+            with pytest.raises(RuntimeError):
+                merge(table, source)
+        both = target.unionByName(more)
+        assert rows(table.read()) == rows(both)
+        merge(table, source)  # the retry starts from the other writer's version
+        assert rows(table.read()) == rows(M.merge_upsert(both, source, ["k"], "ver"))
+
+
 def test_bucketed_merge_rewrites_touched_buckets_only(spark, source):
     many = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v"), F.lit(1).alias("ver"))
     table = M.BucketedTable(spark, work_folder(spark, "b"), ["k"], 8)
