@@ -11,13 +11,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from erpweave.functions._cols import unused
+
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """First row per key; remaining columns break ties."""
     named = {o for o in order if isinstance(o, str)}
     ties = [F.col(c) for c in df.columns if c not in named and c not in keys]
     window = Window.partitionBy(*keys).orderBy(*order, *ties)
-    return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
+    place = unused("_rn", df.columns)
+    return df.withColumn(place, F.row_number().over(window)).filter(F.col(place) == 1).drop(place)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], version: str) -> DataFrame:

@@ -17,6 +17,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from erpweave.functions._cols import unused
 from erpweave.session import BROADCAST_LIMIT_BYTES, plan_bytes
 
 # Key fields without which a document number is ambiguous (fixed by the ERP data model).
@@ -106,29 +107,30 @@ def skew_safe_join(
     no_key = reduce(or_, [F.col(k).isNull() for k in keys])
     if how == "inner":
         left = left.filter(~no_key)
-    counts = left.filter(~no_key).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    number, is_hot, piece = (unused(n, left.columns, right.columns) for n in ("_n", "_hot", "_piece"))
+    counts = left.filter(~no_key).groupBy(*keys).agg(F.count(F.lit(1)).alias(number))
     # The threshold is a scalar subquery: one value, no join.
     threshold = left.agg(F.count(F.lit(1)) * share).scalar()
-    hot = counts.filter(F.col("_n") > threshold).select(*keys, F.lit(True).alias("_hot"))
+    hot = counts.filter(F.col(number) > threshold).select(*keys, F.lit(True).alias(is_hot))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     spread = (
         left.join(F.broadcast(hot), keys, "left")
         .withColumn(
-            "_piece",
-            F.when(no_key, F.pmod(row_hash, F.lit(1 << 16))).when(F.col("_hot"), F.pmod(row_hash, F.lit(pieces)))
+            piece,
+            F.when(no_key, F.pmod(row_hash, F.lit(1 << 16))).when(F.col(is_hot), F.pmod(row_hash, F.lit(pieces)))
             .otherwise(F.lit(0)).cast("int"),
         )
-        .drop("_hot")
+        .drop(is_hot)
     )
     repeated = (
         right.join(F.broadcast(hot), keys, "left")
         .withColumn(
-            "_piece",
-            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))),
+            piece,
+            F.explode(F.when(F.col(is_hot), F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))),
         )
-        .drop("_hot")
+        .drop(is_hot)
     )
-    return spread.join(repeated, [*keys, "_piece"], how).drop("_piece")
+    return spread.join(repeated, [*keys, piece], how).drop(piece)
 
 
 def document_chain(

@@ -106,6 +106,18 @@ def test_document_chain_and_flow(spark):
     assert rows(joins.doc_flow(flow, "J")) == [("o1", "d1")]
 
 
+def test_working_columns_do_not_clash_with_those_of_the_input(spark):
+    df = spark.createDataFrame([(1, 5, 7), (1, 4, 9), (2, 3, 8)], "k int, _rn int, __RN int")
+    first = dedupe.first_per_key(df, ["k"], ["_rn"])
+    assert first.columns == df.columns and sorted(map(tuple, first.collect())) == [(1, 4, 9), (2, 3, 8)]
+    left = spark.createDataFrame([(1, i, i % 2 == 0) for i in range(40)] + [(2, 50, None), (None, 60, True)], "_n int, _piece int, _hot boolean")
+    right = spark.createDataFrame([(1, "a"), (2, "b")], "_n int, r string")
+    for how in ("inner", "left"):
+        got = joins.skew_safe_join(left, right, ["_n"], how, share=0.5, pieces=4)
+        want = left.join(right, ["_n"], how)
+        assert got.columns == want.columns and Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
 def test_first_per_key_limits_before_the_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
     first = dedupe.first_per_key(df, ["k"], [F.desc("id")])
