@@ -50,8 +50,9 @@ def op6_suffix_tree_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_url_range_rules(spark: SparkSession, folder: str) -> DataFrame:
-    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
-    return url_rules.judge(_table(spark, folder, "pages"), rules)
+    names = ("host", "path", "verdict")
+    listed = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule, strict=True)]) for rule in URL_RULES])
+    return url_rules.judge(_table(spark, folder, "pages"), spark.range(1).select(F.inline(listed)))
 
 
 def op8_simhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:

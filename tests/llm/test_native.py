@@ -133,6 +133,34 @@ def test_urls_sweep_equals_brute_force(spark):
     assert {r.verdict for r in url_rules.judge(pages, table.limit(0)).collect()} == {"allow"}
 
 
+def test_many_rules_of_one_host(spark):
+    """Nested, overlapping and repeated rules on one host; every page against the rules that are prefixes of its path."""
+    rng = np.random.default_rng(11)
+    paths = sorted({"/" + "/".join(str(x) for x in rng.integers(0, 30, k)) + "/" * (k % 2) for k in rng.integers(0, 6, 20_000)})
+    hosts = {"big.example.org": paths, "example.org": paths[::7], "org": ["", "/1"], "": ["/lost"], "a\u0001b.org": ["/"], "a\u0001": ["/"]}
+    rules = {(h, p): "block" if len(p) % 2 else "allow" for h, ps in hosts.items() for p in ps}
+    table = [(h, p, v) for (h, p), v in rules.items()] + [("org", "", "zz last"), (None, "/x", "block"), ("org", None, "block")]
+    rules["org", ""] = "zz last"
+    urls = [f"s://{h}/" + "/".join(str(x) for x in rng.integers(0, 32, rng.integers(0, 8)))
+            for h in ("big.example.org", "x.BIG.example.org", "big.example.org", "bigexample.org", "net", "a\u0001b.org", "a\u0002b.org", "org.") for _ in range(300)]
+    urls += ["s:///lost/1", "s://./lost", None, "s://org"] + ["s://big.example.org/1/2"] * 3000
+    pages = spark.createDataFrame([(None if i % 50 == 0 else i % 2500, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = url_rules.judge(pages, spark.createDataFrame(table, "host string, path string, verdict string")).collect()
+
+    def best(host, path):
+        ends = host.split(".")
+        mine = [(len(h + path[:k]), len(h), h + path[:k], rules[h, path[:k]])
+                for h in (".".join(ends[i:]) for i in range(len(ends))) for k in range(len(path) + 1) if (h, path[:k]) in rules]
+        return max(mine)[2:] if mine else (None, "allow")
+
+    want = Counter()
+    for i, url in enumerate(urls):
+        host, _, path = (url or "s://")[4:].partition("/")
+        path = "/" + path if "/" in (url or "s://")[4:] else ""
+        want[None if i % 50 == 0 else i % 2500, host.lower(), path, *best(host.lower(), path)] += 1
+    assert Counter(tuple(r) for r in got) == want
+
+
 def test_fingerprints_equal_brute_force(spark, folder, texts):
     rows = {r.doc_id: r for r in queries.op8_simhash_fingerprints(spark, folder).collect()}
     ids = sorted(texts, reverse=True)
