@@ -5,26 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from erpweave.operators.maintenance import VersionedTable
 from erpweave.operators.projection import with_processing_time
 from erpweave.plans import domain, gold
 from erpweave.plans.report import open_orders_report
 from erpweave.plans.silver import SILVER, silver_table
-from erpweave.streaming.ingest import append_tables, ingest_tables
+from erpweave.sources.discovery import SYSTEM
+from erpweave.streaming.ingest import append_tables, ingest_evolving
 
 
 def silver_layer(
-    spark: SparkSession, bronze: Mapping[str, DataFrame], store: str, client: str = "100"
+    spark: SparkSession, bronze: Mapping[str, DataFrame], store: str, client: str = "100",
+    hints: Mapping[str, StructType] | None = None,
 ) -> dict[str, DataFrame]:
     """Typed tables, fed incrementally from the raw tables below ``<store>/bronze``.
 
-    What each rule let pass and dropped is appended to ``<store>/metrics/silver``, batch by batch.
+    With ``hints``, the raw tables are evolving ones, which hold all fields without a hint as text. What each rule let pass and dropped is appended to ``<store>/metrics/silver``, batch by batch.
     """
+    def stored(name: str) -> StructType:
+        schema = bronze[name].schema
+        if hints is None:
+            return schema
+        kept = {*hints[name].names, *SYSTEM}
+        return StructType([f if f.name in kept else StructField(f.name, StringType()) for f in schema.fields])
+
     streams = {
         name: silver_table(
-            spark.readStream.schema(bronze[name].schema).parquet(f"{store}/bronze/{name}"), name, client, name
+            spark.readStream.schema(stored(name)).parquet(f"{store}/bronze/{name}"), name, client, name
         )
         for name in SILVER
     }
@@ -71,12 +80,15 @@ def refresh(
 ) -> dict[str, DataFrame]:
     """Bring every layer up to date with the landed files.
 
-    Raw and typed tables read only new files; facts and key figures are rebuilt, each layer
+    Raw and typed tables read only new files; a field that ``schemas`` does not have becomes a column of its raw table
+    when it is first landed. Facts and key figures are rebuilt, each layer
     from the stored one below it, as a new version beside the one readers may have open.
     Returns the key figures.
     """
-    bronze = ingest_tables(spark, landing, f"{store}/bronze", f"{store}/checkpoints/bronze", schemas)
-    silver = silver_layer(spark, bronze, store, client)
+    bronze = ingest_evolving(
+        spark, landing, f"{store}/bronze", f"{store}/checkpoints/bronze", f"{store}/schemas", schemas
+    )
+    silver = silver_layer(spark, bronze, store, client, schemas)
 
     def stored(layer: str, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         written = {}

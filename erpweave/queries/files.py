@@ -98,6 +98,28 @@ def evolution(t: Tables):
     return schemas.read_evolving_json(t.spark, f"{base}/landing", log).select("kunnr", "name1", "ort01")
 
 
+@query("schema_evolution_refresh", twin("""SELECT vbeln, CASE WHEN kunnr LIKE '%1' THEN floor(netwr) ELSE netwr END AS netwr,
+    CASE WHEN kunnr LIKE '%1' THEN NULL ELSE audat END AS audat,
+    CASE WHEN kunnr LIKE '%1' THEN '7' ELSE vkorg END AS vkorg, TRUE AS nothing_rescued FROM vbak"""))
+def evolution_refresh(t: Tables):
+    """Two runs: whole numbers, then fractions (DOUBLE), text in a number's place (STRING) and a new field."""
+    base = work_folder(t.spark, "evolution-refresh")
+    rows = t.raw("vbak").select("vbeln", "kunnr", "audat", "vkorg", "netwr")
+    early = F.col("kunnr").endswith("1")
+    drops = (
+        rows.filter(early).select("vbeln", F.floor("netwr").alias("netwr"), F.lit(7).alias("vkorg")),
+        rows.filter(~early).select("vbeln", "netwr", "vkorg", "audat"),
+    )
+    table = None
+    for drop in drops:
+        _land_json(drop, f"{base}/landing/vbak")
+        table = ingest.ingest_evolving(
+            t.spark, f"{base}/landing", f"{base}/bronze", f"{base}/cp", f"{base}/schemas",
+            {"vbak": schemas.hinted_schema(["vbeln"])},
+        )["vbak"]
+    return table.select("vbeln", "netwr", "audat", "vkorg", F.col("_rescued_data").isNull().alias("nothing_rescued"))
+
+
 @query("rescued_data", """SELECT CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderkey END AS o_orderkey,
     CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 4 = 1 THEN NULL ELSE o_custkey END AS o_custkey,
     CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS value,

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from erpweave.sources.discovery import widest
+
 
 def hinted_schema(columns: Sequence[str], hints: str = "") -> StructType:
     """All columns STRING except those a DDL hint string types."""
@@ -24,12 +26,12 @@ def infer_json_schema(spark: SparkSession, path: str, sampling: float = 1.0) ->
 
 
 def merge_schemas(known: StructType, seen: StructType) -> StructType:
-    """Add new columns at the end; a column whose type changed becomes STRING."""
+    """Add new columns at the end; a column whose type changed takes the widest: DOUBLE for numbers, else STRING."""
     incoming = {f.name: f.dataType for f in seen.fields}
     fields = []
     for f in known.fields:
         kind = incoming.pop(f.name, f.dataType)
-        fields.append(StructField(f.name, f.dataType if kind == f.dataType else StringType()))
+        fields.append(StructField(f.name, widest(f.dataType, kind)))
     return StructType(fields + [StructField(n, t) for n, t in incoming.items()])
 
 

@@ -7,9 +7,12 @@ from collections.abc import Mapping
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from erpweave.sources.discovery import discover, stored_schema, typed
 from erpweave.sources.files import parse_with_rescue, with_ingestion_metadata
+from erpweave.sources.schemas import SchemaLog
 from erpweave.streaming.metrics import recorded_rules
 
 
@@ -70,6 +73,17 @@ def ingest_table(
     return spark.read.schema(stream.schema).parquet(f"{bronze}/{table}")
 
 
+def _finish(queries: list[StreamingQuery]) -> list[StreamingQueryException]:
+    """Await all queries; what failed of them."""
+    failures = []
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as failure:
+            failures.append(failure)
+    return failures
+
+
 def append_tables(
     streams: Mapping[str, DataFrame], target: str, checkpoints: str, at_once: int = 8, metrics: str | None = None
 ) -> dict[str, DataFrame]:
@@ -85,15 +99,10 @@ def append_tables(
         together = {name: streams[name] for name in names[start:start + at_once]}
         session = next(iter(together.values())).sparkSession
         with recorded_rules(session, metrics) as runs:
-            failures = []
             for name, stream in together.items():
                 writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{checkpoints}/{name}")
                 runs.append(writer.trigger(availableNow=True).start(f"{target}/{name}"))
-            for query in runs:
-                try:
-                    query.awaitTermination()
-                except StreamingQueryException as failure:
-                    failures.append(failure)
+            failures = _finish(runs)
         if failures:
             raise failures[0]
     return {
@@ -108,3 +117,46 @@ def ingest_tables(
     """One bronze refresh of every table that has a schema, rescued data included."""
     streams = {name: json_stream_with_rescue(spark, f"{landing}/{name}", schema) for name, schema in schemas.items()}
     return append_tables(streams, bronze, checkpoints)
+
+
+def _learn_fields(
+    spark: SparkSession, landing: str, checkpoints: str, logs: Mapping[str, SchemaLog], at_once: int
+) -> None:
+    """Bring every schema log up to date with the files that no run has looked at yet."""
+    names = list(logs)
+    for start in range(0, len(names), at_once):
+        runs = []
+        for name in names[start:start + at_once]:
+            def learn(lines: DataFrame, _: int, log: SchemaLog = logs[name]) -> None:
+                log.evolve(discover(lines))
+
+            writer = spark.readStream.text(f"{landing}/{name}").writeStream.foreachBatch(learn)
+            writer = writer.option("checkpointLocation", f"{checkpoints}/{name}-fields")
+            runs.append(writer.trigger(availableNow=True).start())
+        failures = _finish(runs)
+        if failures:
+            raise failures[0]
+
+
+def ingest_evolving(
+    spark: SparkSession, landing: str, bronze: str, checkpoints: str, logs: str, hints: Mapping[str, StructType],
+    at_once: int = 8,
+) -> dict[str, DataFrame]:
+    """One bronze refresh of tables whose fields may change; returns the typed tables.
+
+    First the fields of the new files are found, one aggregate a batch, and merged into the table's schema log below
+    ``logs``. Then the table's query goes on from its checkpoint with the widened schema. Both read new files only. A batch
+    that is looked at twice teaches nothing new. Fields that ``hints`` has keep its type, and what does not fit is rescued;
+    all others are stored as text and typed when read, so a new field appears as a column (NULL in older rows), a
+    widened one changes its type in all rows, and no stored file is rewritten. Files that land between the two steps are
+    read by the second with the fields known by then; fields that only they have are in ``_rescued_data``.
+    """
+    known = {name: SchemaLog(spark, f"{logs}/{name}") for name in hints}
+    _learn_fields(spark, landing, checkpoints, known, at_once)
+    fields = {name: log.current() for name, log in known.items()}
+    streams = {
+        name: json_stream_with_rescue(spark, f"{landing}/{name}", stored_schema(schema, fields[name]))
+        for name, schema in hints.items()
+    }
+    stored = append_tables(streams, bronze, checkpoints, at_once)
+    return {name: typed(df, hints[name], fields[name]) for name, df in stored.items()}
