@@ -69,25 +69,28 @@ def procure_to_pay_trace(
 
 def order_to_billing_trace(
     vbak: DataFrame, vbap: DataFrame, lips: DataFrame, likp: DataFrame, vbrp: DataFrame, vbrk: DataFrame, since: str,
-    client: str = "100",
+    client: str = "100", by_item: bool = False,
 ) -> DataFrame:
     """Order items through delivery to billing. Billing items meet the delivery at header
-    level, as documented, so an invoice item shows for every item of its delivery."""
+    level, as documented, so an invoice item shows for every item of its delivery: items times invoice items.
+    ``by_item`` follows the item numbers instead, so rows grow with the lines of a document."""
     order = _of_client(vbak, client).filter(F.col("audat") >= since).select("mandt", "vbeln", "kunnr")
     item = vbap.select("mandt", "vbeln", "posnr", "matnr", F.col("kwmeng").alias("qtd_pedida"))
     delivery = lips.select(
-        "mandt", F.col("vbeln").alias("d_vbeln"), F.col("vgbel").alias("vbeln"), F.col("vgpos").alias("posnr"),
-        F.col("lfimg").alias("qtd_entregue"),
+        "mandt", F.col("vbeln").alias("d_vbeln"), F.col("posnr").alias("d_posnr"), F.col("vgbel").alias("vbeln"),
+        F.col("vgpos").alias("posnr"), F.col("lfimg").alias("qtd_entregue"),
     )
     head = likp.select("mandt", F.col("vbeln").alias("d_vbeln"))
-    bill_item = vbrp.select("mandt", F.col("vgbel").alias("d_vbeln"), F.col("vbeln").alias("nr_billing"))
+    preceding = {"vgbel": "d_vbeln", "vgpos": "d_posnr"} if by_item else {"vgbel": "d_vbeln"}
+    bill_item = vbrp.select("mandt", *[F.col(c).alias(n) for c, n in preceding.items()], F.col("vbeln").alias("nr_billing"))
     bill = vbrk.select(
         "mandt", F.col("vbeln").alias("nr_billing"), F.col("fkdat").alias("data_fatura"),
         F.col("netwr").alias("valor_faturado"),
     )
     return (
         item.join(order, ["mandt", "vbeln"]).join(delivery, ["mandt", "vbeln", "posnr"])
-        .join(head, ["mandt", "d_vbeln"]).join(bill_item, ["mandt", "d_vbeln"]).join(bill, ["mandt", "nr_billing"])
+        .join(head, ["mandt", "d_vbeln"]).join(bill_item, ["mandt", *preceding.values()])
+        .join(bill, ["mandt", "nr_billing"])
         .select(
             F.col("vbeln").alias("nr_so"), F.col("kunnr").alias("cliente"), F.col("matnr").alias("material"),
             "qtd_pedida", "qtd_entregue", "nr_billing", "data_fatura", "valor_faturado",
@@ -160,27 +163,37 @@ def production_cost(
 
 def order_profitability(
     vbak: DataFrame, vbap: DataFrame, vbrp: DataFrame, vbrk: DataFrame, mseg: DataFrame, since: str,
-    client: str = "100", posted: str = "C",
+    client: str = "100", posted: str = "C", by_item: bool = False,
 ) -> DataFrame:
     """Revenue of an order item against the cost of the goods issued for its invoice.
 
-    Only invoices in posting status ``posted`` count: those accounting has taken over.
+    As documented, every cost line of an invoice shows for every item of it: items times lines. With ``by_item`` the
+    lines are added up per invoice item first, so an item has one cost. Only invoices in posting status ``posted`` count: those accounting has taken over.
     """
     order = _of_client(vbak, client).select("mandt", "vbeln", "kunnr")
     item = vbap.select("mandt", "vbeln", "posnr", "matnr", F.col("kwmeng").alias("qtd_pedida"))
     bill_item = vbrp.select(
-        "mandt", F.col("vbeln").alias("b_vbeln"), F.col("aubel").alias("vbeln"), F.col("aupos").alias("posnr")
+        "mandt", F.col("vbeln").alias("b_vbeln"), F.col("posnr").alias("b_posnr"), F.col("aubel").alias("vbeln"),
+        F.col("aupos").alias("posnr"),
     )
     bill = vbrk.filter((F.col("fkdat") >= since) & (F.col("rfbsk") == posted)).select(
         "mandt", F.col("vbeln").alias("b_vbeln"), F.col("netwr").alias("receita_bruta"),
         F.col("fkdat").alias("data_faturamento"),
     )
-    cost = mseg.filter(F.col("bwart") == ISSUE_TO_DELIVERY).select(
-        "mandt", F.col("vbeln").alias("b_vbeln"), F.abs("dmbtr").alias("custo_mercadoria")
+    issued = mseg.filter(F.col("bwart") == ISSUE_TO_DELIVERY)
+    invoice = ["mandt", "b_vbeln"]
+    if by_item:
+        invoice.append("b_posnr")
+        issued = issued.groupBy("mandt", "vbeln", "posnr").agg(
+            F.sum(F.abs("dmbtr").cast("decimal(17,2)")).cast("decimal(17,2)").alias("dmbtr")
+        )
+    numbers = {"b_vbeln": "vbeln", "b_posnr": "posnr"}
+    cost = issued.select(
+        "mandt", *[F.col(numbers[n]).alias(n) for n in invoice[1:]], F.abs("dmbtr").alias("custo_mercadoria")
     )
     return (
         item.join(order, ["mandt", "vbeln"]).join(bill_item, ["mandt", "vbeln", "posnr"])
-        .join(bill, ["mandt", "b_vbeln"]).join(cost, ["mandt", "b_vbeln"])
+        .join(bill, ["mandt", "b_vbeln"]).join(cost, invoice)
         .select(
             F.col("vbeln").alias("nr_so"), F.col("kunnr").alias("cliente"), F.col("matnr").alias("material"),
             "qtd_pedida", "receita_bruta", "data_faturamento", "custo_mercadoria",

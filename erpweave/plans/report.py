@@ -42,8 +42,10 @@ def open_orders_report(
 
     Optional documents are left-joined with their full fan-out: an item with two
     deliveries is two rows. ``one_row_per_item`` keeps the first combination only.
-    Everything that hangs on the order header is joined by order number, everything on
-    the item by order and item number, so the item rows shuffle on those two keys.
+    What hangs on the order header is joined while there is one row per order, and what follows a delivery is joined among
+    the narrow follow-on documents, where every row has its key. So the item rows, of which many have no
+    delivery or invoice, never shuffle on a key that may be missing: they move once by order and item
+    number and once by order number (and by material where that table is too large to broadcast).
     """
     def raw(name: str) -> DataFrame:
         return tenant_filter(table(name), client)
@@ -57,8 +59,6 @@ def open_orders_report(
         F.col("route").alias("itiner_ov"), strip_leading_zeros("matnr").alias("item"),
         F.col("matkl").alias("classificacao_produto"), F.col("vrkme").alias("unidade_medida"),
     )
-    base = item.join(header, "vbeln")
-
     # ---- order header and masters ---------------------------------------------
     terms = raw("vbkd").filter(F.col("posnr") == HEADER_ITEM).select("vbeln", F.col("inco1").alias("condicao_entrega"))
     partners = raw("vbpa").select("vbeln", "parvw", "kunnr", "pernr")
@@ -113,7 +113,7 @@ def open_orders_report(
     # ---- billing, fiscal note ------------------------------------------------
     billed = reduce_to_keys(
         raw("vbrp").select("vbeln", "vgbel", "vgpos", "aubel", "aupos"),
-        base.select("vbeln", "posnr"),
+        reduce_to_keys(item.select("vbeln", "posnr"), header.select("vbeln"), {"vbeln": "vbeln"}),
         {"aubel": "vbeln", "aupos": "posnr"},
     ).select(F.col("vgbel").alias("d_vbeln"), F.col("vgpos").alias("d_posnr"), F.col("vbeln").alias("i_vbeln"))
     invoice = raw("vbrk").filter(is_blank("sfakn") & not_flag("fksto")).select(
@@ -123,17 +123,21 @@ def open_orders_report(
         "docnum", F.col("refkey").alias("vbeln"), _report_date("docdat").alias("data_emissao_nf")
     )
     line = raw("j_1bnflin").select("docnum", quantity("nfqtd").alias("quantidade_nf"))
-    # The chain behind an invoice number is built once and joined to the items at the end.
     noted = (
         invoice.join(note, "vbeln", "left").join(line, "docnum", "left")
         .select(F.col("vbeln").alias("i_vbeln"), "data_faturamento", "data_emissao_nf", "quantidade_nf")
     )
+    # What follows an order item, from its deliveries on; every key on the left side is there.
+    chain = (
+        delivery.join(billed.join(noted, "i_vbeln", "left"), ["d_vbeln", "d_posnr"], "left")
+        .join(transport, "d_vbeln", "left")
+        .join(shipment, "d_vbeln", "left")
+        .drop("d_vbeln", "d_posnr", "i_vbeln")
+    )
 
-    # Masters first, while there is one row per item; what repeats rows comes last.
     name = F.coalesce("we_name1", "ag_name1")
-    ordered = (
-        base.join(sold_to, "kunnr", "left")
-        .join(material, "matnr", "left")
+    headed = (
+        header.join(sold_to, "kunnr", "left")
         .join(conditions, "vsbed", "left")
         .join(terms, "vbeln", "left")
         .join(ship_to, "vbeln", "left")
@@ -150,12 +154,10 @@ def open_orders_report(
         )
     )
     followed = (
-        ordered.join(schedule, ["vbeln", "posnr"], "left")
-        .join(delivery, ["vbeln", "posnr"], "left")
-        .join(billed, ["d_vbeln", "d_posnr"], "left")
-        .join(transport, "d_vbeln", "left")
-        .join(shipment, "d_vbeln", "left")
-        .join(noted, "i_vbeln", "left")
+        item.join(material, "matnr", "left")
+        .join(schedule, ["vbeln", "posnr"], "left")
+        .join(chain, ["vbeln", "posnr"], "left")
+        .join(headed, "vbeln")
     )
     renamed = {"vbeln": "nr_ordem", "posnr": "nr_linha_ordem", "kunnr": "emissor_ordem"}
     report = followed.withColumnsRenamed(renamed).withColumns(

@@ -126,6 +126,20 @@ def q5(t: Tables):
     return D.order_to_billing_trace(**tables, since="20010101")
 
 
+@query("q_order_to_billing_items", twin(f"""WITH invoice AS (SELECT vbeln AS nr_billing, fkdat AS data_fatura, netwr AS valor_faturado FROM {_own("vbrk")}),
+    line AS (SELECT vbeln AS nr_billing, vgbel AS delivery, vgpos AS delivery_item FROM {_own("vbrp")}),
+    shipped AS (SELECT vbeln AS delivery, posnr AS delivery_item, vgbel AS vbeln, vgpos AS posnr, lfimg AS qtd_entregue FROM {_own("lips")}
+        WHERE vbeln IN (SELECT vbeln FROM {_own("likp")}))
+    SELECT vbeln AS nr_so, cliente, matnr AS material, kwmeng AS qtd_pedida, qtd_entregue, nr_billing, data_fatura, valor_faturado
+    FROM line INNER JOIN invoice USING (nr_billing) INNER JOIN shipped USING (delivery, delivery_item)
+    INNER JOIN (SELECT vbeln, posnr, matnr, kwmeng FROM {_own("vbap")}) USING (vbeln, posnr)
+    INNER JOIN (SELECT vbeln, kunnr AS cliente FROM {_own("vbak")} WHERE audat >= '20010101') USING (vbeln)"""))
+def q5_items(t: Tables):
+    """The trace along item numbers."""
+    tables = {name: t.raw(name) for name in ("vbak", "vbap", "lips", "likp", "vbrp", "vbrk")}
+    return D.order_to_billing_trace(**tables, since="20010101", by_item=True)
+
+
 @query("q_open_payables", twin("""WITH booked AS (SELECT mandt, bukrs, belnr, gjahr, bldat FROM bkpf WHERE budat >= '19980101')
     SELECT bukrs, belnr, gjahr, lifnr, bldat, dmbtr, shkzg
     FROM (SELECT * FROM bseg_full WHERE mandt = '100' AND bukrs = 'BR01' AND koart = 'K' AND augdt = '') INNER JOIN booked USING (mandt, bukrs, belnr, gjahr)"""))
@@ -178,6 +192,20 @@ def q11(t: Tables):
     return D.order_profitability(**tables, since="20000101")
 
 
+@query("q_order_profitability_items", twin(f"""WITH cost AS (SELECT vbeln AS invoice, posnr AS line, sum(CAST(abs(dmbtr) AS DECIMAL(17,2))) AS total
+        FROM {_own("mseg")} WHERE bwart = '601' GROUP BY 1, 2),
+    revenue AS (SELECT vbeln AS invoice, netwr AS receita_bruta, fkdat AS data_faturamento FROM {_own("vbrk")} WHERE rfbsk = 'C' AND fkdat >= '20000101'),
+    link AS (SELECT vbeln AS invoice, posnr AS line, aubel AS vbeln, aupos AS posnr FROM {_own("vbrp")})
+    SELECT vbeln AS nr_so, cliente, material, qtd_pedida, receita_bruta, data_faturamento, CAST(total AS DECIMAL(17,2)) AS custo_mercadoria
+    FROM cost INNER JOIN link USING (invoice, line) INNER JOIN revenue USING (invoice)
+    INNER JOIN (SELECT vbeln, posnr, matnr AS material, kwmeng AS qtd_pedida FROM {_own("vbap")}) USING (vbeln, posnr)
+    INNER JOIN (SELECT vbeln, kunnr AS cliente FROM {_own("vbak")}) USING (vbeln)"""))
+def q11_items(t: Tables):
+    """Revenue of an order item against the cost added up per invoice item."""
+    tables = {name: t.raw(name) for name in ("vbak", "vbap", "vbrp", "vbrk", "mseg")}
+    return D.order_profitability(**tables, since="20000101", by_item=True)
+
+
 @query("q_document_by_object_key", twin("""SELECT belnr, gjahr, budat, blart FROM bkpf WHERE mandt = '100' AND awtyp = 'VBRK'
     AND awkey = '900000000022'"""))
 def q12(t: Tables):
