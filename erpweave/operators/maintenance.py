@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from erpweave.operators.dedupe import first_per_key, latest_per_key
+from erpweave.session import materialize
+from erpweave.sources.tables import overwrite_partitions, stored_table
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
@@ -115,217 +115,51 @@ def field_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], fields: S
     )
 
 
-class _Commits:
-    """Commit log of a table: ``<path>/_commits/<number>.json``, the highest number is the table.
+BUCKET = "key_bucket"
 
-    A commit names the folders that make up the table and the last batch of every stream that is
-    in it. Data folders get fresh names and are complete before the commit is renamed into place,
-    so a crash at any point leaves the table as it was, and nothing that is read is ever overwritten.
-    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self._hadoop = spark._jvm.org.apache.hadoop.fs
-        self._fs = self._hadoop.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def _at(self, name: str):
-        return self._hadoop.Path(f"{self.path}/{name}")
-
-    def _names(self, folder: str) -> list[str]:
-        at = self._at(folder)
-        return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
-
-    def numbers(self) -> list[int]:
-        """Commit numbers, newest first."""
-        return sorted((int(n[:-5]) for n in self._names("_commits") if n.endswith(".json")), reverse=True)
-
-    def load(self, number: int) -> dict:
-        at = self._at(f"_commits/{number}.json")
-        # Looked at first: a base that was removed must not be mistaken for an empty table.
-        if not self._fs.exists(at):
-            raise FileNotFoundError(f"{self.path} has no version {number}")
-        stream = self._fs.open(at)
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
-
-    def fresh(self) -> str:
-        """Name of a data folder that was never used."""
-        return f"data/{uuid.uuid4().hex}"
-
-    def commit(self, number: int, content: dict) -> None:
-        """Publish a version; fails when another writer has published the number."""
-        draft = self._at(f"_drafts/{uuid.uuid4().hex}.json")
-        stream = self._fs.create(draft, False)
-        try:
-            stream.write(bytearray(json.dumps(content).encode()))
-        finally:
-            stream.close()
-        self._fs.mkdirs(self._at("_commits"))
-        target = self._at(f"_commits/{number}.json")
-        if self._fs.exists(target) or not self._fs.rename(draft, target):
-            raise RuntimeError(f"version {number} of {self.path} was written by someone else")
-
-    def vacuum(self, keep: int, folders) -> None:
-        """Drop all but the newest versions and every data folder that none of the rest names."""
-        numbers = self.numbers()
-        kept = [self.load(n) for n in numbers[:max(keep, 1)]]
-        for n in numbers[max(keep, 1):]:
-            self._fs.delete(self._at(f"_commits/{n}.json"), False)
-        used = {f.split("/")[1] for content in kept for f in folders(content)}
-        for name in self._names("data"):
-            if name not in used:
-                self._fs.delete(self._at(f"data/{name}"), True)
-
-
-def _applied(batches: Mapping[str, int], stream: str, batch: int | None) -> bool:
-    return batch is not None and batches.get(stream, -1) >= batch
-
-
-def _noted(batches: Mapping[str, int], stream: str, batch: int | None) -> dict[str, int]:
-    return dict(batches) if batch is None else {**batches, stream: batch}
-
-
-class VersionedTable:
-    """Parquet table of complete versions, for small tables and whole-table refreshes.
-
-    Every write makes a new version beside the one readers may have open; see ``BucketedTable`` for
-    upserts into large tables.
-    """
+def _staged(spark: SparkSession, folder: str, load: str | None) -> bool:
+    """Whether the merged rows of a load are there, complete."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if load is None or not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return False
+    row = spark.read.schema("_load string").parquet(folder).first()
+    return row is not None and row[0] == load
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        self._log = _Commits(spark, path)
-
-    def current(self) -> int | None:
-        """Number of the newest version."""
-        return next(iter(self._log.numbers()), None)
-
-    def folder(self, version: int | None = None) -> str:
-        version = self.current() if version is None else version
-        if version is None:
-            raise FileNotFoundError(f"{self.path} has no version")
-        return f"{self.path}/{self._log.load(version)['folder']}"
-
-    def read(self, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.folder(version))
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Drop all but the newest versions; readers of older ones must be done."""
-        self._log.vacuum(keep, lambda content: [content["folder"]])
-
-    def write(
-        self, df: DataFrame, partition_by: Sequence[str] = (), batches: Mapping[str, int] | None = None
-    ) -> int:
-        """Publish the rows as the version after the one that is current now."""
-        return self._write(df, self.current(), partition_by, batches)
-
-    def _write(
-        self, df: DataFrame, current: int | None, partition_by: Sequence[str], batches: Mapping[str, int] | None
-    ) -> int:
-        # ``current`` is the version that ``df`` was made from: any commit since then is a conflict.
-        folder = self._log.fresh()
-        df.write.partitionBy(*partition_by).parquet(f"{self.path}/{folder}")
-        known = self._log.load(current)["batches"] if batches is None and current is not None else batches or {}
-        version = 0 if current is None else current + 1
-        self._log.commit(version, {"folder": folder, "batches": dict(known)})
-        return version
-
-    def merge(
-        self, source: DataFrame, keys: Sequence[str], order: str | None = None, partition_by: Sequence[str] = (),
-        stream: str = "", batch: int | None = None,
-    ) -> int:
-        """Upsert into a new version; the first call creates the table.
-
-        A batch of a stream that the table already holds is not applied again.
-        """
-        current = self.current()
-        batches = {} if current is None else self._log.load(current)["batches"]
-        if _applied(batches, stream, batch):
-            return current
-        if current is None:
-            rows = latest_per_key(source, keys, order) if order else first_per_key(source, keys, [])
-        else:
-            rows = merge_upsert(self.read(current), source, keys, order)
-        return self._write(rows, current, partition_by, _noted(batches, stream, batch))
-
-
-class BucketedTable:
-    """Parquet table laid out by a hash bucket of its key, for upserts into large tables.
-
-    A merge reads and rewrites only the buckets that its source touches; all others stay where they
-    are. A commit lists the folder of every bucket, so a version is complete or absent.
-    """
 
-    BUCKET = "key_bucket"
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int):
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
-        self._log = _Commits(spark, path)
-
-    def current(self) -> int | None:
-        return next(iter(self._log.numbers()), None)
-
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
-
-    def _content(self) -> dict:
-        current = self.current()
-        empty = {"buckets": {}, "batches": {}, "schema": None}
-        return {**(empty if current is None else self._log.load(current)), "number": current}
-
-    def _rows(self, content: dict, buckets: Sequence[int] | None = None) -> DataFrame:
-        chosen = [f for b, f in content["buckets"].items() if buckets is None or int(b) in buckets]
-        schema = StructType.fromJson(content["schema"])
-        if not chosen:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in chosen])
-
-    def read(self) -> DataFrame:
-        content = self._content()
-        if content["schema"] is None:
-            raise FileNotFoundError(f"{self.path} has no version")
-        return self._rows(content)
-
-    def _write(self, df: DataFrame, content: dict, touched: Sequence[int] | None, batches: Mapping[str, int]) -> None:
-        folder = self._log.fresh()
-        # Rebalanced by bucket: small ones are one file, a large one is split by its size.
-        df.withColumn(self.BUCKET, self.bucket()).hint("rebalance", F.col(self.BUCKET)).write.partitionBy(
-            self.BUCKET).parquet(f"{self.path}/{folder}")
-        places = {} if touched is None else {b: f for b, f in content["buckets"].items() if int(b) not in set(touched)}
-        for name in self._log._names(folder):
-            if name.startswith(f"{self.BUCKET}="):
-                places[name.split("=")[1]] = f"{folder}/{name}"
-        # The number after the version that was read: any commit since then is a conflict, not overwritten.
-        number = content["number"]
-        self._log.commit(0 if number is None else number + 1, {
-            "buckets": places, "batches": dict(batches), "schema": json.loads(df.schema.json())})
-
-    def create(self, df: DataFrame) -> None:
-        """Replace the whole table."""
-        content = self._content()
-        self._write(df, content, None, content["batches"])
-
-    def merge(self, source: DataFrame, order: str | None = None, stream: str = "", batch: int | None = None) -> None:
-        """Upsert; a batch of a stream that the table already holds is not applied again."""
-        content = self._content()
-        if _applied(content["batches"], stream, batch):
-            return
-        batches = _noted(content["batches"], stream, batch)
-        changes = latest_per_key(source, self.keys, order) if order else first_per_key(source, self.keys, [])
-        if content["schema"] is None:
-            self._write(changes, content, None, batches)
-            return
+def upsert_table(
+    source: DataFrame, path: str, keys: Sequence[str], order: str | None = None, buckets: int = 64,
+    load: str | None = None,
+) -> DataFrame:
+    """Upsert into the Parquet table at ``path``, partitioned by a hash bucket of the key; returns the table.
+
+    Only the buckets that the source touches are read, merged and replaced (dynamic partition overwrite); the first call
+    creates the table, with the number of buckets to be kept from then on. Of several source rows of a key the latest by
+    ``order`` counts, or the least by its columns.
+
+    Merging the same rows again changes nothing. With ``load``, a name of the batch, the merged rows are also the way back
+    from a crash: they are written beside the table before it is touched, and the same load called again replaces its
+    partitions from them, so that rows of a partition that was being replaced are not lost.
+    The load that failed is to be repeated before the next one, as a stream does. One writer at a time, and readers wait for
+    it: tables with several belong to a table format.
+    """
+    spark = source.sparkSession
+    if {BUCKET, "_load"} & set(source.columns):
+        raise ValueError(f"{BUCKET} and _load are names of the table's own columns")
+    schema = StructType([*source.schema.fields, StructField(BUCKET, IntegerType())])
+    staging = f"{path}/_merged"  # readers of the table pass over names with an underscore
+    if not _staged(spark, staging, load):
+        bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
+        latest = latest_per_key(source, keys, order) if order else first_per_key(source, keys, [])
         # Written once: it names the buckets, removes old rows and supplies new ones.
-        draft = f"{self.path}/{self._log.fresh()}"
-        changes.write.parquet(draft)
-        changes = self.spark.read.schema(changes.schema).parquet(draft)
-        touched = [r[0] for r in changes.select(self.bucket()).distinct().collect()]  # at most ``buckets`` numbers
-        target = self._rows(content, touched)
-        kept = target.join(changes.select(*self.keys), self.keys, "left_anti").select(*target.columns)
-        self._write(kept.unionByName(changes.select(*target.columns)), content, touched, batches)
-        self._log._fs.delete(self._log._hadoop.Path(draft), True)
-
-    def vacuum(self, keep: int = 2) -> None:
-        self._log.vacuum(keep, lambda content: list(content["buckets"].values()))
+        changes = materialize(latest.withColumn(BUCKET, bucket), "changes")
+        target = stored_table(spark, path, schema)
+        merged = changes
+        if target is not None:
+            touched = [r[0] for r in changes.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
+            same = [*keys, BUCKET]
+            kept = target.where(F.col(BUCKET).isin(touched)).join(changes.select(*same), same, "left_anti")
+            merged = kept.select(*schema.names).unionByName(changes)
+        merged.withColumn("_load", F.lit(load).cast("string")).write.mode("overwrite").parquet(staging)
+    overwrite_partitions(spark.read.schema(schema).parquet(staging), path, [BUCKET], only_touched=True)
+    return spark.read.schema(schema).parquet(path).drop(BUCKET)

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from erpweave.operators.maintenance import VersionedTable
 from erpweave.operators.projection import with_processing_time
 from erpweave.plans import domain, gold
 from erpweave.plans.report import open_orders_report
 from erpweave.plans.silver import SILVER, silver_table
 from erpweave.sources.discovery import SYSTEM
+from erpweave.sources.tables import write_run
 from erpweave.streaming.ingest import append_tables, ingest_evolving
 
 
@@ -81,22 +82,20 @@ def refresh(
     """Bring every layer up to date with the landed files.
 
     Raw and typed tables read only new files; a field that ``schemas`` does not have becomes a column of its raw table
-    when it is first landed. Facts and key figures are rebuilt, each layer
-    from the stored one below it, as a new version beside the one readers may have open.
-    Returns the key figures.
+    when it is first landed. Facts and key figures are rebuilt, each layer from the stored one below it, as a
+    run beside the one readers may have open. Returns the key figures.
     """
     bronze = ingest_evolving(
         spark, landing, f"{store}/bronze", f"{store}/checkpoints/bronze", f"{store}/schemas", schemas
     )
     silver = silver_layer(spark, bronze, store, client, schemas)
 
+    run = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+
     def stored(layer: str, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         written = {}
         for name, df in frames.items():
-            table = VersionedTable(spark, f"{store}/{layer}/{name}")
-            version = table.write(df)
-            table.vacuum(keep=2)
-            written[name] = spark.read.schema(df.schema).parquet(table.folder(version))
+            written[name] = spark.read.schema(df.schema).parquet(write_run(df, f"{store}/{layer}/{name}", run))
         return written
 
     facts = stored("domain", domain_layer(silver))

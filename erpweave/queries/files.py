@@ -8,7 +8,6 @@ from pyspark.sql.types import StructType
 
 from erpweave import crosswalk
 from erpweave.datagen.specs import erp_tables
-from erpweave.operators.maintenance import BucketedTable
 from erpweave.operators.quality import Rule, expect
 from erpweave.plans import purchasing_lakehouse as L
 from erpweave.plans.domain import dim_customer
@@ -355,13 +354,13 @@ def stream_upsert(t: Tables):
     rows = t.source("events").select("user_id", "event_id", "event_type")
     half = F.lit("2024-01-16").cast("timestamp_ntz")
     events = t.source("events")
-    table = BucketedTable(t.spark, f"{base}/table", ["user_id"], 8)
+    table = None
     # Two loads in event order, one checkpoint: the later load updates the earlier one.
     for part in (events.filter(F.col("ts") < half), events.filter(F.col("ts") >= half)):
         _land_json(part.select(rows.columns), f"{base}/landing")
         stream = ingest.json_stream(t.spark, f"{base}/landing", rows.schema).select(rows.columns)
-        state.upsert_stream(stream, table, ["user_id"], "event_id", f"{base}/cp")
-    return table.read()
+        table = state.upsert_stream(stream, f"{base}/table", ["user_id"], "event_id", f"{base}/cp", buckets=8)
+    return table
 
 
 @query("procure_to_pay_layers", twin("""WITH i AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ebeln, ebelp ORDER BY menge, netpr, netwr, elikz NULLS FIRST) AS rn

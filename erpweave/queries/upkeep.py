@@ -42,21 +42,20 @@ def merge(t: Tables):
 
 @query("merge_versioned_table", _LATEST)
 def merge_table(t: Tables):
-    table = M.VersionedTable(t.spark, work_folder(t.spark, "merge-table"))
-    table.merge(_before(t), ["user_id"], "event_id")
-    table.merge(_after(t), ["user_id"], "event_id")
-    table.merge(_after(t), ["user_id"], "event_id")
-    return table.read()
+    """The table by stream batches; the last one is repeated."""
+    path = work_folder(t.spark, "merge-table")
+    M.upsert_table(_before(t), path, ["user_id"], "event_id", buckets=1, load="s-0")
+    for _ in range(2):
+        table = M.upsert_table(_after(t), path, ["user_id"], "event_id", buckets=1, load="s-1")
+    return table
 
 
 @query("merge_touched_buckets", _LATEST)
 def merge_buckets(t: Tables):
-    table = M.BucketedTable(t.spark, work_folder(t.spark, "merge-buckets"), ["user_id"], buckets=16)
-    table.create(_before(t))
-    table.merge(_after(t), "event_id")
-    table.merge(_after(t), "event_id")
-    table.vacuum(keep=1)
-    return table.read()
+    path = work_folder(t.spark, "merge-buckets")
+    M.upsert_table(_before(t), path, ["user_id"], "event_id", buckets=16)
+    M.upsert_table(_after(t), path, ["user_id"], "event_id", buckets=16)
+    return M.upsert_table(_after(t), path, ["user_id"], "event_id", buckets=16)
 
 
 @query("silver_refresh_slice", twin("""WITH c AS (SELECT ebeln, bukrs, lifnr, CAST(try_strptime(bedat, '%Y%m%d') AS DATE) AS bedat,
@@ -70,12 +69,12 @@ def refresh_slice(t: Tables):
     bronze_append(orders.filter(F.col("bedat") < "19990101"), bronze, "ekko", "20240101", "ERP")
     late = orders.filter(F.col("bedat") >= "19980101").withColumn("netwr", F.col("netwr") + 10)
     bronze_append(late, bronze, "ekko", "20240102", "ERP")
-    silver = M.BucketedTable(t.spark, work_folder(t.spark, "slice-silver"), ["ebeln"], buckets=8)
+    path = work_folder(t.spark, "slice-silver")
     partitioned = StructType([*orders.schema.fields, StructField("_partition_date", StringType())])
     landed = t.spark.read.schema(partitioned).parquet(bronze)
     for day in ("20240101", "20240102"):
-        silver.merge(L.silver_slice(landed, day).select(orders.columns))
-    return silver.read().select(orders.columns)
+        silver = M.upsert_table(L.silver_slice(landed, day).select(orders.columns), path, ["ebeln"], buckets=8, load=day)
+    return silver
 
 
 _KIND = "CASE WHEN event_type = 'signup' THEN 'DEL' WHEN event_type = 'error' THEN 'BIM' ELSE 'AIM' END"

@@ -7,27 +7,30 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from erpweave.operators.maintenance import VersionedTable
+from erpweave.sources.tables import stored_table
 
 
 class WatermarkStore:
-    """Control table (table name, watermark as text), one row per source table."""
+    """Control table (table name, watermark as text): every run appends a row, the last one of a source counts."""
 
-    SCHEMA = "source string, watermark string"
+    SCHEMA = "source string, watermark string, set_at timestamp"
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.store = spark, VersionedTable(spark, path)
+        self.spark, self.path = spark, path
 
     def get(self, source: str) -> str | None:
-        if self.store.current() is None:
+        control = stored_table(self.spark, self.path, StructType.fromDDL(self.SCHEMA))
+        if control is None:
             return None
-        row = self.store.read().filter(F.col("source") == source).agg(F.max("watermark")).first()
-        return row[0]
+        return control.filter(F.col("source") == source).agg(F.max_by("watermark", "set_at")).first()[0]
 
     def set(self, source: str, watermark: str) -> None:
-        entry = self.spark.createDataFrame([(source, watermark)], self.SCHEMA)
-        self.store.merge(entry, ["source"])
+        entry = self.spark.range(1).select(
+            F.lit(source).alias("source"), F.lit(watermark).alias("watermark"), F.current_timestamp().alias("set_at")
+        )
+        entry.write.mode("append").parquet(self.path)
 
 
 def extract_since(df: DataFrame, column: str, watermark: str | None) -> DataFrame:
@@ -65,17 +68,19 @@ class DeltaQueue:
     has stored the rows gets them again.
     """
 
-    SCHEMA = "subscriber string, low bigint, high bigint"
+    SCHEMA = "subscriber string, low bigint, high bigint, confirmed_at timestamp"
 
     def __init__(self, spark: SparkSession, path: str, subscriber: str):
-        self.spark, self.subscriber = spark, subscriber
-        self.store = VersionedTable(spark, path)
+        self.spark, self.path, self.subscriber = spark, path, subscriber
 
     def pointer(self) -> tuple[int, int]:
-        if self.store.current() is None:
+        """Bounds of the last confirmed delta; every confirmation is a row, with the time that orders equal bounds."""
+        control = stored_table(self.spark, self.path, StructType.fromDDL(self.SCHEMA))
+        if control is None:
             return (-1, -1)
-        row = self.store.read().filter(F.col("subscriber") == self.subscriber).first()
-        return (row["low"], row["high"]) if row else (-1, -1)
+        mine = control.filter(F.col("subscriber") == self.subscriber)
+        last = mine.agg(F.max_by(F.struct("low", "high"), F.struct("high", "confirmed_at"))).first()[0]
+        return (last["low"], last["high"]) if last else (-1, -1)
 
     def extract(self, log: DataFrame, batch: str, mode: str) -> Slice:
         low, high = self.pointer()
@@ -89,8 +94,10 @@ class DeltaQueue:
         newest = high if newest is None else max(high, newest)
 
         def confirm() -> None:
-            entry = self.spark.createDataFrame([(self.subscriber, high, newest)], self.SCHEMA)
-            self.store.merge(entry, ["subscriber"])
-            self.store.vacuum(keep=2)
+            entry = self.spark.range(1).select(
+                F.lit(self.subscriber).alias("subscriber"), F.lit(high).cast("bigint").alias("low"),
+                F.lit(newest).cast("bigint").alias("high"), F.current_timestamp().alias("confirmed_at"),
+            )
+            entry.write.mode("append").parquet(self.path)
 
         return Slice(log.filter((F.col(batch) > high) & (F.col(batch) <= newest)), confirm)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -31,6 +33,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stored_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """The table at ``path``, or None where there is nothing yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def bronze_append(df: DataFrame, path: str, table: str, partition_date: str, source_system: str) -> None:
     """Append with lineage columns, one partition per load date."""
     (
@@ -53,6 +65,23 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_run(df: DataFrame, path: str, run: str, keep: int = 2) -> str:
+    """Write a rebuilt table beside its earlier runs, as ``<path>/run=<run>``, and return that folder.
+
+    Run names sort by time. All but the newest ``keep`` are removed afterwards, so whoever reads the run before is not
+    disturbed; a filter on ``run`` over ``path`` reads one of them.
+    """
+    spark = df.sparkSession
+    folder = f"{path}/run={run}"
+    df.write.mode("overwrite").parquet(folder)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    runs = sorted((s.getPath() for s in files.listStatus(root) if s.getPath().getName().startswith("run=")), key=lambda p: p.getName())
+    for old in runs[:-keep]:
+        files.delete(old, True)
+    return folder
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str], only_touched: bool = False) -> None:
     """Overwrite a partitioned table, or just the partitions present in ``df``.
 

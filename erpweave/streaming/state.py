@@ -5,14 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from erpweave.operators.dedupe import first_per_key
-from erpweave.operators.maintenance import BucketedTable, VersionedTable
-from erpweave.sources.tables import overwrite_partitions
+from erpweave.operators.maintenance import upsert_table
+from erpweave.sources.tables import overwrite_partitions, stored_table
 
 
 def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
@@ -24,15 +23,6 @@ def dedupe_stream(stream: DataFrame, keys: Sequence[str], event_time: str, delay
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def _stored(session: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    try:
-        return session.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def append_first(
     stream: DataFrame, path: str, keys: Sequence[str], checkpoint: str, buckets: int = 64
 ) -> DataFrame:
@@ -59,7 +49,7 @@ def append_first(
         firsts = first_per_key(batch, keys, []) if set(batch.columns) - set(keys) else batch.dropDuplicates(list(keys))
         fresh = firsts.select(*columns, bucket.alias("_bucket")).persist()
         touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]
-        known = _stored(session, path, stored_schema)
+        known = stored_table(session, path, stored_schema)
         if known is not None:
             known = known.where(F.col("_bucket").isin(touched) & (F.col("_load") != load)).select(
                 F.col("_bucket").alias("_kb"), *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
@@ -75,32 +65,25 @@ def append_first(
     stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start().awaitTermination()
     session = stream.sparkSession
-    table = _stored(session, path, stored_schema)
+    table = stored_table(session, path, stored_schema)
     return session.createDataFrame([], stream.schema) if table is None else table.select(*columns)
 
 
 def upsert_stream(
-    stream: DataFrame, table: VersionedTable | BucketedTable, keys: Sequence[str], order: str, checkpoint: str
-) -> None:
-    """Merge every micro-batch into the table, each exactly once.
+    stream: DataFrame, path: str, keys: Sequence[str], order: str, checkpoint: str, buckets: int = 64
+) -> DataFrame:
+    """Merge every micro-batch into the table at ``path``; returns the table.
 
-    The table remembers the last batch per stream, known by the id in the checkpoint. A retried batch is
-    skipped; a new checkpoint is a new stream, whose batches are merged whatever their numbers.
-    Large tables want a ``BucketedTable``, which rewrites only what a batch touches.
+    A batch is known by the stream's id in its checkpoint and its number. A stream repeats the batch that
+    failed before it goes on, and ``upsert_table`` finishes what the first try has begun.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        name = json.loads(session.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-        if isinstance(table, BucketedTable):
-            table.merge(batch, order, stream=name, batch=batch_id)
-        else:
-            table.merge(batch, keys, order, stream=name, batch=batch_id)
-
-    query = (
-        stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        name = json.loads(batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        upsert_table(batch, path, keys, order, buckets, load=f"{name}-{batch_id}")
+
+    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).start().awaitTermination()
+    session = stream.sparkSession
+    table = stored_table(session, path, stream.schema)
+    return session.createDataFrame([], stream.schema) if table is None else table.select(*stream.columns)

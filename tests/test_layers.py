@@ -13,6 +13,7 @@ from erpweave.plans.report import REPORT_COLUMNS
 from erpweave.plans.silver import SILVER
 from erpweave.queries.models import _REPORT
 from erpweave.session import work_folder
+from erpweave.sources.tables import write_run
 
 SCALE = 0.02
 
@@ -51,6 +52,17 @@ def test_second_refresh_adds_nothing(spark, store):
     assert rows(again["kpi_order_to_cash"].drop("_processed_time")) == before
 
 
+def test_two_runs_are_kept(spark, store):
+    base, _, _, gold = store
+    runs = spark.read.parquet(f"{base}/gold/kpi_order_to_cash").select("run").distinct().count()
+    assert runs in (1, 2)  # the second refresh is a test of its own
+    path = f"{base}/kept"
+    for run in ("1", "2", "3"):
+        last = write_run(spark.range(int(run)), path, run)
+    assert spark.read.parquet(last).count() == 3
+    assert sorted(r[0] for r in spark.read.parquet(path).select("run").distinct().collect()) == [2, 3]
+
+
 def test_report_equals_plain_sql_on_generated_data(spark, store):
     base, tables, _, gold = store
     con = duckdb.connect()

@@ -62,99 +62,79 @@ def test_field_changes(spark):
     assert rows(M.field_changes(old, new, ["k"], ["s", "n"])) == [(1, "n", None, "3"), (2, "s", "b", "c")]
 
 
-def _tables(spark):
-    yield M.VersionedTable(spark, work_folder(spark, "t")), lambda t, df, **k: t.merge(df, ["k"], "ver", **k)
-    yield M.BucketedTable(spark, work_folder(spark, "b"), ["k"], 4), lambda t, df, **k: t.merge(df, "ver", **k)
+def _upsert(path, df, **options):
+    return M.upsert_table(df, path, ["k"], "ver", buckets=4, **options)
 
 
 def test_a_repeated_batch_changes_nothing(spark, target, source):
-    for table, merge in _tables(spark):
-        assert table.current() is None
-        merge(table, target, stream="s", batch=0)
-        merge(table, source, stream="s", batch=1)
-        first, version = rows(table.read()), table.current()
-        merge(table, source, stream="s", batch=1)
-        merge(table, target, stream="s", batch=0)
-        assert rows(table.read()) == first and table.current() == version
+    path = work_folder(spark, "t")
+    want = rows(M.merge_upsert(target, source, ["k"], "ver"))
+    _upsert(path, target, load="s-0")
+    assert rows(_upsert(path, source, load="s-1")) == want
+    assert rows(_upsert(path, source, load="s-1")) == want
+    assert rows(_upsert(path, source, load="s-2")) == want
+    assert rows(_upsert(path, source)) == want
 
 
 def test_a_new_checkpoint_is_a_new_stream(spark, target, source):
-    for table, merge in _tables(spark):
-        merge(table, target, stream="old", batch=0)
-        merge(table, target, stream="old", batch=5)
-        merge(table, source, stream="new", batch=0)  # numbers start again, rows must not be lost
-        assert rows(table.read()) == rows(M.merge_upsert(target, source, ["k"], "ver"))
-
-
-def test_retry_after_vacuum_keeps_the_table(spark, target, source):
-    for table, merge in _tables(spark):
-        merge(table, target, stream="s", batch=0)
-        merge(table, source, stream="s", batch=1)
-        want = rows(table.read())
-        table.vacuum(keep=1)
-        merge(table, source, stream="s", batch=1)
-        assert rows(table.read()) == want
-        merge(table, source, stream="s", batch=2)
-        assert rows(table.read()) == want
-
-
-def test_a_crash_before_the_commit_leaves_the_table(spark, target, source, monkeypatch):
-    for table, merge in _tables(spark):
-        merge(table, target, stream="s", batch=0)
-        want = rows(table.read())
-
-        def crash(*_):
-            raise RuntimeError("crash")
-
-        with monkeypatch.context() as patch:
-            patch.setattr(table._log, "commit", crash)
-            with pytest.raises(RuntimeError):
-                merge(table, source, stream="s", batch=1)
-        assert rows(table.read()) == want
-        merge(table, source, stream="s", batch=1)
-        assert rows(table.read()) == rows(M.merge_upsert(target, source, ["k"], "ver"))
-        table.vacuum(keep=1)
-        assert rows(table.read()) == rows(M.merge_upsert(target, source, ["k"], "ver"))
-
-
-def test_two_writers_of_one_version(spark, target):
-    table = M.VersionedTable(spark, work_folder(spark, "w"))
-    table.write(target)
-    with pytest.raises(RuntimeError):
-        table._log.commit(0, {"folder": "data/x", "batches": {}})
-
-
-def test_a_writer_in_between_is_a_conflict(spark, target, source, monkeypatch):
-    more = spark.createDataFrame([(100 + i, "m", 1) for i in range(20)], target.schema)
-    for table, merge in _tables(spark):
-        merge(table, target)
-        fresh = table._log.fresh
-
-        def other_writer_first():
-            patch.setattr(table._log, "fresh", fresh)
-            merge(table, more)
-            return fresh()
-
-        with monkeypatch.context() as patch:
-            patch.setattr(table._log, "fresh", other_writer_first)
-            with pytest.raises(RuntimeError):
-                merge(table, source)
-        both = target.unionByName(more)
-        assert rows(table.read()) == rows(both)
-        merge(table, source)  # the retry starts from the other writer's version
-        assert rows(table.read()) == rows(M.merge_upsert(both, source, ["k"], "ver"))
-
-
-def test_bucketed_merge_rewrites_touched_buckets_only(spark, source):
+    path = work_folder(spark, "t")
+    _upsert(path, target, load="old-0")
+    # Numbers start again, rows must not be lost.
+    assert rows(_upsert(path, source, load="new-0")) == rows(M.merge_upsert(target, source, ["k"], "ver"))
+
+
+def test_a_crash_before_the_merge_is_written_leaves_the_table(spark, target, source, monkeypatch):
+    path = work_folder(spark, "t")
+    want = rows(_upsert(path, target, load="s-0"))
+    broken = source.withColumn("v", F.raise_error(F.lit("crash")).cast("string"))
+    with pytest.raises(Exception, match="crash"):
+        _upsert(path, broken, load="s-1")
+    assert rows(spark.read.parquet(path).drop(M.BUCKET)) == want
+    assert rows(_upsert(path, source, load="s-1")) == rows(M.merge_upsert(target, source, ["k"], "ver"))
+
+
+def test_a_crash_amid_the_replacement_is_mended_by_the_same_load(spark, target, source, monkeypatch):
+    path = work_folder(spark, "t")
+    many = target.unionByName(spark.range(100, 200).selectExpr("cast(id AS int) AS k", "'m' AS v", "1 AS ver"))
+    _upsert(path, many, load="s-0")
+
+    def crash(df, place, *_, **__):
+        hit = source.select(F.pmod(F.xxhash64("k"), F.lit(4))).first()[0]
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/{M.BUCKET}={hit}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(M, "overwrite_partitions", crash)
+        with pytest.raises(RuntimeError):
+            _upsert(path, source, load="s-1")
+    want = rows(M.merge_upsert(many, source, ["k"], "ver"))
+    assert spark.read.parquet(path).count() < len(want)
+    assert rows(_upsert(path, source, load="s-1")) == want
+
+
+def test_upserts_replace_touched_buckets_only(spark, source):
     many = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v"), F.lit(1).alias("ver"))
-    table = M.BucketedTable(spark, work_folder(spark, "b"), ["k"], 8)
-    table.create(many)
-    before = table._content()["buckets"]
-    table.merge(source.filter("k = 2"), "ver")
-    after = table._content()["buckets"]
-    assert table.read().count() == 1000
-    assert rows(table.read().filter("k = 2")) == [(2, "B", 2)]
-    assert sum(before[b] != after[b] for b in before) == 1
+    path = work_folder(spark, "b")
+    M.upsert_table(many, path, ["k"], buckets=8)
+
+    def files():
+        read = spark.read.parquet(path).groupBy(M.BUCKET).agg(F.collect_set("_metadata.file_path").alias("f"))
+        return {r[0]: sorted(r[1]) for r in read.collect()}
+
+    before = files()
+    table = M.upsert_table(source.filter("k = 2"), path, ["k"], "ver", buckets=8)
+    after = files()
+    assert table.count() == 1000 and rows(table.filter("k = 2")) == [(2, "B", 2)]
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1
+
+
+def test_upserts_of_no_rows_and_of_own_names(spark, target):
+    path = work_folder(spark, "e")
+    assert _upsert(path, target.limit(0)).count() == 0
+    assert rows(_upsert(path, target)) == rows(target) == rows(_upsert(path, target.limit(0)))
+    with pytest.raises(ValueError):
+        _upsert(path, target.withColumn(M.BUCKET, F.lit(1)))
 
 
 def test_snapshot_feed_keeps_every_row_of_a_repeated_key(spark):
