@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from erpweave.functions._cols import unused
 from erpweave.session import materialize
 
 
@@ -63,9 +64,19 @@ def curve_layout(df: DataFrame, columns: Sequence[str], partitions: int | None =
     A column enters by the rank of its value among 2^``bits`` parts of like size, so skewed values and any
     sortable type are served alike. ``range_layout`` sorts by its first column and prunes by that one only; here every column
     prunes, each a little less. A row hash ends the order, so rows equal in all columns still spread.
+
+    The rows are stored once first: the bounds of every column, the sample of the ranges and the layout read them, and
+    what ``df`` is made of is not made again. Ranks, key and hash are columns, worked out once a row and not at
+    every comparison of the sort.
     """
-    ranks = [rank_among(F.col(f"`{c}`"), value_bounds(df, c, 1 << bits), bits) for c in columns]
-    key = interleaved(ranks, bits)
-    order = [key, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
-    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*order)
+    rows = materialize(df, "layout-rows")
+    ranks = {
+        unused(f"_rank{i}", df.columns): rank_among(F.col(f"`{c}`"), value_bounds(rows, c, 1 << bits), bits)
+        for i, c in enumerate(columns)
+    }
+    key, spread = unused("_key", df.columns), unused("_spread", df.columns)
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    keyed = rows.withColumns(ranks).withColumns({key: interleaved([F.col(r) for r in ranks], bits), spread: hashed})
+    keyed = keyed.drop(*ranks)
+    ranged = keyed.repartitionByRange(partitions, key, spread) if partitions else keyed.repartitionByRange(key, spread)
+    return ranged.sortWithinPartitions(key, spread).drop(key, spread)

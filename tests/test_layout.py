@@ -110,3 +110,23 @@ def test_fact_table_replaces_touched_months_and_prunes(spark, folder):
     assert rows(again.drop("_updated_at").select(fact.columns)) == rows(fact)
     plan = again.filter("order_year = 1996")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_year" in plan
+
+
+def test_layout_makes_its_rows_once_and_sorts_by_columns(spark):
+    """What the rows are made of is worked out once; no rank is worked out per use or per comparison."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = _skew(spark, 3000)
+    laid = curve_layout(df.mapInArrow(seen, df.schema), ["day", "plant"], 8)
+    assert rows(laid) == rows(df) and laid.columns == df.columns
+    assert made.value == 3000
+    plan = laid._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 2
+    # Names of working columns that the input has.
+    own = df.withColumns({"_key": F.lit(1), "_spread": F.lit(2), "_rank0": F.lit(3)})
+    assert rows(curve_layout(own, ["day"], 4)) == rows(own)
