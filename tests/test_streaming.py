@@ -151,3 +151,26 @@ def test_stream_upserts(spark):
     # A new checkpoint reads everything again and changes nothing.
     again = state.upsert_stream(stream, f"{base}/t", ["k"], "n", f"{base}/cp2", buckets=4)
     assert rows(again, "k", "n") == [("a", 2), ("b", 1), ("c", 2)]
+
+
+def test_landed_tables_are_packed_and_stored_tables_zstd(spark):
+    import glob
+    import os
+
+    import pyarrow.parquet as pq
+    from erpweave.queries import files
+    from erpweave.session import work_folder
+    from erpweave.streaming import ingest
+
+    base = work_folder(spark, "packed")
+    df = spark.range(3000).selectExpr("cast(id AS string) AS key_of_document", "cast(id AS double) AS amount_of_document",
+                                      "IF(id % 3 = 0, NULL, 'x') AS flag_of_document")
+    files._land_json(df, f"{base}/plain/t")
+    files._land_json(df, f"{base}/landing/t", packed=True)
+    size = lambda pattern: sum(map(os.path.getsize, glob.glob(pattern)))
+    assert 0 < size(f"{base}/landing/t/*.json.gz") < size(f"{base}/plain/t/*.json") / 4
+    assert not glob.glob(f"{base}/landing/t/*.json")
+    stored = ingest.ingest_tables(spark, f"{base}/landing", f"{base}/bronze", f"{base}/cp", {"t": df.schema})["t"]
+    assert sorted(map(str, stored.select(df.columns).collect())) == sorted(map(str, df.collect()))
+    for name in glob.glob(f"{base}/bronze/t/*.parquet"):
+        assert pq.ParquetFile(name).metadata.row_group(0).column(0).compression == "ZSTD"
