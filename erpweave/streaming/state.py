@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from erpweave.operators.dedupe import first_per_key
+from erpweave.functions._cols import unused
 from erpweave.operators.maintenance import upsert_table
 from erpweave.sources.tables import overwrite_partitions, stored_table
 
@@ -45,22 +45,21 @@ def append_first(
         session = batch.sparkSession
         load = json.loads(session.read.text(f"{checkpoint}/metadata").first()[0])["id"] + f"-{batch_id}"
         bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
-        # Without other columns there is nothing to choose by.
-        firsts = first_per_key(batch, keys, []) if set(batch.columns) - set(keys) else batch.dropDuplicates(list(keys))
-        fresh = firsts.select(*columns, bucket.alias("_bucket")).persist()
+        fresh = batch.select(*columns, bucket.alias("_bucket"))
         touched = [r[0] for r in fresh.select("_bucket").distinct().collect()]
         known = stored_table(session, path, stored_schema)
+        held, place = unused("_held", fresh.columns), unused("_rn", fresh.columns)
+        every = fresh.withColumn(held, F.lit(False))
         if known is not None:
+            # Stored keys come first in their group, so one shuffle finds both the new keys and the row of each.
             known = known.where(F.col("_bucket").isin(touched) & (F.col("_load") != load)).select(
-                F.col("_bucket").alias("_kb"), *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)])
-            same = F.col("_bucket") == F.col("_kb")
-            for i, k in enumerate(keys):
-                same = same & F.col(f"`{k}`").eqNullSafe(F.col(f"_k{i}"))
-            new = fresh.join(known, same, "left_anti")
-        else:
-            new = fresh
+                *[F.col(f"`{k}`") for k in keys], F.lit(True).alias(held))
+            every = every.unionByName(known, allowMissingColumns=True)
+        others = [F.col(f"`{c}`") for c in batch.columns if c not in keys]
+        window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(F.col(held).desc(), *others)
+        first = every.withColumn(place, F.row_number().over(window)).filter(F.col(place) == 1)
+        new = first.filter(~F.col(held)).drop(held, place)
         overwrite_partitions(new.withColumn("_load", F.lit(load)), path, ["_bucket", "_load"], only_touched=True)
-        fresh.unpersist()
 
     stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start().awaitTermination()

@@ -174,3 +174,26 @@ def test_landed_tables_are_packed_and_stored_tables_zstd(spark):
     assert sorted(map(str, stored.select(df.columns).collect())) == sorted(map(str, df.collect()))
     for name in glob.glob(f"{base}/bronze/t/*.parquet"):
         assert pq.ParquetFile(name).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_stored_keys_and_first_rows_are_found_by_one_shuffle(spark, monkeypatch):
+    """No join beside the choice of the first row, stored keys win, and what is stored is packed."""
+    import glob
+
+    import pyarrow.parquet as pq
+    from erpweave.session import work_folder
+    from erpweave.streaming import state
+
+    base = work_folder(spark, "one-shuffle")
+
+    def refused(*_, **__):
+        raise AssertionError("joined")
+
+    monkeypatch.setattr(type(spark.range(1)), "join", refused)
+    for rows_ in ([("a", 2), (None, 1), ("a", 1)], [("a", 0), (None, 0), ("b", 5), ("b", 4)]):
+        spark.createDataFrame(rows_, "k string, v int").write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema("k string, v int").parquet(f"{base}/in")
+        table = state.append_first(stream, f"{base}/out", ["k"], f"{base}/cp", buckets=2)
+    assert sorted(map(str, table.collect())) == ["Row(k='a', v=1)", "Row(k='b', v=4)", "Row(k=None, v=1)"]
+    for name in glob.glob(f"{base}/out/*/*/*.parquet"):
+        assert pq.ParquetFile(name).metadata.row_group(0).column(0).compression == "ZSTD"
