@@ -3,15 +3,16 @@
 Rare-first prefix filtering. The shingles of a document are ordered by corpus frequency, rarest first; two sets
 with Jaccard similarity t or more share a shingle among their first n - ceil(t n) + 1. Only these
 prefixes are shuffled, by shingle, and lists of one document end there. Length and positional filters
-act inside the lists, a suffix filter (differences of sixteen hash ranges bound the overlap) on the
-distinct pairs, and what is left is verified once, on whole sets.
+act inside the lists, a suffix filter (parities of hash classes, about one per shingle, bound the overlap) on
+the distinct pairs, and what is left is verified once, on whole sets, read from the texts asked for.
 
 The frequency order needs no join: documents per hash bucket of shingles are counted over the whole
 corpus into a table of fixed size, and a shingle is ranked by its bucket. Any fixed order gives
 right results; shared buckets only make a rare shingle look less rare.
 
 Equal sets are one node from the start, so groups of copies cost one row. Inside a list not all pairs
-are formed: first every entry meets only the entry before it and the head of its size range; verified
+are formed: first every entry meets only the entry before it and a head, the entry so far that has
+fewest rarer shingles, which of near copies is the one nearest to what they were copied from; verified
 pairs are contracted to components; then only pairs of different components are left. If lists still
 hold many of these, the meeting is repeated in other orders, as long as it contracts, before the rest is
 paired exhaustively.
@@ -28,7 +29,7 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections import Counter, deque
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +49,7 @@ PERCENT = 80  # Jaccard similarity of linked documents, in percent
 RANK_BITS = 20  # buckets of the frequency table
 NEED_BITS = 24  # buckets of the table of sets that verification needs
 BLOCK = 4096
-RANGES = 16
+BLOCKS = "block int, data binary"
 MEETINGS = 5  # rounds of meetings at most
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -148,16 +149,31 @@ def _add_blocks(batches):
 
 def bucket_table(blocks: DataFrame, bits: int) -> np.ndarray:
     """The sum of ``blocks(block, data)`` on the driver: 2 ** bits counts, whatever the data."""
-    total = blocks.repartition("block").mapInArrow(_add_blocks, "block int, data binary").toArrow()
+    total = blocks.repartition("block").mapInArrow(_add_blocks, BLOCKS).toArrow()
     table = np.zeros(1 << bits, np.uint32)
     for block, data in zip(total["block"].to_pylist(), total["data"], strict=True):
         table[block * BLOCK:(block + 1) * BLOCK] = np.frombuffer(zlib.decompress(data.as_py()), np.uint32)
     return table
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """Bit k: is the number of shingles in hash class k odd? A power of two of classes, one or two a shingle."""
+    classes = max(64, 1 << (len(hashes) - 1).bit_length())
+    counts = np.bincount((hashes & np.uint64(classes - 1)).astype(np.int64), minlength=classes)
+    return np.packbits((counts & 1).astype(bool)).tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """Least number of shingles in one of two sets only, by their sketches; the longer one is folded."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _sets(id_type: pa.DataType):
-    """One reading of the texts: (doc_id, node, n, ranges) of every document, then the task's shingle counts."""
-    names = ["doc_id", "node", "n", "ranges", "block", "data"]
+    """One reading of the texts: (doc_id, node, n, sketch) of every document, then the task's shingle counts."""
+    names = ["doc_id", "node", "n", "sketch", "block", "data"]
 
     def run(batches):
         counts = Buckets(RANK_BITS)
@@ -166,22 +182,22 @@ def _sets(id_type: pa.DataType):
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), pa.array([node(s) if len(s) else None for s in sets], pa.int64()),
                  pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([np.bincount((s >> np.uint64(60)).astype(np.int64), minlength=RANGES) for s in sets],
-                          pa.list_(pa.int32())), none.cast(pa.int32()), none.cast(pa.binary())], names)
+                 pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
+                 none.cast(pa.int32()), none.cast(pa.binary())], names)
             counts.add(np.concatenate(sets))
         for block, data in counts.blocks():
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32())),
+                [pa.nulls(1, id_type), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
                  pa.array([block], pa.int32()), pa.array([data], pa.binary())], names)
 
     return run
 
 
-def _node_bits(batches):
-    """Which buckets of node hashes a task has seen, as compressed blocks of bits."""
+def _set_bits(places) -> Iterator[pa.RecordBatch]:
+    """The bits at the places that a task has seen, as compressed blocks."""
     seen = np.zeros(1 << NEED_BITS, bool)
-    for batch in batches:
-        seen[_need_bucket(batch.column("node").to_numpy())] = True
+    for at in places:
+        seen[at] = True
     bits = np.packbits(seen)
     for block in range(len(bits) // BLOCK):
         part = bits[block * BLOCK:(block + 1) * BLOCK]
@@ -190,6 +206,15 @@ def _node_bits(batches):
                 [pa.array([block], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], ["block", "data"])
 
 
+def _node_bits(batches):
+    return _set_bits(_need_bucket(batch.column("node").to_numpy()) for batch in batches)
+
+
+def _asked_ids(need: np.ndarray):
+    """Bits of the id buckets of rows whose node falls into a bucket of ``need``."""
+    return lambda batches: _set_bits(batch.column("bucket").to_numpy() for batch in _among(need)(batches))
+
+
 def _or_blocks(batches):
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
@@ -204,16 +229,20 @@ def _need_bucket(nodes: np.ndarray) -> np.ndarray:
     return (_mix(nodes.astype(np.uint64)) >> np.uint64(64 - NEED_BITS)).astype(np.int64)
 
 
-def need_bits(nodes: DataFrame) -> np.ndarray:
-    """Bits of the buckets that ``nodes`` fall into: 2 ** NEED_BITS / 8 bytes, whatever the data."""
-    found = nodes.mapInArrow(_node_bits, "block int, data binary").repartition("block").mapInArrow(
-        _or_blocks, "block int, data binary").toArrow()
+def bit_table(blocks: DataFrame) -> np.ndarray:
+    """The union of ``blocks(block, data)`` on the driver: 2 ** NEED_BITS / 8 bytes, whatever the data."""
+    found = blocks.repartition("block").mapInArrow(_or_blocks, BLOCKS).toArrow()
     bits = np.zeros((1 << NEED_BITS) // 8, np.uint8)
     for block, data in zip(found["block"].to_pylist(), found["data"], strict=True):
         bits[block * BLOCK:(block + 1) * BLOCK] = np.frombuffer(zlib.decompress(data.as_py()), np.uint8)
     return bits
 
 
+def need_bits(nodes: DataFrame) -> np.ndarray:
+    """Bits of the buckets that ``nodes`` fall into."""
+    return bit_table(nodes.mapInArrow(_node_bits, BLOCKS))
+
+
 def prefix_length(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
@@ -264,7 +293,8 @@ def _meet(by_size: bool):
     """Lists sorted by shingle: every entry with the entry before it and with its head.
 
     Entries of lists of one are dropped. Holds one row back, whatever the length of a list. With
-    ``by_size`` the lists ascend in size and a new head starts where the size range ends.
+    ``by_size`` the lists ascend in size and place; a new head starts where the size range ends, or at an entry
+    that the list's shingle is earlier of.
     """
     names = ["h", "n", "node", "at", "root", "before", "head"]
 
@@ -296,6 +326,8 @@ def _meet(by_size: bool):
                 ]
                 out.append((*row, pair[0], pair[1] if pair[1] != pair[0] else None))
                 held, follows = row, True
+                if by_size and row[3] < head[3]:
+                    head = row
             if len(h) and len(alone) and alone.any() and held is not None and h[-1] != held[0]:
                 held = None
             if out:
@@ -307,10 +339,12 @@ def _meet(by_size: bool):
 
 
 def _pair_rest(batches):
-    """Lists sorted by shingle and size: all pairs of different components that pass the filters."""
+    """Lists sorted by shingle, size and place: all pairs of different components that pass the filters.
+
+    Entries of a size are kept by component, in the order of their places, so only such pairs are looked at.
+    """
     names = ["h", "n", "node", "at", "root"]
-    window: deque = deque()
-    roots: Counter = Counter()
+    window: deque = deque()  # (size, {component: [(place, node)]})
     current = None
     said: set[tuple[int, int]] = set()  # saves repeats; bounded
     for batch in batches:
@@ -320,39 +354,51 @@ def _pair_rest(batches):
             if h != current:
                 current = h
                 window.clear()
-                roots.clear()
-            while window and PERCENT * n > 100 * window[0][1]:
-                gone = window.popleft()
-                roots[gone[4]] -= 1
-                if not roots[gone[4]]:
-                    del roots[gone[4]]
-            if len(roots) > (root in roots):
-                for other in window:
-                    if other[4] != root and _may_link(n, at, other[1], other[3]):
-                        pair = (name, other[2]) if name > other[2] else (other[2], name)
+            while window and PERCENT * n > 100 * window[0][0]:
+                window.popleft()
+            for m, groups in window:
+                needed = -(-PERCENT * (n + m) // (100 + PERCENT))
+                if n - at < needed:
+                    continue
+                for other_root, entries in groups.items():
+                    if m - entries[0][0] < needed:
+                        break
+                    if other_root == root:
+                        continue
+                    for bt, other in entries:
+                        if m - bt < needed:
+                            break
+                        pair = (name, other) if name > other else (other, name)
                         if pair not in said:
                             if len(said) > 100_000:
                                 said.clear()
                             said.add(pair)
                             out.append(pair)
-            window.append(row)
-            roots[root] += 1
+            if not window or window[-1][0] != n:
+                window.append((n, {}))
+            window[-1][1].setdefault(root, []).append((at, name))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], ["a", "b"])
 
 
-def _wanted_sets(need: np.ndarray):
-    """(node, data) of sets that verification may ask for: five bytes per shingle, ascending."""
+def _wanted_sets(need: np.ndarray, ids: np.ndarray):
+    """(node, data) of sets that verification may ask for: five bytes per shingle, ascending.
+
+    ``ids`` are the bits of the id buckets to read, ``need`` those of the nodes.
+    """
+
+    def asked(batches):
+        for batch in batches:
+            yield batch.filter(_has(ids, batch.column("bucket").to_numpy()))
 
     def run(batches):
         seen: set[int] = set()
-        for _, sets in _slices(batches):
+        for _, sets in _slices(asked(batches)):
             sets = [s for s in sets if len(s)]
             names = [node(s) for s in sets]
-            at = _need_bucket(np.array(names, np.int64))
-            wanted = (need[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            wanted = _has(need, _need_bucket(np.array(names, np.int64))).to_pylist()
             nodes, data = [], []
-            for s, name, yes in zip(sets, names, wanted.tolist(), strict=True):
+            for s, name, yes in zip(sets, names, wanted, strict=True):
                 if not yes or name in seen:
                     continue
                 if len(seen) < 200_000:
@@ -371,18 +417,31 @@ def _unpack(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def _has(bits: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Whether the bits at these places are set."""
+    return pa.array(((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool))
+
+
 def _among(bits: np.ndarray):
-    """Stored sets whose node falls into a bucket of ``bits``."""
+    """Rows whose node falls into a bucket of ``bits``."""
 
     def run(batches):
         for batch in batches:
-            at = _need_bucket(batch.column("node").to_numpy())
-            found = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(found.astype(bool)))
+            yield batch.filter(_has(bits, _need_bucket(batch.column("node").to_numpy())))
 
     return run
 
 
+def _close(batches):
+    """Pairs that their sketches do not rule out."""
+    for batch in batches:
+        total = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()).tolist()
+        # Overlap is at most (total - apart) / 2, and at least PERCENT / (100 + PERCENT) of the total is needed.
+        kept = [(100 + PERCENT) * (t - apart(x.as_py(), y.as_py())) >= 2 * PERCENT * t
+                for t, x, y in zip(total, batch.column("s_a"), batch.column("s_b"), strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+
 def _verify(batches):
     """Pairs whose whole sets are alike."""
     for batch in batches:
@@ -396,18 +455,22 @@ def _verify(batches):
             [batch.column("a").take(pa.array(kept)), batch.column("b").take(pa.array(kept))], ["u", "v"])
 
 
-def verified(pairs: DataFrame, sizes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links among distinct ``pairs(a, b)``: suffix filter on range counts, then whole sets."""
-    side = lambda name: sizes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
-                                     F.col("ranges").alias(f"r_{name}"))
-    apart = F.aggregate(F.zip_with("r_a", "r_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, d: acc + d)
-    total = F.col("n_a") + F.col("n_b")
-    # Overlap is at most (total - apart) / 2, and at least PERCENT / (100 + PERCENT) of the total is needed.
-    close = materialize(pairs.join(side("a"), "a").join(side("b"), "b").where(
-        (100 + PERCENT) * (total - apart) >= 2 * PERCENT * total).select("a", "b"), "close-pairs")
-    # Only the sets of these pairs are shuffled.
-    asked = need_bits(close.select(F.explode(F.array("a", "b")).alias("node")))
-    bodies = sets.mapInArrow(_among(asked), "node long, data binary").dropDuplicates(["node"])
+def _id_bucket():
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << NEED_BITS)).alias("bucket")
+
+
+def verified(pairs: DataFrame, sizes: DataFrame, read: DataFrame) -> DataFrame:
+    """Links among distinct ``pairs(a, b)``: suffix filter on sketches, then whole sets of the documents asked for."""
+    ends = lambda df: df.select(F.explode(F.array("a", "b")).alias("node"))
+    asked = sizes.mapInArrow(_among(need_bits(ends(pairs))), sizes.schema)
+    side = lambda name: asked.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"),
+                                     F.col("sketch").alias(f"s_{name}"))
+    close = materialize(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_close, "a long, b long"), "close-pairs")
+    # Only the sets of these pairs are made and shuffled.
+    need = need_bits(ends(close))
+    ids = bit_table(sizes.select("node", _id_bucket()).mapInArrow(_asked_ids(need), BLOCKS))
+    bodies = materialize(read.select("text", _id_bucket()).mapInArrow(_wanted_sets(need, ids), "node long, data binary"), "sets") \
+        .dropDuplicates(["node"])
     return (
         close.join(bodies.select(F.col("node").alias("a"), F.col("data").alias("x")), "a")
         .join(bodies.select(F.col("node").alias("b"), F.col("data").alias("y")), "b")
@@ -425,20 +488,21 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     kind = docs.schema["doc_id"].dataType
     counted = materialize(
         read.mapInArrow(_sets(to_arrow_type(kind)),
-                        f"doc_id {kind.simpleString()}, node long, n long, ranges array<int>, block int, data binary"),
+                        f"doc_id {kind.simpleString()}, node long, n long, sketch binary, {BLOCKS}"),
         "shingle-sets")
-    sets = counted.where("block is null").select("doc_id", "node", "n", "ranges")
+    sets = counted.where("block is null").select("doc_id", "node", "n", "sketch")
     frequency = bucket_table(counted.where("block is not null").select("block", "data"), RANK_BITS)
     ranks = np.floor(np.log2(frequency.astype(float) + 1.0)).astype(np.uint8)
     schema = "h long, n int, node long, at int, root long, before long, head long"
     lists = materialize(
         read.select("text").mapInArrow(_prefixes(ranks), "h long, n int, node long, at int")
-        .withColumn("root", F.col("node")).repartition("h").sortWithinPartitions("h", "n", "node")
+        .repartition("h").sortWithinPartitions("h", "n", "at", "node").withColumn("root", F.col("node"))
         .mapInArrow(_meet(True), schema), "lists")
     rows = lists.count()
-    sizes = sets.where("node is not null").dropDuplicates(["node"]).select("node", "n", "ranges")
-    need = need_bits(lists.select("node"))
-    bodies = materialize(read.select("text").mapInArrow(_wanted_sets(need), "node long, data binary"), "sets")
+    # One document of every node that lists are about.
+    listed = need_bits(lists.select("node"))
+    sizes = materialize(
+        sets.where("node is not null").mapInArrow(_among(listed), sets.schema).dropDuplicates(["node"]), "sizes")
 
     met = lists
     pairs = roots = None
@@ -452,7 +516,7 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             fresh = fresh.join(pairs, ["a", "b"], "left_anti")
         fresh = materialize(fresh, "pairs")
         pairs = fresh if pairs is None else pairs.unionByName(fresh)
-        found = materialize(verified(fresh, sizes, bodies), "links")
+        found = materialize(verified(fresh, sizes, read), "links")
         # Earlier links are in the roots: stars, to which only the new links are added.
         if roots is not None:
             found = found.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
@@ -472,9 +536,9 @@ def linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         before = cross
         met = rooted.repartition("h").sortWithinPartitions("h", F.xxhash64("node", F.lit(meeting))) \
             .mapInArrow(_meet(False), schema)
-    rest = rooted.repartition("h").sortWithinPartitions("h", "n", "node").mapInArrow(_pair_rest, "a long, b long") \
+    rest = rooted.repartition("h").sortWithinPartitions("h", "n", "at", "node").mapInArrow(_pair_rest, "a long, b long") \
         .distinct().join(pairs, ["a", "b"], "left_anti")
-    last = materialize(verified(materialize(rest, "pairs"), sizes, bodies), "links")
+    last = materialize(verified(materialize(rest, "pairs"), sizes, read), "links")
     return sets.select("doc_id", "node", "n"), components(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))
                                                           .unionByName(last))
 

@@ -357,6 +357,42 @@ def test_join_of_planted_groups(spark):
     assert got == brute_components(texts)
 
 
+def test_pairs_of_near_copies_do_not_grow_with_the_square(spark, monkeypatch):
+    """Many copies of one text, some too far from it and from each other: few pairs are made, all links are found."""
+    rng = np.random.default_rng(5)
+    base = ["w%d" % x for x in rng.integers(0, 5000, 150)]
+    texts = {0: " ".join(base)}
+    for number in range(1, 401):
+        copy = list(base)
+        for at in rng.integers(0, 150, 1 + number % 8):
+            copy[at] = "x%d" % rng.integers(0, 999_999)
+        texts[number] = " ".join(copy)
+    made = []
+    keep = jaccard_join.materialize
+
+    def counted(df, label):
+        out = keep(df, label)
+        made.append(out.count() if label == "pairs" else 0)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.joined(docs).collect()}
+    assert got == brute_components(texts)
+    assert sum(made) < 10 * len(texts)
+
+
+def test_sketches_bound_what_sets_do_not_share():
+    rng = np.random.default_rng(6)
+    for n, m, both in ((1, 1, 1), (1, 1, 0), (150, 130, 125), (600, 500, 30), (5000, 4100, 3900), (70, 60, 0)):
+        values = np.unique(rng.integers(0, 1 << 63, n + m + 9, dtype=np.uint64))
+        a, b = values[:n], values[n - both:n - both + m]
+        least = jaccard_join.apart(jaccard_join.sketch(a), jaccard_join.sketch(b))
+        assert least <= n + m - 2 * both and (both < min(n, m) or not least)
+        if n > 100 and not 100 * both >= 50 * (n + m - both):
+            assert 180 * (n + m - least) < 160 * (n + m)  # ruled out
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(500, 600), (700, 600)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
