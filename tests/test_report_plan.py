@@ -44,6 +44,52 @@ def test_items_move_twice_and_never_by_a_missing_key(spark, folder, no_broadcast
     assert "linha" not in alone and "primeira_data" not in alone and len(alone) <= 9
 
 
+def test_lines_of_a_note_become_rows_behind_the_last_move(spark, folder, no_broadcast):
+    plan = open_orders_report(Tables(spark, folder).raw)._jdf.queryExecution().executedPlan()
+    below, above = [], []
+
+    def visit(node, moved):
+        if node.nodeName() == "Generate" and "quantidade_nf" in node.output().mkString("|"):
+            (below if moved else above).append(node)
+        children = node.children()
+        for i in range(children.size()):
+            visit(children.apply(i), moved or node.nodeName() == "Exchange")
+
+    visit(plan, False)
+    assert len(above) == 1 and not below
+
+
+def test_lines_of_a_note_and_their_first(spark):
+    """Notes without lines, with an unknown quantity, and invoices without a note."""
+    one = {
+        "vbak": "SELECT '100' mandt, vbeln, 'k' kunnr, '01' vsbed, 'Z1' auart, '20240101' vdatu FROM VALUES ('1'), ('2'), ('3'), ('4') AS t(vbeln)",
+        "vbap": "SELECT '100' mandt, vbeln, '10' posnr, '007' matnr, 'w' werks, 'l' lgort, 'r' route, 'g' matkl, 'UN' vrkme, 'A' fkrel "
+                "FROM VALUES ('1'), ('2'), ('3'), ('4') AS t(vbeln)",
+        "lips": "SELECT '100' mandt, '8' || v vbeln, '10' posnr, v vgbel, '10' vgpos, 'l' lgort FROM VALUES ('1'), ('2'), ('3') AS t(v)",
+        "vbrp": "SELECT '100' mandt, '9' || v vbeln, '8' || v vgbel, '10' vgpos, v aubel, '10' aupos FROM VALUES ('1'), ('2'), ('3') AS t(v)",
+        "vbrk": "SELECT '100' mandt, '9' || v vbeln, '' sfakn, '' fksto, '20240102' fkdat FROM VALUES ('1'), ('2'), ('3') AS t(v)",
+        "j_1bnfdoc": "SELECT '100' mandt, v docnum, '9' || v refkey, '20240103' docdat FROM VALUES ('1'), ('2') AS t(v)",
+        "j_1bnflin": "SELECT '100' mandt, d docnum, q nfqtd FROM VALUES ('1', '3.5'), ('1', '2'), ('2', '1'), ('2', NULL), (NULL, '5') AS t(d, q)",
+    }
+    empty = {
+        "vbkd": "vbeln posnr inco1", "vbpa": "vbeln parvw kunnr pernr", "pa0001": "pernr ename", "kna1": "kunnr name1 ort01 regio",
+        "tvsbt": "spras vsbed vtext", "mara": "matnr bismt prdha", "vbep": "vbeln posnr etenr edatu", "likp": "vbeln",
+        "vttp": "vbeln tknum", "vttk": "tknum tdlnr", "lfa1": "lifnr name1", "oigsi": "doc_typ doc_number shnumber",
+    }
+
+    def table(name):
+        if name in one:
+            return spark.sql(one[name])
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in ["mandt", *empty[name].split()]))
+
+    def rows(**how):
+        got = open_orders_report(table, **how).select("nr_ordem", "item", F.col("quantidade_nf").cast("double")).collect()
+        return sorted((tuple(r) for r in got), key=str)
+
+    assert rows() == sorted([("1", "7", 2.0), ("1", "7", 3.5), ("2", "7", None), ("2", "7", 1.0), ("3", "7", None), ("4", "7", None)], key=str)
+    assert rows(one_row_per_item=True) == [("1", "7", 2.0), ("2", "7", None), ("3", "7", None), ("4", "7", None)]
+
+
 def test_traces_by_item_stay_linear(spark):
     n = 100_000
     lines = spark.range(1, n + 1).select(
