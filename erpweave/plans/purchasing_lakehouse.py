@@ -63,11 +63,15 @@ def latest_header(raw: DataFrame, version: str) -> DataFrame:
 
 
 def gold_po_fact(items: DataFrame, headers: DataFrame, suppliers: DataFrame, materials: DataFrame) -> DataFrame:
-    """Item fact with header, supplier and material; items without partners stay."""
+    """Item fact with header, supplier and material; items without partners stay.
+
+    Suppliers join while there is one row per order and materials while items are narrow, so items move by material and
+    by order, never by supplier.
+    """
+    header = headers.select("ebeln", "lifnr", "ekorg", "bedat", "waers").join(suppliers.select("lifnr", "name1"), "lifnr", "left")
     return (
-        items.drop("waers").join(headers.select("ebeln", "lifnr", "ekorg", "bedat", "waers"), "ebeln", "left")
-        .join(suppliers.select("lifnr", "name1"), "lifnr", "left")
-        .join(materials.select("matnr", "maktx"), "matnr", "left")
+        items.drop("waers").join(materials.select("matnr", "maktx"), "matnr", "left")
+        .join(header, "ebeln", "left")
         .select(
             F.col("ebeln").alias("purchase_order"), F.col("ebelp").alias("purchase_order_item"),
             F.col("lifnr").alias("supplier_id"), F.col("name1").alias("supplier_name"),

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from erpweave.plans import documented as D
+from erpweave.plans import purchasing_lakehouse as L
 from erpweave.plans.report import open_orders_report
 from erpweave.queries.registry import Tables
 
@@ -90,6 +91,19 @@ def test_lines_of_a_note_and_their_first(spark):
     assert rows(one_row_per_item=True) == [("1", "7", 2.0), ("2", "7", None), ("3", "7", None), ("4", "7", None)]
 
 
+def test_items_of_the_purchase_fact_never_move_by_supplier(spark, no_broadcast):
+    frame = lambda columns: spark.createDataFrame([], ", ".join(f"{c} string" for c in columns.split()))
+    fact = L.gold_po_fact(
+        frame("ebeln ebelp matnr werks menge meins netpr netwr waers"), frame("ebeln lifnr ekorg bedat waers").withColumn("bedat", F.to_date("bedat")),
+        frame("lifnr name1"), frame("matnr maktx"))
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning(lifnr" in line]
+    optimized = fact._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in optimized.splitlines() if "Join LeftOuter" in line]
+    # From the top: by order, then material on the items' side and supplier on the headers'.
+    assert [re.search(r"\((\w+)#", line)[1] for line in joins] == ["ebeln", "matnr", "lifnr"] and len(moves) <= 2
+
+
 def test_traces_by_item_stay_linear(spark):
     n = 100_000
     lines = spark.range(1, n + 1).select(
