@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from erpweave.llm.components import components
-from erpweave.llm.worker import focus
+from erpweave.llm.worker import focus, release
 from erpweave.session import materialize
 
 SHINGLE = 5
@@ -105,7 +105,7 @@ def node(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())).astype(np.int64))
 
 
-def _slices(batches, size: int = 8_000_000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _slices(batches, size: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Parts of the batches with some megabytes of text, and their shingle sets."""
     focus()
     for batch in batches:
@@ -117,6 +117,7 @@ def _slices(batches, size: int = 8_000_000) -> Iterator[tuple[pa.RecordBatch, li
             part = batch.slice(start, stop - start)
             yield part, shingle_sets(part.column("text"))
             start = stop
+    release()
 
 
 class Buckets:

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from erpweave.llm.worker import focus
+from erpweave.llm.worker import Cache, focus, release
 from erpweave.session import materialize
 
 CAPACITY = 4096
@@ -130,7 +130,7 @@ class WordIds:
                 for t, ids in zip(texts, found, strict=True)]
 
 
-_WORD_IDS: dict[str, WordIds] = {}
+_WORD_IDS = Cache(WordIds, 2)  # by tokenizer file
 
 
 def _encoded(encoder: WordIds, texts: pa.Array):
@@ -150,10 +150,8 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool, id_type: pa.Data
     end, size = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def run(batches):
-        if path not in _WORD_IDS:
-            _WORD_IDS[path] = WordIds(path)
+        focus(_WORD_IDS)
         encoder = _WORD_IDS[path]
-        focus()
         for batch in batches:
             doc_ids, pieces, starts, lengths, sums, bodies, rows = [], [], [], [], [], [], []
             keys = batch.column("doc_id")
@@ -176,6 +174,7 @@ def _cut(path: str, capacity: int, end_id: int, with_ids: bool, id_type: pa.Data
                 columns.append(pa.array(bodies, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        release()
 
     return run
 

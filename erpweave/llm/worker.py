@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import weakref
 import zlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,15 @@ def focus(*kept: Cache) -> None:
     for held in [ref() for ref in _CACHES]:
         if held is not None and not any(held is k for k in kept):
             held.clear()
+    release()
+
+
+def release() -> None:
+    """Give memory that Python and Arrow have freed back to the system; idle workers and the JVM share the executor's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
 
 
 class Cache(dict):
