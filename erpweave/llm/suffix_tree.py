@@ -14,7 +14,7 @@ hashes, which passes some too many and none too few.
 
 The log probability of a word is a sum: root, plus for every kept suffix of its history the log share that the suffix
 leaves to shorter ones, plus a correction where the word was seen after it. Both are values of a key, so scoring is
-a join of keys with one table. Keys of more than ``STATE_SHARE`` of all tokens are looked up where the text is read, and so are
+a join of keys with one table, grouped by key range: sorted keys of a range travel as differences. Keys of more than ``STATE_SHARE`` of all tokens are looked up where the text is read, and so are
 words above ``WORD_SHARE``; only the others take part in joins, which so have no hot key. Both shares change
 where a value is looked up and no result.
 
@@ -36,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from erpweave.llm.worker import focus, release
 from erpweave.session import materialize
 
 END = b""  # the end token; no word is empty
@@ -47,8 +48,10 @@ KAPPA = 2.0  # weight of the shorter state besides its unseen share
 GAIN = 10.0  # divergence in nats that a context must bring, besides one per next word
 TURN = 21  # bits by which a sequence's hash is turned before the next word is added
 AS_CONTEXT = 0x5DEECE66D1234567  # tells the key of a context from that of the sequence
-BITS = 27  # log of the size of a bit table
+BITS = 27  # log of the largest size of a bit table
+BITS_PER_KEY = 32  # below that size: one absent key in 32 passes at most
 TOKENS = 250_000  # tokens held as arrays at a time
+TOKENS_PER_RANGE, FEWEST_RANGES = 2_000_000, 64  # ranges of keys to look up
 
 
 def held_out(doc_id: Column) -> Column:
@@ -93,7 +96,7 @@ def word_id(word: bytes) -> int:
 
 class _WordIds(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = found = word_id(word)
         return found
@@ -114,22 +117,67 @@ def _longer(sequence: str, word: str) -> Column:
 
 
 def bit_table(keys: DataFrame) -> np.ndarray:
-    """Bits set at the low ends of ``keys(key)``; at most 2^(BITS - 6) rows reach the driver."""
-    slot = f"(key & {(1 << BITS) - 1}L)"
+    """Bits set at the low ends of the stored ``keys(key)``; at most 2^(BITS - 6) rows reach the driver."""
+    wanted, bits = BITS_PER_KEY * keys.count(), 6
+    while bits < BITS and 1 << bits < wanted:
+        bits += 1
+    slot = f"(key & {(1 << bits) - 1}L)"
     rows = (
         keys.select(F.expr(f"shiftright({slot}, 6)").alias("at"), F.expr(f"shiftleft(1L, cast({slot} & 63 as int))").alias("bit"))
         .groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     )
-    table = np.zeros(1 << (BITS - 6), np.int64)
+    table = np.zeros(1 << (bits - 6), np.int64)
     table[rows["at"].to_numpy()] = rows["bits"].to_numpy()
     return table
 
 
 def may_hold(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    slot = keys & ((1 << BITS) - 1)
+    slot = keys & (64 * len(table) - 1)
     return (table[slot >> 6] >> (slot & 63)) & 1 == 1
 
 
+def range_of(keys: np.ndarray, n_ranges: int) -> np.ndarray:
+    """Ranges ascend with the keys as unsigned numbers; ``_range_of`` is the same on columns."""
+    return ((keys.view(np.uint64) >> np.uint64(40)) * np.uint64(n_ranges) >> np.uint64(24)).astype(np.int32)
+
+
+def _range_of(n_ranges: int) -> Column:
+    return F.expr(f"cast(shiftright(shiftrightunsigned(key, 40) * {n_ranges}L, 24) as int)")
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """All first bytes, then all second ones, and so on: zeros of small numbers stand together and compress to nothing."""
+    return numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unplanes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(8, -1).T.copy().view("<i8").ravel()
+
+
+def blocks(keys: np.ndarray, rows: np.ndarray, n_ranges: int):
+    """(range, keys, rows) of every range: sorted keys as differences, and the row of each."""
+    order = np.argsort(keys.view(np.uint64), kind="stable")
+    keys, rows = keys[order], rows[order]
+    of = range_of(keys, n_ranges)
+    bounds = [*np.flatnonzero(np.diff(of, prepend=-1)), len(keys)]
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        yield int(of[a]), planes(np.diff(keys[a:b], prepend=np.int64(0))), planes(rows[a:b])
+
+
+def _state_sums(asked: pa.Table, values: pa.Table) -> pa.Table:
+    """Sum of the values of the keys that each row asks for in one range."""
+    keys, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for row, a, b in zip(*(asked.column(c).to_pylist() for c in ("row", "keys", "rows")), strict=True):
+        keys.append(np.cumsum(unplanes(a)))
+        rows.append(unplanes(b) + row)
+    known, worth = values.column("key").to_numpy(), values.column("value").to_numpy()
+    order = np.argsort(known)
+    at = find(known[order], np.concatenate(keys))
+    found, place = np.unique(np.concatenate(rows)[at >= 0], return_inverse=True)
+    state = np.bincount(place, worth[order][at[at >= 0]], len(found)) if len(found) else np.zeros(0)
+    return pa.table({"row": pa.array(found, pa.int64()), "state": pa.array(state, pa.float64())})
+
+
 def sequences(ids: np.ndarray, levels: int):
     """Per level: places of tokens with a whole context in their text, hash of the context and of both together."""
     inner = ids != END_ID
@@ -160,7 +208,7 @@ class Tree:
         self.root = (counts + 1.0) / (n + v + 1.0)
         self.levels = 0
         self.keys, self.worth = np.zeros(0, np.int64), np.zeros(0)
-        self.bits = np.zeros(1 << (BITS - 6), np.int64)
+        self.bits = np.zeros(1, np.int64)
         self.contexts: list[np.ndarray] = []
         self.suffixes: list[np.ndarray] = []
         self.kept: list[np.ndarray] = []
@@ -191,17 +239,25 @@ class Tree:
         """Counts (context, word) of a level, where ``bits`` has the start and the end of the sequence."""
 
         def run(batches):
-            held: list[tuple[np.ndarray, ...]] = []
+            # Sequence and context; the word is what the one adds to the other. Held in place, since executors share their memory.
+            held = np.empty((2, 1_000_000), np.int64)
             waiting = 0
 
             def out():
-                key, context, word = (np.concatenate(part) for part in zip(*held, strict=True))
-                _, first, counts = np.unique(key, return_index=True, return_counts=True)
+                nonlocal waiting
+                key, context = held[:, :waiting]
+                order = np.argsort(key)
+                ordered = key[order]
+                first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])).astype(np.int32)
+                del ordered
+                counts = np.diff(first, append=np.int32(waiting))
                 for at in range(0, len(first), 500_000):
-                    rows = first[at:at + 500_000]
+                    rows = order[first[at:at + 500_000]]
+                    of = context[rows]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(context[rows]), pa.array(word[rows]), pa.array(counts[at:at + 500_000], pa.int64())],
+                        [pa.array(of), pa.array(longer(of, key[rows])), pa.array(counts[at:at + 500_000], pa.int64())],
                         ["context", "word", "n"])
+                waiting = 0
 
             for texts in _slices(batches):
                 numbers, _, words = self.encode(texts)
@@ -213,11 +269,16 @@ class Tree:
                         end[place] = both
                 fine = may_hold(bits, context)
                 fine[fine] = may_hold(bits, end[place[fine]])
-                held.append((both[fine], context[fine], ids[place[fine]]))
-                waiting += len(held[-1][0])
+                both, context = both[fine], context[fine]
+                if waiting + len(both) > held.shape[1]:
+                    wider = np.empty((2, min(2 * held.shape[1], 4_000_000) + len(both)), np.int64)
+                    wider[:, :waiting] = held[:, :waiting]
+                    held = wider
+                held[:, waiting:waiting + len(both)] = both, context
+                waiting += len(both)
                 if waiting > 4_000_000:
                     yield from out()
-                    held, waiting = [], 0
+                    release()
             if waiting:
                 yield from out()
 
@@ -256,7 +317,9 @@ class Tree:
             p[place] += self.worths(key)[0]
         return p
 
-    def scorer(self):
+    def scorer(self, n_ranges: int):
+        """A row for every text, and rows of asked keys that are not in the dictionary (``span`` is their range)."""
+
         def run(batches):
             part = TaskContext.get().partitionId() << 40
             for batch in batches:
@@ -274,27 +337,48 @@ class Tree:
                         asked.append(place[~known])
                         keys.append(key[~known])
                     asked, keys = np.concatenate(asked), np.concatenate(keys)
-                    order = np.argsort(asked, kind="stable")
                     bounds = [*starts, len(hot)]
                     cold = np.flatnonzero(~hot)
                     rare = pa.ListArray.from_arrays(
                         pa.array(np.searchsorted(cold, bounds), pa.int32()),
                         pa.array([words[i] for i in cold.tolist()], pa.binary()))
-                    rest = pa.ListArray.from_arrays(
-                        pa.array(np.searchsorted(asked[order], bounds), pa.int32()), pa.array(keys[order], pa.int64()))
                     n = len(texts)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.arange(part, part + n)), batch.column("doc_id").slice(at, n),
-                         batch.column("held_out").slice(at, n), pa.array(ends - starts, pa.int64()),
-                         pa.array(np.add.reduceat(hot.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
-                         pa.array(np.add.reduceat(base + state, starts)), rare, rest],
-                        ["row", "doc_id", "held_out", "n_tokens", "n_hot", "base", "score", "rare", "keys"])
+                    scores = [
+                        pa.array(np.arange(part, part + n)), batch.column("doc_id").slice(at, n),
+                        batch.column("held_out").slice(at, n), pa.array(ends - starts, pa.int64()),
+                        pa.array(np.add.reduceat(hot.astype(np.int64), starts)), pa.array(np.add.reduceat(base, starts)),
+                        pa.array(np.add.reduceat(base + state, starts)), rare]
+                    names = ["row", "doc_id", "held_out", "n_tokens", "n_hot", "base", "score", "rare", "span", "keys", "rows"]
+                    kinds = [pa.int32(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([*scores, *(pa.nulls(n, kind) for kind in kinds)], names)
+                    sent = list(blocks(keys, np.searchsorted(starts, asked, side="right") - 1, n_ranges))
+                    if sent:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(sent), part)), *(pa.nulls(len(sent), x.type) for x in scores[1:]),
+                             *(pa.array(x, kind) for x, kind in zip(zip(*sent, strict=True), kinds, strict=True))], names)
                     part += n
                     at += n
 
         return run
 
 
+def _counter(shared, level: int):
+    def run(batches):
+        focus()
+        tree, bits = shared.value
+        yield from tree.pair_counter(level, bits)(batches)
+
+    return run
+
+
+def _scorer(shared, n_ranges: int):
+    def run(batches):
+        focus()
+        yield from shared.value.scorer(n_ranges)(batches)
+
+    return run
+
+
 def _slices(batches):
     """Texts in lists of about ``TOKENS`` tokens."""
     for batch in batches:
@@ -328,7 +412,7 @@ def _level(counted: DataFrame, below: DataFrame) -> DataFrame:
         .select("context", "n", "total", "parent", _longer("context", "word").alias("key"), _longer("parent", "word").alias("suffix"))
         .join(below.select(F.col("key").alias("suffix"), F.col("p").alias("before")), "suffix")
     )
-    rows = materialize(rows, "sequences")
+    rows = materialize(rows, "sequences", "zstd")
     now = F.col("n") / F.col("total")
     tested = rows.groupBy("context").agg(
         F.first("total").alias("total"), F.sum("n").alias("known"), F.count("*").alias("words"),
@@ -343,7 +427,7 @@ def _level(counted: DataFrame, below: DataFrame) -> DataFrame:
         rows.join(kept, "context", "left").select(
             "key", "n", "suffix", "context", "total", "parent", p.alias("p"), F.log10(left).alias("left"),
             (F.log10(p) - F.log10(left * F.col("before"))).alias("more")),
-        "level")
+        "level", "zstd")
 
 
 def grow(training: DataFrame, vocabulary: DataFrame, depth: int = DEPTH) -> Tree:
@@ -365,11 +449,13 @@ def grow(training: DataFrame, vocabulary: DataFrame, depth: int = DEPTH) -> Tree
         bits = bit_table(below)
         if not bits.any():
             break
+        shared = training.sparkSession.sparkContext.broadcast((tree, bits))
         counted = (
-            training.select("text").mapInArrow(tree.pair_counter(level, bits), "context long, word long, n long")
+            training.select("text").mapInArrow(_counter(shared, level), "context long, word long, n long")
             .groupBy("context", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST)
         )
         below = _level(counted, below)
+        shared.destroy()  # the level is stored
         kept = below.where("left IS NOT NULL")
         states = kept.groupBy("context").agg(F.first("total").alias("n"), F.first("left").alias("value"), F.first("parent").alias("parent"))
         values.append(states.select(F.expr(f"context ^ {AS_CONTEXT}L").alias("key"), "n", "value"))
@@ -389,7 +475,7 @@ def grow(training: DataFrame, vocabulary: DataFrame, depth: int = DEPTH) -> Tree
         table = values[0]
         for more in values[1:]:
             table = table.unionByName(more)
-        tree.values = materialize(table, "values")
+        tree.values = materialize(table, "values", "zstd")
         tree.bits = bit_table(tree.values)
         known = tree.values.where(F.col("n") >= hot).select("key", "value").toArrow()
         order = np.argsort(known["key"].to_numpy())
@@ -403,14 +489,18 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     training = read.where(~F.col("held_out"))
     vocabulary = materialize(
         training.select("text").mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")),
-        "vocabulary")
+        "vocabulary", "zstd")
     tree = grow(training, vocabulary, depth)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    known = materialize(
+    n_ranges = max(FEWEST_RANGES, tree.n // TOKENS_PER_RANGE)
+    shared = docs.sparkSession.sparkContext.broadcast(tree)
+    stored = materialize(
         read.mapInArrow(
-            tree.scorer(), f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_hot long, base double, "
-            "score double, rare array<binary>, keys array<long>"),
-        "scores")
+            _scorer(shared, n_ranges), f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_hot long, base double, "
+            "score double, rare array<binary>, span int, keys binary, rows binary"),
+        "scores", "zstd")
+    shared.destroy()
+    known = stored.where("span IS NULL")
     of_rare = F.log10((F.coalesce("n", F.lit(0)) + 1.0) / (tree.n + tree.v + 1.0))
     rare = (
         known.select("row", F.explode("rare").alias("word"))
@@ -421,10 +511,11 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     rest = F.coalesce("rest", F.lit(0.0))
     state = F.lit(0.0)
     if tree.values is not None:
+        asked = stored.where("span IS NOT NULL").select("row", "span", "keys", "rows")
+        values = tree.values.select(_range_of(n_ranges).alias("span"), "key", "value")
         states = (
-            known.select("row", F.explode("keys").alias("key"))
-            .join(tree.values.select("key", "value"), "key")
-            .groupBy("row").agg(F.sum("value").alias("state"))
+            asked.groupBy("span").cogroup(values.groupBy("span")).applyInArrow(_state_sums, "row long, state double")
+            .groupBy("row").agg(F.sum("state").alias("state"))
         )
         known_words = known_words.join(states, "row", "left")
         state = F.coalesce("state", F.lit(0.0))
