@@ -502,21 +502,22 @@ def scored(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     shared.destroy()
     known = stored.where("span IS NULL")
     of_rare = F.log10((F.coalesce("n", F.lit(0)) + 1.0) / (tree.n + tree.v + 1.0))
-    rare = (
+    # Stored one after the other, so that only one of the two lookups has its shuffles on disk.
+    rare = materialize(
         known.select("row", F.explode("rare").alias("word"))
         .join(vocabulary, "word", "left")
-        .groupBy("row").agg(F.sum(of_rare).alias("rest"), F.count("n").alias("n_rare"))
-    )
+        .groupBy("row").agg(F.sum(of_rare).alias("rest"), F.count("n").alias("n_rare")),
+        "rare-words")
     known_words = known.join(rare, "row", "left")
     rest = F.coalesce("rest", F.lit(0.0))
     state = F.lit(0.0)
     if tree.values is not None:
         asked = stored.where("span IS NOT NULL").select("row", "span", "keys", "rows")
         values = tree.values.select(_range_of(n_ranges).alias("span"), "key", "value")
-        states = (
+        states = materialize(
             asked.groupBy("span").cogroup(values.groupBy("span")).applyInArrow(_state_sums, "row long, state double")
-            .groupBy("row").agg(F.sum("state").alias("state"))
-        )
+            .groupBy("row").agg(F.sum("state").alias("state")),
+            "states")
         known_words = known_words.join(states, "row", "left")
         state = F.coalesce("state", F.lit(0.0))
     return known_words.select(
